@@ -1,0 +1,66 @@
+"""The whole feature table: impute, scale and encode in one fitted state."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rowloom.operators.encode import one_hot, wide_values
+from rowloom.operators.impute import apply_fill, fit_median
+from rowloom.operators.scale import apply_standard, fit_standard
+
+
+@dataclass
+class FeaturePipeline:
+    """Numeric columns get the median and a z-score, categories 'Unknown' and flags, booleans 0."""
+
+    numeric: list[str]
+    categorical: list[str]
+    boolean: list[str]
+    medians: DataFrame | None = None
+    scales: DataFrame | None = None
+    categories: dict[str, list[str]] | None = None
+
+    def fit(self, train: DataFrame) -> "FeaturePipeline":
+        self.medians = fit_median(train, self.numeric)
+        self.scales = fit_standard(apply_fill(train.select(*self.numeric), self.medians), self.numeric)
+        filled = train.select(*self.categorical).fillna("Unknown")
+        self.categories = {c: wide_values(filled.select(c), c) for c in self.categorical}
+        return self
+
+    @property
+    def names(self) -> list[str]:
+        """Readable name of every output column, in slot order."""
+        flags = [f"{c}_{v}" for c in self.categorical for v in self.categories[c]]
+        return [*self.numeric, *flags, *self.boolean]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Feature columns followed by the columns the pipeline does not use, unchanged."""
+        used = {*self.numeric, *self.categorical, *self.boolean}
+        rest = [c for c in df.columns if c not in used]
+        clean = apply_standard(apply_fill(df, self.medians), self.scales, self.numeric)
+        clean = clean.fillna("Unknown", subset=self.categorical) if self.categorical else clean
+        flags = [f for c in self.categorical for f in one_hot(clean, c, self.categories[c], c)]
+        zeros = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in self.boolean]
+        return clean.select(*self.numeric, *flags, *zeros, *rest)
+
+    def assemble(self, df: DataFrame) -> DataFrame:
+        """The transformed table as one vector column."""
+        vectors = VectorAssembler(inputCols=self.names, outputCol="features", handleInvalid="keep")
+        return vectors.transform(self.transform(df)).drop(*self.names)
+
+    def name_table(self, df: DataFrame) -> DataFrame:
+        return feature_names(df, self.names)
+
+
+def feature_names(df: DataFrame, names: list[str], width: int | None = None) -> DataFrame:
+    """Slot to name: a transformer prefix ('num__') is cut off; slots without a name get a generic one."""
+    width = len(names) if width is None else width
+    rows = [
+        (i, names[i].split("__", 1)[-1] if i < len(names) else f"feature_{i}")
+        for i in range(width)
+    ]
+    return df.sparkSession.createDataFrame(rows, "slot int, feature string")

@@ -1 +1,160 @@
+"""Ensembles and calibration over the long probabilities of three pseudo-models on all orders."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowloom.operators import calibrate, ensemble, models
+from rowloom.plans import fixtures as fx
+from rowloom.plans.registry import query, rnd, rounded
+
+PROBS = f"WITH {fx.PROBS_SQL}"
+_HITS = (
+    ", called AS (SELECT id, y, fold, model, arg_max(class, (p, -class)) AS prediction FROM probs GROUP BY id, y, fold, model), "
+    "folds AS (SELECT model, fold, avg(CASE WHEN prediction = y THEN 1 ELSE 0 END) AS accuracy FROM called GROUP BY model, fold), "
+    "board AS (SELECT model, avg(accuracy) AS cv_score, max_by(accuracy, fold) AS holdout_acc FROM folds GROUP BY model) "
+)
+
+
+def _long(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.pseudo_probabilities(spark, sf)
+
+
+def board(long: DataFrame) -> DataFrame:
+    """One row per model: mean fold accuracy, and the accuracy on the last fold as the hold-out."""
+    folds = models.fold_accuracy(long, "id")
+    return folds.groupBy("model").agg(
+        F.avg("accuracy").alias("cv_score"), F.max_by("accuracy", "fold").alias("holdout_acc")
+    ).persist()
+
+
+@query("argmax_predict", PROBS + _HITS + "SELECT id, model, prediction FROM called")
+def argmax_predict(spark: SparkSession, sf: str) -> DataFrame:
+    return models.predicted_class(_long(spark, sf), ["id", "model"])
+
+
+@query(
+    "argmax_predict_array",
+    PROBS + " SELECT id, CASE WHEN r0 >= r1 AND r0 >= r2 THEN 0 WHEN r1 >= r2 THEN 1 ELSE 2 END AS prediction, "
+    "CASE WHEN r1 / (r0 + r1 + r2) > 0.5 THEN 1 ELSE 0 END AS is_one FROM raws WHERE model = 'cyd'",
+)
+def argmax_predict_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Probabilities as one array per row, and the two-class rule at one half."""
+    long = fx.pseudo_probabilities(spark, sf, ["cyd"])
+    rows = long.groupBy("id").agg(F.array(*[F.max(F.when(F.col("class") == c, F.col("p"))) for c in range(3)]).alias("probs"))
+    return rows.select("id", models.argmax(F.col("probs")).alias("prediction"), (F.get("probs", F.lit(1)) > 0.5).cast("int").alias("is_one"))
+
+
+@query("cv_score", PROBS + _HITS + "SELECT model, " + rnd("avg(accuracy)", "cv_mean") + ", " + rnd("stddev_pop(accuracy)", "cv_std") + " FROM folds GROUP BY model")
+def cv_score(spark: SparkSession, sf: str) -> DataFrame:
+    scores = models.cv_score(models.fold_accuracy(_long(spark, sf), "id"))
+    return scores.select("model", rounded("cv_mean"), rounded("cv_std"))
+
+
+_WEIGHTS = (
+    PROBS + _HITS + ", w AS (SELECT model, (cv_score - (SELECT min(cv_score) FROM board) + 1e-6) / "
+    "(SELECT sum(cv_score - (SELECT min(cv_score) FROM board) + 1e-6) FROM board) AS weight FROM board) "
+)
+
+
+@query("vote_weights", _WEIGHTS + "SELECT model, " + rnd("weight", "weight") + " FROM w")
+def vote_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return ensemble.vote_weights(board(_long(spark, sf))).select("model", rounded("weight"))
+
+
+@query("soft_vote", _WEIGHTS + "SELECT id, class, " + rnd("sum(p * weight) / sum(weight)", "p") + " FROM probs JOIN w USING (model) GROUP BY id, class")
+def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
+    long = _long(spark, sf)
+    voted = ensemble.soft_vote(long, "id", ensemble.vote_weights(board(long)))
+    return voted.select("id", "class", rounded("p"))
+
+
+@query(
+    "hard_vote",
+    PROBS + _HITS + ", n AS (SELECT id, prediction, count(*) AS n FROM called GROUP BY id, prediction) "
+    "SELECT id, arg_max(prediction, (n, -prediction)) AS prediction FROM n GROUP BY id",
+)
+def hard_vote(spark: SparkSession, sf: str) -> DataFrame:
+    return ensemble.hard_vote(_long(spark, sf), "id")
+
+
+_PER_CLASS = (
+    PROBS + ", g AS (SELECT model, class, fold, p, count(*) FILTER (WHERE y = class) AS pos, count(*) FILTER (WHERE y <> class) AS neg FROM probs GROUP BY ALL), "
+    "c AS (SELECT *, sum(pos) OVER (PARTITION BY model, class, fold ORDER BY p DESC) AS tp FROM g), "
+    "a AS (SELECT model, class, fold, sum((tp - pos / 2) * neg) / sum(pos) / sum(neg) AS auc FROM c GROUP BY model, class, fold), "
+    "best AS (SELECT model, class, avg(auc) AS auc FROM a GROUP BY model, class QUALIFY row_number() OVER (PARTITION BY class ORDER BY avg(auc) DESC, model) = 1) "
+)
+
+
+@query("best_per_class", _PER_CLASS + "SELECT model, class, " + rnd("auc", "auc") + " FROM best")
+def best_per_class(spark: SparkSession, sf: str) -> DataFrame:
+    return ensemble.best_per_class(_long(spark, sf)).select("model", "class", rounded("auc"))
+
+
+@query(
+    "per_class_best_ensemble",
+    _PER_CLASS + "SELECT id, class, " + rnd("p / sum(p) OVER (PARTITION BY id)", "p") + " FROM probs JOIN best USING (model, class)",
+)
+def per_class_best_ensemble(spark: SparkSession, sf: str) -> DataFrame:
+    long = _long(spark, sf)
+    voted = ensemble.per_class_vote(long, ensemble.best_per_class(long), "id")
+    return voted.select("id", "class", rounded("p"))
+
+
+@query(
+    "nested_ensemble",
+    _WEIGHTS + ", v AS (SELECT id, class, sum(p * weight) / sum(weight) AS p FROM probs JOIN w USING (model) GROUP BY id, class), "
+    "u AS (SELECT id, class, avg(p) AS p FROM probs GROUP BY id, class), "
+    "b AS (SELECT id, class, p FROM probs WHERE model = (SELECT arg_max(model, cv_score) FROM board)) "
+    "SELECT id, class, " + rnd("avg(p)", "p") + " FROM (FROM v UNION ALL FROM u UNION ALL FROM b) GROUP BY id, class",
+)
+def nested_ensemble(spark: SparkSession, sf: str) -> DataFrame:
+    """A vote over the weighted vote, the plain vote and the best single model."""
+    long = _long(spark, sf)
+    scores = board(long)
+    best = scores.agg(F.max_by("model", "cv_score")).first()[0]
+    parts = [
+        ensemble.soft_vote(long, "id", ensemble.vote_weights(scores), "weighted"),
+        ensemble.soft_vote(long, "id", None, "plain"),
+        long.where(F.col("model") == best).select("id", "model", "class", "p"),
+    ]
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return ensemble.soft_vote(stacked, "id").select("id", "class", rounded("p"))
+
+
+@query(
+    "leaderboard",
+    PROBS + _HITS + "SELECT model, " + rnd("cv_score", "cv_score") + ", " + rnd("holdout_acc", "holdout_acc")
+    + ", CAST(row_number() OVER (ORDER BY holdout_acc DESC, model) AS INTEGER) AS rank FROM board",
+)
+def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
+    ranked = ensemble.leaderboard(board(_long(spark, sf)))
+    return ranked.select("model", rounded("cv_score"), rounded("holdout_acc"), "rank")
+
+
+@query(
+    "qualify_models",
+    PROBS + _HITS + "SELECT model, " + rnd("cv_score", "cv_score") + ", model = (SELECT arg_max(model, holdout_acc) FROM board WHERE cv_score >= 0.72) AS is_best "
+    "FROM board WHERE cv_score >= 0.72",
+)
+def qualify_models(spark: SparkSession, sf: str) -> DataFrame:
+    return ensemble.qualify_models(board(_long(spark, sf)), 0.72).select("model", rounded("cv_score"), "is_best")
+
+
+def _held(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    long = fx.pseudo_probabilities(spark, sf, ["ada"])
+    return long.where("fold = 0"), long.where("fold > 0")
+
+
+@query("isotonic_calibration")
+def isotonic_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    """Curves fitted on one fold and applied to the others; tested for order and sum."""
+    held, rest = _held(spark, sf)
+    return calibrate.isotonic_calibration(held, rest, "id", 3)
+
+
+@query("sigmoid_calibration")
+def sigmoid_calibration(spark: SparkSession, sf: str) -> DataFrame:
+    held, rest = _held(spark, sf)
+    return calibrate.sigmoid_calibration(held, rest, "id", 3)

@@ -1 +1,212 @@
+"""Models, cross-validation, selection and reduction on orders and embeddings."""
 
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowloom.functions import dates
+from rowloom.operators import ensemble, models, reduce, select, splits
+from rowloom.operators.pipeline import FeaturePipeline
+from rowloom.plans import fixtures as fx
+from rowloom.plans.registry import query, rnd, rounded
+
+K = 3
+NUMERIC = ["o_totalprice", "c_acctbal", "month_sin", "month_cos", "year"]
+BOOLEAN = ["is_large"]
+CATEGORICAL = ["c_mktsegment"]
+
+
+def _engineer(df: DataFrame) -> DataFrame:
+    sin, cos = dates.cyclic_month(F.month("o_orderdate"))
+    return df.select(
+        "o_orderkey", "o_totalprice", "c_acctbal", sin.alias("month_sin"), cos.alias("month_cos"),
+        F.year("o_orderdate").cast("double").alias("year"), (F.col("o_totalprice") > 250000).alias("is_large"),
+        "c_mktsegment", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"),
+    )
+
+
+def feature_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test orders as (o_orderkey, y, features); everything fitted on train only."""
+    train, test = (_engineer(p) for p in fx.order_parts(spark, sf))
+    fitted = FeaturePipeline(NUMERIC, CATEGORICAL, BOOLEAN).fit(train)
+    return fitted.assemble(train).persist(), fitted.assemble(test), fitted.names
+
+
+def _predictions(spark: SparkSession, sf: str, fit: models.Fit) -> DataFrame:
+    train, test, _ = feature_tables(spark, sf)
+    scored = fit(train, K).score(test)
+    return scored.select("o_orderkey", "y", "prediction", *[F.get("probs", F.lit(c)).alias(f"p{c}") for c in range(K)])
+
+
+# Name of the query -> the classifier it fits on train orders and scores on test orders.
+CLASSIFIERS = {
+    "random_forest": lambda: models.random_forest(trees=20, depth=5),
+    "gradient_boosting": lambda: models.gradient_boosting(rounds=5),
+    "adaboost_samme": lambda: models.adaboost(rounds=6),
+    "logistic": lambda: models.logistic(),
+    "mlp": lambda: models.mlp(iterations=30),
+    "linear_svc": lambda: models.linear_svc(iterations=20),
+}
+
+
+def _register(name: str) -> None:
+    @query(name)
+    def classify(spark: SparkSession, sf: str) -> DataFrame:
+        return _predictions(spark, sf, CLASSIFIERS[name]())
+
+
+for _name in CLASSIFIERS:
+    _register(_name)
+
+
+def _folded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    train, test, names = feature_tables(spark, sf)
+    return splits.stratified_kfold(train, "o_orderkey", "y", 3), test, names
+
+
+@query(
+    "oof_predict",
+    f"WITH {fx.PARTS_SQL} SELECT CAST(part AS VARCHAR) AS part, o_orderkey, CAST(class AS INTEGER) AS class, TRUE AS valid FROM "
+    "(SELECT 'train' AS part, o_orderkey FROM train UNION ALL SELECT 'test', o_orderkey FROM test) CROSS JOIN (VALUES (0), (1), (2)) c(class)",
+)
+def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Every train and test row gets one probability per class; the values depend on the fit."""
+    train, test, _ = _folded(spark, sf)
+    held, tested = models.oof_predict(train, models.logistic(), K, "o_orderkey", "logistic", test, 3)
+    columns = [F.col("o_orderkey"), F.col("class"), F.col("p").between(0, 1).alias("valid")]
+    return held.select(F.lit("train").alias("part"), *columns).unionByName(tested.select(F.lit("test").alias("part"), *columns))
+
+
+@query("cross_validate")
+def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
+    train, _, _ = _folded(spark, sf)
+    parts = None
+    for name, fit in (("logistic", models.logistic()), ("random_forest", models.random_forest(trees=10, depth=4))):
+        held, _ = models.oof_predict(train, fit, K, "o_orderkey", name, folds=3)
+        parts = held if parts is None else parts.unionByName(held)
+    return models.cv_score(models.fold_accuracy(parts, "o_orderkey"))
+
+
+@query("param_search")
+def param_search(spark: SparkSession, sf: str) -> DataFrame:
+    train, _, _ = _folded(spark, sf)
+    grid = [{"c": c, "l1_ratio": r, "iterations": 20} for c in (0.1, 1.0) for r in (0.0, 0.5)]
+    return models.param_search(train, models.logistic, grid, K, "o_orderkey", folds=3)
+
+
+@query("stacking")
+def stacking(spark: SparkSession, sf: str) -> DataFrame:
+    """Two base models out of fold, a logistic meta-learner, and its probabilities on test rows."""
+    train, test, _ = _folded(spark, sf)
+    fits = {"logistic": models.logistic(), "random_forest": models.random_forest(trees=10, depth=4)}
+    held, tested = None, None
+    for name, fit in fits.items():
+        a, b = models.oof_predict(train, fit, K, "o_orderkey", name, test, 3)
+        held = a if held is None else held.unionByName(a)
+        tested = b if tested is None else tested.unionByName(b)
+    names = list(fits)
+    meta = ensemble.fit_stacking(held, "o_orderkey", names, K, models.logistic())
+    scored = meta.score(ensemble.level_one(tested, "o_orderkey", names, K))
+    return scored.select("o_orderkey", "prediction", *[F.get("probs", F.lit(c)).alias(f"p{c}") for c in range(K)])
+
+
+def _forest(spark: SparkSession, sf: str) -> tuple[models.Fitted, DataFrame, DataFrame, list[str]]:
+    train, test, names = feature_tables(spark, sf)
+    weights = splits.balanced_class_weight(train, "y")
+    weighted = splits.apply_class_weight(train, weights, "y")
+    return models.random_forest(trees=15, depth=5)(weighted, K), train, test, names
+
+
+@query("importance_table")
+def importance_table(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, train, _, names = _forest(spark, sf)
+    return select.importance_table(fitted, names, train)
+
+
+def _scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Correlation with the class as a score of the slots of the embeddings."""
+    from rowloom.operators.profile import block_corr_with_target
+
+    scores = block_corr_with_target(fx.vectors(spark, sf), "vec", "label")
+    return scores.select("slot", F.concat(F.lit("x"), F.col("slot")).alias("feature"), F.round("abs_corr", 9).alias("importance"))
+
+
+_CORR = (
+    f"WITH {fx.VECTORS_SQL}, s AS (SELECT CAST(i - 1 AS INTEGER) AS slot, 'x' || CAST(i - 1 AS VARCHAR) AS feature, "
+    "round(abs(corr(vec[i], label)), 9) AS importance FROM vectors, unnest(generate_series(1, 64)) t(i) GROUP BY i) "
+)
+
+
+@query("select_by_importance", _CORR + "SELECT slot, feature, " + rnd("importance", "importance") + " FROM s WHERE importance >= (SELECT avg(importance) FROM s)")
+def select_by_importance(spark: SparkSession, sf: str) -> DataFrame:
+    kept = select.select_by_importance(_scores(spark, sf), "mean")
+    return kept.select("slot", "feature", rounded("importance"))
+
+
+@query("select_topn", _CORR + "SELECT slot, feature, " + rnd("importance", "importance") + " FROM s ORDER BY s.importance DESC, slot LIMIT 12")
+def select_topn(spark: SparkSession, sf: str) -> DataFrame:
+    return select.select_topn(_scores(spark, sf), 12).select("slot", "feature", rounded("importance"))
+
+
+@query("permutation_importance")
+def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, _, test, names = _forest(spark, sf)
+    return select.permutation_importance(fitted, test, "o_orderkey", names, repeats=2)
+
+
+@query("rfe_cv")
+def rfe_cv(spark: SparkSession, sf: str) -> DataFrame:
+    train, _, names = _folded(spark, sf)
+    return select.rfe_cv(train, models.logistic(iterations=20), K, "o_orderkey", names, folds=2, step=0.4)
+
+
+@query("pca")
+def pca(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all embeddings on 15 components."""
+    df = fx.vectors(spark, sf)
+    return df.select("id", reduce.project(reduce.fit_pca(df, "vec", 15), "vec").alias("scores"))
+
+
+@query(
+    "pca_total_variance",
+    f"WITH {fx.VECTORS_SQL}, v AS (SELECT var_samp(vec[i]) AS s FROM vectors, unnest(generate_series(1, 64)) t(i) GROUP BY i) "
+    "SELECT " + rnd("sum(s)", "total_variance") + ", " + rnd("CAST(1 AS DOUBLE)", "share") + " FROM v",
+)
+def pca_total_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """With all 64 components the scores keep the whole variance of the block, and the shares add up to 1."""
+    df = fx.vectors(spark, sf)
+    state = reduce.fit_pca(df, "vec", 64)
+    scores = df.select(F.posexplode(reduce.project(state, "vec")).alias("component", "score"))
+    spread = scores.groupBy("component").agg(F.var_samp("score").alias("s"))
+    share = state.agg(F.sum("share")).first()[0]
+    return spread.agg(F.sum("s").alias("total")).select(rounded("total", "total_variance"), rounded(F.lit(share), "share"))
+
+
+@query("truncated_svd")
+def truncated_svd(spark: SparkSession, sf: str) -> DataFrame:
+    df = fx.vectors(spark, sf)
+    return df.select("id", reduce.project(reduce.fit_svd(df, "vec", 25), "vec").alias("scores"))
+
+
+def _clusters(spark: SparkSession, sf: str) -> DataFrame:
+    df = fx.vectors(spark, sf)
+    scores = df.select("id", reduce.project(reduce.fit_pca(df, "vec", 15), "vec").alias("scores")).persist()
+    return reduce.apply_kmeans(reduce.fit_kmeans(scores, "scores", 15), scores, "scores")
+
+
+@query("kmeans")
+def kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    return _clusters(spark, sf).select("id", "cluster")
+
+
+@query("cluster_one_hot", "SELECT vec_id AS id, 1 AS flags FROM embeddings")
+def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row has exactly one cluster flag."""
+    flags = _clusters(spark, sf).select("id", *reduce.cluster_flags(15))
+    return flags.select("id", sum((F.col(f"cluster_{i}") for i in range(15)), F.lit(0)).alias("flags"))
+
+
+def vectors_as_features(df: DataFrame) -> DataFrame:
+    return df.select("id", F.col("label").alias("y"), array_to_vector("vec").alias("features"))

@@ -1 +1,114 @@
+"""Nearest neighbours, voting by neighbours, and class balancing, over all embeddings."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowloom.operators import neighbours, resample
+from rowloom.plans import fixtures as fx
+from rowloom.plans.registry import query, rnd, rounded
+
+_DISTANCE = {
+    "euclidean": "list_distance(a.vec, b.vec)",
+    "manhattan": "list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: abs(z[1] - z[2])))",
+    "chebyshev": "list_max(list_transform(list_zip(a.vec, b.vec), lambda z: abs(z[1] - z[2])))",
+}
+
+
+def _near(k: int, metric: str = "euclidean", same_label: bool = False) -> str:
+    return (
+        f"WITH {fx.VECTORS_SQL}, pairs AS (SELECT a.id, a.label, b.id AS neighbour, b.label AS class, {_DISTANCE[metric]} AS distance "
+        f"FROM vectors a JOIN vectors b ON a.id <> b.id{' AND a.label = b.label' if same_label else ''}), "
+        "near AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS INTEGER) AS rank FROM pairs "
+        f"QUALIFY rank <= {k}) "
+    )
+
+
+def _register(metric: str) -> None:
+    name = "knn_join" if metric == "euclidean" else f"knn_join_{metric}"
+
+    @query(name, _near(5, metric) + "SELECT id, neighbour, " + rnd("distance", "distance") + ", rank FROM near")
+    def knn(spark: SparkSession, sf: str) -> DataFrame:
+        df = fx.vectors(spark, sf)
+        return neighbours.knn_join(df, df, 5, metric).select("id", "neighbour", rounded("distance"), "rank")
+
+
+for _metric in _DISTANCE:
+    _register(_metric)
+
+
+@query("knn_join_within_class", _near(5, same_label=True) + "SELECT id, neighbour, " + rnd("distance", "distance") + ", rank FROM near")
+def knn_join_within_class(spark: SparkSession, sf: str) -> DataFrame:
+    df = fx.vectors(spark, sf)
+    return neighbours.knn_join(df, df, 5, within=True).select("id", "neighbour", rounded("distance"), "rank")
+
+
+_VOTE = "SELECT id, arg_max(class, (round(votes, 9), -class)) AS prediction FROM (SELECT id, class, {w} AS votes FROM near GROUP BY id, class) GROUP BY id"
+
+
+@query("knn_classify", _near(7) + _VOTE.format(w="count(*)"))
+def knn_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row is classified by the seven rows nearest to it."""
+    df = fx.vectors(spark, sf)
+    return neighbours.knn_classify(neighbours.knn_join(df, df, 7), df)
+
+
+@query("knn_classify_distance", _near(7) + _VOTE.format(w="sum(1 / distance)"))
+def knn_classify_distance(spark: SparkSession, sf: str) -> DataFrame:
+    df = fx.vectors(spark, sf)
+    return neighbours.knn_classify(neighbours.knn_join(df, df, 7), df, "distance")
+
+
+_U32 = "CAST('0x' || substr(md5(concat_ws(':', '42', {args})), 1, 8) AS BIGINT)"
+_SMOTE = (
+    _near(5, same_label=True)
+    + ", c AS (SELECT label, count(*) AS n, (SELECT max(k) FROM (SELECT count(*) AS k FROM vectors GROUP BY label)) - count(*) AS need FROM vectors GROUP BY label), "
+    "ranked AS (SELECT v.id, v.label, v.vec, c.n, c.need, row_number() OVER (PARTITION BY v.label ORDER BY md5(concat_ws(':', '42', CAST(v.id AS VARCHAR))), v.id) AS r "
+    "FROM vectors v JOIN c ON v.label = c.label), "
+    "made AS (SELECT id, label, vec, n, CAST(unnest(generate_series(1, need // n + CASE WHEN r <= need % n THEN 1 ELSE 0 END)) AS BIGINT) AS copy FROM ranked), "
+    f"drawn AS (SELECT *, {_U32.format(args='CAST(id AS VARCHAR), CAST(copy AS VARCHAR), ' + chr(39) + 'pick' + chr(39))} % least(5, n - 1) + 1 AS pick, "
+    f"{_U32.format(args='CAST(id AS VARCHAR), CAST(copy AS VARCHAR), ' + chr(39) + 'u' + chr(39))} / 4294967296 AS u FROM made), "
+    "synth AS (SELECT d.id, d.copy, d.label, x.neighbour, d.u, list_transform(list_zip(d.vec, e.vec), lambda z: z[1] + d.u * (z[2] - z[1])) AS vec "
+    "FROM drawn d JOIN near x ON d.id = x.id AND x.rank = d.pick JOIN vectors e ON e.id = x.neighbour) "
+)
+
+
+@query(
+    "smote",
+    _SMOTE + "SELECT id, copy, label, neighbour, " + rnd("u", "u") + ", " + rnd("vec[1]", "x1") + ", "
+    + rnd("list_sum(vec)", "x_sum") + ", " + rnd("list_sum(list_transform(vec, lambda x: x * x))", "x_norm") + " FROM synth",
+)
+def smote(spark: SparkSession, sf: str) -> DataFrame:
+    made = resample.smote(fx.vectors(spark, sf))
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
+    norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    return made.select(
+        "id", "copy", "label", "neighbour", rounded("u"), rounded(F.col("vec")[0], "x1"),
+        rounded(total, "x_sum"), rounded(norm, "x_norm"),
+    )
+
+
+@query("smote_counts", "WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label) SELECT label, (SELECT max(n) FROM c) AS n FROM c")
+def smote_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """After balancing every class is as large as the largest one."""
+    return resample.class_distribution(resample.oversample(fx.vectors(spark, sf)))
+
+
+_TOMEK = _near(1) + "SELECT a.id, a.neighbour AS other FROM near a JOIN near b ON a.neighbour = b.id AND b.neighbour = a.id WHERE a.label <> b.label AND a.id < b.id"
+
+
+@query("tomek_links", _TOMEK)
+def tomek_links(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.tomek_links(fx.vectors(spark, sf))
+
+
+@query("remove_tomek", f"WITH t AS ({_TOMEK}) SELECT vec_id AS id, label FROM embeddings WHERE vec_id NOT IN (SELECT id FROM t UNION ALL SELECT other FROM t)")
+def remove_tomek(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.remove_tomek(fx.vectors(spark, sf)).select("id", "label")
+
+
+@query("smote_tomek")
+def smote_tomek(spark: SparkSession, sf: str) -> DataFrame:
+    """Both steps in turn; neighbours of synthetic rows make the SQL twin too slow on whole tables."""
+    return resample.class_distribution(resample.smote_tomek(fx.vectors(spark, sf)))

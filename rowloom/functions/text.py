@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,9 +42,17 @@ US_REGIONS: dict[str, list[str]] = {
 }
 
 
+def has_any(text: Column, pattern: str) -> Column:
+    """Whether a pattern matches anywhere; alternatives of plain words are searched as bytes."""
+    words = pattern.split("|")
+    if all(re.fullmatch(r"[\w ]+", w) for w in words):
+        return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    return text.rlike(pattern)
+
+
 def keyword_flags(col: Column, table: dict[str, str]) -> list[Column]:
     title = F.lower(F.coalesce(col, F.lit("unknown")))
-    return [title.rlike(pattern).cast("int").alias(name) for name, pattern in table.items()]
+    return [has_any(title, pattern).cast("int").alias(name) for name, pattern in table.items()]
 
 
 def region_flags(col: Column, regions: dict[str, list[str]] = US_REGIONS) -> list[Column]:

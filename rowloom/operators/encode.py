@@ -99,7 +99,7 @@ def one_hot_union_values(train: DataFrame, test: DataFrame, column: str) -> list
 
 
 def one_hot_vector(df: DataFrame, column: str):
-    """Fitted pipeline of any cardinality: a sparse vector, unknown values in no slot."""
+    """Fitted stages for any cardinality: a sparse vector, unknown values in no slot."""
     index = StringIndexer(inputCol=column, outputCol=f"{column}_ix", handleInvalid="keep", stringOrderType="alphabetAsc")
     hot = OneHotEncoder(inputCols=[f"{column}_ix"], outputCols=[f"{column}_hot"], dropLast=True)
     return Pipeline(stages=[index, hot]).fit(df)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.metrics import roc_auc
-from rowloom.operators.models import Fit, Fitted, predicted_class
+from rowloom.operators.models import Fit, Fitted, argmax, predicted_class
 from rowloom.operators.sizing import lookup
 
 
@@ -30,12 +30,11 @@ def soft_vote(long: DataFrame, key: str, weights: DataFrame | None = None, name:
     return long.groupBy(key, "class").agg(mean.alias("p")).select(key, F.lit(name).alias("model"), "class", "p")
 
 
-def hard_vote(long: DataFrame, key: str) -> DataFrame:
+def hard_vote(long: DataFrame, key: str, k: int) -> DataFrame:
     """Most frequent prediction of the models, ties to the smallest class."""
-    calls = predicted_class(long, [key, "model"])
-    counts = calls.groupBy(key, "prediction").agg(F.count(F.lit(1)).alias("n"))
-    best = F.max_by("prediction", F.struct("n", -F.col("prediction")))
-    return counts.groupBy(key).agg(best.alias("prediction"))
+    calls = predicted_class(long, [key, "model"], k)
+    counts = F.array(*[F.count_if(F.col("prediction") == c) for c in range(k)])
+    return calls.groupBy(key).agg(argmax(counts).alias("prediction"))
 
 
 def level_one(long: DataFrame, key: str, models: list[str], k: int, extra: list[str] = ()) -> DataFrame:

@@ -85,7 +85,7 @@ def score_steps(df: DataFrame, group: list[str], score: str, positive: Column, *
     hit = positive.cast("long")
     counts = df.groupBy(*group, F.col(score).alias("score")).agg(
         F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")
-    )
+    ).persist()
     return running_totals(
         counts, group, [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, **running
     )

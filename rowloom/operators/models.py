@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml.classification import (
@@ -117,10 +118,12 @@ def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
 
     def fit(df: DataFrame, k: int) -> Fitted:
         kept = df.persist()
-        models = []
-        for c in range(k):
+
+        def one(c: int):
             target = kept.withColumn("_is", (F.col("y") == c).cast("double"))
-            models.append(_clear(_weighted(make(), kept).setLabelCol("_is").fit(target)))
+            return _clear(_weighted(make(), kept).setLabelCol("_is").fit(target))
+
+        models = side_by_side([lambda c=c: one(c) for c in range(k)])
         kept.unpersist()
 
         def add(table: DataFrame) -> DataFrame:
@@ -211,14 +214,22 @@ def long_probabilities(scored: DataFrame, key: str, model: str, extra: list[str]
     )
 
 
+def side_by_side(jobs: list[Callable[[], Any]], threads: int = 4) -> list[Any]:
+    """Results of independent fits, submitted from a few threads so that their stages overlap."""
+    with ThreadPool(min(threads, len(jobs))) as pool:
+        return pool.map(lambda job: job(), jobs)
+
+
 def oof_predict(
     train: DataFrame, fit: Fit, k: int, key: str, name: str, test: DataFrame | None = None, folds: int = 5
 ) -> tuple[DataFrame, DataFrame | None]:
     """Out-of-fold probabilities of ``train`` (which has ``fold``), and the test mean over the fold models."""
     kept = train.persist()
+    models = side_by_side([
+        lambda f=f: fit(kept.where(F.col("fold") != f).drop("fold"), k) for f in range(folds)
+    ])
     held, tested = None, None
-    for f in range(folds):
-        fitted = fit(kept.where(F.col("fold") != f).drop("fold"), k)
+    for f, fitted in enumerate(models):
         part = long_probabilities(fitted.score(kept.where(F.col("fold") == f)), key, name, ["y", "fold"])
         held = part if held is None else held.unionByName(part)
         if test is not None:
@@ -229,14 +240,18 @@ def oof_predict(
     return held, tested
 
 
-def predicted_class(long: DataFrame, by: list[str]) -> DataFrame:
+def class_array(value: Column, k: int, cls: str = "class") -> Column:
+    """Aggregate of long rows: the value of each class 0..k-1, as an array of plain maxima."""
+    return F.array(*[F.max(F.when(F.col(cls) == c, value)) for c in range(k)])
+
+
+def predicted_class(long: DataFrame, by: list[str], k: int) -> DataFrame:
     """Argmax of long probabilities, ties to the smallest class."""
-    best = F.max_by("class", F.struct("p", -F.col("class")))
-    return long.groupBy(*by).agg(best.alias("prediction"))
+    return long.groupBy(*by).agg(argmax(class_array(F.col("p"), k)).alias("prediction"))
 
 
-def fold_accuracy(oof: DataFrame, key: str) -> DataFrame:
-    called = predicted_class(oof, [key, "model", "fold", "y"])
+def fold_accuracy(oof: DataFrame, key: str, k: int) -> DataFrame:
+    called = predicted_class(oof, [key, "model", "fold", "y"], k)
     hit = (F.col("prediction") == F.col("y")).cast("double")
     return called.groupBy("model", "fold").agg(F.avg(hit).alias("accuracy"))
 
@@ -250,7 +265,7 @@ def cv_score(fold_scores: DataFrame) -> DataFrame:
 
 def cross_validate(train: DataFrame, fit: Fit, k: int, key: str, name: str, folds: int = 5) -> float:
     held, _ = oof_predict(train, fit, k, key, name, folds=folds)
-    return cv_score(fold_accuracy(held, key)).first()["cv_mean"]
+    return cv_score(fold_accuracy(held, key, k)).first()["cv_mean"]
 
 
 def param_search(

@@ -21,7 +21,7 @@ from rowloom.functions.keys import hash_hex
 from rowloom.session import durable
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 
 
 def _stack(values: pd.Series) -> np.ndarray:
@@ -47,11 +47,12 @@ def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 def _nearest_in_block(queries: pd.DataFrame, data: pd.DataFrame, k: int, metric: str) -> pd.DataFrame:
     """The k nearest rows of one block for each query of one chunk; a row is not its own neighbour."""
-    empty = pd.DataFrame({"id": [], "neighbour": [], "distance": []})
+    empty = pd.DataFrame({"id": [], "label": [], "neighbour": [], "neighbour_label": [], "distance": []})
     if queries.empty or data.empty:
         return empty
     q, d = _stack(queries["vec"]), _stack(data["vec"])
     q_id, d_id = queries["id"].to_numpy(), data["id"].to_numpy()
+    q_label, d_label = queries["label"].to_numpy(), data["label"].to_numpy()
     keep = min(k + 1, len(d))
     step = max(1, 2_000_000 // len(d))
     parts = []
@@ -75,7 +76,10 @@ def _nearest_in_block(queries: pd.DataFrame, data: pd.DataFrame, k: int, metric:
         starts = np.r_[0, np.nonzero(np.diff(r))[0] + 1]
         place = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
         first = place < k
-        parts.append(pd.DataFrame({"id": q_id[i + r[first]], "neighbour": d_id[c[first]], "distance": exact[first]}))
+        r, c = i + r[first], c[first]
+        parts.append(pd.DataFrame({
+            "id": q_id[r], "label": q_label[r], "neighbour": d_id[c], "neighbour_label": d_label[c], "distance": exact[first],
+        }))
     return pd.concat(parts, ignore_index=True) if parts else empty
 
 
@@ -96,16 +100,18 @@ def knn_join(
     pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The k nearest ``data`` rows of every ``queries`` row: (id, neighbour, distance, rank).
+    """The k nearest ``data`` rows of every ``queries`` row.
 
-    Both sides have a unique ``id`` and ``vec array<double>``; a row is never its own neighbour,
-    and equal distances rank by neighbour id. With ``within`` only rows with an equal ``label``
-    are compared; labels must be few.
+    Both sides have a unique ``id``, a ``label`` and ``vec array<double>``. The result is (id,
+    label, neighbour, neighbour_label, distance, rank); a row is never its own neighbour, and equal
+    distances rank by neighbour id. With ``within`` only rows with an equal ``label`` are compared;
+    labels must be few. Labels travel along, so voting needs no join on hub rows.
     """
-    label = F.col("label").cast("string") if within else F.lit("")
+    part = F.col("label").cast("string") if within else F.lit("")
     id_type = data.schema["id"].dataType.simpleString()
-    points = data.select("id", "vec", label.alias("label"))
-    asks = queries.select("id", "vec", label.alias("label"))
+    label_type = data.schema["label"].dataType.simpleString()
+    points = data.select("id", "label", "vec", part.alias("part"))
+    asks = queries.select("id", "label", "vec", part.alias("part"))
     centres = _choose_pivots(points, pivots)
     need = k + 1  # one of the rows found may be the query itself
 
@@ -115,30 +121,30 @@ def knn_join(
                 gaps = _distances(_stack(batch["vec"]), centres, metric)
                 yield batch.assign(cell=gaps.argmin(axis=1).astype("int32"), r=gaps.min(axis=1))
 
-    columns = f"id {id_type}, vec array<double>, label string"
+    columns = f"id {id_type}, label {label_type}, vec array<double>, part string"
     celled = durable(points.mapInPandas(to_cells, f"{columns}, cell int, r double"))
-    near = Window.partitionBy("label", "cell").orderBy("r", "id")
+    near = Window.partitionBy("part", "cell").orderBy("r", "id")
     inner = (
-        celled.select("label", "cell", "r", "id")
+        celled.select("part", "cell", "r", "id")
         .withColumn("place", F.row_number().over(near))
         .where(F.col("place") <= need)
-        .groupBy("label", "cell")
+        .groupBy("part", "cell")
         .agg(F.array_sort(F.collect_list("r")).alias("inner"))
     )
-    cells = celled.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("radius"))
-    # At most one row per label and pivot.
+    cells = celled.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("radius"))
+    # At most one row per part and pivot.
     summary = {}
-    for row in cells.join(inner, ["label", "cell"]).collect():
-        summary.setdefault(row["label"], []).append((row["cell"], row["n"], row["radius"], list(row["inner"])))
+    for row in cells.join(inner, ["part", "cell"]).collect():
+        summary.setdefault(row["part"], []).append((row["cell"], row["n"], row["radius"], list(row["inner"])))
     between = _distances(centres, centres, metric)
 
     def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, part in batch.groupby("label"):
+            for name, rows in batch.groupby("part"):
                 known = summary.get(name)
                 if not known:
                     continue
-                gaps = _distances(_stack(part["vec"]), centres, metric)
+                gaps = _distances(_stack(rows["vec"]), centres, metric)
                 ids = np.array([c[0] for c in known])
                 radius = np.array([c[2] for c in known])
                 reach = np.concatenate([gaps[:, [c[0]]] + np.array(c[3])[None, :] for c in known], axis=1)
@@ -152,54 +158,54 @@ def knn_join(
                     plane = (gaps[:, ids] ** 2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
                     low = np.maximum(low, plane)
                 visit = low <= bound[:, None] * (1 + 1e-9) + 1e-9
-                yield part.assign(cells=[ids[v].astype("int32") for v in visit])
+                yield rows.assign(cells=[ids[v].astype("int32") for v in visit])
 
     visits = durable(asks.mapInPandas(to_visits, f"{columns}, cells array<int>"))
-    visits = visits.select("id", "vec", "label", F.explode("cells").alias("cell"))
-    asked = visits.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("asked"))
-    # One row per label and pivot: how many blocks and chunks each cell is cut into.
+    visits = visits.select("id", "label", "vec", "part", F.explode("cells").alias("cell"))
+    asked = visits.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("asked"))
+    # One row per part and pivot: how many blocks and chunks each cell is cut into.
     cuts = F.broadcast(
-        cells.join(asked, ["label", "cell"]).select(
-            "label", "cell",
+        cells.join(asked, ["part", "cell"]).select(
+            "part", "cell",
             F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"),
             F.ceil(F.col("asked") / block_rows).cast("int").alias("chunks"),
         )
     )
     spot = F.xxhash64("id")
-    keys = ["label", "cell", "block", "chunk"]
-    left = visits.join(cuts, ["label", "cell"]).select(
-        "label", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), "id", "vec",
+    keys = ["part", "cell", "block", "chunk"]
+    left = visits.join(cuts, ["part", "cell"]).select(
+        "part", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), "id", "label", "vec",
     )
-    right = celled.join(cuts, ["label", "cell"]).select(
-        "label", "cell", F.pmod(spot, F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "vec",
+    right = celled.join(cuts, ["part", "cell"]).select(
+        "part", "cell", F.pmod(spot, F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "label", "vec",
     )
 
     def compare(ask: pd.DataFrame, point: pd.DataFrame) -> pd.DataFrame:
         return _nearest_in_block(ask, point, k, metric)
 
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        compare, f"id {id_type}, neighbour {id_type}, distance double"
+        compare,
+        f"id {id_type}, label {label_type}, neighbour {id_type}, neighbour_label {label_type}, distance double",
     )
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def knn_votes(neighbours: DataFrame, labels: DataFrame, weights: str = "uniform") -> DataFrame:
+def knn_votes(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
     """Weight per (id, class) of the neighbours' labels; a distance of 0 outweighs all others."""
-    table = labels.select(F.col("id").alias("neighbour"), F.col("label").alias("class"))
-    voted = neighbours.join(table, "neighbour")
     if weights == "distance":
         zero = F.max((F.col("distance") == 0).cast("int")).over(Window.partitionBy("id"))
         vote = F.when(zero == 1, (F.col("distance") == 0).cast("double")).otherwise(1 / F.col("distance"))
     else:
         vote = F.lit(1.0)
-    return voted.withColumn("vote", vote).groupBy("id", "class").agg(F.sum("vote").alias("votes"))
+    voted = neighbours.select("id", F.col("neighbour_label").alias("class"), vote.alias("vote"))
+    return voted.groupBy("id", "class").agg(F.sum("vote").alias("votes"))
 
 
-def knn_classify(neighbours: DataFrame, labels: DataFrame, weights: str = "uniform") -> DataFrame:
+def knn_classify(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
     """The class with the greatest weight, ties to the smallest class."""
-    votes = knn_votes(neighbours, labels, weights)
+    votes = knn_votes(neighbours, weights)
     best = F.max_by("class", F.struct("votes", -F.col("class")))
     return votes.groupBy("id").agg(best.alias("prediction"))

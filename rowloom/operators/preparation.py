@@ -14,7 +14,7 @@ from rowloom.operators.scale import apply_standard, fit_standard
 
 
 @dataclass
-class FeaturePipeline:
+class FeaturePreparation:
     """Numeric columns get the median and a z-score, categories 'Unknown' and flags, booleans 0."""
 
     numeric: list[str]
@@ -24,7 +24,7 @@ class FeaturePipeline:
     scales: DataFrame | None = None
     categories: dict[str, list[str]] | None = None
 
-    def fit(self, train: DataFrame) -> "FeaturePipeline":
+    def fit(self, train: DataFrame) -> "FeaturePreparation":
         self.medians = fit_median(train, self.numeric)
         self.scales = fit_standard(apply_fill(train.select(*self.numeric), self.medians), self.numeric)
         filled = train.select(*self.categorical).fillna("Unknown")
@@ -38,7 +38,7 @@ class FeaturePipeline:
         return [*self.numeric, *flags, *self.boolean]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Feature columns followed by the columns the pipeline does not use, unchanged."""
+        """Feature columns followed by the columns it does not use, unchanged."""
         used = {*self.numeric, *self.categorical, *self.boolean}
         rest = [c for c in df.columns if c not in used]
         clean = apply_standard(apply_fill(df, self.medians), self.scales, self.numeric)

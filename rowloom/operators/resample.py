@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from rowloom.functions.keys import hash_hex, hash_int, hash_unit
 from rowloom.operators.neighbours import knn_join
 from rowloom.operators.ranking import hash_rank
-from rowloom.operators.sizing import lookup
+from rowloom.operators.sizing import lookup, split_join
+from rowloom.session import durable
 
 
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
@@ -42,9 +43,11 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     made = made.withColumn("rank", pick.cast("int")).withColumn("u", hash_unit(hash_hex(seed, "id", "copy", F.lit("u"))))
     # A class of one row has no neighbour; its copies equal the row.
     paired = made.join(near, ["id", "rank"], "left").withColumn("neighbour", F.coalesce("neighbour", "id"))
+    # Many rows may share one neighbour (copies, hubs), so the join treats hot ids apart.
     ends = df.select(F.col("id").alias("neighbour"), F.col("vec").alias("_end"))
     moved = F.zip_with("vec", "_end", lambda x, e: x + F.col("u") * (e - x))
-    return paired.join(ends, "neighbour").select("id", "copy", "label", "neighbour", "u", moved.alias("vec"))
+    joined = split_join(paired, ends, "neighbour", "inner")
+    return joined.select("id", "copy", "label", "neighbour", "u", moved.alias("vec"))
 
 
 def oversample(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
@@ -56,14 +59,11 @@ def oversample(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
 
 def tomek_links(df: DataFrame) -> DataFrame:
     """Pairs (id, other) of different labels that are each other's nearest row."""
-    near = knn_join(df, df, 1).select("id", "neighbour")
-    near = near.join(df.select("id", "label"), "id").persist()
-    back = near.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("id"), F.col("label").alias("other_label"))
+    near = knn_join(df, df, 1).where(F.col("label") != F.col("neighbour_label")).select("id", "neighbour").persist()
+    back = near.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("id"))
     # Joined on both ids, so a row that is nearest to many others is no hot key.
     pairs = near.join(back, ["id", "neighbour"])
-    return pairs.where((F.col("label") != F.col("other_label")) & (F.col("id") < F.col("neighbour"))).select(
-        "id", F.col("neighbour").alias("other")
-    )
+    return pairs.where(F.col("id") < F.col("neighbour")).select("id", F.col("neighbour").alias("other"))
 
 
 def remove_tomek(df: DataFrame) -> DataFrame:
@@ -73,4 +73,4 @@ def remove_tomek(df: DataFrame) -> DataFrame:
 
 
 def smote_tomek(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
-    return remove_tomek(oversample(df, k, seed))
+    return remove_tomek(durable(oversample(df, k, seed)))

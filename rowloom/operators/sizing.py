@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ONE_TASK_ROWS = 2_000_000
+HOT_ROWS = 5_000_000
 
 
 def size_of(df: DataFrame) -> tuple[int, int]:
@@ -41,9 +42,34 @@ def broadcast_if_small(
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Join a table of unique keys onto ``df``, by broadcast when the table is small."""
-    return df.join(broadcast_if_small(table), on=on, how=how)
+    """Join a table of unique keys onto ``df``: by broadcast when it is small, else by ``split_join``."""
+    kept = table.persist()
+    rows, size = size_of(kept)
+    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        return df.join(F.broadcast(kept), on=on, how=how)
+    return split_join(df, kept, on, how)
+
+
+def split_join(
+    df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join a large table of unique keys onto ``df`` when some keys may hold much of ``df``.
+
+    Keys with more than ``hot_rows`` rows are few (rows of ``df`` / ``hot_rows``); their part of
+    the table is broadcast, so hot rows stay where they are. All other rows join by shuffle.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    counts = df.where(all_of([F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > hot_rows).select(*keys).persist()
+    rows, size = size_of(hot)
+    if rows == 0 or rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
+        return df.join(table, on=keys, how=how)
+    hot_part = table.join(F.broadcast(hot), keys, "left_semi")
+    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    spread = marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_part), keys, how)
+    rest = marked.where(F.col("_hot").isNull()).drop("_hot").join(table, keys, how)
+    return spread.unionByName(rest)
 
 
-def all_of(conditions: list):
+def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)

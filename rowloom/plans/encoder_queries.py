@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators import encode
-from rowloom.operators.pipeline import FeaturePipeline, feature_names
+from rowloom.operators.preparation import FeaturePreparation, feature_names
 from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
 from rowloom.sources.files import table
@@ -170,22 +170,22 @@ def ordered_target_encode_test(spark: SparkSession, sf: str) -> DataFrame:
     return encode.lookup(test, state, "cust").select("o_orderkey", rounded("encoded"))
 
 
-def pipeline_for(spark: SparkSession, sf: str) -> tuple[FeaturePipeline, DataFrame]:
-    """A pipeline over messy orders, and the table it was fitted on."""
+def preparation_for(spark: SparkSession, sf: str) -> tuple[FeaturePreparation, DataFrame]:
+    """A fitted preparation of messy orders, and the table it was fitted on."""
     df = fx.messy_orders(spark, sf).select("obs", "price", "other_number", "status", "flag_bool")
-    return FeaturePipeline(["price", "other_number"], ["status"], ["flag_bool"]).fit(df), df
+    return FeaturePreparation(["price", "other_number"], ["status"], ["flag_bool"]).fit(df), df
 
 
 @query(
-    "feature_pipeline",
+    "feature_preparation",
     f"{MESSY}, m AS (SELECT median(price) AS m1, median(other_number) AS m2 FROM messy), "
     "f AS (SELECT obs, coalesce(price, m1) AS price, coalesce(other_number, m2) AS other_number, coalesce(status, 'Unknown') AS status, coalesce(CAST(flag_bool AS INTEGER), 0) AS flag_bool FROM messy, m), "
     "s AS (SELECT avg(price) AS a1, stddev_pop(price) AS d1, avg(other_number) AS a2, stddev_pop(other_number) AS d2 FROM f) "
     "SELECT obs, " + rnd("(price - a1) / d1", "price") + ", " + rnd("(other_number - a2) / d2", "other_number") + ", "
     + ", ".join(f"CASE WHEN status = '{v}' THEN 1 ELSE 0 END AS status_{v}" for v in ("F", "O", "P", "Unknown")) + ", flag_bool FROM f, s",
 )
-def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    fitted, df = pipeline_for(spark, sf)
+def feature_preparation(spark: SparkSession, sf: str) -> DataFrame:
+    fitted, df = preparation_for(spark, sf)
     out = fitted.transform(df)
     return out.select(*[rounded(c) if c in ("price", "other_number") else c for c in out.columns])
 
@@ -197,7 +197,7 @@ def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT CAST(row_number() OVER (ORDER BY part, feature) - 1 AS INTEGER) AS slot, feature FROM n",
 )
 def names_of_features(spark: SparkSession, sf: str) -> DataFrame:
-    fitted, df = pipeline_for(spark, sf)
+    fitted, df = preparation_for(spark, sf)
     prefixed = [f"num__{n}" if n in fitted.numeric else f"cat__{n}" for n in fitted.names]
     return feature_names(df, prefixed)
 

@@ -18,12 +18,13 @@ _HITS = (
 
 
 def _long(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.pseudo_probabilities(spark, sf)
+    """The probabilities of all models, kept because scores and votes both read them."""
+    return fx.pseudo_probabilities(spark, sf).persist()
 
 
 def board(long: DataFrame) -> DataFrame:
     """One row per model: mean fold accuracy, and the accuracy on the last fold as the hold-out."""
-    folds = models.fold_accuracy(long, "id")
+    folds = models.fold_accuracy(long, "id", 3)
     return folds.groupBy("model").agg(
         F.avg("accuracy").alias("cv_score"), F.max_by("accuracy", "fold").alias("holdout_acc")
     ).persist()
@@ -31,7 +32,7 @@ def board(long: DataFrame) -> DataFrame:
 
 @query("argmax_predict", PROBS + _HITS + "SELECT id, model, prediction FROM called")
 def argmax_predict(spark: SparkSession, sf: str) -> DataFrame:
-    return models.predicted_class(_long(spark, sf), ["id", "model"])
+    return models.predicted_class(_long(spark, sf), ["id", "model"], 3)
 
 
 @query(
@@ -42,13 +43,13 @@ def argmax_predict(spark: SparkSession, sf: str) -> DataFrame:
 def argmax_predict_array(spark: SparkSession, sf: str) -> DataFrame:
     """Probabilities as one array per row, and the two-class rule at one half."""
     long = fx.pseudo_probabilities(spark, sf, ["cyd"])
-    rows = long.groupBy("id").agg(F.array(*[F.max(F.when(F.col("class") == c, F.col("p"))) for c in range(3)]).alias("probs"))
+    rows = long.groupBy("id").agg(models.class_array(F.col("p"), 3).alias("probs"))
     return rows.select("id", models.argmax(F.col("probs")).alias("prediction"), (F.get("probs", F.lit(1)) > 0.5).cast("int").alias("is_one"))
 
 
 @query("cv_score", PROBS + _HITS + "SELECT model, " + rnd("avg(accuracy)", "cv_mean") + ", " + rnd("stddev_pop(accuracy)", "cv_std") + " FROM folds GROUP BY model")
 def cv_score(spark: SparkSession, sf: str) -> DataFrame:
-    scores = models.cv_score(models.fold_accuracy(_long(spark, sf), "id"))
+    scores = models.cv_score(models.fold_accuracy(_long(spark, sf), "id", 3))
     return scores.select("model", rounded("cv_mean"), rounded("cv_std"))
 
 
@@ -76,7 +77,7 @@ def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT id, arg_max(prediction, (n, -prediction)) AS prediction FROM n GROUP BY id",
 )
 def hard_vote(spark: SparkSession, sf: str) -> DataFrame:
-    return ensemble.hard_vote(_long(spark, sf), "id")
+    return ensemble.hard_vote(_long(spark, sf), "id", 3)
 
 
 _PER_CLASS = (

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.functions.keys import hash_hex, hash_int
+from rowloom.functions.keys import hash_int
+from rowloom.operators.models import predicted_class
 from rowloom.sources.files import table
 
 YEAR_MONTH = (
@@ -135,18 +136,17 @@ def pseudo_probabilities(spark: SparkSession, sf: str, models: list[str] = ("ada
     """Long probabilities (id, y, fold, model, class, p) made from hashes of all orders."""
     orders = table(spark, sf, "orders").selectExpr("o_orderkey AS id", f"CAST({STATUS_CODE} AS INT) AS y", f"{FOLD} AS fold")
 
-    def raw(model: str, c: int):
-        hashed = hash_int(hash_hex(model, "id", F.lit(c))) % 1000 + 1
-        return hashed + F.when(F.col("y") == c, MODEL_BONUS[model]).otherwise(0)
+    # Placed by id while rows are narrow: the groupings by id that follow need no further shuffle.
+    named = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(MODEL_BONUS[m]).alias("bonus")) for m in models]))
+    rows = orders.repartition("id").select("*", named.alias("m"))
 
-    cells = []
-    for m in models:
-        total = raw(m, 0) + raw(m, 1) + raw(m, 2)
-        cells += [
-            F.struct(F.lit(m).alias("model"), F.lit(c).alias("class"), (raw(m, c) / total).alias("p"))
-            for c in range(3)
-        ]
-    return orders.select("id", "y", "fold", F.inline(F.array(*cells)))
+    def raw(c: int):
+        hashed = hash_int(F.md5(F.concat_ws(":", "m.model", F.col("id").cast("string"), F.lit(str(c))))) % 1000 + 1
+        return hashed + F.when(F.col("y") == c, F.col("m.bonus")).otherwise(0)
+
+    raws = rows.select("id", "y", "fold", F.col("m.model").alias("model"), F.array(*[raw(c) for c in range(3)]).alias("raws"))
+    total = F.get("raws", F.lit(0)) + F.get("raws", F.lit(1)) + F.get("raws", F.lit(2))
+    return raws.select("id", "y", "fold", "model", F.posexplode(F.transform("raws", lambda r: r / total)).alias("class", "p"))
 
 
 _RAW = (
@@ -167,8 +167,7 @@ PROBS_SQL = (
 def calls(spark: SparkSession, sf: str, model: str = "bob") -> DataFrame:
     """Labels and predictions (id, y, p) of one pseudo-model, straight from its three scores."""
     probs = pseudo_probabilities(spark, sf, [model])
-    best = F.max_by("class", F.struct("p", -F.col("class")))
-    return probs.groupBy("id", "y").agg(best.alias("p"))
+    return predicted_class(probs, ["id", "y"], 3).withColumnRenamed("prediction", "p")
 
 
 CALLS_SQL = (

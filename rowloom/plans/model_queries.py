@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import dates
 from rowloom.operators import ensemble, models, reduce, select, splits
-from rowloom.operators.pipeline import FeaturePipeline
+from rowloom.operators.preparation import FeaturePreparation
 from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
 
@@ -30,8 +30,9 @@ def _engineer(df: DataFrame) -> DataFrame:
 def feature_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Train and test orders as (o_orderkey, y, features); everything fitted on train only."""
     train, test = (_engineer(p) for p in fx.order_parts(spark, sf))
-    fitted = FeaturePipeline(NUMERIC, CATEGORICAL, BOOLEAN).fit(train)
-    return fitted.assemble(train).persist(), fitted.assemble(test), fitted.names
+    fitted = FeaturePreparation(NUMERIC, CATEGORICAL, BOOLEAN).fit(train)
+    # Spread evenly before the many passes of a fit, whatever the layout of the files.
+    return fitted.assemble(train).repartition("o_orderkey").persist(), fitted.assemble(test), fitted.names
 
 
 def _predictions(spark: SparkSession, sf: str, fit: models.Fit) -> DataFrame:
@@ -86,7 +87,7 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
     for name, fit in (("logistic", models.logistic()), ("random_forest", models.random_forest(trees=10, depth=4))):
         held, _ = models.oof_predict(train, fit, K, "o_orderkey", name, folds=3)
         parts = held if parts is None else parts.unionByName(held)
-    return models.cv_score(models.fold_accuracy(parts, "o_orderkey"))
+    return models.cv_score(models.fold_accuracy(parts, "o_orderkey", K))
 
 
 @query("param_search")

@@ -51,13 +51,13 @@ _VOTE = "SELECT id, arg_max(class, (round(votes, 9), -class)) AS prediction FROM
 def knn_classify(spark: SparkSession, sf: str) -> DataFrame:
     """Every row is classified by the seven rows nearest to it."""
     df = fx.vectors(spark, sf)
-    return neighbours.knn_classify(neighbours.knn_join(df, df, 7), df)
+    return neighbours.knn_classify(neighbours.knn_join(df, df, 7))
 
 
 @query("knn_classify_distance", _near(7) + _VOTE.format(w="sum(1 / distance)"))
 def knn_classify_distance(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.vectors(spark, sf)
-    return neighbours.knn_classify(neighbours.knn_join(df, df, 7), df, "distance")
+    return neighbours.knn_classify(neighbours.knn_join(df, df, 7), "distance")
 
 
 _U32 = "CAST('0x' || substr(md5(concat_ws(':', '42', {args})), 1, 8) AS BIGINT)"

@@ -35,7 +35,8 @@ def shared_root(spark: SparkSession) -> str:
     folder is an error, because executors could not read what the driver wrote there.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    root = named or sc.getCheckpointDir()
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -1,15 +1,93 @@
-"""Exact quantiles of columns of any length, without gathering a column in one task."""
+"""Exact order statistics of columns of any length, without sorting or gathering a column.
+
+An interval that holds a wanted rank is cut into equal-width cells; one pass over the table counts
+the values of every cell of every open interval, and the cell with the rank becomes the next
+interval. Passes repeat until the values left fit one task or are all equal. The driver only sees
+cell counts, and the passes are scans with a small aggregate.
+"""
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.sizing import ONE_TASK_ROWS
 
-_STEPS = 4096
+_CELLS = 4096
+
+
+@dataclass(frozen=True)
+class Interval:
+    """Values of a column in [low, high]: how many there are, and how many are smaller."""
+
+    column: str
+    low: float
+    high: float
+    count: int
+    before: int = 0
+
+    def holds(self):
+        x = F.col(f"`{self.column}`")
+        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
+
+    def is_wide(self, one_task_rows: int) -> bool:
+        return self.count > one_task_rows and self.high > self.low
+
+
+def _whole(df: DataFrame, columns: list[str]) -> dict[str, Interval]:
+    """Interval of all values per column that has any."""
+    marks = []
+    for i, c in enumerate(columns):
+        x = F.col(f"`{c}`")
+        marks += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    row = df.agg(*marks).first()
+    return {
+        c: Interval(c, row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"])
+        for i, c in enumerate(columns) if row[f"n{i}"]
+    }
+
+
+def _cells(df: DataFrame, intervals: list[Interval]) -> dict[Interval, list[Interval]]:
+    """The non-empty cells of every interval, in order, from one pass."""
+    spots = []
+    for j, part in enumerate(intervals):
+        x = F.col(f"`{part.column}`")
+        if isinstance(part.low, int):
+            x = x.cast("decimal(20,0)")  # distances of large keys stay exact
+        share = (x - F.lit(part.low)).cast("double") / F.lit(float(part.high - part.low))
+        cell = F.least(F.floor(share * _CELLS), F.lit(_CELLS - 1)).cast("int")
+        spots.append(F.when(part.holds(), F.struct(F.lit(j).alias("j"), cell.alias("cell"))))
+    hits = df.select("*", F.explode(F.filter(F.array(*spots), lambda s: s.isNotNull())).alias("s"))
+    # Each interval keeps least and greatest values in the type of its own column.
+    names = sorted({p.column for p in intervals})
+    ends = [f(F.col(f"`{c}`")).alias(f"{e}{i}") for i, c in enumerate(names) for e, f in (("lo", F.min), ("hi", F.max))]
+    rows = hits.groupBy("s.j", "s.cell").agg(F.count(F.lit(1)).alias("n"), *ends).collect()
+    out: dict[Interval, list[Interval]] = {p: [] for p in intervals}
+    for row in sorted(rows, key=lambda r: (r["j"], r["cell"])):
+        part = intervals[row["j"]]
+        i = names.index(part.column)
+        before = out[part][-1].before + out[part][-1].count if out[part] else part.before
+        out[part].append(Interval(part.column, row[f"lo{i}"], row[f"hi{i}"], row["n"], before))
+    return out
+
+
+def _at(cells: list[Interval], rank: int) -> Interval:
+    """The cell that holds a 0-based rank."""
+    return next(c for c in cells if rank < c.before + c.count)
+
+
+def locate(df: DataFrame, wanted: dict, one_task_rows: int) -> dict:
+    """Narrow ``{key: (interval, rank)}`` until every interval fits one task or holds one value."""
+    found = dict(wanted)
+    while True:
+        wide = list(dict.fromkeys(p for p, _ in found.values() if p.is_wide(one_task_rows)))
+        if not wide:
+            return found
+        cells = _cells(df.select(*dict.fromkeys(p.column for p in wide)), wide)
+        found = {k: (_at(cells[p], r), r) if p in cells else (p, r) for k, (p, r) in found.items()}
 
 
 def exact_quantiles(
@@ -18,77 +96,75 @@ def exact_quantiles(
     probability: float = 0.5,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> dict[str, float | None]:
-    """Linearly interpolated quantile of each column, nulls left out.
-
-    One pass counts the values. Columns that fit a task are finished by ``percentile``. For the
-    others each pass counts the values of an open interval in equal-width cells and keeps the
-    cells that hold the wanted ranks, until the remaining values fit a task or are all equal.
-    """
+    """Linearly interpolated quantile of each column, nulls left out."""
     columns = list(columns)
     if not columns:
         return {}
-    marks = []
-    for i, c in enumerate(columns):
-        x = F.col(f"`{c}`")
-        marks += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    first = df.agg(*marks).first()
-    found: dict[str, float | None] = {}
-    open_: dict[str, tuple[float, float, float, int]] = {}
-    for i, c in enumerate(columns):
-        if first[f"n{i}"] == 0:
-            found[c] = None
-        else:
-            place = (first[f"n{i}"] - 1) * probability
-            open_[c] = (float(first[f"lo{i}"]), float(first[f"hi{i}"]), place, first[f"n{i}"])
+    wholes = _whole(df, columns)
+    place = {c: (p.count - 1) * probability for c, p in wholes.items()}
+    wanted = {(c, end): (p, end(place[c])) for c, p in wholes.items() for end in (math.floor, math.ceil)}
+    ends = locate(df, wanted, one_task_rows)
+    found = {spot: float(spot[0].low) for spot in ends.values()}
+    mixed = [spot for spot in found if spot[0].low != spot[0].high]
+    if mixed:
+        # Half a step above the rank, so that rounding cannot reach a neighbouring value.
+        inside = df.select(*[F.when(p.holds(), F.col(f"`{p.column}`")).alias(f"x{i}") for i, (p, _) in enumerate(mixed)])
+        picks = [
+            F.expr(f"percentile_disc({(r - p.before + 0.5) / p.count!r}D) WITHIN GROUP (ORDER BY x{i})").alias(f"q{i}")
+            for i, (p, r) in enumerate(mixed)
+        ]
+        row = inside.agg(*picks).first()
+        found |= {spot: float(row[f"q{i}"]) for i, spot in enumerate(mixed)}
+    out = {}
+    for c in columns:
+        if c not in wholes:
+            out[c] = None
+            continue
+        low, high = found[ends[(c, math.floor)]], found[ends[(c, math.ceil)]]
+        out[c] = low + (high - low) * (place[c] - math.floor(place[c]))
+    return out
 
-    # Narrow the interval of every column that is still too long for one task.
-    while True:
-        wide = [c for c, (lo, hi, _, n) in open_.items() if n > one_task_rows and hi > lo]
-        if not wide:
-            break
-        for c in wide:
-            value, interval = _narrow(df, c, *open_[c])
-            if interval is None:
-                found[c] = value
-                del open_[c]
-            else:
-                open_[c] = interval
-    finish = {}
-    for c, (lo, hi, place, n) in open_.items():
-        if lo == hi:
-            found[c] = lo
+
+def rows_at_ranks(
+    df: DataFrame, value: str, tie: str, ranks: list[int], one_task_rows: int = ONE_TASK_ROWS
+) -> list[tuple]:
+    """(value, tie) of the rows with the given 1-based ranks in the order of value, then tie.
+
+    ``tie`` is numeric and unique. A value shared by more rows than fit one task is resolved by
+    narrowing the tie column among its rows.
+    """
+    data = df.select(value, tie).where(F.col(value).isNotNull())
+    whole = _whole(data, [value])[value]
+    spots = locate(data, {r: (whole, r - 1) for r in ranks}, one_task_rows)
+    out: dict[int, tuple] = {}
+    small: dict[Interval, list[int]] = {}
+    for rank, (part, place) in spots.items():
+        if part.count <= one_task_rows:
+            small.setdefault(part, []).append(rank)
         else:
-            x = F.col(f"`{c}`").cast("double")
-            finish[c] = F.percentile(F.when((x >= lo) & (x <= hi), x), F.lit(place / max(n - 1, 1)))
-    if finish:
-        row = df.agg(*[e.alias(f"q{i}") for i, e in enumerate(finish.values())]).first()
-        for i, c in enumerate(finish):
-            found[c] = row[f"q{i}"]
-    return {c: found[c] for c in columns}
-
-
-def _narrow(df: DataFrame, column: str, lo: float, hi: float, place: float, n: int):
-    """One pass: cells of [lo, hi] with count, least and greatest value; keep those holding the ranks."""
-    x = F.col(f"`{column}`").cast("double")
-    cell = F.least(F.floor((x - lo) / (hi - lo) * _STEPS), F.lit(_STEPS - 1))
-    cells = (
-        df.where((x >= lo) & (x <= hi))
-        .groupBy(cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-        .orderBy("cell")
-        .collect()  # at most _STEPS rows
-    )
-    low_rank, high_rank = math.floor(place), math.ceil(place)
-    before, low_cell = 0, None
-    for c in cells:
-        if before + c["n"] > low_rank and low_cell is None:
-            low_cell, skipped = c, before
-        if before + c["n"] > high_rank:
-            high_cell = c
-            break
-        before += c["n"]
-    if low_cell is not high_cell:
-        # The two neighbours lie in different cells: the end of one and the start of the other.
-        low, high = low_cell["hi"], high_cell["lo"]
-        return low + (high - low) * (place - low_rank), None
-    return None, (low_cell["lo"], low_cell["hi"], place - skipped, low_cell["n"])
+            same = data.where(F.col(value) == F.lit(part.low)).select(tie)
+            ties = _whole(same, [tie])[tie]
+            inner, _ = locate(same, {rank: (ties, place - part.before)}, one_task_rows)[rank]
+            order = place - part.before - inner.before
+            # One interval of at most one_task_rows rows.
+            row = same.where(inner.holds()).orderBy(tie).offset(order).limit(1).first()
+            out[rank] = (part.low, row[tie])
+    if small:
+        parts = list(small)
+        tags = F.array(*[F.when(p.holds(), F.lit(i)) for i, p in enumerate(parts)])
+        tagged = data.where(F.exists(tags, lambda t: t.isNotNull())).select(
+            value, tie, F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("part")
+        )
+        order = Window.partitionBy("part").orderBy(value, tie)
+        picks = [(i, r - p.before, r) for i, p in enumerate(parts) for r in small[p]]
+        hit = F.struct("part", "place").isin([F.struct(F.lit(i), F.lit(p)) for i, p, _ in picks])
+        ranked = tagged.withColumn("place", F.row_number().over(order)).where(hit).collect()
+        by_place = {(r["part"], r["place"]): (r[value], r[tie]) for r in ranked}
+        out |= {r: by_place[(i, p)] for i, p, r in picks}
+    return [out[r] for r in ranks]
+
+
+def is_after(value: str, tie: str, row: tuple):
+    """Whether a row comes after the given (value, tie)."""
+    x, t = F.col(value), F.col(tie)
+    return (x > F.lit(row[0])) | ((x == F.lit(row[0])) & (t > F.lit(row[1])))

@@ -7,8 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.functions.numeric import equal_width_bin, quantile_bin_of_rank, yeo_johnson
-from rowloom.operators.ranking import rank_first
+from rowloom.functions.numeric import equal_width_bin, yeo_johnson
+from rowloom.operators.quantiles import is_after, rows_at_ranks
+from rowloom.operators.sizing import ONE_TASK_ROWS
 
 
 def fit_standard(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -27,12 +28,26 @@ def apply_standard(df: DataFrame, state: DataFrame, columns: list[str]) -> DataF
     return df.select(*[scaled.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
-def quantile_bins(df: DataFrame, value: str, key: str, out: str, bins: int = 5, **ranking) -> DataFrame:
-    """Five bins of equal count by rank; ties are ordered by the row key."""
-    kept = df.where(F.col(value).isNotNull())
-    total = kept.count()
-    ranked = rank_first(kept, value, key, "_rank", **ranking)
-    return ranked.select(*df.columns, quantile_bin_of_rank(F.col("_rank"), total, bins).alias(out))
+def fit_quantile_cuts(
+    df: DataFrame, value: str, key: str, bins: int = 5, one_task_rows: int = ONE_TASK_ROWS
+) -> list[tuple]:
+    """The last (value, key) of every bin but the final one, found without sorting the table."""
+    total = df.agg(F.count(value)).first()[0]
+    steps = max(total - 1, 1)
+    # The largest rank r with ceil((r - 1) * bins / steps) <= bin + 1.
+    last = [min((b + 1) * steps // bins + 1, total) for b in range(bins - 1)]
+    return rows_at_ranks(df, value, key, last, one_task_rows) if total else []
+
+
+def quantile_bins(
+    df: DataFrame, value: str, key: str, out: str, bins: int = 5, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Bins of equal count in the order of value, then row key; a projection over the fitted cuts."""
+    cuts = fit_quantile_cuts(df, value, key, bins, one_task_rows)
+    place = F.lit(0)
+    for cut in cuts:
+        place = place + is_after(value, key, cut).cast("int")
+    return df.select(*df.columns, F.when(F.col(value).isNotNull(), place).alias(out))
 
 
 def fit_range(df: DataFrame, column: str) -> tuple[float, float]:

@@ -1,10 +1,11 @@
 """Operators cut into slices, blocks and chunks give what one task would give, hot groups included."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.operators import encode, metrics, neighbours, quantiles, ranking, resample, sizing, splits
+from rowloom.operators import encode, metrics, neighbours, quantiles, ranking, resample, scale, sizing, splits
 
 
 def hot_table(spark, n=900):
@@ -96,6 +97,31 @@ def test_quantile_between_two_hot_values(spark):
     assert quantiles.exact_quantiles(df, ["x"], 0.5, one_task_rows=10)["x"] == 0.5
 
 
+@pytest.mark.parametrize("limit", [5, 60, 10_000])
+@pytest.mark.parametrize("n", [6, 23, 399, 1000])
+def test_quantile_bins_by_cuts_equal_ranks(spark, n, limit):
+    """Half of the rows share one value, and keys do not follow the row order."""
+    rows = [((i * 7919) % 100003, 5.0 if i % 2 else float((i * 31) % 97)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(3)
+    got = {r["id"]: r["b"] for r in scale.quantile_bins(df, "v", "id", "b", one_task_rows=limit).collect()}
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    want = pd.qcut(pd.Series(range(1, n + 1)), 5, labels=False).tolist()
+    assert [got[k] for k, _ in order] == want
+
+
+def test_quantile_bins_keep_null(spark):
+    df = spark.createDataFrame([(i, None if i > 9 else float(i)) for i in range(12)], "id long, v double")
+    got = {r["id"]: r["b"] for r in scale.quantile_bins(df, "v", "id", "b").collect()}
+    assert got[10] is None and got[11] is None and got[0] == 0 and got[9] == 4
+
+
+def test_rows_at_ranks_of_large_keys(spark):
+    big = 2**60
+    df = spark.createDataFrame([(big + i, 1.0) for i in range(500)], "id long, v double").repartition(4)
+    got = quantiles.rows_at_ranks(df, "v", "id", [1, 250, 500], one_task_rows=7)
+    assert got == [(1.0, big), (1.0, big + 249), (1.0, big + 499)]
+
+
 def test_quantile_without_values(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert quantiles.exact_quantiles(df, ["x"])["x"] is None

@@ -37,14 +37,20 @@ def _enough(held: DataFrame, key: str) -> bool:
     return held.where(F.col("class") == 0).limit(MIN_ROWS).count() >= MIN_ROWS
 
 
+def fit_isotonic(held: DataFrame, c: int):
+    """Monotone curve of one class: a model with input ``p`` and output ``fitted``."""
+    estimator = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="n", predictionCol="fitted")
+    return estimator.fit(_pooled(held, c))
+
+
 def isotonic_calibration(held: DataFrame, df: DataFrame, key: str, k: int) -> DataFrame:
     """Monotone curve per class, then a sum of 1. With too few held-out rows ``df`` stays as it is."""
     if not _enough(held, key):
         return df.select(key, "model", "class", "p")
     parts = None
     for c in range(k):
-        curve = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="n", predictionCol="_cal").fit(_pooled(held, c))
-        part = curve.transform(df.where(F.col("class") == c)).select(key, "model", "class", F.col("_cal").alias("p"))
+        part = fit_isotonic(held, c).transform(df.where(F.col("class") == c))
+        part = part.select(key, "model", "class", F.col("fitted").alias("p"))
         parts = part if parts is None else parts.unionByName(part)
     return _renormalise(parts, key, k)
 

@@ -148,6 +148,27 @@ def _held(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return long.where("fold = 0"), long.where("fold > 0")
 
 
+@query(
+    "isotonic_curve",
+    PROBS + ", g AS (SELECT class, p, count(*) AS w, count(*) FILTER (WHERE y = class) AS h FROM probs WHERE model = 'ada' AND fold = 0 GROUP BY class, p), "
+    "c AS (SELECT class, p, row_number() OVER o AS i, sum(w) OVER o AS w_to, sum(h) OVER o AS h_to, sum(w) OVER o - w AS w_from, sum(h) OVER o - h AS h_from "
+    "FROM g WINDOW o AS (PARTITION BY class ORDER BY p)), "
+    "m AS (SELECT a.class, a.i AS j, b.i AS i, min((b.h_to - a.h_from) / (b.w_to - a.w_from)) OVER (PARTITION BY a.class, a.i ORDER BY b.i DESC) AS least "
+    "FROM c a JOIN c b ON a.class = b.class AND a.i <= b.i), "
+    "f AS (SELECT class, i, max(least) AS fitted FROM m GROUP BY class, i) "
+    f"SELECT c.class, {rnd('c.p', 'p', 9)}, {rnd('f.fitted', 'fitted')} FROM f JOIN c ON f.class = c.class AND f.i = c.i",
+)
+def isotonic_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """The monotone curve of each class at its own scores: greatest over starts of the least mean over ends."""
+    held, _ = _held(spark, sf)
+    parts = None
+    for c in range(3):
+        scores = held.where(F.col("class") == c).select("class", "p").distinct()
+        part = calibrate.fit_isotonic(held, c).transform(scores)
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.select("class", rounded("p", digits=9), rounded("fitted"))
+
+
 @query("isotonic_calibration")
 def isotonic_calibration(spark: SparkSession, sf: str) -> DataFrame:
     """Curves fitted on one fold and applied to the others; tested for order and sum."""

@@ -322,6 +322,24 @@ def yeo_johnson_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", rounded(numeric.yeo_johnson(F.col("c_acctbal"), 0.7), "moved", 4))
 
 
+_YJ_ANY = (
+    "CASE WHEN x >= 0 THEN CASE WHEN l = 0 THEN ln(1 + x) ELSE (pow(x + 1, l) - 1) / l END "
+    "ELSE CASE WHEN l = 2 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - l) - 1) / (2 - l) END END"
+)
+
+
+@query(
+    "yeo_johnson_lambda",
+    "WITH g AS (SELECT CAST(i AS DOUBLE) / 100 AS l FROM unnest(generate_series(-300, 500)) t(i)), x AS (SELECT c_acctbal AS x FROM customer), "
+    f"s AS (SELECT l, -count(*) / 2 * ln(var_pop({_YJ_ANY})) + (l - 1) * sum(sign(x) * ln(1 + abs(x))) AS score FROM g CROSS JOIN x GROUP BY l) "
+    "SELECT " + rnd("arg_max(l, score)", "lam", 2) + " FROM s",
+)
+def yeo_johnson_lambda(spark: SparkSession, sf: str) -> DataFrame:
+    """The most likely exponent to two places; the SQL tries every hundredth."""
+    state = scale.fit_yeo_johnson(table(spark, sf, "customer"), "c_acctbal")
+    return state.select(rounded("lam", digits=2))
+
+
 @query("yeo_johnson")
 def yeo_johnson(spark: SparkSession, sf: str) -> DataFrame:
     """The fitted exponent comes from a search, which has no SQL twin."""

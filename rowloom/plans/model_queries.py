@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions import dates
 from rowloom.operators import ensemble, models, reduce, select, splits
 from rowloom.operators.preparation import FeaturePreparation
+from rowloom.operators.profile import block_corr_with_target
 from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
+from rowloom.sources.files import table
 
 K = 3
 NUMERIC = ["o_totalprice", "c_acctbal", "month_sin", "month_cos", "year"]
@@ -97,6 +99,39 @@ def param_search(spark: SparkSession, sf: str) -> DataFrame:
     return models.param_search(train, models.logistic, grid, K, "o_orderkey", folds=3)
 
 
+def _price_bands(step: float) -> models.Fit:
+    """A rule without training: the class is the price band."""
+
+    def fit(df: DataFrame, k: int) -> models.Fitted:
+        band = F.least(F.floor(F.element_at(vector_to_array("features"), 1) / step), F.lit(k - 1))
+        one_hot = F.array(*[(band == c).cast("double") for c in range(k)])
+        return models.Fitted(k, lambda table_: table_.withColumn("probs", one_hot))
+
+    return fit
+
+
+_STEPS = [50000.0, 100000.0, 150000.0, 200000.0]
+
+
+@query(
+    "param_search_rule",
+    f"WITH o AS (SELECT o_orderkey, o_totalprice, {fx.STATUS_CODE} AS y FROM orders), "
+    "f AS (SELECT *, (row_number() OVER (PARTITION BY y ORDER BY md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) - 1) % 3 AS fold FROM o), "
+    "t AS (" + " UNION ALL ".join(f"SELECT {i} AS trial, 'step={s}' AS params, CAST({s} AS DOUBLE) AS step" for i, s in enumerate(_STEPS)) + "), "
+    "a AS (SELECT trial, params, fold, avg(CASE WHEN least(floor(o_totalprice / step), 2) = y THEN 1 ELSE 0 END) AS accuracy FROM f CROSS JOIN t GROUP BY trial, params, fold), "
+    "s AS (SELECT trial, params, avg(accuracy) AS score FROM a GROUP BY trial, params) "
+    "SELECT trial, params, " + rnd("score", "score") + ", trial = (SELECT arg_max(trial, score) FROM s) AS best FROM s",
+)
+def param_search_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """The search itself, over a rule whose CV accuracy is known."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), array_to_vector(F.array("o_totalprice")).alias("features")
+    )
+    folded = splits.stratified_kfold(orders, "o_orderkey", "y", 3)
+    trials = models.param_search(folded, _price_bands, [{"step": s} for s in _STEPS], K, "o_orderkey", folds=3)
+    return trials.select("trial", "params", rounded("score"), "best")
+
+
 @query("stacking")
 def stacking(spark: SparkSession, sf: str) -> DataFrame:
     """Two base models out of fold, a logistic meta-learner, and its probabilities on test rows."""
@@ -128,8 +163,6 @@ def importance_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
     """Correlation with the class as a score of the slots of the embeddings."""
-    from rowloom.operators.profile import block_corr_with_target
-
     scores = block_corr_with_target(fx.vectors(spark, sf), "vec", "label")
     return scores.select("slot", F.concat(F.lit("x"), F.col("slot")).alias("feature"), F.round("abs_corr", 9).alias("importance"))
 
@@ -151,8 +184,58 @@ def select_topn(spark: SparkSession, sf: str) -> DataFrame:
     return select.select_topn(_scores(spark, sf), 12).select("slot", "feature", rounded("importance"))
 
 
-@query("permutation_importance")
+# A linear rule per class over three order features, as a model with known output.
+RULE = {0: (0.8, -0.4, 0.1), 1: (-0.2, 0.5, 0.3), 2: (0.1, 0.2, -0.6)}
+RULE_FEATURES = ("o_totalprice / 500000", "o_custkey % 100 / 100e0", "month(o_orderdate) / 12e0")
+
+
+def _rule_model() -> models.Fitted:
+    def add(df: DataFrame) -> DataFrame:
+        x = vector_to_array("features")
+        logits = [sum((F.get(x, F.lit(i)) * w for i, w in enumerate(ws)), F.lit(0.0)) for ws in RULE.values()]
+        return df.withColumn("probs", models.normalised(F.array(*[F.exp(z) for z in logits]), K))
+
+    return models.Fitted(K, add)
+
+
+def _rule_class(x: list[str]) -> str:
+    logits = [" + ".join(f"({w} * {x[i]})" for i, w in enumerate(ws)) for ws in RULE.values()]
+    a, b, c = (f"exp({z})" for z in logits)
+    return f"CASE WHEN {a} >= {b} AND {a} >= {c} THEN 0 WHEN {b} >= {c} THEN 1 ELSE 2 END"
+
+
+def _hash_place(seed: str) -> str:
+    return f"row_number() OVER (ORDER BY md5(concat_ws(':', '{seed}', CAST(o_orderkey AS VARCHAR))), o_orderkey)"
+
+
+_LOST = ", ".join(
+    "avg(CASE WHEN " + _rule_class([f"b.x{i}" if i == s else f"a.x{i}" for i in range(3)]) + f" = a.y THEN 1 ELSE 0 END) AS h{s}"
+    for s in range(3)
+)
+
+
+@query(
+    "permutation_importance",
+    f"WITH f AS (SELECT o_orderkey, {fx.STATUS_CODE} AS y, " + ", ".join(f"CAST({e} AS DOUBLE) AS x{i}" for i, e in enumerate(RULE_FEATURES)) + " FROM orders), "
+    f"a AS (SELECT *, {_hash_place('42')} AS place FROM f), "
+    f"b AS (SELECT *, 0 AS r, {_hash_place('42/0')} AS place FROM f UNION ALL SELECT *, 1, {_hash_place('42/1')} FROM f), "
+    f"h AS (SELECT r, {_LOST} FROM a JOIN b USING (place) GROUP BY r), "
+    f"base AS (SELECT avg(CASE WHEN {_rule_class(['x0', 'x1', 'x2'])} = y THEN 1 ELSE 0 END) AS acc FROM f), "
+    "l AS (" + " UNION ALL ".join(f"SELECT {s} AS slot, 'x{s}' AS feature, (SELECT acc FROM base) - h{s} AS lost FROM h" for s in range(3)) + ") "
+    "SELECT slot, feature, " + rnd("avg(lost)", "importance_mean") + ", " + rnd("stddev_pop(lost)", "importance_std") + " FROM l GROUP BY slot, feature",
+)
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy that a known rule loses on all orders when one of its features is shuffled."""
+    features = [F.expr(f"CAST({e} AS DOUBLE)") for e in RULE_FEATURES]
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), array_to_vector(F.array(*features)).alias("features")
+    )
+    out = select.permutation_importance(_rule_model(), df, "o_orderkey", ["x0", "x1", "x2"], repeats=2)
+    return out.select("slot", "feature", rounded("importance_mean"), rounded("importance_std"))
+
+
+@query("permutation_importance_forest")
+def permutation_importance_forest(spark: SparkSession, sf: str) -> DataFrame:
     fitted, _, test, names = _forest(spark, sf)
     return select.permutation_importance(fitted, test, "o_orderkey", names, repeats=2)
 
@@ -185,6 +268,16 @@ def pca_total_variance(spark: SparkSession, sf: str) -> DataFrame:
     return spread.agg(F.sum("s").alias("total")).select(rounded("total", "total_variance"), rounded(F.lit(share), "share"))
 
 
+@query("svd_total_energy", f"WITH {fx.VECTORS_SQL} SELECT " + rnd("sum(list_inner_product(vec, vec))", "energy", 4) + ", " + rnd("CAST(1 AS DOUBLE)", "share") + " FROM vectors")
+def svd_total_energy(spark: SparkSession, sf: str) -> DataFrame:
+    """With all 64 components the uncentred scores keep the whole sum of squares."""
+    df = fx.vectors(spark, sf)
+    state = reduce.fit_svd(df, "vec", 64)
+    scores = df.select(F.explode(reduce.project(state, "vec")).alias("s"))
+    share = state.agg(F.sum("share")).first()[0]
+    return scores.agg(F.sum(F.col("s") * F.col("s")).alias("energy")).select(rounded("energy", digits=4), rounded(F.lit(share), "share"))
+
+
 @query("truncated_svd")
 def truncated_svd(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.vectors(spark, sf)
@@ -207,7 +300,3 @@ def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Each row has exactly one cluster flag."""
     flags = _clusters(spark, sf).select("id", *reduce.cluster_flags(15))
     return flags.select("id", sum((F.col(f"cluster_{i}") for i in range(15)), F.lit(0)).alias("flags"))
-
-
-def vectors_as_features(df: DataFrame) -> DataFrame:
-    return df.select("id", F.col("label").alias("y"), array_to_vector("vec").alias("features"))

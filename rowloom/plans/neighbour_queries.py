@@ -108,7 +108,15 @@ def remove_tomek(spark: SparkSession, sf: str) -> DataFrame:
     return resample.remove_tomek(fx.vectors(spark, sf)).select("id", "label")
 
 
-@query("smote_tomek")
+_BOTH = (
+    _SMOTE + ", both_rows AS (SELECT CAST(id AS VARCHAR) AS id, label, vec FROM vectors UNION ALL SELECT concat_ws('#', CAST(id AS VARCHAR), CAST(copy AS VARCHAR)), label, vec FROM synth), "
+    "one AS (SELECT a.id, a.label, b.id AS neighbour, b.label AS other_label FROM both_rows a JOIN both_rows b ON a.id <> b.id "
+    "QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) = 1), "
+    "gone AS (SELECT a.id FROM one a JOIN one b ON a.neighbour = b.id AND b.neighbour = a.id WHERE a.label <> a.other_label) "
+)
+
+
+@query("smote_tomek", _BOTH + "SELECT label, count(*) AS n FROM both_rows WHERE id NOT IN (SELECT id FROM gone) GROUP BY label")
 def smote_tomek(spark: SparkSession, sf: str) -> DataFrame:
-    """Both steps in turn; neighbours of synthetic rows make the SQL twin too slow on whole tables."""
+    """Class sizes after both steps."""
     return resample.class_distribution(resample.smote_tomek(fx.vectors(spark, sf)))

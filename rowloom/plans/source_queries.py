@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators import encode, models, schema
+from rowloom.operators.sizing import lookup
 from rowloom.plans import fixtures as fx
+from rowloom.plans.model_queries import RULE, RULE_FEATURES
 from rowloom.plans.registry import query, rnd, rounded
 from rowloom.session import shared_path
 from rowloom.sources import files, state
@@ -148,19 +149,14 @@ def load_state(spark: SparkSession, sf: str) -> DataFrame:
         state.save_state(orders.groupBy("o_orderpriority").agg(stat("o_totalprice").alias("value")), root, "prices", run)
     first = state.load_state(spark, root, "prices", "20250101_000000")
     never = state.load_state(spark, root, "unknown")
-    joined = orders.join(F.broadcast(first), "o_orderpriority", "left")  # one row per priority
+    joined = lookup(orders, first, "o_orderpriority")
     return encode.apply_target_means(joined, never, "o_orderpriority", "fallback").select(
         "o_orderkey", F.coalesce("value", F.lit(0.5)).alias("value"), "fallback"
     )
 
 
-# A linear rule per class over three order features, as a model with known output.
-RULE = {0: (0.8, -0.4, 0.1), 1: (-0.2, 0.5, 0.3), 2: (0.1, 0.2, -0.6)}
-_FEATURES = ("o_totalprice / 500000", "o_custkey % 100 / 100e0", "month(o_orderdate) / 12e0")
-
-
 def _prepare(df: DataFrame) -> DataFrame:
-    return df.select("o_orderkey", *[F.expr(f"CAST({e} AS DOUBLE)").alias(f"x{i}") for i, e in enumerate(_FEATURES)])
+    return df.select("o_orderkey", *[F.expr(f"CAST({e} AS DOUBLE)").alias(f"x{i}") for i, e in enumerate(RULE_FEATURES)])
 
 
 def _rule_model() -> models.Fitted:
@@ -174,7 +170,7 @@ def _rule_model() -> models.Fitted:
 
 def _score_sql() -> str:
     logits = [" + ".join(f"({w} * x{i})" for i, w in enumerate(ws)) for ws in RULE.values()]
-    features = ", ".join(f"CAST({e} AS DOUBLE) AS x{i}" for i, e in enumerate(_FEATURES))
+    features = ", ".join(f"CAST({e} AS DOUBLE) AS x{i}" for i, e in enumerate(RULE_FEATURES))
     exps = ", ".join(f"exp({z}) AS e{c}" for c, z in enumerate(logits))
     probs = ", ".join(rnd(f"e{c} / (e0 + e1 + e2)", f"probability_class_{c}") for c in RULE)
     return (
@@ -205,7 +201,3 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
         shared_path(spark, "stream-out"), shared_path(spark, "stream-check"), True, "orders.parquet",
     )
     return _rounded_scores(spark.read.parquet(out))
-
-
-def assembled(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=names, outputCol="features").transform(df).select(*keep, "features")

@@ -18,7 +18,7 @@ def _pooled(held: DataFrame, c: int) -> DataFrame:
 
 
 def _renormalise(df: DataFrame, key: str, k: int) -> DataFrame:
-    rows = df.groupBy(key, "model").agg(F.collect_list(F.struct("class", "p")).alias("cells"))
+    rows = df.groupBy(key, "model").agg(F.array_sort(F.collect_list(F.struct("class", "p"))).alias("cells"))
     total = F.aggregate("cells", F.lit(0.0), lambda a, x: a + x["p"])
     return rows.select(key, "model", total.alias("_t"), F.inline("cells")).select(
         key, "model", "class", F.when(F.col("_t") > 0, F.col("p") / F.col("_t")).otherwise(1.0 / k).alias("p")

@@ -68,7 +68,7 @@ def best_per_class(oof: DataFrame, **running) -> DataFrame:
 def per_class_vote(long: DataFrame, chosen: DataFrame, key: str, name: str = "per_class") -> DataFrame:
     """Take each class's probability from its chosen model and scale to a sum of 1."""
     taken = lookup(long, chosen.select("model", "class"), ["model", "class"], "inner")
-    rows = taken.groupBy(key).agg(F.collect_list(F.struct("class", "p")).alias("cells"))  # k cells per key
+    rows = taken.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("class", "p"))).alias("cells"))  # k cells per key
     total = F.aggregate("cells", F.lit(0.0), lambda a, x: a + x["p"])
     return rows.select(key, total.alias("_t"), F.size("cells").alias("_k"), F.inline("cells")).select(
         key, F.lit(name).alias("model"), "class",

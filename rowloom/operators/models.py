@@ -183,9 +183,11 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
                 break
             # Divided by the total, so that the weights stay within range over many rounds.
             grown = F.col("w") * F.exp(F.lit(alpha) * F.col("_wrong")) / F.lit(sums["all"])
-            current = judged.select("features", "y", grown.alias("w"))
-            if (i + 1) % cut_every == 0:
-                current = durable(current)
+            last, current = current, judged.select("features", "y", grown.alias("w"))
+            # A fit reads its input several times; the lineage is cut every few rounds.
+            current = durable(current) if (i + 1) % cut_every == 0 else current.persist()
+            if not current.isEmpty():
+                last.unpersist()
 
         def add(table: DataFrame) -> DataFrame:
             scored, votes = table, F.array(*[F.lit(0.0)] * k)

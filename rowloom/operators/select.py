@@ -59,7 +59,7 @@ def permutation_importance(
     serves every feature of a repeat, and all shuffled copies are scored in one pass.
     """
     base = df.select(key, "y", vector_to_array("features").alias("x")).persist()
-    own = hash_rank(base, [], hash_hex(seed, key), key, "place")
+    own = hash_rank(base, [], hash_hex(seed, key), key, "place").persist()
     copies = None
     for r in range(repeats):
         other = hash_rank(base.select(key, "x"), [], hash_hex(f"{seed}/{r}", key), key, "place")

@@ -64,11 +64,11 @@ def vote_weights(spark: SparkSession, sf: str) -> DataFrame:
     return ensemble.vote_weights(board(_long(spark, sf))).select("model", rounded("weight"))
 
 
-@query("soft_vote", _WEIGHTS + "SELECT id, class, " + rnd("sum(p * weight) / sum(weight)", "p") + " FROM probs JOIN w USING (model) GROUP BY id, class")
+@query("soft_vote", _WEIGHTS + "SELECT id, class, " + rnd("sum(p * weight) / sum(weight)", "p", 9) + " FROM probs JOIN w USING (model) GROUP BY id, class")
 def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
     long = _long(spark, sf)
     voted = ensemble.soft_vote(long, "id", ensemble.vote_weights(board(long)))
-    return voted.select("id", "class", rounded("p"))
+    return voted.select("id", "class", rounded("p", digits=9))
 
 
 @query(
@@ -95,12 +95,12 @@ def best_per_class(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "per_class_best_ensemble",
-    _PER_CLASS + "SELECT id, class, " + rnd("p / sum(p) OVER (PARTITION BY id)", "p") + " FROM probs JOIN best USING (model, class)",
+    _PER_CLASS + "SELECT id, class, " + rnd("p / sum(p) OVER (PARTITION BY id)", "p", 9) + " FROM probs JOIN best USING (model, class)",
 )
 def per_class_best_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     long = _long(spark, sf)
     voted = ensemble.per_class_vote(long, ensemble.best_per_class(long), "id")
-    return voted.select("id", "class", rounded("p"))
+    return voted.select("id", "class", rounded("p", digits=9))
 
 
 @query(
@@ -108,7 +108,7 @@ def per_class_best_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     _WEIGHTS + ", v AS (SELECT id, class, sum(p * weight) / sum(weight) AS p FROM probs JOIN w USING (model) GROUP BY id, class), "
     "u AS (SELECT id, class, avg(p) AS p FROM probs GROUP BY id, class), "
     "b AS (SELECT id, class, p FROM probs WHERE model = (SELECT arg_max(model, cv_score) FROM board)) "
-    "SELECT id, class, " + rnd("avg(p)", "p") + " FROM (FROM v UNION ALL FROM u UNION ALL FROM b) GROUP BY id, class",
+    "SELECT id, class, " + rnd("avg(p)", "p", 9) + " FROM (FROM v UNION ALL FROM u UNION ALL FROM b) GROUP BY id, class",
 )
 def nested_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     """A vote over the weighted vote, the plain vote and the best single model."""
@@ -121,7 +121,7 @@ def nested_ensemble(spark: SparkSession, sf: str) -> DataFrame:
         long.where(F.col("model") == best).select("id", "model", "class", "p"),
     ]
     stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return ensemble.soft_vote(stacked, "id").select("id", "class", rounded("p"))
+    return ensemble.soft_vote(stacked, "id").select("id", "class", rounded("p", digits=9))
 
 
 @query(

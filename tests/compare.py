@@ -44,6 +44,21 @@ def rows_of(columns: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+# Spark type -> type of the comparison engine; arrays are not compared.
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP",
+}
+
+
+def declared_types(df, description) -> list[str]:
+    """Columns whose declared types differ."""
+    want = {d[0]: str(d[1]) for d in description}
+    return [
+        f"{f.name}: {f.dataType.simpleString()} vs {want[f.name]}"
+        for f in df.schema.fields if SAME_TYPE.get(f.dataType.simpleString()) != want[f.name]
+    ]
+
+
 def types_of(rows: list[tuple]) -> list[str]:
     out = []
     for i in range(len(rows[0]) if rows else 0):
@@ -63,6 +78,9 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[str, str]:
     want_rows = result.fetchall()
     if sorted(columns) != sorted(df.columns):
         return "COLUMNS", f"{sorted(df.columns)} vs {sorted(columns)}"
+    differ = declared_types(df, result.description)
+    if differ:
+        return "SCHEMA", "; ".join(differ)
     got, want = rows_of(df.columns, got_rows), rows_of(columns, want_rows)
     if len(got) != len(want):
         return "COUNT", f"{len(got)} vs {len(want)}"

@@ -19,11 +19,20 @@ def block_sum(block: Column) -> Column:
 
 
 def block_std(block: Column) -> Column:
-    """Sample standard deviation (n-1); 0 for a block of one entry."""
-    n = F.size(block)
-    mean = block_sum(block) / n
-    squares = F.aggregate(block, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(F.lit(0.0))
+    """Sample standard deviation (n-1); 0 for a block of one entry. One walk with a running mean."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n = acc["n"] + 1
+        gap = x - acc["mean"]
+        # gap * (x - new mean) = gap^2 * (n - 1) / n
+        return F.struct(
+            n.alias("n"), (acc["mean"] + gap / n).alias("mean"), (acc["m2"] + gap * gap * (acc["n"] / n)).alias("m2")
+        )
+
+    return F.aggregate(
+        block, start, add, lambda acc: F.when(acc["n"] > 1, F.sqrt(acc["m2"] / F.greatest(acc["n"] - 1, F.lit(1.0)))).otherwise(F.lit(0.0))
+    )
 
 
 def sorted_quantile(ordered: Column, q: float) -> Column:
@@ -36,7 +45,7 @@ def sorted_quantile(ordered: Column, q: float) -> Column:
 
 
 def row_stats(block: Column, prefix: str) -> list[Column]:
-    ordered = F.array_sort(block)
+    ordered = F.sort_array(block)
     total = block_sum(block)
     return [
         (total / F.size(block)).alias(f"{prefix}_mean"),
@@ -57,14 +66,10 @@ def row_nonzero(block: Column, prefix: str) -> list[Column]:
 
 
 def row_quantiles(block: Column, prefix: str) -> list[Column]:
-    ordered = F.array_sort(block)
+    ordered = F.sort_array(block)
     q25, q75 = sorted_quantile(ordered, 0.25), sorted_quantile(ordered, 0.75)
     return [
         q25.alias(f"{prefix}_q25"),
         q75.alias(f"{prefix}_q75"),
         (q75 - q25).alias(f"{prefix}_iqr"),
     ]
-
-
-def dot(left: Column, right: Column) -> Column:
-    return block_sum(F.zip_with(left, right, lambda x, y: x * y))

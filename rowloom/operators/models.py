@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from hashlib import md5
+from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -168,6 +170,7 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
         start = F.col("weight") if "weight" in df.columns else F.lit(1.0)
         current = df.select("features", "y", start.cast("double").alias("w")).persist()
         stages: list[tuple[float, Any]] = []
+        last = None
         for i in range(rounds):
             tree = DecisionTreeClassifier(labelCol="y", weightCol="w", maxDepth=depth, seed=seed + i)
             model = tree.fit(current).setPredictionCol("_prediction").setRawPredictionCol("_raw").setProbabilityCol("_prob")
@@ -183,11 +186,11 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
                 break
             # Divided by the total, so that the weights stay within range over many rounds.
             grown = F.col("w") * F.exp(F.lit(alpha) * F.col("_wrong")) / F.lit(sums["all"])
+            if last is not None:
+                last.unpersist()
             last, current = current, judged.select("features", "y", grown.alias("w"))
             # A fit reads its input several times; the lineage is cut every few rounds.
             current = durable(current) if (i + 1) % cut_every == 0 else current.persist()
-            if not current.isEmpty():
-                last.unpersist()
 
         def add(table: DataFrame) -> DataFrame:
             scored, votes = table, F.array(*[F.lit(0.0)] * k)
@@ -270,6 +273,13 @@ def cross_validate(train: DataFrame, fit: Fit, k: int, key: str, name: str, fold
     return cv_score(fold_accuracy(held, key, k)).first()["cv_mean"]
 
 
+def random_grid(space: dict[str, list], n: int, seed: int = 42) -> list[dict]:
+    """``n`` settings out of all combinations, in the order of a seeded hash."""
+    names = sorted(space)
+    every = [dict(zip(names, values)) for values in product(*[space[k] for k in names])]
+    return sorted(every, key=lambda s: md5(f"{seed}:{s}".encode()).hexdigest())[:n]
+
+
 def param_search(
     train: DataFrame, make: Callable[..., Fit], grid: list[dict], k: int, key: str,
     stored: DataFrame | None = None, patience: int = 10, folds: int = 3,

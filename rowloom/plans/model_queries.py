@@ -11,8 +11,10 @@ from rowloom.operators import ensemble, models, reduce, select, splits
 from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.profile import block_corr_with_target
 from rowloom.plans import fixtures as fx
+from rowloom.plans import lifecycle
 from rowloom.plans.registry import query, rnd, rounded
-from rowloom.sources.files import table
+from rowloom.session import durable, shared_path
+from rowloom.sources.files import read_csv, table
 
 K = 3
 NUMERIC = ["o_totalprice", "c_acctbal", "month_sin", "month_cos", "year"]
@@ -66,7 +68,8 @@ for _name in CLASSIFIERS:
 
 def _folded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
     train, test, names = feature_tables(spark, sf)
-    return splits.stratified_kfold(train, "o_orderkey", "y", 3), test, names
+    # Many fits read the folds: their plan ends here.
+    return durable(splits.stratified_kfold(train, "o_orderkey", "y", 3)), test, names
 
 
 @query(
@@ -95,7 +98,7 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
 @query("param_search")
 def param_search(spark: SparkSession, sf: str) -> DataFrame:
     train, _, _ = _folded(spark, sf)
-    grid = [{"c": c, "l1_ratio": r, "iterations": 20} for c in (0.1, 1.0) for r in (0.0, 0.5)]
+    grid = models.random_grid({"c": [0.1, 1.0, 10.0], "l1_ratio": [0.0, 0.5], "iterations": [20]}, 4)
     return models.param_search(train, models.logistic, grid, K, "o_orderkey", folds=3)
 
 
@@ -142,6 +145,7 @@ def stacking(spark: SparkSession, sf: str) -> DataFrame:
         a, b = models.oof_predict(train, fit, K, "o_orderkey", name, test, 3)
         held = a if held is None else held.unionByName(a)
         tested = b if tested is None else tested.unionByName(b)
+    held, tested = durable(held), durable(tested)
     names = list(fits)
     meta = ensemble.fit_stacking(held, "o_orderkey", names, K, models.logistic())
     scored = meta.score(ensemble.level_one(tested, "o_orderkey", names, K))
@@ -300,3 +304,27 @@ def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Each row has exactly one cluster flag."""
     flags = _clusters(spark, sf).select("id", *reduce.cluster_flags(15))
     return flags.select("id", sum((F.col(f"cluster_{i}") for i in range(15)), F.lit(0)).alias("flags"))
+
+
+@query(
+    "full_run",
+    f"WITH {fx.PARTS_SQL} SELECT o_orderkey, TRUE AS known_label FROM test",
+)
+def full_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Every step from raw tables to written predictions; one known label per test row."""
+    raw = [
+        p.select(
+            "o_orderkey", "o_totalprice", "c_acctbal", F.col("c_mktsegment").alias("title"), "o_orderpriority",
+            (F.col("o_totalprice") > 250000).alias("is_large"), F.expr(fx.YEAR_MONTH).alias("posted"),
+            F.array("o_totalprice", "c_acctbal", F.col("c_nationkey").cast("double")).alias("block"), "o_orderstatus",
+        )
+        for p in fx.order_parts(spark, sf)
+    ]
+    roles = lifecycle.Roles(
+        key="o_orderkey", target="o_orderstatus", numeric=["o_totalprice", "c_acctbal"], categorical=["o_orderpriority"],
+        boolean=["is_large"], title="title", date="posted", block="block", components=2,
+    )
+    fits = {"logistic": models.logistic(iterations=20), "random_forest": models.random_forest(trees=10, depth=4)}
+    done = lifecycle.run(raw[0], raw[1].drop("o_orderstatus"), roles, fits, shared_path(spark, "run"), folds=3)
+    written = read_csv(spark, done.predictions, "o_orderkey BIGINT, o_orderstatus STRING")
+    return written.select("o_orderkey", F.col("o_orderstatus").isin("F", "O", "P").alias("known_label"))

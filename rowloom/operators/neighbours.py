@@ -10,16 +10,21 @@ chunk, and keeps only k rows per query. Cells that hold most of the rows are spl
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.keys import hash_hex
 from rowloom.session import durable
 
+# The functions below travel with their tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
 

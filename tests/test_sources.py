@@ -1,5 +1,9 @@
 """Files, state, schema checks and the stream."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,3 +170,18 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_root(FakeSession("spark://host"))
     assert session.shared_root(FakeSession("local[2]"))
+
+
+def test_tasks_do_not_need_the_package(sf, tmp_path):
+    """Python tasks run although the workers cannot import the package."""
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "outside.py"
+    script.write_text(
+        f"import sys\nsys.path.insert(0, {str(root)!r})\n"
+        "from rowloom.session import local_session\n"
+        "from rowloom.plans import catalogue\n"
+        "spark = local_session(2)\n"
+        f"print([catalogue.QUERIES[n](spark, {sf!r}).count() for n in ('knn_join', 'pca')])\n"
+    )
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "[2500, 500]" in done.stdout, done.stderr[-2000:]

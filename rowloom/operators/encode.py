@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.operators.profile import distinct_union
@@ -18,7 +18,7 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))
 
 
-def group_rare(df: DataFrame, column: str, threshold: int = 10, other: str = "Other_Title") -> DataFrame:
+def group_rare(df: DataFrame, column: str, threshold: int = 10) -> DataFrame:
     """State: the values that occur at least ``threshold`` times."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
     return counts.where(F.col("count") >= threshold).select(column, F.col(column).alias("_kept"))
@@ -86,7 +86,7 @@ def wide_values(table: DataFrame, column: str, limit: int = MAX_WIDE_VALUES) ->
     return sorted(r[0] for r in rows)
 
 
-def one_hot(df: DataFrame, column: str, values: list[str], prefix: str) -> list[Column]:
+def one_hot(column: str, values: list[str], prefix: str) -> list[Column]:
     """One 0/1 column per fitted value; an unknown or missing value is all zeros."""
     return [
         F.when(F.col(column) == F.lit(v), 1).otherwise(0).alias(f"{prefix}_{v}")

@@ -43,7 +43,7 @@ class FeaturePreparation:
         rest = [c for c in df.columns if c not in used]
         clean = apply_standard(apply_fill(df, self.medians), self.scales, self.numeric)
         clean = clean.fillna("Unknown", subset=self.categorical) if self.categorical else clean
-        flags = [f for c in self.categorical for f in one_hot(clean, c, self.categories[c], c)]
+        flags = [f for c in self.categorical for f in one_hot(c, self.categories[c], c)]
         zeros = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in self.boolean]
         return clean.select(*self.numeric, *flags, *zeros, *rest)
 

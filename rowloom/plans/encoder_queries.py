@@ -81,7 +81,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer")
     values = encode.wide_values(customer, "c_mktsegment")
-    return customer.select("c_custkey", *encode.one_hot(customer, "c_mktsegment", values, "segment"))
+    return customer.select("c_custkey", *encode.one_hot("c_mktsegment", values, "segment"))
 
 
 @query(
@@ -105,7 +105,7 @@ def one_hot_union(spark: SparkSession, sf: str) -> DataFrame:
     left = fx.messy_orders(spark, sf).select("obs", "status")
     right = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("status"))
     values = encode.one_hot_union_values(left, right, "status")
-    return left.fillna("Unknown", subset=["status"]).select("obs", *encode.one_hot(left, "status", values, "state"))
+    return left.fillna("Unknown", subset=["status"]).select("obs", *encode.one_hot("status", values, "state"))
 
 
 @query(
@@ -119,7 +119,7 @@ def dummies(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     capped = encode.apply_group_rare(part, encode.fit_top_categories(part, "p_brand", 4), "p_brand", "v", "Other")
     values = encode.wide_values(capped, "v")
-    wide = capped.select("p_partkey", *encode.one_hot(capped, "v", values, "p_brand"))
+    wide = capped.select("p_partkey", *encode.one_hot("v", values, "p_brand"))
     long = wide.unpivot(["p_partkey"], [f"`p_brand_{v}`" for v in values], "column_name", "flag").where("flag = 1")
     name = F.regexp_replace("column_name", "^p_brand_", "")
     return long.select("p_partkey", name.alias("p_brand"), "flag", F.lit(len(values)).cast("long").alias("n_columns"))

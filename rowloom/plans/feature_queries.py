@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import blocks, dates, numeric, text
 from rowloom.functions.ordinal import ORDINAL_MAPS, ordinal_map
-from rowloom.operators import encode, features, ranking, scale
-from rowloom.operators.sizing import lookup
+from rowloom.operators import encode, features, scale
 from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
 from rowloom.sources.files import table

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 MIN_ROWS = 200
 
 
-def _pooled(held: DataFrame, c: int) -> DataFrame:
-    """Rows of one class counted per score, which is all a calibration curve depends on."""
+def _pooled(held: DataFrame, model: str, c: int) -> DataFrame:
+    """Rows of one model and class counted per score, which is all a calibration curve depends on."""
     hit = (F.col("y") == F.col("class")).cast("double")
-    return held.where(F.col("class") == c).groupBy("p").agg(F.avg(hit).alias("rate"), F.count(F.lit(1)).cast("double").alias("n"))
+    own = held.where((F.col("model") == model) & (F.col("class") == c))
+    return own.groupBy("p").agg(F.avg(hit).alias("rate"), F.count(F.lit(1)).cast("double").alias("n"))
 
 
 def _renormalise(df: DataFrame, key: str, k: int) -> DataFrame:
@@ -25,48 +26,68 @@ def _renormalise(df: DataFrame, key: str, k: int) -> DataFrame:
     )
 
 
-def _by_class(df: DataFrame, key: str, curves: list[Column | None], k: int) -> DataFrame:
-    moved = F.col("p")
-    for c, curve in enumerate(curves):
-        if curve is not None:
-            moved = F.when(F.col("class") == c, curve).otherwise(moved)
-    return _renormalise(df.select(key, "model", "class", moved.alias("p")), key, k)
+def enough_rows(held: DataFrame, min_rows: int) -> list[str]:
+    """Models with at least ``min_rows`` held-out rows, each counted once over its classes."""
+    per_class = held.groupBy("model", "class").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_class.groupBy("model").agg(F.max("n").alias("n"))
+    return sorted(r["model"] for r in counts.where(F.col("n") >= min_rows).collect())
 
 
-def _enough(held: DataFrame, key: str) -> bool:
-    return held.where(F.col("class") == 0).limit(MIN_ROWS).count() >= MIN_ROWS
+def _moved(df: DataFrame, key: str, k: int, models: list[str], curve) -> DataFrame:
+    """``curve(part, model, class)`` on the rows of each fitted model; other models stay as they are."""
+    rows = df.select(key, "model", "class", "p")
+    if not models:
+        return rows
+    parts = None
+    for m in models:
+        for c in range(k):
+            part = curve(rows.where((F.col("model") == m) & (F.col("class") == c)), m, c).select(key, "model", "class", "p")
+            parts = part if parts is None else parts.unionByName(part)
+    rest = rows.where(~F.col("model").isin(models) | F.col("model").isNull())
+    return _renormalise(parts, key, k).unionByName(rest)
 
 
-def fit_isotonic(held: DataFrame, c: int):
-    """Monotone curve of one class: a model with input ``p`` and output ``fitted``."""
+def fit_isotonic(held: DataFrame, model: str, c: int):
+    """Monotone curve of one model's class: a model with input ``p`` and output ``fitted``."""
     estimator = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="n", predictionCol="fitted")
-    return estimator.fit(_pooled(held, c))
+    return estimator.fit(_pooled(held, model, c))
 
 
-def isotonic_calibration(held: DataFrame, df: DataFrame, key: str, k: int) -> DataFrame:
-    """Monotone curve per class, then a sum of 1. With too few held-out rows ``df`` stays as it is."""
-    if not _enough(held, key):
-        return df.select(key, "model", "class", "p")
-    parts = None
-    for c in range(k):
-        part = fit_isotonic(held, c).transform(df.where(F.col("class") == c))
-        part = part.select(key, "model", "class", F.col("fitted").alias("p"))
-        parts = part if parts is None else parts.unionByName(part)
-    return _renormalise(parts, key, k)
-
-
-def sigmoid_calibration(held: DataFrame, df: DataFrame, key: str, k: int) -> DataFrame:
-    """Logistic curve per class on the score, then a sum of 1."""
-    if not _enough(held, key):
-        return df.select(key, "model", "class", "p")
-    curves: list[Column | None] = []
-    for c in range(k):
-        pooled = VectorAssembler(inputCols=["p"], outputCol="_v").transform(_pooled(held, c))
-        # Each score carries its positives and its negatives as two weighted rows.
-        both = pooled.select("_v", F.lit(1.0).alias("_y"), (F.col("rate") * F.col("n")).alias("_w")).unionByName(
-            pooled.select("_v", F.lit(0.0).alias("_y"), ((1 - F.col("rate")) * F.col("n")).alias("_w"))
-        ).where(F.col("_w") > 0)
-        model = LogisticRegression(featuresCol="_v", labelCol="_y", weightCol="_w", family="binomial").fit(both)
-        slope, base = float(model.coefficients[0]), float(model.intercept)
-        curves.append(1 / (1 + F.exp(-(F.col("p") * slope + base))))
-    return _by_class(df, key, curves, k)
+def isotonic_calibration(held: DataFrame, df: DataFrame, key: str, k: int, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Monotone curve per model and class, then a sum of 1; a model with fewer held-out rows stays as it is."""
+    def curve(part: DataFrame, model: str, c: int) -> DataFrame:
+        return fit_isotonic(held, model, c).transform(part).withColumn("p", F.col("fitted"))
+
+    return _moved(df, key, k, enough_rows(held, min_rows), curve)
+
+
+def fit_sigmoid(held: DataFrame, model: str, c: int) -> tuple[float, float]:
+    """Slope and constant of the logistic curve of one model's class."""
+    pooled = VectorAssembler(inputCols=["p"], outputCol="_v").transform(_pooled(held, model, c))
+    # Each score carries its positives and its negatives as two weighted rows.
+    both = pooled.select("_v", F.lit(1.0).alias("_y"), (F.col("rate") * F.col("n")).alias("_w")).unionByName(
+        pooled.select("_v", F.lit(0.0).alias("_y"), ((1 - F.col("rate")) * F.col("n")).alias("_w"))
+    ).where(F.col("_w") > 0)
+    fitted = LogisticRegression(featuresCol="_v", labelCol="_y", weightCol="_w", family="binomial", tol=1e-9).fit(both)
+    return float(fitted.coefficients[0]), float(fitted.intercept)
+
+
+def sigmoid_calibration(held: DataFrame, df: DataFrame, key: str, k: int, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Logistic curve per model and class on the score, then a sum of 1; as for ``isotonic_calibration``."""
+    def curve(part: DataFrame, model: str, c: int) -> DataFrame:
+        slope, base = fit_sigmoid(held, model, c)
+        return part.withColumn("p", 1 / (1 + F.exp(-(F.col("p") * slope + base))))
+
+    return _moved(df, key, k, enough_rows(held, min_rows), curve)
+
+
+def calibration_gain(before: DataFrame, after: DataFrame, positive: Column) -> DataFrame:
+    """Log loss and Brier score per model and class, before and after, from long rows with ``y``, ``class`` and ``p``."""
+    def scored(df: DataFrame, when: str) -> DataFrame:
+        p = F.least(F.greatest(F.col("p"), F.lit(1e-15)), F.lit(1 - 1e-15))
+        hit = positive.cast("double")
+        loss = -(hit * F.log(p) + (1 - hit) * F.log(1 - p))
+        gap = F.col("p") - hit
+        return df.groupBy("model", "class").agg(F.avg(loss).alias(f"log_loss_{when}"), F.avg(gap * gap).alias(f"brier_{when}"))
+
+    return scored(before, "before").join(scored(after, "after"), ["model", "class"])

@@ -78,10 +78,11 @@ def unseen_values(df: DataFrame, seen: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().join(seen.select(column), column, "left_anti")
 
 
-def wide_values(table: DataFrame, column: str, limit: int = MAX_WIDE_VALUES) -> list[str]:
-    """The values of a small table, sorted; refuses more than can become columns."""
-    rows = table.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def wide_values(table: DataFrame, column: str, limit: int | None = MAX_WIDE_VALUES) -> list[str]:
+    """The values of a small table, sorted; refuses more than can become columns, unless there is no limit."""
+    values = table.where(F.col(column).isNotNull()).select(column).distinct()
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{column}: more than {limit} values, use one_hot_vector")
     return sorted(r[0] for r in rows)
 

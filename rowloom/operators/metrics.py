@@ -9,7 +9,8 @@ from rowloom.operators.ranking import running_totals
 
 
 def accuracy(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    return df.agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+    """Share of rows whose label is predicted; a row without label or prediction is a miss."""
+    return df.agg(F.avg(F.coalesce(F.col(y) == F.col(p), F.lit(False)).cast("double")).alias("accuracy"))
 
 
 def confusion_counts(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -17,19 +18,31 @@ def confusion_counts(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, classes: list[int], y: str = "y", p: str = "p") -> DataFrame:
-    """Every (true, predicted) cell of the given classes, empty ones as 0."""
-    spark = df.sparkSession
-    cells = spark.createDataFrame([(a, b) for a in classes for b in classes], "y int, p int")
-    counts = confusion_counts(df, y, p)
-    return cells.join(counts, ["y", "p"], "left").select("y", "p", F.coalesce("n", F.lit(0)).alias("n"))
+    """Every (true, predicted) cell of the given classes and of all others that occur, empty cells as 0.
+
+    A missing label or prediction is a class of its own (null), so the cells always hold every row of ``df``.
+    """
+    counts = confusion_counts(df, y, p).select(F.col("y").cast("int").alias("y"), F.col("p").cast("int").alias("p"), "n")
+    known = classes_of(counts, classes)
+    cells = df.sparkSession.createDataFrame([(a, b) for a in known for b in known], "y int, p int").alias("c")
+    met = (F.col("c.y").eqNullSafe(F.col("n.y"))) & (F.col("c.p").eqNullSafe(F.col("n.p")))
+    return cells.join(counts.alias("n"), met, "left").select("c.y", "c.p", F.coalesce("n.n", F.lit(0)).alias("n"))
+
+
+def classes_of(counts: DataFrame, classes: list[int]) -> list[int | None]:
+    """The given classes and those that occur in a table of counts, in order, null last."""
+    found = {r[0] for r in counts.select(F.explode(F.array("y", "p"))).distinct().collect()}
+    return sorted(found - {None} | set(classes)) + ([None] if None in found else [])
 
 
 def confusion_wide(df: DataFrame, classes: list[int], y: str = "y", p: str = "p") -> DataFrame:
-    """One row per true class with a column per predicted class."""
+    """One row per true class with a column per predicted class, of the given classes and all others that occur."""
     long = confusion_matrix(df, classes, y, p)
-    return long.groupBy("y").agg(
-        *[F.sum(F.when(F.col("p") == c, F.col("n")).otherwise(0)).alias(f"p_{c}") for c in classes]
-    )
+    known = [r[0] for r in long.select("p").distinct().collect()]
+    return long.groupBy("y").agg(*[
+        F.sum(F.when(F.col("p").eqNullSafe(F.lit(c)), F.col("n")).otherwise(0)).alias("p_none" if c is None else f"p_{c}")
+        for c in sorted(known, key=lambda c: (c is None, c))
+    ])
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -57,7 +70,7 @@ def classification_report(df: DataFrame, classes: list[int], y: str = "y", p: st
     """The per-class rows followed by accuracy, macro and weighted averages."""
     rows = per_class_report(df, classes, y, p).persist()  # one row per class
     score = ["precision", "recall", "f1"]
-    body = rows.select(F.col("class").cast("string").alias("label"), *score, "support")
+    body = rows.select(F.coalesce(F.col("class").cast("string"), F.lit("none")).alias("label"), *score, "support")
     total = F.sum("support")
     hits = F.sum("hit") / total
     acc = rows.agg(F.lit("accuracy").alias("label"), *[hits.alias(s) for s in score], total.alias("support"))
@@ -92,15 +105,17 @@ def score_steps(df: DataFrame, group: list[str], score: str, positive: Column, *
 
 
 def roc_curve(df: DataFrame, score: str, positive: Column, **running) -> DataFrame:
-    """(fpr, tpr) at each distinct threshold."""
+    """(fpr, tpr) at each distinct threshold, from (0, 0) at infinity."""
     steps = score_steps(df, [], score, positive, **running)
     total = df.agg(F.sum(positive.cast("long")).alias("p"), F.count(F.lit(1)).alias("n")).first()
     n_pos, n_neg = total["p"], total["n"] - total["p"]
-    return steps.select(
+    points = steps.select(
         F.col("score").alias("threshold"),
         _ratio(F.col("fp"), F.lit(n_neg)).alias("fpr"),
         _ratio(F.col("tp"), F.lit(n_pos)).alias("tpr"),
     )
+    start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
 
 
 def roc_auc(df: DataFrame, group: list[str], score: str, positive: Column, **running) -> DataFrame:

@@ -75,11 +75,11 @@ def _clear(model):
     return model.setPredictionCol("_prediction").setRawPredictionCol("_raw")
 
 
-def random_forest(trees=30, depth=6, impurity="gini", min_leaf=1, subset="auto", seed=42) -> Fit:
+def random_forest(trees=30, depth=6, impurity="gini", min_leaf=1, subset="auto", seed=42, bootstrap=True) -> Fit:
     def fit(df: DataFrame, k: int) -> Fitted:
         est = RandomForestClassifier(
             labelCol="y", numTrees=trees, maxDepth=depth, impurity=impurity, minInstancesPerNode=min_leaf,
-            featureSubsetStrategy=subset, seed=seed, cacheNodeIds=False,
+            featureSubsetStrategy=subset, seed=seed, cacheNodeIds=False, bootstrap=bootstrap,
         )
         model = _clear(_weighted(est, df).fit(df))
         return _direct(model, k, model.featureImportances.toArray().tolist())
@@ -94,6 +94,7 @@ def logistic(c=1.0, l1_ratio=0.0, iterations=100) -> Fit:
         n = df.count()
         est = LogisticRegression(
             labelCol="y", regParam=1.0 / (c * max(n, 1)), elasticNetParam=l1_ratio, maxIter=iterations, family="multinomial",
+            standardization=False,  # the penalty is on the coefficients of the features as they are
         )
         model = _clear(_weighted(est, df).fit(df))
         weights = model.coefficientMatrix.toArray()
@@ -120,10 +121,11 @@ def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
 
     def fit(df: DataFrame, k: int) -> Fitted:
         kept = df.persist()
+        n = kept.count()
 
         def one(c: int):
             target = kept.withColumn("_is", (F.col("y") == c).cast("double"))
-            return _clear(_weighted(make(), kept).setLabelCol("_is").fit(target))
+            return _clear(_weighted(make(n), kept).setLabelCol("_is").fit(target))
 
         models = side_by_side([lambda c=c: one(c) for c in range(k)])
         kept.unpersist()
@@ -148,23 +150,28 @@ def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
     return fit
 
 
-def gradient_boosting(rounds=10, depth=3, step=0.1, seed=42) -> Fit:
-    def make():
-        return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed)
+def gradient_boosting(rounds=10, depth=3, step=0.1, seed=42, subsample=1.0, min_leaf=1) -> Fit:
+    def make(n: int):
+        return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, subsamplingRate=subsample, minInstancesPerNode=min_leaf)
 
     return _one_vs_rest(make, lambda: F.element_at(vector_to_array("probability"), 2))
 
 
 def linear_svc(c=1.0, iterations=50) -> Fit:
-    def make():
-        return LinearSVC(regParam=1.0 / c * 1e-3, maxIter=iterations)
+    """Linear margins, one class against the rest; ``c`` is the inverse strength of the penalty on the whole loss."""
+
+    def make(n: int):
+        return LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=iterations, standardization=False)
 
     margin = lambda: 1 / (1 + F.exp(-F.element_at(vector_to_array("_raw"), 2)))
     return _one_vs_rest(make, margin)
 
 
-def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
-    """Multi-class boosting by reweighting: stage weight ln((1-e)/e) + ln(k-1)."""
+def adaboost(rounds=8, depth=2, seed=42, cut_every=4, rate=1.0) -> Fit:
+    """Multi-class boosting by reweighting: stage weight ``rate`` times ln((1-e)/e) + ln(k-1).
+
+    Importances are the trees' own, weighted by their stages.
+    """
 
     def fit(df: DataFrame, k: int) -> Fitted:
         start = F.col("weight") if "weight" in df.columns else F.lit(1.0)
@@ -180,7 +187,7 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
             error = sums["bad"] / sums["all"]
             if error >= 1.0 - 1.0 / k:
                 break
-            alpha = math.log((1.0 - max(error, 1e-10)) / max(error, 1e-10)) + math.log(max(k - 1, 1))
+            alpha = rate * (math.log((1.0 - max(error, 1e-10)) / max(error, 1e-10)) + math.log(max(k - 1, 1)))
             stages.append((alpha, model))
             if error <= 0:
                 break
@@ -207,7 +214,10 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4) -> Fit:
             votes = F.array(*parts) if stages else votes
             return scored.select(*table.columns, normalised(votes, k).alias("probs"))
 
-        return Fitted(k, add, None, [m for _, m in stages])
+        total = sum(a for a, _ in stages)
+        own = [[a * v for v in m.featureImportances.toArray().tolist()] for a, m in stages]
+        importances = [sum(column) / total for column in zip(*own)] if stages and total else None
+        return Fitted(k, add, importances, [m for _, m in stages])
 
     return fit
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.operators.encode import one_hot, wide_values
+from rowloom.operators.encode import MAX_WIDE_VALUES, one_hot, wide_values
 from rowloom.operators.impute import apply_fill, fit_median
 from rowloom.operators.scale import apply_standard, fit_standard
 
@@ -28,7 +28,7 @@ class FeaturePreparation:
         self.medians = fit_median(train, self.numeric)
         self.scales = fit_standard(apply_fill(train.select(*self.numeric), self.medians), self.numeric)
         filled = train.select(*self.categorical).fillna("Unknown")
-        self.categories = {c: wide_values(filled.select(c), c) for c in self.categorical}
+        self.categories = {c: wide_values(filled.select(c), c, limit=None) for c in self.categorical}
         return self
 
     @property
@@ -38,19 +38,34 @@ class FeaturePreparation:
         return [*self.numeric, *flags, *self.boolean]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Feature columns followed by the columns it does not use, unchanged."""
+        """Feature columns followed by the columns it does not use, unchanged.
+
+        A column with more categories than can become columns gives one sparse vector ``<column>_hot`` instead, with a
+        slot for each category in the order of ``names``.
+        """
         used = {*self.numeric, *self.categorical, *self.boolean}
         rest = [c for c in df.columns if c not in used]
         clean = apply_standard(apply_fill(df, self.medians), self.scales, self.numeric)
         clean = clean.fillna("Unknown", subset=self.categorical) if self.categorical else clean
-        flags = [f for c in self.categorical for f in one_hot(c, self.categories[c], c)]
+        for c in self._sparse():
+            index = StringIndexerModel.from_labels(self.categories[c], inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep")
+            indexed = index.transform(clean)
+            # The slots come from the labels; unknown values are in the last one, which is dropped.
+            hot = OneHotEncoder(inputCols=[f"{c}_ix"], outputCols=[f"{c}_hot"], dropLast=True).fit(indexed.limit(0))
+            clean = hot.transform(indexed).drop(f"{c}_ix")
+        flags = [f for c in self.categorical for f in ([F.col(f"{c}_hot")] if c in self._sparse() else one_hot(c, self.categories[c], c))]
         zeros = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in self.boolean]
         return clean.select(*self.numeric, *flags, *zeros, *rest)
 
+    def _sparse(self) -> list[str]:
+        return [c for c in self.categorical if len(self.categories[c]) > MAX_WIDE_VALUES]
+
     def assemble(self, df: DataFrame) -> DataFrame:
         """The transformed table as one vector column."""
-        vectors = VectorAssembler(inputCols=self.names, outputCol="features", handleInvalid="keep")
-        return vectors.transform(self.transform(df)).drop(*self.names)
+        wide = [n for c in self.categorical for n in ([f"{c}_hot"] if c in self._sparse() else [f"{c}_{v}" for v in self.categories[c]])]
+        inputs = [*self.numeric, *wide, *self.boolean]
+        vectors = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+        return vectors.transform(self.transform(df)).drop(*inputs)
 
     def name_table(self, df: DataFrame) -> DataFrame:
         return feature_names(df, self.names)

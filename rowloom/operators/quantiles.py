@@ -37,17 +37,38 @@ class Interval:
         return self.count > one_task_rows and self.high > self.low
 
 
-def _whole(df: DataFrame, columns: list[str]) -> dict[str, Interval]:
-    """Interval of all values per column that has any."""
+def _whole(df: DataFrame, columns: list[str]) -> dict[str, list[Interval]]:
+    """Intervals of all values per column that has any, in order: below all numbers, the numbers, above, not a number.
+
+    Infinities and NaN are intervals of one value, so that only finite ends are ever halved.
+    """
     marks = []
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     for i, c in enumerate(columns):
         x = F.col(f"`{c}`")
-        marks += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        real = kinds[c] in ("double", "float")
+        plain = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x) if real else x
+        marks += [F.count(plain).alias(f"n{i}"), F.min(plain).alias(f"lo{i}"), F.max(plain).alias(f"hi{i}")]
+        for name, odd in (("below", x == float("-inf")), ("above", x == float("inf")), ("nan", F.isnan(x))):
+            marks.append((F.count_if(odd) if real else F.lit(0)).alias(f"{name}{i}"))
     row = df.agg(*marks).first()
-    return {
-        c: Interval(c, row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"])
-        for i, c in enumerate(columns) if row[f"n{i}"]
-    }
+    out = {}
+    for i, c in enumerate(columns):
+        parts, before = [], 0
+        for low, high, n in (
+            (float("-inf"), float("-inf"), row[f"below{i}"]), (row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"]),
+            (float("inf"), float("inf"), row[f"above{i}"]), (float("nan"), float("nan"), row[f"nan{i}"]),
+        ):
+            if n:
+                parts.append(Interval(c, low, high, n, before))
+                before += n
+        if parts:
+            out[c] = parts
+    return out
+
+
+def _total(parts: list[Interval]) -> int:
+    return parts[-1].before + parts[-1].count
 
 
 def _cells(df: DataFrame, intervals: list[Interval]) -> dict[Interval, list[Interval]]:
@@ -57,7 +78,10 @@ def _cells(df: DataFrame, intervals: list[Interval]) -> dict[Interval, list[Inte
         x = F.col(f"`{part.column}`")
         if isinstance(part.low, int):
             x = x.cast("decimal(20,0)")  # distances of large keys stay exact
-        share = (x - F.lit(part.low)).cast("double") / F.lit(float(part.high - part.low))
+            share = (x - F.lit(part.low)).cast("double") / F.lit(float(part.high - part.low))
+        else:
+            # Halves, so that the distance of the greatest numbers stays finite.
+            share = (x * 0.5 - F.lit(part.low * 0.5)) / F.lit(part.high * 0.5 - part.low * 0.5)
         cell = F.least(F.floor(share * _CELLS), F.lit(_CELLS - 1)).cast("int")
         spots.append(F.when(part.holds(), F.struct(F.lit(j).alias("j"), cell.alias("cell"))))
     hits = df.select("*", F.explode(F.filter(F.array(*spots), lambda s: s.isNotNull())).alias("s"))
@@ -101,11 +125,11 @@ def exact_quantiles(
     if not columns:
         return {}
     wholes = _whole(df, columns)
-    place = {c: (p.count - 1) * probability for c, p in wholes.items()}
-    wanted = {(c, end): (p, end(place[c])) for c, p in wholes.items() for end in (math.floor, math.ceil)}
+    place = {c: (_total(p) - 1) * probability for c, p in wholes.items()}
+    wanted = {(c, end): (_at(p, end(place[c])), end(place[c])) for c, p in wholes.items() for end in (math.floor, math.ceil)}
     ends = locate(df, wanted, one_task_rows)
     found = {spot: float(spot[0].low) for spot in ends.values()}
-    mixed = [spot for spot in found if spot[0].low != spot[0].high]
+    mixed = [spot for spot in found if spot[0].low < spot[0].high]
     if mixed:
         # Half a step above the rank, so that rounding cannot reach a neighbouring value.
         inside = df.select(*[F.when(p.holds(), F.col(f"`{p.column}`")).alias(f"x{i}") for i, (p, _) in enumerate(mixed)])
@@ -121,7 +145,8 @@ def exact_quantiles(
             out[c] = None
             continue
         low, high = found[ends[(c, math.floor)]], found[ends[(c, math.ceil)]]
-        out[c] = low + (high - low) * (place[c] - math.floor(place[c]))
+        share = place[c] - math.floor(place[c])
+        out[c] = low if low == high or not share else low + (high - low) * share
     return out
 
 
@@ -134,8 +159,18 @@ def rows_at_ranks(
     narrowing the tie column among its rows.
     """
     data = df.select(value, tie).where(F.col(value).isNotNull())
+    kind = data.schema[value].dataType
+    if kind.typeName() in ("date", "timestamp"):
+        # Days or microseconds in place of the dates, and back.
+        to = F.unix_date if kind.typeName() == "date" else F.unix_micros
+        back = F.date_from_unix_date if kind.typeName() == "date" else F.timestamp_micros
+        found = rows_at_ranks(data.withColumn(value, to(F.col(value))), value, tie, ranks, one_task_rows)
+        row = data.limit(0).sparkSession.range(1).select(*[back(F.lit(v)).alias(f"v{i}") for i, (v, _) in enumerate(found)]).first()
+        return [(row[i], t) for i, (_, t) in enumerate(found)]
+    if data.schema[tie].dataType.typeName() not in ("long", "integer", "short", "byte", "double", "float"):
+        raise TypeError(f"{tie} must be numeric")
     whole = _whole(data, [value])[value]
-    spots = locate(data, {r: (whole, r - 1) for r in ranks}, one_task_rows)
+    spots = locate(data, {r: (_at(whole, r - 1), r - 1) for r in ranks}, one_task_rows)
     out: dict[int, tuple] = {}
     small: dict[Interval, list[int]] = {}
     for rank, (part, place) in spots.items():
@@ -144,7 +179,7 @@ def rows_at_ranks(
         else:
             same = data.where(F.col(value) == F.lit(part.low)).select(tie)
             ties = _whole(same, [tie])[tie]
-            inner, _ = locate(same, {rank: (ties, place - part.before)}, one_task_rows)[rank]
+            inner, _ = locate(same, {rank: (_at(ties, place - part.before), place - part.before)}, one_task_rows)[rank]
             order = place - part.before - inner.before
             # One interval of at most one_task_rows rows.
             row = same.where(inner.holds()).orderBy(tie).offset(order).limit(1).first()

@@ -18,6 +18,8 @@ from rowloom.session import durable
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
+COPIES_A_ROW = 10_000
+
 
 def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """Synthetic rows (id, copy, label, neighbour, u, vec) that raise every class to the largest.
@@ -37,8 +39,12 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     choices = F.least(F.lit(k), F.col("_n") - 1)
     made = ranked.where(copies > 0).select(
         "id", "label", "vec", choices.alias("_choices"),
-        F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"),
+        copies.alias("_copies"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / COPIES_A_ROW))).alias("_part"),
     )
+    # The copies of one row are dealt out in parts, so that no row ever holds all of them.
+    made = made.repartition("id", "_part")
+    first, last = F.col("_part") * COPIES_A_ROW + 1, F.least(F.col("_copies"), (F.col("_part") + 1) * COPIES_A_ROW)
+    made = made.select("id", "label", "vec", "_choices", F.explode(F.sequence(first, last)).alias("copy"))
     pick = hash_int(hash_hex(seed, "id", "copy", F.lit("pick"))) % F.greatest("_choices", F.lit(1)) + 1
     made = made.withColumn("rank", pick.cast("int")).withColumn("u", hash_unit(hash_hex(seed, "id", "copy", F.lit("u"))))
     # A class of one row has no neighbour; its copies equal the row.

@@ -92,6 +92,8 @@ def rfe_cv(
         if len(slots) <= floor:
             break
         ranked = fit(current.drop("fold"), k).importances
+        if ranked is None:
+            raise ValueError("this model has no importances; rank its features by permutation_importance")
         keep = max(floor, len(slots) - max(1, int(len(slots) * step)))
         best = sorted(range(len(slots)), key=lambda i: (-ranked[i], i))[:keep]
         slots = sorted(slots[i] for i in best)

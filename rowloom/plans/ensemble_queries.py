@@ -143,40 +143,59 @@ def qualify_models(spark: SparkSession, sf: str) -> DataFrame:
     return ensemble.qualify_models(board(_long(spark, sf)), 0.72).select("model", rounded("cv_score"), "is_best")
 
 
-def _held(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    long = fx.pseudo_probabilities(spark, sf, ["ada"])
-    return long.where("fold = 0"), long.where("fold > 0")
+def _held(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all models on all rows, cut to whole thousandths, so that rows share scores."""
+    return _long(spark, sf).withColumn("p", F.floor(F.col("p") * 1000) / 1000)
+
+
+_CUT = PROBS + ", cut AS (SELECT id, model, class, y, floor(p * 1000) / 1000 AS p FROM probs) "
+_CURVES = _CUT + (
+    ", g AS (SELECT model, class, p, count(*) AS w, count(*) FILTER (WHERE y = class) AS h FROM cut GROUP BY model, class, p), "
+    "c AS (SELECT model, class, p, row_number() OVER o AS i, sum(w) OVER o AS w_to, sum(h) OVER o AS h_to, sum(w) OVER o - w AS w_from, sum(h) OVER o - h AS h_from "
+    "FROM g WINDOW o AS (PARTITION BY model, class ORDER BY p)), "
+    "m AS (SELECT a.model, a.class, a.i AS j, b.i AS i, min((b.h_to - a.h_from) / (b.w_to - a.w_from)) OVER (PARTITION BY a.model, a.class, a.i ORDER BY b.i DESC) AS least "
+    "FROM c a JOIN c b ON a.model = b.model AND a.class = b.class AND a.i <= b.i), "
+    "f AS (SELECT model, class, i, max(least) AS fitted FROM m GROUP BY model, class, i), "
+    "curve AS (SELECT c.model, c.class, c.p, f.fitted FROM f JOIN c ON f.model = c.model AND f.class = c.class AND f.i = c.i) "
+)
 
 
-@query(
-    "isotonic_curve",
-    PROBS + ", g AS (SELECT class, p, count(*) AS w, count(*) FILTER (WHERE y = class) AS h FROM probs WHERE model = 'ada' AND fold = 0 GROUP BY class, p), "
-    "c AS (SELECT class, p, row_number() OVER o AS i, sum(w) OVER o AS w_to, sum(h) OVER o AS h_to, sum(w) OVER o - w AS w_from, sum(h) OVER o - h AS h_from "
-    "FROM g WINDOW o AS (PARTITION BY class ORDER BY p)), "
-    "m AS (SELECT a.class, a.i AS j, b.i AS i, min((b.h_to - a.h_from) / (b.w_to - a.w_from)) OVER (PARTITION BY a.class, a.i ORDER BY b.i DESC) AS least "
-    "FROM c a JOIN c b ON a.class = b.class AND a.i <= b.i), "
-    "f AS (SELECT class, i, max(least) AS fitted FROM m GROUP BY class, i) "
-    f"SELECT c.class, {rnd('c.p', 'p', 9)}, {rnd('f.fitted', 'fitted')} FROM f JOIN c ON f.class = c.class AND f.i = c.i",
-)
+@query("isotonic_curve", _CURVES + f"SELECT model, class, {rnd('p', 'p', 9)}, {rnd('fitted', 'fitted')} FROM curve")
 def isotonic_curve(spark: SparkSession, sf: str) -> DataFrame:
-    """The monotone curve of each class at its own scores: greatest over starts of the least mean over ends."""
-    held, _ = _held(spark, sf)
+    """The monotone curve of each model and class at its own scores: greatest over starts of the least mean over ends."""
+    held = _held(spark, sf).persist()
     parts = None
-    for c in range(3):
-        scores = held.where(F.col("class") == c).select("class", "p").distinct()
-        part = calibrate.fit_isotonic(held, c).transform(scores)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.select("class", rounded("p", digits=9), rounded("fitted"))
+    for model in calibrate.enough_rows(held, 1):
+        for c in range(3):
+            scores = held.where((F.col("class") == c) & (F.col("model") == model)).select("model", "class", "p").distinct()
+            part = calibrate.fit_isotonic(held, model, c).transform(scores)
+            parts = part if parts is None else parts.unionByName(part)
+    return parts.select("model", "class", rounded("p", digits=9), rounded("fitted"))
 
 
-@query("isotonic_calibration")
+@query(
+    "isotonic_calibration",
+    _CURVES + ", t AS (SELECT cut.id, cut.model, cut.class, curve.fitted, sum(curve.fitted) OVER (PARTITION BY cut.id, cut.model) AS total "
+    "FROM cut JOIN curve ON cut.model = curve.model AND cut.class = curve.class AND cut.p = curve.p) "
+    f"SELECT id, model, class, {rnd('CASE WHEN total > 0 THEN fitted / total ELSE 1.0 / 3 END', 'p')} FROM t",
+)
 def isotonic_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    """Curves fitted on one fold and applied to the others; tested for order and sum."""
-    held, rest = _held(spark, sf)
-    return calibrate.isotonic_calibration(held, rest, "id", 3)
+    """Curves of three models, fitted on all rows and applied to all rows."""
+    held = _held(spark, sf).persist()
+    done = calibrate.isotonic_calibration(held, held, "id", 3, min_rows=1)
+    return done.select("id", "model", "class", rounded("p"))
 
 
-@query("sigmoid_calibration")
+@query(
+    "sigmoid_calibration",
+    PROBS + ", two AS (SELECT id, model, class, y, CASE WHEN p >= 0.34 THEN 0.75 ELSE 0.25 END AS p FROM probs), "
+    "s AS (SELECT model, class, p, avg(CASE WHEN y = class THEN 1.0 ELSE 0.0 END) AS share FROM two GROUP BY model, class, p), "
+    "t AS (SELECT two.id, two.model, two.class, s.share, sum(s.share) OVER (PARTITION BY two.id, two.model) AS total "
+    "FROM two JOIN s ON two.model = s.model AND two.class = s.class AND two.p = s.p) "
+    f"SELECT id, model, class, {rnd('share / total', 'p', 3)} FROM t",
+)
 def sigmoid_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    held, rest = _held(spark, sf)
-    return calibrate.sigmoid_calibration(held, rest, "id", 3)
+    """On scores of two values a logistic curve passes through the shares of both."""
+    two = _long(spark, sf).withColumn("p", F.when(F.col("p") >= 0.34, 0.75).otherwise(0.25)).persist()
+    done = calibrate.sigmoid_calibration(two, two, "id", 3, min_rows=1)
+    return done.select("id", "model", "class", rounded("p", digits=3))

@@ -90,7 +90,7 @@ class Features:
             df = self._apply(df, lambda t: t.select("*", *stats, scores.alias("_scores")).select("*", *slots).drop("_scores", r.block))
             self.numeric += [c for c in df.columns if c not in before]
         if r.top_pairs:
-            ranked = profile.corr_with_target(df, self.numeric[:100], "y", r.top_pairs)
+            ranked = profile.corr_with_target(df, self.numeric, "y", r.top_pairs)
             strong = [row["column_name"] for row in ranked.collect()]  # at most top_pairs names
             pairs = pair_products(strong)
             before = df.columns

@@ -37,6 +37,51 @@ def confusion_matrix_wide(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.confusion_wide(fx.calls(spark, sf), CLASSES)
 
 
+# Predictions outside the listed classes: an unknown one, none, and one that nobody listed.
+_UNLISTED = (
+    CALLS + ", odd AS (SELECT id, y, CASE WHEN id % 7 = 0 THEN -1 WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN 9 ELSE p END AS p FROM calls), "
+    "v AS (SELECT DISTINCT c FROM (SELECT y AS c FROM odd UNION ALL SELECT p FROM odd UNION ALL SELECT unnest([0, 1, 2, 3]))) "
+)
+
+
+def _odd_calls(spark: SparkSession, sf: str) -> DataFrame:
+    odd = F.when(F.col("id") % 7 == 0, F.lit(-1)).when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 13 == 0, F.lit(9))
+    calls = fx.calls(spark, sf)
+    # A missing prediction must not fall through to the call.
+    return calls.withColumn("p", F.when((F.col("id") % 7 == 0) | (F.col("id") % 11 == 0) | (F.col("id") % 13 == 0), odd).otherwise(F.col("p")))
+
+
+@query(
+    "confusion_matrix_unlisted",
+    _UNLISTED + "SELECT CAST(a.c AS INTEGER) AS y, CAST(b.c AS INTEGER) AS p, count(odd.id) AS n FROM v a CROSS JOIN v b "
+    "LEFT JOIN odd ON y IS NOT DISTINCT FROM a.c AND p IS NOT DISTINCT FROM b.c GROUP BY a.c, b.c",
+)
+def confusion_matrix_unlisted(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.confusion_matrix(_odd_calls(spark, sf), [0, 1, 2, 3])
+
+
+_ODD_REPORT = _UNLISTED + (
+    ", k AS (SELECT c AS class, (SELECT count(*) FROM odd WHERE y IS NOT DISTINCT FROM c) AS support, "
+    "(SELECT count(*) FROM odd WHERE p IS NOT DISTINCT FROM c) AS predicted, (SELECT count(*) FROM odd WHERE y = c AND p = c) AS hit FROM v), "
+    "s AS (SELECT class, support, hit, CASE WHEN predicted > 0 THEN hit / predicted ELSE 0 END AS precision, "
+    "CASE WHEN support > 0 THEN hit / support ELSE 0 END AS recall FROM k), "
+    "r AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM s) "
+)
+
+
+@query(
+    "classification_report_unlisted",
+    _ODD_REPORT + "SELECT coalesce(CAST(class AS VARCHAR), 'none') AS label, " + ", ".join(rnd(s, s) for s in ("precision", "recall", "f1")) + ", support FROM r "
+    "UNION ALL SELECT 'accuracy', " + ", ".join(rnd("sum(hit) / sum(support)", s) for s in ("precision", "recall", "f1")) + ", CAST(sum(support) AS BIGINT) FROM r "
+    "UNION ALL SELECT 'macro avg', " + ", ".join(rnd(f"avg({s})", s) for s in ("precision", "recall", "f1")) + ", CAST(sum(support) AS BIGINT) FROM r "
+    "UNION ALL SELECT 'weighted avg', " + ", ".join(rnd(f"sum({s} * support) / sum(support)", s) for s in ("precision", "recall", "f1"))
+    + ", CAST(sum(support) AS BIGINT) FROM r",
+)
+def classification_report_unlisted(spark: SparkSession, sf: str) -> DataFrame:
+    report = metrics.classification_report(_odd_calls(spark, sf), [0, 1, 2, 3])
+    return report.select("label", *[rounded(s) for s in ("precision", "recall", "f1")], "support")
+
+
 _REPORT = (
     CALLS + ", k AS (SELECT CAST(c AS INTEGER) AS class, (SELECT count(*) FROM calls WHERE y = c) AS support, "
     "(SELECT count(*) FROM calls WHERE p = c) AS predicted, (SELECT count(*) FROM calls WHERE y = c AND p = c) AS hit "
@@ -78,7 +123,7 @@ def _class_one(spark: SparkSession, sf: str) -> DataFrame:
     return fx.pseudo_probabilities(spark, sf, ["ada"]).where("class = 1")
 
 
-@query("roc_curve", _STEPS + f"SELECT {rnd('score', 'threshold', 9)}, {rnd('fp / nn', 'fpr')}, {rnd('tp / np', 'tpr')} FROM c")
+@query("roc_curve", _STEPS + f"SELECT {rnd('score', 'threshold', 9)}, {rnd('fp / nn', 'fpr')}, {rnd('tp / np', 'tpr')} FROM c UNION ALL SELECT CAST('infinity' AS DOUBLE), 0.0, 0.0")
 def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
     curve = metrics.roc_curve(_class_one(spark, sf), "p", F.col("y") == 1)
     return curve.select(rounded("threshold", digits=9), rounded("fpr"), rounded("tpr"))

@@ -282,7 +282,8 @@ class PieceModel:
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.texts.__getitem__, ids))
         text = raw.decode("utf-8", errors="rowloom_each_byte")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        first = next((i for i in ids if self.texts[i]), None)
+        return text[1:] if self.prefix and first is not None and self.name[first].startswith(BLANK) else text
 
 
 def piece_model(path: str) -> PieceModel:

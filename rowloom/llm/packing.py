@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TASK_PIECES = 100_000
 MOST_ROUNDS = 6
+MOST_GROWTH = 16
 
 
 def lower_bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
@@ -151,7 +152,8 @@ def pack(pieces: DataFrame, length_col: str, capacity: int) -> DataFrame:
     schema = rows.schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     for turn in range(MOST_ROUNDS):
-        parts = max(1, -(-n // TASK_PIECES))
+        # What is left is little, and mixes the better the fewer partitions it is dealt over.
+        parts = max(1, -(-n // (TASK_PIECES * min(4**turn, MOST_GROWTH))))
         dealt = pool.select(*[quoted(c) for c in names], F.pmod(F.xxhash64("_id", F.lit(turn)), F.lit(parts)).alias("_part"))
         packed = durable(
             dealt.groupBy("_part").applyInArrow(

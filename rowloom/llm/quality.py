@@ -271,10 +271,13 @@ def fit_cotraining(
         F.min(F.when((quoted("quality").cast("int") == 1) & (toxic == 0), 1).otherwise(0)).alias("y")
     )
     key = F.xxhash64("id", F.lit("cotrain"))
+    # Only ids are shuffled. The sample's ids are few enough to be broadcast, at most ``max_labelled`` pairs of numbers, so
+    # that texts stay where they are read.
+    sample = durable(good.join(rows.select("id"), "id", "left_semi").withColumn("h", key).orderBy("h", "id").limit(max_labelled))
     labelled = (
-        rows.join(good, "id").withColumn("h", key).withColumn("held", F.pmod(F.col("h"), F.lit(4)) == 0).withColumn("origin", F.lit(0))
+        rows.join(F.broadcast(sample), "id").withColumn("held", F.pmod(F.col("h"), F.lit(4)) == 0).withColumn("origin", F.lit(0))
     )
-    labelled = durable(labelled.orderBy("h", "id", F.xxhash64("text")).limit(max_labelled))
+    labelled = durable(labelled.select(*rows.columns, "y", "h", "held", "origin").orderBy("h", "id", F.xxhash64("text")).limit(max_labelled))
 
     def fit(table: DataFrame) -> tuple[CoTrained, np.ndarray]:
         found = table.withColumn("task", F.pmod("h", F.lit(1))).groupBy("task").applyInArrow(_fit_task(right, pseudo_weight), "model binary").collect()
@@ -300,8 +303,8 @@ def fit_cotraining(
                     [picked.column(0), pa.array(y[which], pa.int32()), pa.array(origin[which], pa.int32())], ["id", "y", "origin"]
                 )
 
-        unlabelled = rows.join(good, "id", "left_anti").where("id is not null")
-        told = unlabelled.mapInArrow(judge, "id bigint, y int, origin int").withColumn("h", key)
+        judged = rows.where("id is not null").mapInArrow(judge, "id bigint, y int, origin int")
+        told = judged.join(good.select("id"), "id", "left_anti").withColumn("h", key)
         # As many of each class and origin, by hash.
         chosen = None
         told = durable(told)
@@ -309,8 +312,9 @@ def fit_cotraining(
             for y in (0, 1):
                 part = told.where((F.col("origin") == origin) & (F.col("y") == y)).orderBy("h", "id").limit(max_pseudo // 4)
                 chosen = part if chosen is None else chosen.unionByName(part)
-        pseudo = rows.join(chosen.dropDuplicates(["id"]), "id").withColumn("held", F.lit(False))
-        model, sure = fit(labelled.unionByName(pseudo.select(labelled.columns)))
+        pseudo = rows.join(F.broadcast(chosen.dropDuplicates(["id"])), "id").withColumn("held", F.lit(False))
+        pseudo = pseudo.select(labelled.columns).orderBy("h", "id", F.xxhash64("text")).limit(max_pseudo)
+        model, sure = fit(labelled.unionByName(pseudo))
         if not model.trained:
             model, sure = fixed, bounds
     return model

@@ -7,7 +7,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.operators.profile import distinct_union
+from rowloom.operators.profile import count_distinct, distinct_union
 from rowloom.operators.ranking import running_totals
 from rowloom.operators.sizing import lookup
 
@@ -159,16 +159,13 @@ def fit_ordered_totals(df: DataFrame, column: str, target: str, a: float = 1.0)
 def cardinality_info(df: DataFrame, columns: list[str], default: int = 2) -> DataFrame:
     """Position and distinct count of each categorical column; a column that is absent gets a default."""
     there = [c for c in columns if c in df.columns]
-    counted = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in there])
-    fields = [
-        F.struct(
-            F.lit(df.columns.index(c) if c in there else -1).alias("position"),
-            F.lit(c).alias("column_name"),
-            (F.col(c) if c in there else F.lit(default)).cast("long").alias("n_distinct"),
-        )
-        for c in columns
-    ]
-    return counted.select(F.inline(F.array(*fields)))
+    places = df.sparkSession.createDataFrame(
+        [(df.columns.index(c) if c in there else -1, c) for c in columns], "position int, column_name string"
+    )
+    if not there:
+        return places.withColumn("n_distinct", F.lit(default).cast("long"))
+    n = F.when(F.col("position") < 0, F.lit(default).cast("long")).otherwise(F.col("n_distinct"))
+    return places.join(count_distinct(df, there), "column_name", "left").select("position", "column_name", n.alias("n_distinct"))
 
 
 def normalise_predictions(df: DataFrame, state: DataFrame, column: str, out: str = "code") -> DataFrame:

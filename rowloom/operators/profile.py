@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.operators.quantiles import exact_quantiles
 
@@ -22,25 +23,30 @@ def value_share(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, "n", (F.col("n") * 100.0 / F.lit(total)).alias("pct"))
 
 
+def _value_text(column: str, kind: T.DataType) -> Column:
+    """A text that is equal for equal values only: zeros without sign, times as whole microseconds."""
+    x = F.col(f"`{column}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        x = x + F.lit(0.0).cast(kind)
+    elif isinstance(kind, T.TimestampType):
+        x = F.unix_micros(x)
+    elif isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.when(x.isNotNull(), F.to_json(F.struct(x)))
+    return x.cast("string")
+
+
 def count_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values per column, without and with null as a value."""
-    exprs = []
-    for c in columns:
-        x = F.col(f"`{c}`")
-        exprs.append(F.struct(
-            F.count_distinct(x).alias("n_distinct"),
-            F.max(x.isNull().cast("int")).alias("has_null"),
-        ).alias(c))
-    wide = df.agg(*exprs)
-    pairs = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"`{c}`.n_distinct").alias("n_distinct"),
-            (F.col(f"`{c}`.n_distinct") + F.col(f"`{c}`.has_null")).alias("n_distinct_with_null"),
-        )
-        for c in columns
-    ])
-    return wide.select(F.inline(pairs))
+    """Distinct values per column, without and with null as a value; a table without rows has none.
+
+    Each task keeps a (column, value) once before it is shuffled, whatever the number of columns.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), _value_text(c, kinds[c]).alias("value")) for c in columns])
+    values = df.select(F.inline(cells)).distinct()
+    counts = values.groupBy("column_name").agg(F.count("value").alias("n_distinct"), F.count(F.lit(1)).alias("n_distinct_with_null"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    # One row per column on both sides.
+    return names.join(counts, "column_name", "left").fillna(0, subset=["n_distinct", "n_distinct_with_null"])
 
 
 def constant_columns(df: DataFrame, columns: list[str], engineered: list[str] = ()) -> DataFrame:

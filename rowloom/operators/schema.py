@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowloom.operators.profile import count_distinct
+
 
 def validate_schema(df: DataFrame, required: list[str], table: str) -> DataFrame:
     """One row per required column: whether it is there, and whether the table has any row."""
@@ -66,8 +68,7 @@ def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def detect_column_types(df: DataFrame, columns: list[str], limit: int = 10) -> DataFrame:
     """Text columns, and columns with fewer than ``limit`` distinct values, are categorical."""
-    counted = df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in columns])
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    long = counted.unpivot([], columns, "column_name", "n_distinct")
+    long = count_distinct(df, columns).select("column_name", "n_distinct")
     kind = F.when(F.col("column_name").isin(text) | (F.col("n_distinct") < limit), "categorical")
     return long.withColumn("kind", kind.otherwise("continuous"))

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.operators.settled import settled
+
 
 def fit_latest_month(df: DataFrame) -> DataFrame:
     """State row: the latest year and the latest month in it; 2024/12 when no year is after 1900."""
     top = df.agg(F.max(F.struct("year", "month")).alias("top"))
     known = F.col("top.year") > 1900
-    return top.select(
+    return settled(top.select(
         F.when(known, F.col("top.year")).otherwise(2024).alias("year"),
         F.when(known, F.col("top.month")).otherwise(12).alias("month"),
-    )
+    ))
 
 
 def recency_months(df: DataFrame, state: DataFrame) -> DataFrame:
@@ -25,7 +27,7 @@ def recency_months(df: DataFrame, state: DataFrame) -> DataFrame:
 
 def fit_mean_year(df: DataFrame) -> DataFrame:
     """State row: mean of the years after 1900, or 2020."""
-    return df.agg(F.coalesce(F.avg(F.when(F.col("year") > 1900, F.col("year"))), F.lit(2020.0)).alias("mean_year"))
+    return settled(df.agg(F.coalesce(F.avg(F.when(F.col("year") > 1900, F.col("year"))), F.lit(2020.0)).alias("mean_year")))
 
 
 def year_norm(df: DataFrame, state: DataFrame) -> DataFrame:

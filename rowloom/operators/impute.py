@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from rowloom.functions.cleaning import nonfinite_to_null
 from rowloom.operators.quantiles import exact_quantiles
+from rowloom.operators.settled import settled
 from rowloom.operators.sizing import ONE_TASK_ROWS
 
 
@@ -24,7 +25,7 @@ def fit_median(df: DataFrame, columns: list[str], one_task_rows: int = ONE_TASK_
 
 
 def fit_mean(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.agg(*[F.coalesce(F.avg(F.col(f"`{c}`")), F.lit(0.0)).alias(c) for c in columns])
+    return settled(df.agg(*[F.coalesce(F.avg(F.col(f"`{c}`")), F.lit(0.0)).alias(c) for c in columns]))
 
 
 def apply_fill(df: DataFrame, state: DataFrame) -> DataFrame:

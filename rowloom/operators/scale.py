@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.numeric import equal_width_bin, yeo_johnson
 from rowloom.operators.quantiles import is_after, rows_at_ranks
+from rowloom.operators.settled import settled
 from rowloom.operators.sizing import ONE_TASK_ROWS
 
 
@@ -19,7 +20,7 @@ def fit_standard(df: DataFrame, columns: list[str]) -> DataFrame:
         x = F.col(f"`{c}`").cast("double")
         sd = F.stddev_pop(x)
         stats += [F.avg(x).alias(f"{c}__mean"), F.when(sd > 0, sd).otherwise(F.lit(1.0)).alias(f"{c}__sd")]
-    return df.agg(*stats)
+    return settled(df.agg(*stats))
 
 
 def apply_standard(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,10 +95,10 @@ def fit_yeo_johnson(df: DataFrame, column: str, low=-3.0, high=5.0, width=17, to
     lam = (low + high) / 2
     moved = yeo_johnson(F.col(column).cast("double"), lam)
     sd = F.stddev_pop(moved)
-    return data.agg(
+    return settled(data.agg(
         F.lit(lam).alias("lam"), F.avg(moved).alias("mean"),
         F.when(sd > 0, sd).otherwise(F.lit(1.0)).alias("sd"),
-    )
+    ))
 
 
 def apply_yeo_johnson(df: DataFrame, state: DataFrame, column: str, out: str) -> DataFrame:

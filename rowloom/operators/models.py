@@ -14,6 +14,7 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -23,7 +24,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.session import durable
@@ -42,16 +43,31 @@ def normalised(parts: Column, k: int) -> Column:
 
 @dataclass
 class Fitted:
-    """A fitted classifier: how to score a table, and per-feature importances when it has them."""
+    """A fitted classifier: how to score a table, and per-feature importances when it has them.
+
+    ``kind`` names how the fitted parts (and their weights) score together; a rule without parts has none.
+    """
 
     k: int
     add_probs: Callable[[DataFrame], DataFrame]
     importances: list[float] | None = None
     parts: list[Any] = field(default_factory=list)
+    kind: str | None = None
+    weights: list[float] = field(default_factory=list)
 
     def score(self, df: DataFrame) -> DataFrame:
         return self.add_probs(df).withColumn("prediction", argmax(F.col("probs")))
 
+    def write(self, spark: SparkSession, path: str) -> str:
+        """Store the model below ``path``; ``load_fitted`` reads it in any session."""
+        if self.kind is None:
+            raise ValueError("a rule has no parts to store")
+        types = "k int, kind string, weights array<double>, importances array<double>"
+        row = (self.k, self.kind, [float(w) for w in self.weights], self.importances)
+        spark.createDataFrame([row], types).write.mode("overwrite").parquet(f"{path}/model")
+        PipelineModel(self.parts).write().overwrite().save(f"{path}/parts")
+        return path
+
 
 Fit = Callable[[DataFrame, int], Fitted]
 
@@ -60,14 +76,74 @@ def _weighted(estimator, df: DataFrame):
     return estimator.setWeightCol("weight") if "weight" in df.columns else estimator
 
 
-def _direct(model, k: int, importances=None) -> Fitted:
+def _by_probability(parts: list, weights: list[float], k: int):
     """Score with a model that yields probabilities for every class."""
 
     def add(df: DataFrame) -> DataFrame:
-        scored = model.transform(df)
+        scored = parts[0].transform(df)
         return scored.select(*df.columns, vector_to_array("probability").alias("probs"))
 
-    return Fitted(k, add, importances, [model])
+    return add
+
+
+def _one_class_each(positive: Callable[[], Column]):
+    """Score with one binary model per class; their scores are normalised to sum to 1."""
+
+    def scorer(parts: list, weights: list[float], k: int):
+        def add(table: DataFrame) -> DataFrame:
+            scored = table
+            for c, model in enumerate(parts):
+                columns = scored.columns
+                scored = model.transform(scored).select(*columns, positive().alias(f"_p{c}"))
+            each = F.array(*[F.col(f"_p{c}") for c in range(k)])
+            return scored.select(*table.columns, normalised(each, k).alias("probs"))
+
+        return add
+
+    return scorer
+
+
+def _by_stages(parts: list, weights: list[float], k: int):
+    """Score with the weighted votes of successive trees."""
+
+    def add(table: DataFrame) -> DataFrame:
+        scored = table
+        total = sum(weights) or 1.0
+        for i, model in enumerate(parts):
+            columns = scored.columns
+            scored = model.transform(scored).select(*columns, F.col("_prediction").cast("int").alias(f"_s{i}"))
+        votes = []
+        for c in range(k):
+            vote = F.lit(0.0)
+            for i, alpha in enumerate(weights):
+                vote = vote + F.when(F.col(f"_s{i}") == c, alpha).otherwise(-alpha / max(k - 1, 1))
+            votes.append(F.exp(vote / F.lit(total * max(k - 1, 1))) if parts else F.lit(0.0))
+        return scored.select(*table.columns, normalised(F.array(*votes), k).alias("probs"))
+
+    return add
+
+
+# How the parts of a stored model score together.
+SCORERS = {
+    "probability": _by_probability,
+    "class_probabilities": _one_class_each(lambda: F.element_at(vector_to_array("probability"), 2)),
+    "class_margins": _one_class_each(lambda: 1 / (1 + F.exp(-F.element_at(vector_to_array("_raw"), 2)))),
+    "stages": _by_stages,
+}
+
+
+def _fitted(kind: str, parts: list, k: int, importances=None, weights: list[float] = ()) -> Fitted:
+    return Fitted(k, SCORERS[kind](parts, list(weights), k), importances, parts, kind, list(weights))
+
+
+def load_fitted(spark: SparkSession, path: str) -> Fitted:
+    """A model stored by ``Fitted.write``."""
+    row = spark.read.parquet(f"{path}/model").first()
+    return _fitted(row["kind"], PipelineModel.load(f"{path}/parts").stages, row["k"], row["importances"], row["weights"])
+
+
+def _direct(model, k: int, importances=None) -> Fitted:
+    return _fitted("probability", [model], k, importances)
 
 
 def _clear(model):
@@ -116,8 +192,8 @@ def mlp(iterations=60, seed=42) -> Fit:
     return fit
 
 
-def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
-    """k binary models on one persisted table; their scores are normalised to sum to 1."""
+def _one_vs_rest(make, kind: str) -> Fit:
+    """k binary models on one persisted table."""
 
     def fit(df: DataFrame, k: int) -> Fitted:
         kept = df.persist()
@@ -130,14 +206,6 @@ def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
         models = side_by_side([lambda c=c: one(c) for c in range(k)])
         kept.unpersist()
 
-        def add(table: DataFrame) -> DataFrame:
-            scored = table
-            for c, model in enumerate(models):
-                columns = scored.columns
-                scored = model.transform(scored).select(*columns, positive().alias(f"_p{c}"))
-            parts = F.array(*[F.col(f"_p{c}") for c in range(k)])
-            return scored.select(*table.columns, normalised(parts, k).alias("probs"))
-
         importances = None
         if hasattr(models[0], "featureImportances"):
             columns = zip(*[m.featureImportances.toArray().tolist() for m in models])
@@ -145,7 +213,7 @@ def _one_vs_rest(make, positive: Callable[[], Column]) -> Fit:
         elif hasattr(models[0], "coefficients"):
             columns = zip(*[abs(m.coefficients.toArray()).tolist() for m in models])
             importances = [sum(col) / k for col in columns]
-        return Fitted(k, add, importances, models)
+        return _fitted(kind, models, k, importances)
 
     return fit
 
@@ -154,7 +222,7 @@ def gradient_boosting(rounds=10, depth=3, step=0.1, seed=42, subsample=1.0, min_
     def make(n: int):
         return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, subsamplingRate=subsample, minInstancesPerNode=min_leaf)
 
-    return _one_vs_rest(make, lambda: F.element_at(vector_to_array("probability"), 2))
+    return _one_vs_rest(make, "class_probabilities")
 
 
 def linear_svc(c=1.0, iterations=50) -> Fit:
@@ -163,8 +231,7 @@ def linear_svc(c=1.0, iterations=50) -> Fit:
     def make(n: int):
         return LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=iterations, standardization=False)
 
-    margin = lambda: 1 / (1 + F.exp(-F.element_at(vector_to_array("_raw"), 2)))
-    return _one_vs_rest(make, margin)
+    return _one_vs_rest(make, "class_margins")
 
 
 def adaboost(rounds=8, depth=2, seed=42, cut_every=4, rate=1.0) -> Fit:
@@ -199,25 +266,10 @@ def adaboost(rounds=8, depth=2, seed=42, cut_every=4, rate=1.0) -> Fit:
             # A fit reads its input several times; the lineage is cut every few rounds.
             current = durable(current) if (i + 1) % cut_every == 0 else current.persist()
 
-        def add(table: DataFrame) -> DataFrame:
-            scored, votes = table, F.array(*[F.lit(0.0)] * k)
-            total = sum(a for a, _ in stages) or 1.0
-            for i, (alpha, model) in enumerate(stages):
-                columns = scored.columns
-                scored = model.transform(scored).select(*columns, F.col("_prediction").cast("int").alias(f"_s{i}"))
-            parts = []
-            for c in range(k):
-                vote = F.lit(0.0)
-                for i, (alpha, _) in enumerate(stages):
-                    vote = vote + F.when(F.col(f"_s{i}") == c, alpha).otherwise(-alpha / max(k - 1, 1))
-                parts.append(F.exp(vote / F.lit(total * max(k - 1, 1))))
-            votes = F.array(*parts) if stages else votes
-            return scored.select(*table.columns, normalised(votes, k).alias("probs"))
-
         total = sum(a for a, _ in stages)
         own = [[a * v for v in m.featureImportances.toArray().tolist()] for a, m in stages]
         importances = [sum(column) / total for column in zip(*own)] if stages and total else None
-        return Fitted(k, add, importances, [m for _, m in stages])
+        return _fitted("stages", [m for _, m in stages], k, importances, [a for a, _ in stages])
 
     return fit
 
@@ -238,21 +290,25 @@ def side_by_side(jobs: list[Callable[[], Any]], threads: int = 4) -> list[Any]:
 def oof_predict(
     train: DataFrame, fit: Fit, k: int, key: str, name: str, test: DataFrame | None = None, folds: int = 5
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Out-of-fold probabilities of ``train`` (which has ``fold``), and the test mean over the fold models."""
+    """Out-of-fold probabilities of ``train`` (which has ``fold``), and the test mean over the fold models.
+
+    ``test`` is read once and not shuffled: a row carries the scores of all fold models to their mean.
+    """
     kept = train.persist()
     models = side_by_side([
         lambda f=f: fit(kept.where(F.col("fold") != f).drop("fold"), k) for f in range(folds)
     ])
-    held, tested = None, None
+    held = None
     for f, fitted in enumerate(models):
         part = long_probabilities(fitted.score(kept.where(F.col("fold") == f)), key, name, ["y", "fold"])
         held = part if held is None else held.unionByName(part)
-        if test is not None:
-            scored = long_probabilities(fitted.score(test), key, name)
-            tested = scored if tested is None else tested.unionByName(scored)
-    if tested is not None:
-        tested = tested.groupBy(key, "model", "class").agg(F.avg("p").alias("p"))
-    return held, tested
+    if test is None:
+        return held, None
+    scored = test.select(key, "features")
+    for f, fitted in enumerate(models):
+        scored = fitted.add_probs(scored).withColumnRenamed("probs", f"_probs{f}")
+    means = [sum((F.get(f"_probs{f}", F.lit(c)) for f in range(folds)), F.lit(0.0)) / folds for c in range(k)]
+    return held, long_probabilities(scored.select(key, F.array(*means).alias("probs")), key, name)
 
 
 def class_array(value: Column, k: int, cls: str = "class") -> Column:

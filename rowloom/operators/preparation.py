@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators.encode import MAX_WIDE_VALUES, one_hot, wide_values
@@ -31,6 +31,24 @@ class FeaturePreparation:
         self.categories = {c: wide_values(filled.select(c), c, limit=None) for c in self.categorical}
         return self
 
+    def write(self, path: str) -> str:
+        """Store the fitted state below ``path``: one row each of medians and scales, and the columns with their categories."""
+        spark = self.medians.sparkSession
+        roles = [("numeric", c) for c in self.numeric] + [("categorical", c) for c in self.categorical] + [("boolean", c) for c in self.boolean]
+        rows = [(i, role, c, self.categories.get(c)) for i, (role, c) in enumerate(roles)]
+        columns = spark.createDataFrame(rows, "position int, role string, column_name string, categories array<string>")
+        for name, state in (("medians", self.medians), ("scales", self.scales), ("columns", columns)):
+            state.write.mode("overwrite").parquet(f"{path}/{name}")
+        return path
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> "FeaturePreparation":
+        """A preparation stored by ``write``, in any session."""
+        rows = spark.read.parquet(f"{path}/columns").orderBy("position").collect()  # one row per input column
+        named = {role: [r["column_name"] for r in rows if r["role"] == role] for role in ("numeric", "categorical", "boolean")}
+        categories = {r["column_name"]: list(r["categories"]) for r in rows if r["role"] == "categorical"}
+        return cls(**named, medians=spark.read.parquet(f"{path}/medians"), scales=spark.read.parquet(f"{path}/scales"), categories=categories)
+
     @property
     def names(self) -> list[str]:
         """Readable name of every output column, in slot order."""

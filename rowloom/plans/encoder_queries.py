@@ -10,6 +10,7 @@ from rowloom.operators import encode
 from rowloom.operators.preparation import FeaturePreparation, feature_names
 from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
+from rowloom.session import shared_path
 from rowloom.sources.files import table
 
 MESSY = f"WITH {fx.MESSY_SQL}"
@@ -176,20 +177,30 @@ def preparation_for(spark: SparkSession, sf: str) -> tuple[FeaturePreparation, D
     return FeaturePreparation(["price", "other_number"], ["status"], ["flag_bool"]).fit(df), df
 
 
-@query(
-    "feature_preparation",
+_PREPARED = (
     f"{MESSY}, m AS (SELECT median(price) AS m1, median(other_number) AS m2 FROM messy), "
     "f AS (SELECT obs, coalesce(price, m1) AS price, coalesce(other_number, m2) AS other_number, coalesce(status, 'Unknown') AS status, coalesce(CAST(flag_bool AS INTEGER), 0) AS flag_bool FROM messy, m), "
     "s AS (SELECT avg(price) AS a1, stddev_pop(price) AS d1, avg(other_number) AS a2, stddev_pop(other_number) AS d2 FROM f) "
     "SELECT obs, " + rnd("(price - a1) / d1", "price") + ", " + rnd("(other_number - a2) / d2", "other_number") + ", "
-    + ", ".join(f"CASE WHEN status = '{v}' THEN 1 ELSE 0 END AS status_{v}" for v in ("F", "O", "P", "Unknown")) + ", flag_bool FROM f, s",
+    + ", ".join(f"CASE WHEN status = '{v}' THEN 1 ELSE 0 END AS status_{v}" for v in ("F", "O", "P", "Unknown")) + ", flag_bool FROM f, s"
 )
+
+
+@query("feature_preparation", _PREPARED)
 def feature_preparation(spark: SparkSession, sf: str) -> DataFrame:
     fitted, df = preparation_for(spark, sf)
     out = fitted.transform(df)
     return out.select(*[rounded(c) if c in ("price", "other_number") else c for c in out.columns])
 
 
+@query("preparation_store", _PREPARED)
+def preparation_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a preparation that was stored and read back."""
+    fitted, df = preparation_for(spark, sf)
+    out = FeaturePreparation.read(spark, fitted.write(shared_path(spark, "preparation"))).transform(df)
+    return out.select(*[rounded(c) if c in ("price", "other_number") else c for c in out.columns])
+
+
 @query(
     "feature_names",
     f"{MESSY}, v AS (SELECT DISTINCT 'status_' || coalesce(status, 'Unknown') AS feature FROM messy), "

@@ -73,11 +73,11 @@ def _folded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[st
 
 
 @query(
-    "oof_predict",
+    "oof_predict_logistic",
     f"WITH {fx.PARTS_SQL} SELECT CAST(part AS VARCHAR) AS part, o_orderkey, CAST(class AS INTEGER) AS class, TRUE AS valid FROM "
     "(SELECT 'train' AS part, o_orderkey FROM train UNION ALL SELECT 'test', o_orderkey FROM test) CROSS JOIN (VALUES (0), (1), (2)) c(class)",
 )
-def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
+def oof_predict_logistic(spark: SparkSession, sf: str) -> DataFrame:
     """Every train and test row gets one probability per class; the values depend on the fit."""
     train, test, _ = _folded(spark, sf)
     held, tested = models.oof_predict(train, models.logistic(), K, "o_orderkey", "logistic", test, 3)
@@ -98,7 +98,7 @@ def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
 @query("param_search")
 def param_search(spark: SparkSession, sf: str) -> DataFrame:
     train, _, _ = _folded(spark, sf)
-    grid = models.random_grid({"c": [0.1, 1.0, 10.0], "l1_ratio": [0.0, 0.5], "iterations": [20]}, 4)
+    grid = models.random_grid({"c": [0.1, 1.0, 10.0], "l1_ratio": [0.0, 0.5], "iterations": [20]}, 6)
     return models.param_search(train, models.logistic, grid, K, "o_orderkey", folds=3)
 
 
@@ -113,6 +113,66 @@ def _price_bands(step: float) -> models.Fit:
     return fit
 
 
+_HIGH = "o_totalprice > 150000"
+_FOLDS = "(row_number() OVER (PARTITION BY y ORDER BY md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) - 1) % 3 AS fold"
+
+
+def _shares_by_side(df: DataFrame, k: int) -> models.Fitted:
+    """A fit with known result: the class shares of the given rows below and above a price."""
+    high = F.element_at(vector_to_array("features"), 1) > 150000
+    seen = {(r["high"], r["y"]): r["n"] for r in df.groupBy(high.alias("high"), "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def shares(side: bool):
+        total = sum(seen.get((side, c), 0) for c in range(k)) or 1
+        return F.array(*[F.lit(seen.get((side, c), 0) / total) for c in range(k)])
+
+    return models.Fitted(k, lambda t: t.withColumn("probs", F.when(high, shares(True)).otherwise(shares(False))))
+
+
+@query(
+    "oof_predict",
+    f"WITH {fx.PARTS_SQL}, t AS (SELECT o_orderkey, {fx.STATUS_CODE} AS y, {_HIGH} AS high FROM train), f AS (SELECT *, {_FOLDS} FROM t), "
+    "k AS (SELECT CAST(class AS INTEGER) AS class FROM (VALUES (0), (1), (2)) k(class)), "
+    "n AS (SELECT fold, high, y, count(*) AS n FROM f GROUP BY ALL), "
+    "s AS (SELECT g.fold, n.high, k.class, sum(CASE WHEN n.y = k.class THEN n.n ELSE 0 END) / sum(n.n) AS p "
+    "FROM (SELECT DISTINCT fold FROM f) g JOIN n ON g.fold <> n.fold CROSS JOIN k GROUP BY g.fold, n.high, k.class) "
+    "SELECT 'train' AS part, f.o_orderkey, s.class, " + rnd("s.p", "p", 9) + " FROM f JOIN s ON f.fold = s.fold AND f.high = s.high "
+    "UNION ALL SELECT 'test', test.o_orderkey, s.class, " + rnd("avg(s.p)", "p", 9) + f" FROM test JOIN s ON ({_HIGH}) = s.high GROUP BY test.o_orderkey, s.class",
+)
+def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Each train row by the model that has not seen its fold, each test row by the mean of all fold models."""
+    train, test = (
+        p.select("o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), array_to_vector(F.array("o_totalprice")).alias("features"))
+        for p in fx.order_parts(spark, sf)
+    )
+    folded = splits.stratified_kfold(train, "o_orderkey", "y", 3)
+    held, tested = models.oof_predict(folded, _shares_by_side, K, "o_orderkey", "shares", test, 3)
+    columns = [F.col("o_orderkey"), F.col("class"), rounded("p", digits=9)]
+    return held.select(F.lit("train").alias("part"), *columns).unionByName(tested.select(F.lit("test").alias("part"), *columns))
+
+
+_FLAG = "CASE WHEN (o_orderstatus = 'F') <> (o_orderkey % 4 = 0) THEN 1e0 ELSE 0e0 END"
+
+
+@query(
+    "model_store",
+    f"WITH {fx.PARTS_SQL}, s AS (SELECT {_FLAG} AS flag, " + ", ".join(f"avg(CASE WHEN {fx.STATUS_CODE} = {c} THEN 1.0 ELSE 0.0 END) AS s{c}" for c in range(K))
+    + f" FROM train GROUP BY 1), t AS (SELECT o_orderkey, {_FLAG} AS flag FROM test) "
+    "SELECT o_orderkey, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS prediction, "
+    + ", ".join(rnd(f"s{c}", f"p{c}") for c in range(K)) + " FROM t JOIN s ON t.flag = s.flag",
+)
+def model_store(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree of one split on a flag, fitted on train, stored, read back, and applied to test: the shares of both sides."""
+    train, test = (
+        p.select("o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), array_to_vector(F.array(F.expr(_FLAG))).alias("features"))
+        for p in fx.order_parts(spark, sf)
+    )
+    fitted = models.random_forest(trees=1, depth=1, subset="all", bootstrap=False)(train, K)
+    stored = fitted.write(spark, shared_path(spark, "model"))
+    scored = models.load_fitted(spark, stored).score(test)
+    return scored.select("o_orderkey", "prediction", *[rounded(F.get("probs", F.lit(c)), f"p{c}") for c in range(K)])
+
+
 _STEPS = [50000.0, 100000.0, 150000.0, 200000.0]
 
 
@@ -299,6 +359,23 @@ def kmeans(spark: SparkSession, sf: str) -> DataFrame:
     return _clusters(spark, sf).select("id", "cluster")
 
 
+@query(
+    "kmeans_two_groups",
+    f"WITH {fx.VECTORS_SQL}, m AS (SELECT id % 2 AS side, i, avg(vec[i] + (id % 2) * 1000) AS center, var_pop(vec[i]) * count(*) AS spread "
+    "FROM vectors, unnest(generate_series(1, 64)) t(i) GROUP BY id % 2, i) "
+    "SELECT CAST(side AS INTEGER) AS cluster, CAST(i - 1 AS INTEGER) AS slot, " + rnd("center", "center", 4) + ", "
+    + rnd("(SELECT sum(spread) FROM m)", "inertia", 2) + " FROM m",
+)
+def kmeans_two_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Odd vectors moved far away: the centres are the means of both groups, the inertia their spread around them."""
+    apart = fx.vectors(spark, sf).withColumn("vec", F.transform("vec", lambda x: x + (F.col("id") % 2) * 1000))
+    model = reduce.fit_kmeans(apart, "vec", 2)
+    centers = sorted((c.tolist() for c in model.clusterCenters()), key=lambda c: c[0])
+    rows = [(g, i, float(x), float(model.summary.trainingCost)) for g, c in enumerate(centers) for i, x in enumerate(c)]
+    found = spark.createDataFrame(rows, "cluster int, slot int, center double, inertia double")
+    return found.select("cluster", "slot", rounded("center", digits=4), rounded("inertia", digits=2))
+
+
 @query("cluster_one_hot", "SELECT vec_id AS id, 1 AS flags FROM embeddings")
 def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Each row has exactly one cluster flag."""

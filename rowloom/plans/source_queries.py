@@ -69,6 +69,22 @@ def json_metadata(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "metadata_store",
+    "SELECT count(*) AS n_events, count(DISTINCT event_type) AS n_kinds, max(CAST(json_extract(props, '$.k') AS BIGINT)) AS top_k, "
+    "'events' AS source, TRUE AS complete FROM events",
+)
+def metadata_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures of all events, out to a metadata file and read back."""
+    found = files.table(spark, sf, "events").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_type").alias("n_kinds"),
+        F.max(F.from_json("props", "k BIGINT")["k"]).alias("top_k"),
+    ).first().asDict()
+    path = files.write_metadata(spark, shared_path(spark, "metadata"), {**found, "source": "events", "complete": True})
+    types = "n_events BIGINT, n_kinds BIGINT, top_k BIGINT, source STRING, complete BOOLEAN"
+    return spark.createDataFrame([tuple(files.read_metadata(spark, path, types).values())], types)
+
+
 @query(
     "validate_schema",
     "SELECT 'orders' AS table_name, c.column_name, c.column_name IN ('o_orderkey', 'o_totalprice') AS present, "

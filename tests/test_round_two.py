@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.operators import calibrate, metrics, models, preparation, quantiles, resample, scale, select
+from rowloom.operators import calibrate, metrics, models, preparation, profile, quantiles, resample, scale, select
 
 
 def test_unlisted_and_missing_classes_stay_in_the_report(spark):
@@ -99,3 +99,61 @@ def test_importances_of_adaboost_and_models_without(spark):
     assert int(np.argmax(fitted.importances)) == 1
     with pytest.raises(ValueError, match="no importances"):
         select.rfe_cv(df, models.mlp(), 2, "id", ["a", "b", "c"], folds=3, floor=1)
+
+
+FITS = {
+    "forest": models.random_forest(trees=3, depth=2), "logistic": models.logistic(iterations=5), "boosting": models.gradient_boosting(rounds=2),
+    "margins": models.linear_svc(iterations=5), "adaboost": models.adaboost(rounds=2), "mlp": models.mlp(iterations=5),
+}
+
+
+@pytest.mark.parametrize("name", FITS)
+def test_a_stored_model_scores_alike(spark, tmp_path, name):
+    from pyspark.ml.linalg import Vectors
+
+    x = np.random.default_rng(5).random((200, 4))
+    rows = [(i, Vectors.dense(v), int(v[0] * 3)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "features", "y"]).withColumn("y", F.col("y").cast("int"))
+    fitted = FITS[name](df, 3)
+    loaded = models.load_fitted(spark, fitted.write(spark, str(tmp_path / "m")))
+    before, after = ({r["id"]: (r["probs"], r["prediction"]) for r in m.score(df).collect()} for m in (fitted, loaded))
+    assert before == after and loaded.importances == fitted.importances and loaded.k == 3
+    with pytest.raises(ValueError, match="no parts"):
+        models.Fitted(3, lambda t: t).write(spark, str(tmp_path / "rule"))
+
+
+def test_a_stored_preparation_keeps_many_categories(spark, tmp_path):
+    df = spark.range(900).select((F.col("id") * 1.0).alias("x"), F.concat(F.lit("c"), F.col("id") % 300).alias("c"), (F.col("id") % 2 == 0).alias("b"), "id")
+    fitted = preparation.FeaturePreparation(["x"], ["c"], ["b"]).fit(df)
+    loaded = preparation.FeaturePreparation.read(spark, fitted.write(str(tmp_path / "p")))
+    assert loaded.names == fitted.names
+    before, after = ({r["id"]: r["features"] for r in p.assemble(df).collect()} for p in (fitted, loaded))
+    assert before == after
+
+
+def test_distinct_counts_without_expansion(spark):
+    rows = [(0.0, "a", None, [1, 2]), (-0.0, None, None, [1, 2]), (math.nan, "b", None, None), (math.nan, "a", None, [3])]
+    df = spark.createDataFrame(rows, "x double, t string, n int, a array<int>")
+    counted = profile.count_distinct(df, df.columns)
+    got = {r["column_name"]: (r["n_distinct"], r["n_distinct_with_null"]) for r in counted.collect()}
+    assert got == {"x": (2, 2), "t": (2, 3), "n": (0, 1), "a": (2, 3)}
+    assert "Expand" not in counted._jdf.queryExecution().toString()
+    assert {r["n_distinct"] for r in profile.count_distinct(df.limit(0), ["x", "t"]).collect()} == {0}
+
+
+def test_scores_of_test_rows_need_no_shuffle(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(i, Vectors.dense([i / 90]), i % 2, i % 3) for i in range(90)], ["id", "features", "y", "fold"])
+    df = df.withColumn("y", F.col("y").cast("int"))
+    _, tested = models.oof_predict(df, models.logistic(iterations=3), 2, "id", "m", df.drop("fold", "y"), 3)
+    plan = tested._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and tested.count() == 180
+
+
+def test_states_do_not_follow_their_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1.0,), (3.0,)], "x double").write.parquet(path)
+    fitted = scale.fit_standard(spark.read.parquet(path), ["x"])
+    spark.createDataFrame([(100.0,)], "x double").write.mode("append").parquet(path)
+    assert fitted.first()["x__mean"] == 2.0

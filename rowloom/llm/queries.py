@@ -31,7 +31,46 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_chat_windows")
+CHAT_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)
+), sized AS (
+  SELECT *, CAST(ceil(strlen(text) / 4) AS BIGINT) + 4 AS tokens,
+    12 + length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(' || chr(8288) || '*)\|', '<' || chr(8288) || '\1|', 'g'))
+    + 1 + length(regexp_replace(text, '<(' || chr(8288) || '*)\|', '<' || chr(8288) || '\1|', 'g')) + 11 AS chars
+  FROM given
+), placed AS (
+  SELECT *, row_number() OVER o AS place, sum(tokens) OVER o - tokens AS start, count(*) OVER (PARTITION BY conv_id) AS turns,
+    CASE WHEN first_value(role) OVER o = 'system' THEN first_value(tokens) OVER o ELSE 0 END AS system_tokens
+  FROM sized WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, tokens, text ROWS UNBOUNDED PRECEDING)
+), halved AS (
+  SELECT *, greatest((768 - system_tokens) // 2, 1) AS half, place = 1 AND role = 'system' AS leads FROM placed
+), counted AS (
+  SELECT *, tokens > half AS is_long, sum(CASE WHEN tokens > half THEN 1 ELSE 0 END) OVER o AS longs,
+    sum(CASE WHEN tokens > half THEN 0 ELSE tokens END) OVER o - CASE WHEN tokens > half THEN 0 ELSE tokens END AS short_start
+  FROM halved WINDOW o AS (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)
+), spans AS (
+  SELECT conv_id, longs, CASE WHEN is_long THEN -1 ELSE short_start // half END AS bucket, min(place) AS first_place, min(start) AS span_start,
+    any_value(turns) AS turns
+  FROM counted WHERE NOT leads OR turns = 1 GROUP BY ALL
+), repeated AS (
+  SELECT s.conv_id, sum(c.chars) AS chars FROM spans s JOIN counted c ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+  WHERE s.turns > 1 AND (c.leads AND s.first_place > 2 OR NOT c.leads AND c.place < s.first_place AND c.start >= s.span_start - 256)
+  GROUP BY s.conv_id
+), told AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss, sum(chars) AS chars
+  FROM counted GROUP BY conv_id
+)
+SELECT told.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(told.chars + coalesce(repeated.chars, 0) AS BIGINT) AS formatted_chars
+FROM told LEFT JOIN repeated ON told.conv_id IS NOT DISTINCT FROM repeated.conv_id
+"""
+
+
+@query("op1_chat_windows", CHAT_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of all conversations and of one that consists of markers, read back from the formatted text."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -51,7 +90,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op2_suffix_dedup")
+REPEATS_SQL = r"""
+WITH given AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), pieces AS (
+  SELECT doc_id, n, b, substring(h, 512 * b + 1, 610) AS part FROM (SELECT *, unnest(range(0, (n + 206) // 256)) AS b FROM given WHERE n >= 50)
+), starts AS (
+  SELECT doc_id, b, part, unnest(range(0, least(256, n - 49 - 256 * b))) AS j FROM pieces
+), strings AS (
+  SELECT doc_id, 256 * b + j AS i, substring(part, 2 * j + 1, 100) AS w FROM starts
+), firsts AS (
+  SELECT w, min(doc_id) AS first_id FROM strings GROUP BY w HAVING min(doc_id) < max(doc_id)
+), repeats AS (
+  SELECT doc_id, i, lag(i) OVER o AS earlier, lead(i) OVER o AS later
+  FROM strings JOIN firsts USING (w) WHERE first_id < doc_id
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), cuts AS (
+  SELECT doc_id, CAST(sum(least(50, coalesce(later - i, 50))) AS BIGINT) AS n_removed,
+    count(*) FILTER (WHERE earlier IS NULL OR i > earlier + 50) AS n_spans,
+    string_agg(substring(h, 2 * coalesce(earlier + 50, 0) + 1, 2 * greatest(0, i - coalesce(earlier + 50, 0))), '' ORDER BY i) AS kept,
+    max(i) + 50 AS last_end
+  FROM repeats JOIN given USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last_end, 0) + 1))) AS kept_sha256
+FROM given LEFT JOIN cuts USING (doc_id)
+"""
+
+
+@query("op2_suffix_dedup", REPEATS_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), min_bytes=50)
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import quoted
+from rowloom.operators.sizing import split_join
 from rowloom.session import durable
 
 BITS = 126
@@ -21,6 +22,8 @@ LANES = 21
 _LANE_MASK = 1 | 1 << 21 | 1 << 42
 SLICE = 512
 GROUP = 4096
+RADIUS = 3
+BUCKET_PRINTS = 256
 
 
 def term_hashes(text: Column) -> Column:
@@ -84,50 +87,73 @@ def likeness(a_high: Column, a_low: Column, b_high: Column, b_low: Column) -> Co
     return F.lit(1.0) - differ / F.lit(float(BITS))
 
 
-def within_radius(prints: DataFrame, radius: int) -> DataFrame:
-    """All pairs of different fingerprints (a, b), a < b as text, whose Hamming distance is at most ``radius``.
+def _near_by_table(prints: DataFrame, radius: int) -> DataFrame:
+    """(high, low, near): a fingerprint, and those within the radius that one block of one bucket holds.
 
-    ``prints`` has the halves ``high`` and ``low``. Fingerprints that documents share count once. The bits are cut into
-    ``radius + 2`` blocks; of two fingerprints within the radius at least two blocks are equal, so one table for each
-    pair of blocks, with the two moved to the front as its key, finds every pair. A pair is reported by the first table
-    that finds it.
+    The bits are cut into ``radius + 2`` blocks; of two fingerprints within the radius at least two blocks are equal, so
+    one table for each pair of blocks, with the two moved to the front as its key, finds every pair. Only the first table
+    that finds a pair reports it. Buckets of one fingerprint drop out by a count; large ones are cut into blocks by hash, and
+    the blocks are compared two by two: what moves are blocks, never pairs.
     """
     if not 0 <= radius <= 40:
         raise ValueError("radius must be from 0 to 40")
     blocks = radius + 2
     edges = [BITS * i // blocks for i in range(blocks + 1)]
-
-    def block(high: Column, low: Column, i: int) -> Column:
-        """Bits from ``edges[i]`` to ``edges[i + 1]``; the first 63 lie in the high half."""
-        begin, end = edges[i], edges[i + 1]
-        parts = []
-        if begin < 63:
-            stop = min(end, 63)
-            parts.append(F.shiftright(high, begin).bitwiseAND(F.lit((1 << (stop - begin)) - 1)))
-        if end > 63:
-            start = max(begin, 63)
-            value = F.shiftright(low, start - 63).bitwiseAND(F.lit((1 << (end - start)) - 1))
-            parts.append(value)
-        return F.xxhash64(F.lit(i), *parts) if len(parts) > 1 else parts[0]
-
+    # Of each block the masks of its bits in the high half, which has the first 63, and in the low one.
+    masks = [
+        [sum(1 << (bit - base) for bit in range(edges[i], edges[i + 1]) if base <= bit < base + 63) for base in (0, 63)]
+        for i in range(blocks)
+    ]
     unique = prints.select("high", "low").distinct()
-    cut = unique.withColumn("blocks", F.array(*[block(F.col("high"), F.col("low"), i) for i in range(blocks)]))
+    cut = unique.withColumn("blocks", F.array(*[
+        F.xxhash64(F.col("high").bitwiseAND(F.lit(m)), F.col("low").bitwiseAND(F.lit(n))) for m, n in masks
+    ]))
     tables = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("blocks")[i].alias("x"), F.col("blocks")[j].alias("y"))
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.xxhash64(F.col("blocks")[i], F.col("blocks")[j]).alias("key"))
         for i in range(blocks) for j in range(i + 1, blocks)
     ])
-    rows = cut.select("high", "low", "blocks", F.explode(tables).alias("key")).select("high", "low", "blocks", "key.*")
-    left = rows.select("i", "j", "x", "y", *[F.col(c).alias("a_" + c) for c in ("high", "low", "blocks")])
-    right = rows.select("i", "j", "x", "y", *[F.col(c).alias("b_" + c) for c in ("high", "low", "blocks")])
-    met = left.join(right, ["i", "j", "x", "y"]).where(
-        (F.col("a_high") < F.col("b_high")) | ((F.col("a_high") == F.col("b_high")) & (F.col("a_low") < F.col("b_low")))
-    )
-    differ = F.bit_count(F.col("a_high").bitwiseXOR(F.col("b_high"))) + F.bit_count(F.col("a_low").bitwiseXOR(F.col("b_low")))
-    equal = F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.get("a_blocks", i) == F.get("b_blocks", i))
-    first = met.where(differ <= radius).where((equal[0] == F.col("i")) & (equal[1] == F.col("j")))
-    return first.select(
-        as_text(F.col("a_high"), F.col("a_low")).alias("a"), as_text(F.col("b_high"), F.col("b_low")).alias("b"), differ.alias("distance"),
-    )
+    bucket = ["i", "j", "key"]
+    rows = cut.select("high", "low", F.explode(tables).alias("t")).select("high", "low", "t.*")
+    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = F.ceil(F.col("n") / BUCKET_PRINTS).cast("long")
+    dealt = rows.join(sizes, bucket).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("high", "low"), F.col("parts")))
+    held = durable(dealt.groupBy(*bucket, "parts", "part").agg(F.collect_list(F.struct("high", "low")).alias("held")))
+    small = held.where("parts = 1").select("i", "j", F.col("held").alias("asked"), "held")
+    large = held.where("parts > 1")
+    asked = large.select(*bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("held").alias("asked"))
+    met = small.unionByName(asked.join(large, [*bucket, "part"]).select("i", "j", "asked", "held"))
+
+    def distance(x: Column, y: Column) -> Column:
+        return F.bit_count(x["high"].bitwiseXOR(y["high"])) + F.bit_count(x["low"].bitwiseXOR(y["low"]))
+
+    def first_here(x: Column, y: Column) -> Column:
+        high, low = x["high"].bitwiseXOR(y["high"]), x["low"].bitwiseXOR(y["low"])
+        equal = [high.bitwiseAND(F.lit(m)).bitwiseOR(low.bitwiseAND(F.lit(n))) == 0 for m, n in masks]
+        numbers = F.filter(F.array(*[F.when(e, F.lit(k)).otherwise(F.lit(-1)) for k, e in enumerate(equal)]), lambda k: k >= 0)
+        return F.slice(numbers, 1, 2) == F.array("i", "j")
+
+    def near(x: Column) -> Column:
+        return F.filter("held", lambda y: distance(x, y).between(1, radius) & first_here(x, y))
+
+    found = met.select(F.explode(F.transform("asked", lambda x: F.struct(x["high"].alias("high"), x["low"].alias("low"), near(x).alias("near")))).alias("f"))
+    return found.select("f.*").where(F.size("near") > 0)
+
+
+def within_radius(prints: DataFrame, radius: int) -> DataFrame:
+    """All pairs of different fingerprints (a, b, distance), a < b as text, whose Hamming distance is at most ``radius``.
+
+    ``prints`` has the halves ``high`` and ``low``. Fingerprints that documents share count once.
+    """
+    pairs = _near_by_table(prints, radius).select("high", "low", F.explode("near").alias("b"))
+    a, b = as_text(F.col("high"), F.col("low")), as_text(F.col("b.high"), F.col("b.low"))
+    differ = F.bit_count(F.col("high").bitwiseXOR(F.col("b.high"))) + F.bit_count(F.col("low").bitwiseXOR(F.col("b.low")))
+    return pairs.select(a.alias("a"), b.alias("b"), differ.alias("distance")).where("a < b")
+
+
+def count_within_radius(prints: DataFrame, radius: int) -> DataFrame:
+    """(high, low, n_within): of each fingerprint that has some, the number of other fingerprints within the radius."""
+    near = _near_by_table(prints, radius)
+    return near.groupBy("high", "low").agg(F.sum(F.size("near")).cast("long").alias("n_within"))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -160,12 +186,13 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     ), ties
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each row's text and of its edited text, and their likeness (share of equal bits).
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """Fingerprints of each row's text and of its edited text, their likeness (share of equal bits), and what is near.
 
     Edited: the last third of the code points is replaced by as many of the beginning of the next text (all of it if it is
     shorter) in descending order of id. Returns (id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next). Null is the empty text; a text without words has the fingerprint of zeros. Null ids come
+    near_edited, near_next, n_within); ``n_within`` is the number of other fingerprints in the table within the Hamming
+    radius, those that documents share counted once. Null is the empty text; a text without words has the fingerprint of zeros. Null ids come
     last; rows of equal id follow each other in order of their text's hash. A single row follows itself; an empty table gives
     an empty result. Only the two columns named are read.
     """
@@ -192,11 +219,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     tails = whole.where("last").join(ties, "slice").select("slice", "at", F.col("next_slice").alias("to_slice"), F.lit(1).alias("to_at"))
     steps = whole.where(~F.col("last")).select("slice", "at", F.col("slice").alias("to_slice"), (F.col("at") + 1).alias("to_at")).unionByName(tails)
-    linked = whole.join(steps.join(after, ["to_slice", "to_at"]), ["slice", "at"])
+    known = split_join(whole, count_within_radius(whole, radius), ["high", "low"])
+    linked = known.join(steps.join(after, ["to_slice", "to_at"]), ["slice", "at"])
     high, low = F.col("high"), F.col("low")
     return linked.select(
         "id", "n_chars", F.col("sha").alias("edited_sha256"), as_text(high, low).alias("fingerprint"),
         as_text(F.col("edited_high"), F.col("edited_low")).alias("edited_fingerprint"),
         likeness(high, low, F.col("edited_high"), F.col("edited_low")).alias("near_edited"),
         likeness(high, low, F.col("next_high"), F.col("next_low")).alias("near_next"),
+        F.coalesce("n_within", F.lit(0)).cast("long").alias("n_within"),
     )

@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -344,6 +344,8 @@ def test_fingerprints(spark, docs, none):
         assert by[i]["n_chars"] == len(t)
         differ = bin(int(by[i]["fingerprint"], 16) ^ int(by[after[0]]["fingerprint"], 16)).count("1")
         assert by[i]["near_next"] == pytest.approx(1 - differ / fingerprints.BITS)
+        others = {r["fingerprint"] for r in got} - {by[i]["fingerprint"]}
+        assert by[i]["n_within"] == sum(bin(int(by[i]["fingerprint"], 16) ^ int(o, 16)).count("1") <= fingerprints.RADIUS for o in others)
     assert by[5]["fingerprint"] == by[6]["fingerprint"] == "0" * 32
     assert fingerprints.edited_fingerprints(none).collect() == []
     assert len(fingerprints.edited_fingerprints(docs.where("doc_id = 10")).collect()) == 2
@@ -351,7 +353,9 @@ def test_fingerprints(spark, docs, none):
     assert len(fingerprints.edited_fingerprints(spread).collect()) == 9
 
 
-def test_all_fingerprints_within_a_radius(spark):
+@pytest.mark.parametrize("bucket", [4, 256])
+def test_all_fingerprints_within_a_radius(spark, monkeypatch, bucket):
+    monkeypatch.setattr(fingerprints, "BUCKET_PRINTS", bucket)
     rng = np.random.default_rng(6)
     base = [int(v) for v in rng.integers(0, 1 << 62, 40)]
     rows = set()
@@ -375,3 +379,6 @@ def test_all_fingerprints_within_a_radius(spark):
                 want.add((name(a), name(b), d))
     got = [(r["a"], r["b"], r["distance"]) for r in fingerprints.within_radius(df, 5).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+    counted = {name(r): r[2] for r in fingerprints.count_within_radius(df, 5).collect()}
+    assert counted == Counter(x for a, b, _ in want for x in (a, b))
+    assert fingerprints.count_within_radius(df.limit(0), 5).collect() == []

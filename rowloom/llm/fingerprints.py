@@ -22,7 +22,8 @@ LANES = 21
 _LANE_MASK = 1 | 1 << 21 | 1 << 42
 SLICE = 512
 GROUP = 4096
-RADIUS = 3
+# The same share of the bits as the usual 3 of 64.
+RADIUS = 6
 BUCKET_PRINTS = 256
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import blocks, dates, text
 from rowloom.functions.cleaning import bool_to_int, null_tokens, to_number
+from rowloom.functions.keys import hash_hex
 from rowloom.functions.numeric import pair_products
 from rowloom.operators import encode, ensemble, features, metrics, models, profile, reduce, splits
 from rowloom.operators.preparation import FeaturePreparation
@@ -52,10 +53,15 @@ class Run:
 
 
 class Features:
-    """Engineered columns of one schema; all statistics come from the train table."""
+    """Engineered columns of one schema; all statistics come from the rows that ``fit`` is given.
 
-    def __init__(self, roles: Roles):
+    A row that is fitted on never meets its own label: its title is encoded from the labels of rows before it in a hash
+    order. Other rows are encoded from the labels of all rows fitted on.
+    """
+
+    def __init__(self, roles: Roles, seed: int = 42):
         self.roles = roles
+        self.seed = seed
         self.numeric = list(roles.numeric)
         self.steps: list = []
 
@@ -76,8 +82,12 @@ class Features:
             df = self._apply(df, lambda t: encode.apply_group_rare(
                 t.withColumn(r.title, self._title()), kept, r.title, "_group"
             ).select("*", *text.keyword_flags(F.col(r.title), flags)).drop(r.title))
-            means = encode.fit_target_means(df, "_group", "y", smoothing=1.0, min_leaf=1)
-            df = self._apply(df, lambda t: encode.apply_target_means(t, means, "_group", "title_encoded").drop("_group"))
+            means = encode.fit_ordered_totals(df, "_group", "y")
+            prior = df.agg(F.avg(F.col("y").cast("double")).alias("encoded")).select(F.lit(None).cast("string").alias("_group"), "encoded")
+            means = means.where(F.col("_group").isNotNull()).unionByName(prior).persist()
+            self.steps.append(lambda t: encode.apply_target_means(t, means, "_group", "title_encoded").drop("_group"))
+            placed = df.withColumn("_order", hash_hex(self.seed, r.key))
+            df = encode.ordered_target_means(placed, "_group", "y", "_order", "title_encoded").drop("_group", "_order")
             self.numeric.append("title_encoded")
         else:
             self.flags = []
@@ -135,22 +145,38 @@ class Features:
 
 def run(
     train: DataFrame, test: DataFrame, roles: Roles, fits: dict[str, models.Fit], output: str,
-    folds: int = 5, bar: float = 0.72, meta: models.Fit | None = None, seed: int = 42, run_id: str = "run",
+    folds: int = 5, bar: float = 0.72, meta: models.Fit | None = None, seed: int = 42, run_id: str = "run", holdout: float = 0.2,
 ) -> Run:
-    """Prepare, cross-validate, combine, choose the best by out-of-fold accuracy, and write the results."""
+    """Prepare, cross-validate, combine, choose the best by out-of-fold accuracy, and write the results.
+
+    A share of ``holdout`` of each class is set apart before anything is fitted; it has no part in encoders, pairs, models,
+    weights or the choice, only in ``holdout_acc``.
+    """
     spark, key = train.sparkSession, roles.key
     require_schema(train, [*roles.required, roles.target], "train")
     require_schema(test, roles.required, "test")
     codes = encode.fit_labels(train, roles.target).persist()
     k = codes.count()
 
-    engineered = Features(roles)
+    engineered = Features(roles, seed)
+    labelled = splits.stratified_split(encode.apply_labels(train, codes, roles.target, "y"), key, "y", holdout, seed)
+    labelled = durable(labelled)
+    apart = labelled.where("split = 'test'").drop("split")
     # Results that many later passes read are stored; their plans end here.
-    wide = durable(engineered.fit(encode.apply_labels(train, codes, roles.target, "y")))
+    wide = durable(engineered.fit(labelled.where("split = 'train'").drop("split")))
     prepared = FeaturePreparation(engineered.numeric, roles.categorical, [*roles.boolean, *engineered.flags]).fit(wide)
     folded = splits.stratified_kfold(prepared.assemble(wide).select(key, "y", "features"), key, "y", folds, seed)
     folded = durable(folded.repartition(key))
-    asked = durable(prepared.assemble(engineered.transform(test)).select(key, "features"))
+
+    def unseen(df: DataFrame, part: str) -> DataFrame:
+        """Rows that nothing was fitted on; their key says which table they are of, as both may hold the same keys."""
+        named = F.struct(F.lit(part).alias("part"), F.col(key).alias("id")).alias(key)
+        return prepared.assemble(engineered.transform(df)).select(named, "features")
+
+    asked = durable(unseen(apart, "holdout").unionByName(unseen(test, "test")))
+
+    def of(new: DataFrame, part: str) -> DataFrame:
+        return new.where(F.col(key)["part"] == part).withColumn(key, F.col(key)["id"])
 
     held, tested = None, None
     for name, fit in fits.items():
@@ -160,6 +186,7 @@ def run(
     held, tested = durable(held), durable(tested)
 
     scores = models.cv_score(models.fold_accuracy(held, key, k)).select("model", F.col("cv_mean").alias("cv_score"))
+    # Votes are weighed and models qualify by their CV score alone.
     scores = scores.withColumn("holdout_acc", F.col("cv_score")).persist()
     kept = ensemble.qualify_models(scores, bar)
     names = sorted(row["model"] for row in kept.select("model").collect())  # one row per model
@@ -174,16 +201,19 @@ def run(
         stacked = models.oof_predict(level, meta or models.logistic(), k, key, "stacking", new_level, folds)
         results["stacking"] = (durable(stacked[0]), stacked[1])
 
+    truth = apart.select(key, "y")
     rows = []
-    for name, (own, _) in results.items():
-        called = models.predicted_class(own.withColumn("model", F.lit(name)), [key, "y"], k)
-        rows.append((name, float(metrics.accuracy(called, "y", "prediction").first()[0])))
-    board = ensemble.leaderboard(spark.createDataFrame([(n, s, s) for n, s in rows], "model string, cv_score double, holdout_acc double"))
+    for name, (own, new) in results.items():
+        called = models.predicted_class(own, [key, "y"], k)
+        fresh = truth.join(models.predicted_class(of(new, "holdout"), [key], k), key, "left")
+        cv_acc, new_acc = [metrics.accuracy(c, "y", "prediction").first()[0] for c in (called, fresh)]
+        rows.append((name, float(cv_acc), None if new_acc is None else float(new_acc)))
+    board = ensemble.leaderboard(spark.createDataFrame(rows, "model string, cv_score double, holdout_acc double"), "cv_score")
     best = board.first()["model"]
 
     own, new = results[best]
     report = metrics.classification_report(models.predicted_class(own, [key, "y"], k), list(range(k)), "y", "prediction")
-    answers = encode.decode_labels(models.predicted_class(new, [key], k), codes, "prediction", roles.target)
+    answers = encode.decode_labels(models.predicted_class(of(new, "test"), [key], k), codes, "prediction", roles.target)
     predictions = files.write_predictions(answers, f"{output}/predictions", key, roles.target)
     state.save_state(codes, f"{output}/state", "label_codes", run_id)
     state.save_state(prepared.medians, f"{output}/state", "medians", run_id)

@@ -57,3 +57,17 @@ def test_from_csv_to_submission(spark, tmp_path):
     assert {r["label"] for r in done.report.collect()} >= {"0", "1", "2", "accuracy", "macro avg", "weighted avg"}
     saved = files.read_metadata(spark, str(tmp_path / "out" / "metadata"), "best STRING, classes INT")
     assert saved == {"best": done.best, "classes": 3}
+
+
+def test_labels_without_meaning_are_not_learned(spark, tmp_path):
+    """Labels drawn apart from all columns: no score may lie far above the largest class, in folds or apart from them."""
+    rng = random.Random(3)
+    rows = [(i, f"title {i % 40}", rng.gauss(0, 1), rng.gauss(0, 1), rng.choice(["a", "b"])) for i in range(600)]
+    df = spark.createDataFrame(rows, "obs int, job_title string, u double, v double, salary_category string")
+    roles = lifecycle.Roles(key="obs", target="salary_category", numeric=["u", "v"], title="job_title", top_pairs=2)
+    fits = {"random_forest": models.random_forest(trees=10, depth=4)}
+    done = lifecycle.run(df, df.drop("salary_category"), roles, fits, str(tmp_path / "out"), folds=3, bar=0.5)
+    row = done.leaderboard.first()
+    share = max(sum(r[4] == c for r in rows) for c in "ab") / 600
+    assert row["cv_score"] < share + 0.08 and row["holdout_acc"] < share + 0.12
+    assert files.read_csv(spark, done.predictions, "obs INT, salary_category STRING").count() == 600

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions import dates
+from rowloom.functions.text import TITLE_KEYWORDS
 from rowloom.operators import ensemble, models, reduce, select, splits
 from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.profile import block_corr_with_target
@@ -383,12 +384,8 @@ def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return flags.select("id", sum((F.col(f"cluster_{i}") for i in range(15)), F.lit(0)).alias("flags"))
 
 
-@query(
-    "full_run",
-    f"WITH {fx.PARTS_SQL} SELECT o_orderkey, TRUE AS known_label FROM test",
-)
-def full_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Every step from raw tables to written predictions; one known label per test row."""
+def _whole_run(spark: SparkSession, sf: str, fits: dict[str, models.Fit], meta: models.Fit | None = None) -> DataFrame:
+    """Written predictions of a run from the raw tables."""
     raw = [
         p.select(
             "o_orderkey", "o_totalprice", "c_acctbal", F.col("c_mktsegment").alias("title"), "o_orderpriority",
@@ -401,7 +398,49 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
         key="o_orderkey", target="o_orderstatus", numeric=["o_totalprice", "c_acctbal"], categorical=["o_orderpriority"],
         boolean=["is_large"], title="title", date="posted", block="block", components=2,
     )
+    done = lifecycle.run(raw[0], raw[1].drop("o_orderstatus"), roles, fits, shared_path(spark, "run"), folds=3, meta=meta)
+    return read_csv(spark, done.predictions, "o_orderkey BIGINT, o_orderstatus STRING")
+
+
+@query(
+    "full_run",
+    f"WITH {fx.PARTS_SQL} SELECT o_orderkey, TRUE AS known_label FROM test",
+)
+def full_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Every step from raw tables to written predictions; one known label per test row."""
     fits = {"logistic": models.logistic(iterations=20), "random_forest": models.random_forest(trees=10, depth=4)}
-    done = lifecycle.run(raw[0], raw[1].drop("o_orderstatus"), roles, fits, shared_path(spark, "run"), folds=3)
-    written = read_csv(spark, done.predictions, "o_orderkey BIGINT, o_orderstatus STRING")
+    written = _whole_run(spark, sf, fits)
     return written.select("o_orderkey", F.col("o_orderstatus").isin("F", "O", "P").alias("known_label"))
+
+
+def _slot_rule(strength: float) -> models.Fit:
+    """A rule on prepared slots: urgent orders are P (code 2), other large ones O (1), all others F (0).
+
+    Counted from the last slot: the title's flags, ``is_large``, the five priorities in order.
+    """
+    flags = len(TITLE_KEYWORDS["package"])
+
+    def fit(df: DataFrame, k: int) -> models.Fitted:
+        x = vector_to_array("features")
+        large, urgent = F.element_at(x, -(flags + 1)) == 1, F.element_at(x, -(flags + 6)) == 1
+        code = F.when(urgent, 2).when(large, 1).otherwise(0)
+        probs = F.array(*[F.when(code == c, strength).otherwise((1 - strength) / (k - 1)) for c in range(k)])
+        return models.Fitted(k, lambda t: t.withColumn("probs", probs))
+
+    return fit
+
+
+def _first_model(df: DataFrame, k: int) -> models.Fitted:
+    """A rule for the second level: the probabilities of the first model."""
+    x = vector_to_array("features")
+    return models.Fitted(k, lambda t: t.withColumn("probs", F.slice(x, 1, k)))
+
+
+@query(
+    "full_run_rule",
+    f"WITH {fx.PARTS_SQL} SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'P' WHEN o_totalprice > 250000 THEN 'O' "
+    "ELSE 'F' END AS o_orderstatus FROM test",
+)
+def full_run_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """The run over rules of prepared slots: whichever of models, vote and stacking is best, the labels written are known."""
+    return _whole_run(spark, sf, {"bold": _slot_rule(0.8), "calm": _slot_rule(0.5)}, _first_model)

@@ -213,6 +213,32 @@ def stacking(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("o_orderkey", "prediction", *[F.get("probs", F.lit(c)).alias(f"p{c}") for c in range(K)])
 
 
+def _shares_by_call(df: DataFrame, k: int) -> models.Fitted:
+    """A second level with known result: the class shares of the rows that the second model calls alike."""
+    call = models.argmax(F.slice(vector_to_array("features"), k + 1, k))
+    counts = df.groupBy(call.alias("call"), "y").agg(F.count(F.lit(1)).alias("n")).collect()  # k * k rows at most
+    sums = [sum(r["n"] for r in counts if r["call"] == c) for c in range(k)]
+    shares = [[sum(r["n"] for r in counts if r["call"] == c and r["y"] == y) / max(sums[c], 1) for y in range(k)] for c in range(k)]
+    table_ = F.array(*[F.array(*[F.lit(v) for v in row]) for row in shares])
+    return models.Fitted(k, lambda t: t.withColumn("probs", F.get(table_, call)))
+
+
+@query(
+    "stacking_rule",
+    f"WITH {fx.PROBS_SQL}, {fx.CALLS_SQL.removeprefix(fx.PROBS_SQL + ', ')}, "
+    "shares AS (SELECT p, " + ", ".join(f"avg(CASE WHEN y = {c} THEN 1 ELSE 0 END) AS s{c}" for c in range(K)) + " FROM calls GROUP BY p) "
+    "SELECT id, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS prediction, "
+    + ", ".join(rnd(f"s{c}", f"p{c}") for c in range(K)) + " FROM calls JOIN shares USING (p)",
+)
+def stacking_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Level one of three models, and a second level whose probabilities are known."""
+    held = fx.pseudo_probabilities(spark, sf)
+    names = sorted(fx.MODEL_BONUS)
+    meta = ensemble.fit_stacking(held, "id", names, K, _shares_by_call)
+    scored = meta.score(ensemble.level_one(held, "id", names, K))
+    return scored.select("id", "prediction", *[rounded(F.get("probs", F.lit(c)), f"p{c}") for c in range(K)])
+
+
 def _forest(spark: SparkSession, sf: str) -> tuple[models.Fitted, DataFrame, DataFrame, list[str]]:
     train, test, names = feature_tables(spark, sf)
     weights = splits.balanced_class_weight(train, "y")
@@ -311,6 +337,39 @@ def rfe_cv(spark: SparkSession, sf: str) -> DataFrame:
     return select.rfe_cv(train, models.logistic(iterations=20), K, "o_orderkey", names, folds=2, step=0.4)
 
 
+_MODULI = [3, 5, 7, 11, 13, 17]
+_KEPT = [[0, 1, 2, 3, 4, 5], [2, 3, 4, 5], [3, 4, 5], [4, 5]]
+
+
+def _sum_rule(df: DataFrame, k: int) -> models.Fitted:
+    """A rule on whichever features are left: their sum modulo k; a feature's mean is its importance."""
+    x = vector_to_array("features")
+    width = len(df.select(x.alias("x")).first()["x"])
+    means = df.agg(*[F.avg(F.get(x, F.lit(i))).alias(f"m{i}") for i in range(width)]).first()
+    code = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) % k
+    return models.Fitted(k, lambda t: t.withColumn("probs", F.array(*[(code == c).cast("double") for c in range(k)])), [float(m) for m in means])
+
+
+@query(
+    "rfe_cv_rule",
+    f"WITH o AS (SELECT o_orderkey % 2 AS fold, {fx.STATUS_CODE} AS y, " + ", ".join(f"o_orderkey % {m} AS x{i}" for i, m in enumerate(_MODULI)) + " FROM orders), "
+    "a AS (" + " UNION ALL ".join(
+        f"SELECT {len(kept)} AS n_features, '{','.join(f'x{i}' for i in kept)}' AS features, fold, "
+        f"avg(CASE WHEN ({' + '.join(f'x{i}' for i in kept)}) % 3 = y THEN 1 ELSE 0 END) AS accuracy FROM o GROUP BY fold" for kept in _KEPT
+    ) + "), s AS (SELECT n_features, features, avg(accuracy) AS score FROM a GROUP BY n_features, features) "
+    "SELECT n_features, features, " + rnd("score", "cv_accuracy") + ", n_features = (SELECT arg_max(n_features, (score, -n_features)) FROM s) AS best FROM s",
+)
+def rfe_cv_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """The elimination itself, over a rule whose importances and CV accuracies are known."""
+    x = F.array(*[(F.col("o_orderkey") % m).cast("double") for m in _MODULI])
+    folded = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), (F.col("o_orderkey") % 2).cast("int").alias("fold"), array_to_vector(x).alias("features")
+    )
+    names = [f"x{i}" for i in range(len(_MODULI))]
+    steps = select.rfe_cv(folded, _sum_rule, K, "o_orderkey", names, folds=2, floor=2, step=0.4)
+    return steps.select("n_features", F.array_join("features", ",").alias("features"), rounded("cv_accuracy"), "best")
+
+
 @query("pca")
 def pca(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of all embeddings on 15 components."""

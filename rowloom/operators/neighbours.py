@@ -27,6 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
+REACH_VALUES = 1 << 22
 
 
 def _stack(values: pd.Series) -> np.ndarray:
@@ -143,27 +144,34 @@ def knn_join(
         summary.setdefault(row["part"], []).append((row["cell"], row["n"], row["radius"], list(row["inner"])))
     between = _distances(centres, centres, metric)
 
+    def visited(rows: pd.DataFrame, known: list) -> pd.DataFrame:
+        """The cells that may hold a neighbour of each row."""
+        gaps = _distances(_stack(rows["vec"]), centres, metric)
+        ids = np.array([c[0] for c in known])
+        radius = np.array([c[2] for c in known])
+        reach = np.concatenate([gaps[:, [c[0]]] + np.array(c[3])[None, :] for c in known], axis=1)
+        place = min(need, reach.shape[1]) - 1
+        bound = np.partition(reach, place, axis=1)[:, place]
+        low = gaps[:, ids] - radius[None, :]
+        if metric == "euclidean":
+            # Rows of another cell lie beyond the half-way plane to that cell's pivot.
+            own = gaps.argmin(axis=1)
+            far = between[own][:, ids]
+            plane = (gaps[:, ids] ** 2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
+            low = np.maximum(low, plane)
+        visit = low <= bound[:, None] * (1 + 1e-9) + 1e-9
+        return rows.assign(cells=[ids[v].astype("int32") for v in visit])
+
     def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, rows in batch.groupby("part"):
                 known = summary.get(name)
                 if not known:
                     continue
-                gaps = _distances(_stack(rows["vec"]), centres, metric)
-                ids = np.array([c[0] for c in known])
-                radius = np.array([c[2] for c in known])
-                reach = np.concatenate([gaps[:, [c[0]]] + np.array(c[3])[None, :] for c in known], axis=1)
-                place = min(need, reach.shape[1]) - 1
-                bound = np.partition(reach, place, axis=1)[:, place]
-                low = gaps[:, ids] - radius[None, :]
-                if metric == "euclidean":
-                    # Rows of another cell lie beyond the half-way plane to that cell's pivot.
-                    own = gaps.argmin(axis=1)
-                    far = between[own][:, ids]
-                    plane = (gaps[:, ids] ** 2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
-                    low = np.maximum(low, plane)
-                visit = low <= bound[:, None] * (1 + 1e-9) + 1e-9
-                yield rows.assign(cells=[ids[v].astype("int32") for v in visit])
+                # A piece of the batch at a time, so that ``reach`` stays below about 32 MB.
+                some = max(1, REACH_VALUES // (len(known) * need))
+                for at in range(0, len(rows), some):
+                    yield visited(rows.iloc[at:at + some], known)
 
     visits = durable(asks.mapInPandas(to_visits, f"{columns}, cells array<int>"))
     visits = visits.select("id", "label", "vec", "part", F.explode("cells").alias("cell"))

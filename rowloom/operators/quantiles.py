@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from rowloom.operators.sizing import ONE_TASK_ROWS
 
 _CELLS = 4096
+_ALL_CELLS = 1 << 17
+_LEAST_CELLS = 32
 
 
 @dataclass(frozen=True)
@@ -72,29 +74,34 @@ def _total(parts: list[Interval]) -> int:
 
 
 def _cells(df: DataFrame, intervals: list[Interval]) -> dict[Interval, list[Interval]]:
-    """The non-empty cells of every interval, in order, from one pass."""
+    """The non-empty cells of every interval, in order, from one pass.
+
+    All intervals share ``_ALL_CELLS`` cells, and a row for a cell has the same few columns however many columns the table
+    has: the least and greatest value, as a whole number or as a double.
+    """
+    most = max(_LEAST_CELLS, min(_CELLS, _ALL_CELLS // len(intervals)))
     spots = []
     for j, part in enumerate(intervals):
         x = F.col(f"`{part.column}`")
         if isinstance(part.low, int):
-            x = x.cast("decimal(20,0)")  # distances of large keys stay exact
-            share = (x - F.lit(part.low)).cast("double") / F.lit(float(part.high - part.low))
+            wide = x.cast("decimal(20,0)")  # distances of large keys stay exact
+            share = (wide - F.lit(part.low)).cast("double") / F.lit(float(part.high - part.low))
+            whole, real = x.cast("long"), F.lit(None).cast("double")
         else:
             # Halves, so that the distance of the greatest numbers stays finite.
             share = (x * 0.5 - F.lit(part.low * 0.5)) / F.lit(part.high * 0.5 - part.low * 0.5)
-        cell = F.least(F.floor(share * _CELLS), F.lit(_CELLS - 1)).cast("int")
-        spots.append(F.when(part.holds(), F.struct(F.lit(j).alias("j"), cell.alias("cell"))))
-    hits = df.select("*", F.explode(F.filter(F.array(*spots), lambda s: s.isNotNull())).alias("s"))
-    # Each interval keeps least and greatest values in the type of its own column.
-    names = sorted({p.column for p in intervals})
-    ends = [f(F.col(f"`{c}`")).alias(f"{e}{i}") for i, c in enumerate(names) for e, f in (("lo", F.min), ("hi", F.max))]
+            whole, real = F.lit(None).cast("long"), x.cast("double")
+        cell = F.least(F.floor(share * most), F.lit(most - 1)).cast("int")
+        spots.append(F.when(part.holds(), F.struct(F.lit(j).alias("j"), cell.alias("cell"), whole.alias("whole"), real.alias("real"))))
+    hits = df.select(F.explode(F.filter(F.array(*spots), lambda s: s.isNotNull())).alias("s"))
+    ends = [f(f"s.{v}").alias(f"{e}_{v}") for v in ("whole", "real") for e, f in (("low", F.min), ("high", F.max))]
     rows = hits.groupBy("s.j", "s.cell").agg(F.count(F.lit(1)).alias("n"), *ends).collect()
     out: dict[Interval, list[Interval]] = {p: [] for p in intervals}
     for row in sorted(rows, key=lambda r: (r["j"], r["cell"])):
         part = intervals[row["j"]]
-        i = names.index(part.column)
+        kind = "whole" if isinstance(part.low, int) else "real"
         before = out[part][-1].before + out[part][-1].count if out[part] else part.before
-        out[part].append(Interval(part.column, row[f"lo{i}"], row[f"hi{i}"], row["n"], before))
+        out[part].append(Interval(part.column, row[f"low_{kind}"], row[f"high_{kind}"], row["n"], before))
     return out
 
 
@@ -120,14 +127,17 @@ def exact_quantiles(
     probability: float = 0.5,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> dict[str, float | None]:
-    """Linearly interpolated quantile of each column, nulls left out."""
+    """Linearly interpolated quantile of each column, nulls left out.
+
+    What is left of all columns together fits one task of ``one_task_rows`` values.
+    """
     columns = list(columns)
     if not columns:
         return {}
     wholes = _whole(df, columns)
     place = {c: (_total(p) - 1) * probability for c, p in wholes.items()}
     wanted = {(c, end): (_at(p, end(place[c])), end(place[c])) for c, p in wholes.items() for end in (math.floor, math.ceil)}
-    ends = locate(df, wanted, one_task_rows)
+    ends = locate(df, wanted, max(1, one_task_rows // max(1, len(set(wanted.values())))))
     found = {spot: float(spot[0].low) for spot in ends.values()}
     mixed = [spot for spot in found if spot[0].low < spot[0].high]
     if mixed:

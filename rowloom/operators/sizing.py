@@ -28,6 +28,11 @@ def size_of(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
+def fits(rows: int, size: int) -> bool:
+    """Whether a frame of this measured size may be broadcast."""
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
 def broadcast_if_small(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -45,7 +50,7 @@ def lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "lef
     """Join a table of unique keys onto ``df``: by broadcast when it is small, else by ``split_join``."""
     kept = table.persist()
     rows, size = size_of(kept)
-    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+    if fits(rows, size):
         return df.join(F.broadcast(kept), on=on, how=how)
     return split_join(df, kept, on, how)
 
@@ -57,14 +62,21 @@ def split_join(
 
     Keys with more than ``hot_rows`` rows are few (rows of ``df`` / ``hot_rows``); their part of
     the table is broadcast, so hot rows stay where they are. All other rows join by shuffle.
+    Where these keys are too many to broadcast, ``hot_rows`` is raised until the hottest ones fit.
     """
     keys = [on] if isinstance(on, str) else list(on)
     counts = df.where(all_of([F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select(*keys).persist()
-    rows, size = size_of(hot)
-    if rows == 0 or rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
-        return df.join(table, on=keys, how=how)
-    hot_part = table.join(F.broadcast(hot), keys, "left_semi")
+    known = counts.where(F.col("_rows") > hot_rows).persist()
+    while True:
+        hot = known.where(F.col("_rows") > hot_rows).select(*keys)
+        rows, size = size_of(hot)
+        if rows == 0:
+            return df.join(table, on=keys, how=how)
+        if fits(rows, size):
+            hot_part = table.join(F.broadcast(hot), keys, "left_semi")
+            if fits(*size_of(hot_part)):
+                break
+        hot_rows *= 2
     marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
     spread = marked.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_part), keys, how)
     rest = marked.where(F.col("_hot").isNull()).drop("_hot").join(table, keys, how)

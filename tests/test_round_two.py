@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.operators import calibrate, metrics, models, preparation, profile, quantiles, resample, scale, select
+from rowloom.operators import calibrate, metrics, models, preparation, profile, quantiles, resample, scale, select, sizing
 
 
 def test_unlisted_and_missing_classes_stay_in_the_report(spark):
@@ -157,3 +157,28 @@ def test_states_do_not_follow_their_source(spark, tmp_path):
     fitted = scale.fit_standard(spark.read.parquet(path), ["x"])
     spark.createDataFrame([(100.0,)], "x double").write.mode("append").parquet(path)
     assert fitted.first()["x__mean"] == 2.0
+
+
+def test_medians_of_many_columns_send_few_rows(spark, monkeypatch):
+    """All columns share the cells of a pass, and what is left of all of them fits the one task."""
+    columns = [f"c{i}" for i in range(60)]
+    mixed = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10_000)).alias(c) if i % 2 else (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10_000)) / 7).alias(c) for i, c in enumerate(columns)]
+    df = spark.range(3000).select(*mixed).persist()
+    monkeypatch.setattr(quantiles, "_ALL_CELLS", 4096)
+    seen = []
+    whole = quantiles._cells
+    monkeypatch.setattr(quantiles, "_cells", lambda d, parts: seen.append(whole(d, parts)) or seen[-1])
+    got = quantiles.exact_quantiles(df, columns, 0.5, one_task_rows=6000)
+    want = df.agg(*[F.expr(f"percentile({c}, 0.5)").alias(c) for c in columns]).first()
+    assert all(abs(got[c] - want[c]) < 1e-9 for c in columns)
+    assert seen and all(sum(len(cells) for cells in one.values()) <= 4096 for one in seen)
+
+
+def test_more_hot_keys_than_a_broadcast_holds(spark, monkeypatch):
+    rows = [(k, i) for k in range(40) for i in range(3 + k)]
+    df, table = spark.createDataFrame(rows, "k long, i long"), spark.range(0, 40, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 5)
+    for how in ("left", "inner"):
+        got = sizing.split_join(df, table, "k", how, hot_rows=4).select("k", "i", "v").collect()
+        want = [(k, i, k * 10 if k % 2 == 0 else None) for k, i in rows if how == "left" or k % 2 == 0]
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

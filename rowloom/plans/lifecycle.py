@@ -218,6 +218,7 @@ def run(
     state.save_state(codes, f"{output}/state", "label_codes", run_id)
     state.save_state(prepared.medians, f"{output}/state", "medians", run_id)
     state.save_state(prepared.scales, f"{output}/state", "scales", run_id)
+    prepared.write(f"{output}/preparation")
     files.write_parquet(board, f"{output}/leaderboard")
     files.write_metadata(spark, f"{output}/metadata", {"best": best, "models": len(fits), "features": len(prepared.names), "classes": k})
     return Run(predictions, board, best, report, prepared.names)

@@ -136,7 +136,9 @@ class Block:
         """For stretches ``of``: number of the content, and for each content its first stretch."""
         first = self.first[of]
         key = np.zeros(len(of), np.uint64)
-        for a, b in row_chunks(first, PIECE) if len(of) else ():
+        # The closing entry makes the last stretch a row of its own.
+        ends = first[-1:] + self.count[of[-1:]] + min_bytes - 1
+        for a, b in row_chunks(np.append(first, ends), PIECE) if len(of) else ():
             lo = first[a]
             hi = first[b - 1] + self.count[of[b - 1]] + min_bytes
             key[a:b] = span_hashes(self.body[lo:hi], first[a:b] - lo, first[a:b] - lo + self.count[of[a:b]] + min_bytes - 1)

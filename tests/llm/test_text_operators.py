@@ -80,6 +80,14 @@ def test_suffix_dedup_of_random_strings_of_few_letters(spark):
     assert sorted([(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got], key=repr) == cut_by_hand(rows)
 
 
+def test_suffix_dedup_knows_the_last_repeated_stretch_of_a_block(spark):
+    # One block: the last repeated stretch is the end of document 2, which also ends document 1 and no other; text of its own follows.
+    passage, own = prose(12), "".join(random.choice("0123456789abcdef") for _ in range(400))
+    rows = [(1, passage), (2, prose(5) + passage), (3, own)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got], key=repr) == cut_by_hand(rows)
+
+
 def test_suffix_dedup_of_nothing_and_text_of_cut_characters(spark, none):
     assert suffix_dedup.remove_repeats(none).collect() == []
     raw = "é日x�".encode()

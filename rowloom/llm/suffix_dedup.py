@@ -7,15 +7,19 @@ Every string of ``min_bytes`` bytes that also starts in a document with a smalle
    eighteen. Successive windows of one anchor form one stretch of text.
 2. *Filter.* Blocks of documents send the 40-bit hashes of their anchors; anchors that occur once in the whole corpus
    drop out, because no window of theirs can repeat.
-3. *Suffixes.* What stays is dealt by range: sampled splitters cut the suffixes by their leading eight bytes, so equal
-   suffixes always meet in one bucket. A block sends each different stretch once, with the least and greatest id that
+3. *Suffixes.* What stays is dealt by range: sampled splitters cut the suffixes by the whole bytes of their anchors, so
+   equal anchors always meet in one bucket. A block sends each different stretch once, with the least and greatest id that
    hold it; a passage in a third of all documents is then one entry for each block, not one for each document.
 4. *Sort.* A bucket sorts its suffixes by multikey quicksort (word after word, only among those still tied). Splitters
-   cut between different leading words only, and a run of equal leading words reaches across no boundary. Where
-   different stretches share an anchor, their windows are compared by the same sort; each window learns the least id.
-5. *Cut.* The answers go back to the blocks, which mark and cut the repeated bytes.
-
-Blocks hold about ``block_bytes`` of whole documents; long ones are worked through in pieces. Nothing is capped.
+   cut between different anchors only, and a run of equal anchors reaches across no boundary. Where different stretches
+   share an anchor, their windows are compared by the same sort; each window learns the least id.
+5. *Hot anchors.* A short phrase between ever different surroundings gives a different stretch at each place. Anchors with
+   more than ``hot`` stretches (each block counts its different ones) are parted by the content of their windows: a block
+   sends two 64-bit hashes of each different window once, dealt by hash, so a window has at most one entry of each block.
+6. *Cut.* The answers go back to the blocks, which mark and cut the repeated bytes.
+
+Blocks hold about ``block_bytes`` of whole documents, dealt by id and text, so that a hot or null id fills no block by
+itself; long documents are worked through in pieces. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -37,7 +41,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 GRAM = 16
 PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max
+HOT_STRETCHES = 1 << 16
 _POSITION = np.uint64((1 << 24) - 1)
+_OTHER = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 # ---------------------------------------------------------------- packing of arrays into binary columns
@@ -147,8 +153,21 @@ class Block:
         _, example, number = np.unique(key, return_index=True, return_inverse=True)
         return number, of[example]
 
+    def windows(self, of: np.ndarray, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All windows of the stretches ``of``: two hashes, place and document of each."""
+        count = self.count[of]
+        total = np.concatenate([[0], np.cumsum(count)])
+        place = np.repeat(self.first[of] - total[:-1], count) + np.arange(total[-1])
+        one, two = np.zeros(len(place), np.uint64), np.zeros(len(place), np.uint64)
+        for a, b in row_chunks(np.append(place, place[-1:] + 1), PIECE) if len(place) else ():
+            lo = place[a]
+            body, begin = self.body[lo:place[b - 1] + min_bytes], place[a:b] - lo
+            one[a:b] = span_hashes(body, begin, begin + min_bytes)
+            two[a:b] = span_hashes(_OTHER[body], begin, begin + min_bytes)
+        return one, two, place, np.repeat(self.doc[of], count)
+
 
-# ---------------------------------------------------------------- pass 1: anchors that occur twice
+# ---------------------------------------------------------------- pass 1: anchors that occur twice, and hot ones
 
 def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Runs of equal values of a sorted array."""
@@ -169,30 +188,39 @@ def _send_hashes(min_bytes: int, buckets: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         block = Block(rows, min_bytes)
         hashes, count = np.unique(block.hash, return_counts=True)
+        _, example = block.contents(np.arange(len(block.hash)), min_bytes)
+        kinds = np.bincount(np.searchsorted(hashes, block.hash[example]), minlength=len(hashes)).astype(np.uint32)
         out: list[list] = [[], [], []]
         for bucket, a, b in _dealt(_hash_bucket(hashes, buckets)):
             out[0].append(bucket)
             out[1].append(key[0].as_py())
-            out[2].append(pack(np.diff(hashes[a:b], prepend=np.uint64(0)), np.packbits(count[a:b] > 1)))
+            out[2].append(pack(np.diff(hashes[a:b], prepend=np.uint64(0)), np.packbits(count[a:b] > 1), kinds[a:b]))
         return pa.table(out, schema=schema)
 
     return run
 
 
-def _repeated(rows: pa.Table) -> pa.Table:
-    """For each block: which of the hashes that it sent occur more than once."""
-    sent, many = [], []
-    for blob in rows.column("blob").to_pylist():
-        steps, bits = unpack(blob)
-        sent.append(np.cumsum(steps, dtype=np.uint64))
-        many.append(np.unpackbits(bits, count=len(steps)).astype(bool))
-    order = np.sort(np.concatenate(sent))
-    twice = np.unique(np.concatenate([order[1:][order[1:] == order[:-1]], *(s[m] for s, m in zip(sent, many))]))
-    keep = [np.isin(s, twice, assume_unique=True, kind="sort") for s in sent]
-    return pa.table(
-        [rows.column("block").cast(pa.int32()), rows.column("bucket").cast(pa.int32()), pa.array([pack(np.packbits(k)) for k in keep], pa.binary())],
-        schema=pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())]),
-    )
+def _repeated(hot: int):
+    schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        """For each block: which of the hashes that it sent occur more than once, and which have over ``hot`` stretches."""
+        sent, many, kinds = [], [], []
+        for blob in rows.column("blob").to_pylist():
+            steps, bits, n = unpack(blob)
+            sent.append(np.cumsum(steps, dtype=np.uint64))
+            many.append(np.unpackbits(bits, count=len(steps)).astype(bool))
+            kinds.append(n)
+        whole = np.concatenate(sent)
+        order = np.argsort(whole, kind="stable")
+        ranked, n = whole[order], np.concatenate(kinds)[order].astype(np.int64)
+        twice = np.unique(np.concatenate([ranked[1:][ranked[1:] == ranked[:-1]], *(s[m] for s, m in zip(sent, many))]))
+        first = np.flatnonzero(np.diff(ranked, prepend=ranked[:1] + np.uint64(1)))
+        heated = ranked[first][np.add.reduceat(n, first) > hot] if len(first) else ranked
+        answers = [pack(*(np.packbits(np.isin(s, x, assume_unique=True, kind="sort")) for x in (twice, heated))) for s in sent]
+        return pa.table([rows.column("block").cast(pa.int32()), rows.column("bucket").cast(pa.int32()), pa.array(answers, pa.binary())], schema=schema)
+
+    return run
 
 
 # ---------------------------------------------------------------- pass 2: sorted suffixes
@@ -209,6 +237,12 @@ def _leading(body: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _gram_bytes(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The anchors' bytes as strings that sort like them."""
+    words = np.stack([_leading(body, at + 8 * k) for k in range(GRAM // 8)], axis=1)
+    return np.ascontiguousarray(words.astype(">u8")).view(f"S{GRAM}").reshape(len(at))
+
+
 def _send_suffixes(min_bytes: int, buckets: int, splitters: np.ndarray):
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("blob", pa.binary())])
 
@@ -218,17 +252,18 @@ def _send_suffixes(min_bytes: int, buckets: int, splitters: np.ndarray):
             block = Block(rows, min_bytes)
             hashes = np.unique(block.hash)
             bucket = _hash_bucket(hashes, buckets)
-            twice = np.zeros(len(hashes), bool)
+            twice, hot = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
             for b, blob in zip(answers.column("bucket").to_pylist(), answers.column("blob").to_pylist()):
                 a, z = np.searchsorted(bucket, [b, b + 1])
-                twice[a:z] = np.unpackbits(unpack(blob)[0], count=z - a)
-            of = np.flatnonzero(twice[np.searchsorted(hashes, block.hash)])
+                twice[a:z], hot[a:z] = (np.unpackbits(bits, count=z - a) for bits in unpack(blob))
+            mine = np.searchsorted(hashes, block.hash)
+            of = np.flatnonzero((twice & ~hot)[mine])
             number, example = block.contents(of, min_bytes)
             least = np.full(len(example), NO_ID)
             most = np.full(len(example), np.iinfo(np.int64).min)
             np.minimum.at(least, number, block.doc[of])
             np.maximum.at(most, number, block.doc[of])
-            to = np.searchsorted(splitters, _leading(block.body, block.anchor[example]), side="right")
+            to = np.searchsorted(splitters, _gram_bytes(block.body, block.anchor[example]), side="right")
             order = np.argsort(to, kind="stable")
             for b, x, y in _dealt(to[order]):
                 e, i = example[order[x:y]], order[x:y]
@@ -241,11 +276,29 @@ def _send_suffixes(min_bytes: int, buckets: int, splitters: np.ndarray):
                     text, block.count[e].astype(np.uint8), (block.anchor[e] - block.first[e]).astype(np.uint8),
                     block.first[e], least[i], most[i] - least[i],
                 ))
+            _send_windows(block, np.flatnonzero(hot[mine]), min_bytes, buckets, key[0].as_py(), out)
         return pa.table(out, schema=schema)
 
     return run
 
 
+def _send_windows(block: Block, of: np.ndarray, min_bytes: int, buckets: int, number: int, out: list[list]) -> None:
+    """Each different window of hot anchors once, to the buckets behind those of the suffixes."""
+    one, two, place, doc = block.windows(of, min_bytes)
+    order = np.lexsort((place, two, one))
+    one, two, place, doc = one[order], two[order], place[order], doc[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    at = np.flatnonzero(new)
+    if len(at):
+        least, most = np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
+        to = ((one[at] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        for b, x, y in _dealt(to):
+            out[0].append(buckets + b)
+            out[1].append(number)
+            out[2].append(pack(one[at[x:y]], two[at[x:y]], place[at[x:y]], least[x:y], most[x:y] - least[x:y]))
+
+
 def multikey(word, n: int, levels: int) -> np.ndarray:
     """Group numbers of equal strings of ``levels`` words, by multikey quicksort: ``word(level, which)`` gives a word.
 
@@ -293,10 +346,32 @@ def _window_least(text, place, count, anchor, least, gram, min_bytes) -> np.ndar
     return low[group]
 
 
-def _compare(min_bytes: int):
+def _compare_windows(rows: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The least id of each window that a block sent, where it is less than the greatest of the block."""
+    sent = [unpack(b) for b in rows.column("blob").to_pylist()]
+    one, two, place, least, spread = (np.concatenate([s[i] for s in sent]) for i in range(5))
+    source = np.repeat(np.arange(len(sent)), [len(s[0]) for s in sent])
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+    low = np.empty(len(order), np.int64)
+    low[order] = np.minimum.reduceat(least[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    useful = np.flatnonzero(low < least + spread)
+    out: list[list] = [[], [], []]
+    for s, a, b in _dealt(source[useful]):
+        i = useful[a:b][np.argsort(place[useful[a:b]])]
+        out[0].append(rows.column("block")[s].as_py())
+        out[1].append(1)
+        out[2].append(pack(np.diff(place[i], prepend=0), low[i]))
+    return pa.table(out, schema=schema)
+
+
+def _compare(min_bytes: int, buckets: int):
     schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        if key[0].as_py() >= buckets:
+            return _compare_windows(rows, schema)
         sent = [unpack(b) for b in rows.column("blob").to_pylist()]
         blocks = rows.column("block").to_pylist()
         text, count, anchor, first, least, spread = (np.concatenate([s[i] for s in sent]) for i in range(6))
@@ -384,6 +459,25 @@ def _compare(min_bytes: int):
 
 # ---------------------------------------------------------------- pass 3: cut
 
+def _mark_windows(block: Block, sent: list[list[np.ndarray]], min_bytes: int, hit: np.ndarray) -> None:
+    """Mark the windows of hot anchors that a document with a smaller id holds."""
+    place = np.concatenate([np.cumsum(s[0]) for s in sent])
+    value = np.concatenate([s[1] for s in sent])
+    # The stretch of an answered window names its anchor; all windows of that anchor may be equal to it.
+    anchors = np.unique(block.hash[np.searchsorted(block.first, place, side="right") - 1])
+    one, two, at, doc = block.windows(np.flatnonzero(np.isin(block.hash, anchors)), min_bytes)
+    order = np.lexsort((at, two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    low = np.full(int(new.sum()), NO_ID)
+    low[number[np.searchsorted(at, place)]] = value
+    repeated = at[low[number] < doc]
+    np.add.at(hit, repeated, 1)
+    np.add.at(hit, repeated + min_bytes, -1)
+
+
 def _cut(min_bytes: int, passed: list[str]):
     names = ["id", "n_bytes", "n_removed", "n_spans", "spans", "kept", *passed]
 
@@ -391,8 +485,11 @@ def _cut(min_bytes: int, passed: list[str]):
         block = Block(rows, min_bytes)
         body, starts = block.body, block.starts
         hit = np.zeros(len(body) + 1, np.int32)
-        if answers.num_rows and len(block.first):
-            sent = [unpack(b) for b in answers.column("blob").to_pylist()]
+        windows = np.array(answers.column("bucket").to_pylist(), dtype=bool)
+        if windows.any():
+            _mark_windows(block, [unpack(b) for b in answers.column("blob").filter(pa.array(windows)).to_pylist()], min_bytes, hit)
+        if not windows.all():
+            sent = [unpack(b) for b in answers.column("blob").filter(pa.array(~windows)).to_pylist()]
             begin = np.concatenate([np.cumsum(s[0]) for s in sent])
             length = np.concatenate([s[1] for s in sent]).astype(np.int64)
             value = np.concatenate([s[2] for s in sent])
@@ -448,33 +545,33 @@ def _cut(min_bytes: int, passed: list[str]):
 
 
 def _sample_splitters(docs: DataFrame, total: int, buckets: int, min_bytes: int, sample_bytes: int) -> np.ndarray:
-    """Splitters of the suffixes' leading words, from about ``sample_bytes`` of documents chosen by hash.
+    """Splitters of the anchors' bytes, from about ``sample_bytes`` of documents chosen by hash.
 
     The sample only balances the buckets; results do not depend on it.
     """
     if buckets < 2:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, f"S{GRAM}")
     share = max(1, total // sample_bytes)
 
     def leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, starts = text_bytes(batch.column(0))
             _, _, anchor, _ = stretches(body, starts, min_bytes)
-            seen = np.sort(_leading(body, anchor))
+            seen = np.sort(_gram_bytes(body, anchor))
             # At most 512 quantiles of each batch go to the driver.
             at = np.unique(np.linspace(0, len(seen) - 1, min(512, len(seen))).astype(np.int64)) if len(seen) else []
-            yield pa.RecordBatch.from_arrays([pa.array(seen[at].view(np.int64) if len(seen) else [], pa.int64())], ["word"])
+            yield pa.RecordBatch.from_arrays([pa.array(seen[at].tolist() if len(seen) else [], pa.binary())], ["word"])
 
     some = docs.where(F.pmod(F.xxhash64("id", F.lit("splitters")), F.lit(share)) == 0).select("text")
-    found = np.array([r[0] for r in some.mapInArrow(leading, "word bigint").collect()], dtype=np.int64).view(np.uint64)
+    found = np.sort(np.array([bytes(r[0]) for r in some.mapInArrow(leading, "word binary").collect()], dtype=f"S{GRAM}"))
     if not len(found):
-        return np.zeros(0, np.uint64)
-    return np.unique(np.quantile(np.sort(found), np.arange(1, buckets) / buckets, method="nearest"))
+        return found
+    return np.unique(found[np.rint(np.arange(1, buckets) / buckets * (len(found) - 1)).astype(np.int64)])
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50, block_bytes: int = 4 << 20,
-    sample_bytes: int = 4 << 20, extra: list[str] | None = None,
+    sample_bytes: int = 4 << 20, extra: list[str] | None = None, hot: int = HOT_STRETCHES,
 ) -> DataFrame:
     """Cut each byte covered by a ``min_bytes`` string that also starts in a document with a smaller id.
 
@@ -493,14 +590,14 @@ def remove_repeats(
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     blocks = max(1, total // block_bytes)
     splitters = _sample_splitters(rows, total, blocks, min_bytes, sample_bytes)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
     hashes = by_block.applyInArrow(_send_hashes(min_bytes, blocks), "bucket int, block int, blob binary")
-    twice = hashes.groupBy("bucket").applyInArrow(_repeated, "block int, bucket int, blob binary")
+    twice = hashes.groupBy("bucket").applyInArrow(_repeated(hot), "block int, bucket int, blob binary")
     suffixes = by_block.cogroup(twice.groupBy("block")).applyInArrow(
         _send_suffixes(min_bytes, blocks, splitters), "bucket int, block int, blob binary"
     )
-    answers = suffixes.groupBy("bucket").applyInArrow(_compare(min_bytes), "block int, bucket int, blob binary")
+    answers = suffixes.groupBy("bucket").applyInArrow(_compare(min_bytes, blocks), "block int, bucket int, blob binary")
     fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _cut(min_bytes, list(passed)),

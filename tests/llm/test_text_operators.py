@@ -88,6 +88,48 @@ def test_suffix_dedup_knows_the_last_repeated_stretch_of_a_block(spark):
     assert sorted([(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got], key=repr) == cut_by_hand(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 3, 20])
+@pytest.mark.parametrize("block_bytes", [2_000, 1 << 22])
+def test_suffix_dedup_parts_hot_anchors_by_windows(docs, spark, hot, block_bytes):
+    got = suffix_dedup.remove_repeats(docs, block_bytes=block_bytes, sample_bytes=1000, hot=hot).collect()
+    assert sorted([(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got], key=repr) == cut_by_hand(TEXTS)
+    footer = " All rights reserved by the makers. "
+    rows = [(i, "".join(random.choice("01") for _ in range(100)) + " x"[i % 2] + footer + "yz"[i % 2] + str(i)) for i in range(80)] + [(None, "v" + footer), (None, "v" + footer)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=block_bytes, hot=hot).collect()
+    assert sorted([(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got], key=repr) == cut_by_hand(rows)
+
+
+def test_suffix_dedup_bounds_what_a_task_compares():
+    # A phrase of 40 bytes between different bytes: no bucket of stretches may hold them all.
+    import pyarrow as pa
+
+    phrase, blocks = "the licence of this page is told below. ", 16
+    part = [pa.table({"id": range(b, 3200, blocks), "text": ["".join(random.choices("abcdefgh", k=60)) + phrase + "".join(random.choices("abcdefgh", k=60)) for _ in range(b, 3200, blocks)]}) for b in range(blocks)]
+    key = [(pa.scalar(b),) for b in range(blocks)]
+    sent = pa.concat_tables([suffix_dedup._send_hashes(50, blocks)(k, p) for k, p in zip(key, part)])
+    to = [sent.filter(pa.array([x == b for x in sent.column("bucket").to_pylist()])) for b in range(blocks)]
+    answers = pa.concat_tables([suffix_dedup._repeated(500)(t) for t in to if t.num_rows])
+    splitters = np.array([bytes([c]) * 16 for c in range(97, 97 + blocks - 1)], "S16")
+    windows = Counter()
+    for b in range(blocks):
+        mine = answers.filter(pa.array([x == b for x in answers.column("block").to_pylist()]))
+        for r in suffix_dedup._send_suffixes(50, blocks, splitters)(key[b], part[b], mine).to_pylist():
+            sizes = suffix_dedup.unpack(r["blob"])
+            windows[r["bucket"]] += int(sizes[1].sum()) if r["bucket"] < blocks else len(sizes[0])
+    assert max(windows.values()) < 3 * sum(windows.values()) / blocks
+
+
+def test_suffix_dedup_deals_a_hot_id_over_blocks(spark):
+    rows = [(None, prose(30)) for _ in range(200)]
+    done = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=3000)
+    assert {r["n_removed"] for r in done.collect()} == {0}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert done.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_suffix_dedup_of_nothing_and_text_of_cut_characters(spark, none):
     assert suffix_dedup.remove_repeats(none).collect() == []
     raw = "é日x�".encode()

@@ -7,14 +7,17 @@ that the exact checks confirm, or that is assigned to a name such as ``token`` o
 checks refuse or that nothing vouches for is negative; what labels a proposal is no feature. Scores are calibrated on
 held-out documents, and a kind's threshold is where the chosen proposals would have been right as often as asked.
 
-The trees are fitted on at most ``max_candidates`` proposals of documents chosen by hash; every document is searched.
+The trees are fitted on about ``max_candidates`` proposals chosen by hash, an equal part of each kind and label, from three
+fourths of all documents. Calibration and thresholds come from counts over all proposals of the other fourth.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,6 +36,7 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = ("contact", "number", "secret")
 LONGEST = 200
 BINS = 32
+MARGIN_BINS = 64  # to one of margin
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match begins at the beginning of a run of digits and ends at the end of one, so looking behind changes none.
@@ -217,9 +221,12 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Isotonic curve of the share of positives over the margin: edges of its steps and their shares."""
     order = np.argsort(margin, kind="stable")
     edges, first, count = np.unique(margin[order], return_index=True, return_counts=True)
-    share = np.add.reduceat(y[order].astype(np.float64), first) / count
+    return _pooled(edges, np.add.reduceat(y[order].astype(np.float64), first), count)
+
+
+def _pooled(edges: np.ndarray, positive: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     stack: list[list[float]] = []
-    for e, s, c in zip(edges, share, count):
+    for e, s, c in zip(edges, positive / count, count):
         stack.append([e, s, c])
         while len(stack) > 1 and stack[-2][1] >= stack[-1][1]:
             _, s2, c2 = stack.pop()
@@ -228,6 +235,21 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.array([s[0] for s in stack]), np.array([s[1] for s in stack])
 
 
+def threshold(bins: np.ndarray, y: np.ndarray, n: np.ndarray, right: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """From counts of held-out proposals by margin bin and label: the calibration, and the least probability from which the
+    proposals were right as often as asked (infinite where there is none, or fewer than ten positives)."""
+    if n[y == 1].sum() < 10:
+        return np.zeros(1), np.zeros(1), np.inf
+    edges, at = np.unique(bins, return_inverse=True)
+    positive, count = np.bincount(at, n * y, len(edges)), np.bincount(at, n, len(edges))
+    steps, shares = _pooled(edges / MARGIN_BINS, positive, count)
+    p = shares[np.searchsorted(steps, edges / MARGIN_BINS, side="right") - 1]
+    for t in np.unique(p):
+        if t >= 0.5 and positive[p >= t].sum() >= right * count[p >= t].sum():
+            return steps, shares, float(t)
+    return steps, shares, np.inf
+
+
 @dataclass
 class PrivateModel:
     trees: Trees = field(default_factory=Trees)
@@ -246,74 +268,87 @@ class PrivateModel:
         return out
 
 
-def _fit_task(right: float):
-    def run(rows: pa.Table) -> pa.Table:
-        x = np.array(rows.column("x").to_pylist(), dtype=np.float64)
-        y, held = rows.column("y").to_numpy().astype(np.float64), rows.column("held").to_numpy()
-        order = np.lexsort((*x.T, y, rows.column("h").to_numpy()))  # an order that no shuffle changes
-        x, y, held = x[order], y[order], held[order]
-        train = ~held
-        parts: list[np.ndarray] = []
-        if min((y[train] == 1).sum(), (y[train] == 0).sum()) >= 20:
-            trees = fit_trees(x[train], y[train])
-            parts = [trees.feature.reshape(-1), trees.cut.reshape(-1), trees.value.reshape(-1), np.array([trees.base, len(trees.value)])]
-            thresholds = np.full(len(KINDS), np.inf)
-            for k in range(len(KINDS)):
-                of = held & (x[:, 0] == k)
-                edges, shares = np.zeros(1), np.zeros(1)
-                if (y[of] == 1).sum() >= 10:
-                    margin = trees.margin(x[of])
-                    edges, shares = calibrate(margin, y[of])
-                    p = shares[np.maximum(np.searchsorted(edges, margin, side="right") - 1, 0)]
-                    # The least probability from which the held-out proposals were right as often as asked.
-                    for t in np.unique(p):
-                        if t >= 0.5 and y[of][p >= t].mean() >= right:
-                            thresholds[k] = t
-                            break
-                parts += [edges, shares]
-            parts.append(thresholds)
-        return pa.table([pa.array([pack(*parts) if parts else b""], pa.binary())], names=["model"])
-
-    return run
+def _fit_task(rows: pa.Table) -> pa.Table:
+    x, y = np.array(rows.column("x").to_pylist(), dtype=np.float64), rows.column("y").to_numpy().astype(np.float64)
+    order = np.lexsort((*x.T, y, rows.column("h").to_numpy()))  # an order that no shuffle changes
+    x, y = x[order], y[order]
+    parts: list[np.ndarray] = []
+    if min((y == 1).sum(), (y == 0).sum()) >= 20:
+        trees = fit_trees(x, y)
+        parts = [trees.feature.reshape(-1), trees.cut.reshape(-1), trees.value.reshape(-1), np.array([trees.base, len(trees.value)])]
+    return pa.table([pa.array([pack(*parts) if parts else b""], pa.binary())], names=["model"])
+
+
+def _labelled(text: str) -> list[tuple[str, str, int, int, int]]:
+    """Proposals of a text with the text that they stand in and their label."""
+    found = proposals(text)
+    base = base_spans(text) if found else {}
+    return [(text, kind, begin, end, label(text, kind, begin, end, base)) for kind, begin, end in found]
 
 
 def fit_private(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_candidates: int = 20_000, sample_docs: int = 20_000, right: float = 0.98,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_candidates: int = 20_000, right: float = 0.98,
 ) -> PrivateModel:
-    """Fit trees, calibrations and thresholds on proposals of at most about ``sample_docs`` documents chosen by hash.
+    """Fit trees on about ``max_candidates`` proposals, an equal part of each kind and label, and calibrations and thresholds
+    on counts over all proposals of the held-out fourth of the documents.
 
-    Kinds with too few positives among held-out documents get no threshold, so only the exact patterns are redacted.
+    Kinds with fewer than ten positives among all held-out documents get no threshold: only the exact patterns are redacted.
     """
     rows = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")).where("text is not null")
-    share = max(1, rows.count() // sample_docs)
-    h = F.xxhash64("id", F.lit("private"))
-    chosen = rows.select(h.alias("h"), "text").where(F.pmod("h", F.lit(share)) == 0)
+    dealt = rows.select(F.xxhash64("id", "text", F.lit("private")).alias("h"), "text")
+    held = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(4)) == 0
+    train, test = dealt.where(~held), dealt.where(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = Counter((KINDS.index(kind), y) for text in batch.column(1).to_pylist() for _, kind, _, _, y in _labelled(text))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in n], pa.int32()), pa.array([y for _, y in n], pa.int32()), pa.array(list(n.values()), pa.int64())], ["kind", "y", "n"]
+            )
+
+    counts = train.mapInArrow(count, "kind int, y int, n bigint").groupBy("kind", "y").agg(F.sum("n").alias("n")).collect()
+    part = max(1, max_candidates // (2 * len(KINDS)))
+    share = {(r["kind"], r["y"]): max(1, r["n"] // part) for r in counts}
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], []]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = proposals(text)
-                base = base_spans(text) if found else {}
-                for kind, begin, end in found:
-                    out[0].append(key)
-                    out[1].append(features(text, kind, begin, end))
-                    out[2].append(label(text, kind, begin, end, base))
+                for at, (of, kind, begin, end, y) in enumerate(_labelled(text)):
+                    draw = int.from_bytes(hashlib.blake2b(f"{key} {at}".encode(), digest_size=8).digest(), "little")
+                    if draw % share[KINDS.index(kind), y] == 0:
+                        out[0].append(key)
+                        out[1].append(features(of, kind, begin, end))
+                        out[2].append(y)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.int32())], ["h", "x", "y"]
             )
 
-    seen = chosen.mapInArrow(propose, "h bigint, x array<double>, y int")
-    order = F.xxhash64("h", "x")
-    some = seen.orderBy(order).limit(max_candidates).withColumn("held", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(4)) == 0)
-    found = some.withColumn("task", F.pmod("h", F.lit(1))).groupBy("task").applyInArrow(_fit_task(right), "model binary").collect()
+    some = train.mapInArrow(propose, "h bigint, x array<double>, y int").withColumn("task", F.pmod("h", F.lit(1)))
+    found = some.groupBy("task").applyInArrow(_fit_task, "model binary").collect()
     if not found or not found[0][0]:
         return PrivateModel()
     parts = unpack(found[0][0])
     n = int(parts[3][1])
     trees = Trees(parts[0].reshape(n, -1), parts[1].reshape(n, -1), parts[2].reshape(n, -1), float(parts[3][0]))
-    k = len(KINDS)
-    return PrivateModel(trees, [parts[4 + 2 * i] for i in range(k)], [parts[5 + 2 * i] for i in range(k)], parts[4 + 2 * k])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(features(of, kind, begin, end), y) for text in batch.column(1).to_pylist() for of, kind, begin, end, y in _labelled(text)]
+            x = np.array([f for f, _ in found], dtype=np.float64)
+            bins = np.floor(trees.margin(x) * MARGIN_BINS).astype(np.int64) if found else []
+            n = Counter((int(f[0]), int(b), y) for (f, y), b in zip(found, bins))
+            kind, at, y = (list(c) for c in zip(*n)) if n else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind, pa.int32()), pa.array(at, pa.int64()), pa.array(y, pa.int32()), pa.array(list(n.values()), pa.int64())], ["kind", "bin", "y", "n"]
+            )
+
+    seen = test.mapInArrow(judge, "kind int, bin bigint, y int, n bigint").groupBy("kind", "bin", "y").agg(F.sum("n").alias("n")).collect()
+    model = PrivateModel(trees, [np.zeros(1)] * len(KINDS), [np.zeros(1)] * len(KINDS), np.full(len(KINDS), np.inf))
+    for k in range(len(KINDS)):
+        of = np.array([(r["bin"], r["y"], r["n"]) for r in seen if r["kind"] == k], dtype=np.float64).reshape(-1, 3)
+        model.edges[k], model.shares[k], model.thresholds[k] = threshold(of[:, 0], of[:, 1], of[:, 2], right)
+    return model
 
 
 def private_spans(texts: list[str | None], model: PrivateModel) -> list[list[tuple[str, int, int]]]:

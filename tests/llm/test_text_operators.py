@@ -364,6 +364,22 @@ def test_trees_calibration_and_redaction(spark, none):
     assert [r["text"] for r in private_data.redact(nulls, few).orderBy(F.asc_nulls_last("doc_id")).collect()] == [None, "", "[EMAIL]"]
 
 
+def test_rare_secrets_get_a_threshold_among_many_numbers(spark):
+    # Proposals of numbers use up any sample of all kinds; one document in forty holds a secret.
+    rng = random.Random(8)
+    rows = []
+    for i in range(4000):
+        numbers = " ".join(str(rng.randint(10**6, 10**9)) + "," for _ in range(8))
+        secret = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        rows.append((i, f'{numbers} token = "{secret}" end' if i % 40 == 0 else f"{numbers} plain item{i}abcdefghij end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = private_data.fit_private(df, max_candidates=1200)
+    assert np.isfinite(model.thresholds[private_data.KINDS.index("secret")])
+    out = {r["doc_id"]: r["text"] for r in private_data.redact(df, model).collect()}
+    assert sum("[SECRET]" in out[i] for i in range(0, 4000, 40)) >= 95
+    assert not any("[SECRET]" in out[i] for i in range(4000) if i % 40)
+
+
 def test_cotraining_holds_out_of_sample(spark, sf, none):
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/documents.parquet")
     labels = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/labels.parquet")

@@ -2,9 +2,11 @@
 
 Four kinds follow fixed patterns and checks and are always redacted. Beyond them generators propose overlapping spans
 with high recall: anything around an ``@`` or a spelled-out one, runs of digits with separators, and strings that mix
-digits and letters. Boosted trees score each proposal by its format and context. They learn from the corpus: a proposal
-that the exact checks confirm, or that is assigned to a name such as ``token`` or ``password``, is positive, one that the
-checks refuse or that nothing vouches for is negative; what labels a proposal is no feature. Scores are calibrated on
+digits and letters. Boosted trees score each proposal by its format and context. They learn from the corpus what the
+patterns do not match: exact addresses are also shown spelled out, exact phone numbers without their plus, and addresses cut
+to one name as what is none. A spelled-out address is positive where the address it spells passes the exact check, a number
+without plus where it reads as a phone number after a word for phones, a secret after a name such as ``token``; the words that
+label are no feature. Numbers with separators that may be phone numbers, without such a word, are left out as unknown. Scores are calibrated on
 held-out documents, and a kind's threshold is where the chosen proposals would have been right as often as asked.
 
 The trees are fitted on about ``max_candidates`` proposals chosen by hash, an equal part of each kind and label, from three
@@ -47,6 +49,10 @@ _DIGIT = re.compile("[0-9]")
 _DIGITS = re.compile("[0-9]++")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().:/-]{0,3}[0-9]){5,40}+")
 _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s?[\[({]\s?(?:at|@)\s?[\])}]\s?[A-Za-z0-9.-]{1,64}", re.I)
+_SPELLED_PARTS = re.compile(r"([A-Za-z0-9._%+-]{1,64})\s?[\[({]\s?(?:at|@)\s?[\])}]\s?([A-Za-z0-9.-]{1,64})", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_FORMS = (" (at) ", "(at)", " [at] ", "[at]", " {at} ", "(@)")
+_CALL = re.compile(r"(?<![A-Za-z])(?:tele)?(?:phone|tel|mobile|cell|fax|call|dial|whatsapp)\.?\s?(?:(?:number|no|us|me|at|on|is)\b\.?\s?){0,2}[:=]?\s?$", re.I)
 _TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/=-")
 _CUE = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|auth|bearer)\w*\s*(?:is\s*)?[=:]?\s*[\"'`]?$", re.I)
 
@@ -137,7 +143,6 @@ def features(text: str, kind: str, begin: int, end: int) -> list[float]:
     counts = np.unique(np.frombuffer(s.encode("utf-32-le"), np.uint32), return_counts=True)[1] / max(n, 1)
     groups = [len(g) for g in _DIGITS.findall(s)] or [0]
     before, after = text[max(0, begin - 24):begin], text[end:end + 12]
-    previous = before.split()[-1].lower().strip(".,;:\"'") if before.split() else ""
     switches = sum(a.isdigit() != b.isdigit() for a, b in zip(s, s[1:]))
     hexadecimal = all(c in "0123456789abcdefABCDEF" for c in s)
     return [
@@ -146,16 +151,55 @@ def features(text: str, kind: str, begin: int, end: int) -> list[float]:
         switches / max(n, 1), float(hexadecimal), float(s[:1] == "+"),
         float(before[-1:].isspace()), float(before[-1:] in ("\"", "'", "`") and before != ""), float("=" in before[-4:]), float(":" in before[-4:]),
         float(after[:1].isspace()), float(after[:1] in ("\"", "'", "`") and after != ""), float(after[:1].isalnum()),
-        float(_DIGIT.search(before[-6:]) is not None), float(_DIGIT.search(after[:6]) is not None), zlib.crc32(previous.encode()) % 64,
+        float(_DIGIT.search(before[-6:]) is not None), float(_DIGIT.search(after[:6]) is not None),
     ]
 
 
-def label(text: str, kind: str, begin: int, end: int, base: dict[str, list[tuple[int, int]]]) -> int:
-    """1 where an exact check confirms most of the proposal or a name of secrets stands before it, else 0."""
+def label(text: str, kind: str, begin: int, end: int) -> int | None:
+    """1 for what its own form or a word before it confirms, 0 for what is none, None where neither can be told."""
+    s = text[begin:end]
     if kind == "secret":
         return int(_CUE.search(text[max(0, begin - 40):begin]) is not None)
-    of = ("email",) if kind == "contact" else ("ip", "card", "phone")
-    return int(any(min(end, e) - max(begin, b) >= 0.8 * (end - begin) for k in of for b, e in base[k]))
+    if kind == "contact":
+        parts = _SPELLED_PARTS.fullmatch(s)
+        return int(parts is not None and _HOST.fullmatch(parts[2].rstrip(".-")) is not None)
+    if s[0] == "+" or not _PHONE.fullmatch("+" + s.lstrip("(")) or not 9 <= sum(map(len, _DIGITS.findall(s))) <= 15:
+        return 0
+    if _CALL.search(text[max(0, begin - 30):begin]):
+        return 1
+    return 0 if s.isdigit() else None
+
+
+def labelled(text: str) -> list[tuple[str, str, int, int, int]]:
+    """Proposals with a label, and the text that they stand in: those of ``text`` that the trees decide on, and its exact
+    addresses and phone numbers in forms that no pattern matches."""
+    found = proposals(text)
+    base = base_spans(text) if found else {}
+    taken = sorted(s for spans in base.values() for s in spans)
+    out = []
+    for kind, begin, end in found:
+        if kind == "secret" or all(end <= b or begin >= e for b, e in taken):
+            y = label(text, kind, begin, end)
+            if y is not None:
+                out.append((text, kind, begin, end, y))
+
+    def rewritten(kind: str, begin: int, end: int, new: str, y: int) -> None:
+        before, after = text[max(0, begin - 24):begin], text[end:end + 12]
+        whole, stop = before + new + after, len(before) + len(new)
+        for k, b, e in proposals(whole):
+            if k == kind and min(e, stop) - max(b, len(before)) >= 0.8 * max(e - b, len(new)):
+                out.append((whole, kind, b, e, y))
+
+    for begin, end in base.get("email", ()):
+        local, host = text[begin:end].split("@")
+        form = _FORMS[zlib.crc32(text[begin:end].encode()) % len(_FORMS)]
+        if _HOST.fullmatch(host):
+            rewritten("contact", begin, end, local + form + host, 1)
+        rewritten("contact", begin, end, local + form + host.split(".")[0], 0)
+        rewritten("contact", begin, end, local + "@" + host.split(".")[0], 0)
+    for begin, end in base.get("phone", ()):
+        rewritten("number", begin, end, text[begin + 1:end], 1)
+    return out
 
 
 # ---------------------------------------------------------------- boosted trees
@@ -279,13 +323,6 @@ def _fit_task(rows: pa.Table) -> pa.Table:
     return pa.table([pa.array([pack(*parts) if parts else b""], pa.binary())], names=["model"])
 
 
-def _labelled(text: str) -> list[tuple[str, str, int, int, int]]:
-    """Proposals of a text with the text that they stand in and their label."""
-    found = proposals(text)
-    base = base_spans(text) if found else {}
-    return [(text, kind, begin, end, label(text, kind, begin, end, base)) for kind, begin, end in found]
-
-
 def fit_private(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_candidates: int = 20_000, right: float = 0.98,
 ) -> PrivateModel:
@@ -301,7 +338,7 @@ def fit_private(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = Counter((KINDS.index(kind), y) for text in batch.column(1).to_pylist() for _, kind, _, _, y in _labelled(text))
+            n = Counter((KINDS.index(kind), y) for text in batch.column(1).to_pylist() for _, kind, _, _, y in labelled(text))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in n], pa.int32()), pa.array([y for _, y in n], pa.int32()), pa.array(list(n.values()), pa.int64())], ["kind", "y", "n"]
             )
@@ -314,7 +351,7 @@ def fit_private(
         for batch in batches:
             out: list[list] = [[], [], []]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for at, (of, kind, begin, end, y) in enumerate(_labelled(text)):
+                for at, (of, kind, begin, end, y) in enumerate(labelled(text)):
                     draw = int.from_bytes(hashlib.blake2b(f"{key} {at}".encode(), digest_size=8).digest(), "little")
                     if draw % share[KINDS.index(kind), y] == 0:
                         out[0].append(key)
@@ -334,7 +371,7 @@ def fit_private(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(features(of, kind, begin, end), y) for text in batch.column(1).to_pylist() for of, kind, begin, end, y in _labelled(text)]
+            found = [(features(of, kind, begin, end), y) for text in batch.column(1).to_pylist() for of, kind, begin, end, y in labelled(text)]
             x = np.array([f for f, _ in found], dtype=np.float64)
             bins = np.floor(trees.margin(x) * MARGIN_BINS).astype(np.int64) if found else []
             n = Counter((int(f[0]), int(b), y) for (f, y), b in zip(found, bins))
@@ -352,7 +389,8 @@ def fit_private(
 
 
 def private_spans(texts: list[str | None], model: PrivateModel) -> list[list[tuple[str, int, int]]]:
-    """All spans of each text by kind, then place: the exact ones, and chosen proposals that overlap none chosen before."""
+    """All spans of each text by kind, then place: the exact ones, and chosen proposals that overlap none chosen before. A
+    chosen secret takes the whole run of its characters, whatever else matches inside."""
     base = [base_spans(t) if t else {k: [] for k in BASE} for t in texts]
     chosen: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     if np.isfinite(model.thresholds).any():
@@ -365,7 +403,15 @@ def private_spans(texts: list[str | None], model: PrivateModel) -> list[list[tup
             # The surest first, of equally sure ones the longest.
             for j in sorted(good.tolist(), key=lambda j: (found[j][0], -p[j], found[j][2] - found[j][3], found[j][2], found[j][1])):
                 i, kind, begin, end = found[j]
-                if all(end <= b or begin >= e for b, e in taken[i]):
+                if kind == "secret":
+                    if any(k == kind and b < end and begin < e for k, b, e in chosen[i]):
+                        continue
+                    text = texts[i]
+                    while begin > 0 and text[begin - 1] in _TOKEN:
+                        begin -= 1
+                    while end < len(text) and text[end] in _TOKEN:
+                        end += 1
+                if kind == "secret" or all(end <= b or begin >= e for b, e in taken[i]):
                     taken[i].append((begin, end))
                     chosen[i].append((kind, begin, end))
     out = []

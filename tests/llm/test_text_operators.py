@@ -380,6 +380,27 @@ def test_rare_secrets_get_a_threshold_among_many_numbers(spark):
     assert not any("[SECRET]" in out[i] for i in range(4000) if i % 40)
 
 
+def test_trees_find_what_the_patterns_do_not(spark):
+    rng = random.Random(9)
+    number = lambda: f"{rng.randint(20, 99)} {rng.randint(100, 999)} {rng.randint(1000, 9999)}-{rng.randint(10, 99)}"
+    rows = []
+    for i in range(2000):
+        name, host = rng.choice(["ann", "j.doe", "sales"]) + str(rng.randint(1, 99)), f"mail{rng.randint(1, 9)}.example.com"
+        rows.append((i, [
+            f"words of {name}@{host} and +{number()} end, dated {rng.randint(10**5, 10**8)} so",
+            f"words of {name} (at) {host} and {number()} end, dated {rng.randint(10**5, 10**8)} so",
+            f"we meet (at) noon, dated {rng.randint(10**5, 10**8)} or {rng.randint(10**15, 10**16)} so",
+            'a token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(300)) + '" there',
+        ][i % 4]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = private_data.fit_private(df)
+    out = {r["doc_id"]: r["text"] for r in private_data.redact(df, model).collect()}
+    assert sum("[CONTACT]" in out[i] for i in range(1, 2000, 4)) >= 490 and sum("[NUMBER]" in out[i] for i in range(1, 2000, 4)) >= 490
+    assert sum("[CONTACT]" in out[i] or "[NUMBER]" in out[i] for i in range(2, 2000, 4)) <= 10
+    # A run longer than a proposal goes as a whole.
+    assert sum(re.search("[0-9a-f]{12}", out[i]) is None for i in range(3, 2000, 4)) >= 490
+
+
 def test_cotraining_holds_out_of_sample(spark, sf, none):
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/documents.parquet")
     labels = spark.read.parquet(f"{sf.replace('0.001', '0.1')}/labels.parquet")

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    bpe_tokens, chat_windows, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
+    bpe_tokens, chat_windows, conversation_trie, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
 )
 from rowloom.llm.common import table
+from rowloom.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -222,3 +223,56 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = bpe_tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+TRIE_SQL = r"""
+WITH given AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+    4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM given)
+), leads AS (
+  SELECT ids.conv_id, base, h, count(g.place) AS k FROM ids LEFT JOIN given g ON g.conv_id = base AND g.place <= h GROUP BY ALL
+), rebuilt AS (
+  SELECT c.conv_id, g.place, role, text FROM leads c JOIN given g ON g.conv_id = c.base AND g.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, g.place - c.h + c.k, role, text FROM leads c JOIN given g ON g.conv_id = c.conv_id AND g.place > c.h
+), paths AS (
+  SELECT conv_id, place AS depth, length(text) AS points,
+    sha256(string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY place)) AS path
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, 'root' FROM ids
+), ended AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM paths
+), nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(points) AS points, bool_and(ends) AS leaf,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM ended GROUP BY depth, path
+), parents AS (
+  SELECT n.depth, n.path, p.path AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+  SELECT depth - 1 AS depth, parent AS path, count(*) AS n_children FROM parents GROUP BY ALL
+), below AS (
+  SELECT a.depth, a.path, sum((n.n_convs - 1) * n.points) AS saved_tokens, count(*) FILTER (WHERE n.leaf) AS n_leaves
+  FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.depth, a.path
+)
+SELECT n.conv_id, n.depth, t.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+  CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.depth = n.depth AND b.path = n.path
+LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path
+LEFT JOIN parents p ON p.depth = n.depth AND p.path = n.path
+LEFT JOIN nodes t ON t.depth = n.depth - 1 AND t.path = p.parent
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt to begin with turns that its hundred share."""
+    turns = durable(conversation_trie.placed_turns(table(spark, sf_dir, "conversations")))
+    return conversation_trie.prefix_trie(*conversation_trie.with_shared_openings(turns))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    bpe_tokens, chat_windows, conversation_trie, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
+    bpe_tokens, chat_windows, collocations, conversation_trie, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
 )
 from rowloom.llm.common import table
 from rowloom.session import durable
@@ -276,3 +276,40 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations, each rebuilt to begin with turns that its hundred share."""
     turns = durable(conversation_trie.placed_turns(table(spark, sf_dir, "conversations")))
     return conversation_trie.prefix_trie(*conversation_trie.with_shared_openings(turns))
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM documents
+), parted AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM parted GROUP BY lang
+), phrases AS (
+  SELECT lang, m, w[i:i + m - 1] AS p, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM parted, (SELECT unnest(range(1, 6)) AS m))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.m, c.p, c.f AS a, t.n, h.f AS l, g.f AS r, h.m AS k,
+    CAST((CAST(1000 AS HUGEINT) * c.f * t.n) // (CAST(h.f AS HUGEINT) * g.f) AS BIGINT) AS score
+  FROM phrases c JOIN totals t USING (lang) JOIN phrases h ON h.lang = c.lang AND h.m < c.m AND h.p = c.p[1:h.m]
+  JOIN phrases g ON g.lang = c.lang AND g.m = c.m - h.m AND g.p = c.p[h.m + 1:c.m]
+  WHERE c.m > 1
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), absorbed AS (
+  SELECT DISTINCT s.lang, s.p FROM best s JOIN best g ON g.lang = s.lang AND g.m > s.m AND 100 * g.a >= 100 * s.a
+    AND list_contains(list_transform(range(1, g.m - s.m + 2), lambda i: g.p[i:i + s.m - 1]), s.p)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+  array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM best b WHERE NOT EXISTS (SELECT 1 FROM absorbed x WHERE x.lang = b.lang AND x.p = b.p)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), min_count=100, most_words=5, top=2000, absorb_percent=100)

@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import _LOWER, CHUNK_BYTES, mix, quoted, row_chunks, runs, span_hashes, text_bytes
+from rowloom.llm.common import _LOWER, mix, quoted, runs, span_hashes, span_strings, text_bytes, text_parts
 from rowloom.operators.sizing import lookup
 from rowloom.session import durable, shared_path
 
@@ -45,51 +45,6 @@ _BLANK[[32, 9]] = True
 _IN_WORD = ~(_SEPARATES | _BLANK)
 
 
-def _next_cut(body: np.ndarray, begin: int, end: int, ahead: int) -> tuple[int, int]:
-    """Where a part of a long text that begins at ``begin`` ends, and how far it must be read.
-
-    It ends behind a separator where one is near; else behind a blank, and is read ``ahead`` words further. A word is
-    never cut.
-    """
-    stop = min(end, begin + CHUNK_BYTES)
-    if stop == end:
-        return end, end
-    cut = np.flatnonzero(_SEPARATES[body[begin:stop]])
-    if len(cut):
-        return begin + int(cut[-1]) + 1, begin + int(cut[-1]) + 1
-    cut = np.flatnonzero(_BLANK[body[begin:stop]])
-    if len(cut):
-        stop = begin + int(cut[-1]) + 1
-    else:
-        while stop < end and _IN_WORD[body[stop]]:
-            some = np.flatnonzero(~_IN_WORD[body[stop:stop + CHUNK_BYTES]])
-            stop = stop + int(some[0]) if len(some) else min(end, stop + CHUNK_BYTES)
-    reach = 1 << 12
-    while True:
-        look = min(end, stop + reach)
-        inside = _IN_WORD[body[stop:look]]
-        ends = np.flatnonzero(inside[:-1] & ~inside[1:]) if len(inside) else inside
-        if len(ends) >= ahead:
-            return stop, stop + int(ends[ahead - 1]) + 1
-        if look == end:
-            return stop, end
-        reach *= 4
-
-
-def _parts(body: np.ndarray, starts: np.ndarray, ahead: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """Ranges of rows of bounded size as (first row, bytes, starts, bytes of which words are its own); long rows are
-    parted, with ``ahead`` words of the next part."""
-    for i, j in row_chunks(starts):
-        a, b = int(starts[i]), int(starts[j])
-        if b - a <= 2 * CHUNK_BYTES:
-            yield i, body[a:b], starts[i:j + 1] - a, b - a
-            continue
-        while a < b:
-            stop, look = _next_cut(body, a, b, ahead)
-            yield i, body[a:look], np.array([0, look - a]), stop - a
-            a = stop
-
-
 def _lang_salts(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     """A 64-bit salt of each row's language, and the language; null is ``und``."""
     names = ["und" if v is None else v for v in column.to_pylist()]
@@ -102,7 +57,7 @@ def _scan(batches: Iterator[pa.RecordBatch], ahead: int):
     for batch in batches:
         body, starts = text_bytes(batch.column(1))
         salts, names = _lang_salts(batch.column(0))
-        for first, part, at, own_bytes in _parts(body, starts, ahead):
+        for first, part, at, own_bytes, _, _ in text_parts(body, starts, _SEPARATES, _BLANK, ahead):
             lowered = _LOWER[part]
             begin, end, rows_at = runs(lowered, at, _IN_WORD)
             if not len(begin):
@@ -116,21 +71,13 @@ def _scan(batches: Iterator[pa.RecordBatch], ahead: int):
             yield lowered, begin, end, key, joined, int(np.searchsorted(begin, own_bytes)), row, names
 
 
-def _spans(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The spans as an Arrow column of strings, without a loop over them."""
-    at = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
-    data = body[np.repeat(begin - at[:-1], end - begin) + np.arange(at[-1])]
-    return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(at), pa.py_buffer(data)).cast(pa.string())
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for body, begin, end, key, _, own, row, names in _scan(batches, 0):
         word, at, count = np.unique(key[:own], return_index=True, return_counts=True)
-        # In pieces, since a column of strings is limited in bytes.
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(word.view(np.int64)), pa.array([names[r] for r in row[at].tolist()], pa.string()),
-                _spans(body, begin[at], end[at]), pa.array(count.astype(np.int64)),
+                span_strings(body, begin[at], end[at]), pa.array(count.astype(np.int64)),
             ],
             names=["key", "lang", "word", "n"],
         )
@@ -242,49 +189,85 @@ def _suffixes(rows: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray, mos
     return rows.mapInArrow(run, ", ".join(f"w{i + 1} bigint" for i in range(most_words)) + ", n bigint")
 
 
+def _prefix_keys(columns: list[np.ndarray], heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The key and length of the prefix that each suffix is partitioned by, and whether that prefix is itself too heavy.
+
+    ``heavy`` holds, per length, the sorted keys of the prefixes that are extended by a further word.
+    """
+    key, long = mix(columns[0].copy()), np.ones(len(columns[0]), dtype=np.int64)
+    alive = np.ones(len(key), dtype=bool)
+    for level, words in enumerate(columns):
+        if level:
+            key = np.where(alive, mix(key * np.uint64(3) + words), key)
+            long += alive
+        if level == len(heavy):
+            return key, long, alive
+        place = np.minimum(np.searchsorted(heavy[level], key), len(heavy[level]) - 1)
+        alive &= heavy[level][place] == key
+    return key, long + alive, alive
+
+
+def _words_of(batch: pa.RecordBatch, most_words: int) -> list[np.ndarray]:
+    return [batch.column(i).to_numpy().view(np.uint64) for i in range(most_words)]
+
+
 def _grouped(suffixes: DataFrame, most_words: int, group_rows: int) -> DataFrame:
     """Add ``long``, the words of the prefix that a suffix is partitioned by, and its ``group``.
 
-    A prefix with more rows than the budget is extended by a word. Heavy prefixes of a length are at most rows / budget;
-    the budget grows so that these are never more than ``MOST_HEAVY``. Equal whole suffixes that exceed it become one row.
+    A prefix with more rows than the budget is extended by a word; the keys of such prefixes, at most rows / budget of a
+    length, travel to the tasks, and the budget grows so that these are never more than ``MOST_HEAVY``. Equal whole
+    suffixes that exceed it are dealt over groups, since their counts add up. Then cells of prefixes, in the order of
+    their keys, are closed to a group whenever the budget is reached.
     """
-    w = [f"w{i + 1}" for i in range(most_words)]
     n = suffixes.count()
     budget = max(group_rows, n // MOST_HEAVY)
-    marked, some = suffixes.withColumn("long", F.lit(1)), suffixes
-    for level in range(1, most_words + 1):
-        found = durable(some.groupBy(*w[:level]).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > budget).select(*w[:level]))
-        if not found.take(1):
+    heavy: list[np.ndarray] = []
+    for _ in range(most_words):
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key, _, alive = _prefix_keys(_words_of(batch, most_words), heavy)
+                found, rows = np.unique(key[alive], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(rows)], names=["key", "rows"])
+
+        counted = suffixes.mapInArrow(count, "key bigint, rows bigint").groupBy("key").agg(F.sum("rows").alias("rows"))
+        found = counted.where(F.col("rows") > budget).select("key").toPandas()["key"].to_numpy(dtype=np.int64).view(np.uint64)
+        if not len(found):
             break
-        small = F.broadcast(found.withColumn("heavy", F.lit(True)))
-        if level == most_words:
-            same = marked.join(small, w, "left")
-            once = same.where("heavy").groupBy(*w, "long").agg(F.sum("n").alias("n")).select(*marked.columns)
-            marked = same.where("heavy IS NULL").drop("heavy").unionByName(once)
-        else:
-            marked = marked.join(small, w[:level], "left").withColumn("long", F.when(F.col("heavy"), level + 1).otherwise(F.col("long"))).drop("heavy")
-            some = some.join(F.broadcast(found), w[:level], "left_semi")
-    key = F.xxhash64(w[0])
-    for level in range(2, most_words + 1):
-        key = F.when(F.col("long") == level, F.xxhash64(*w[:level])).otherwise(key)
+        heavy.append(np.sort(found))
     bits = 4
     while 1 << bits < min(MOST_CELLS, 16 * n // budget):
         bits += 1
-    celled = marked.withColumn("cell", F.shiftrightunsigned(key, 64 - bits))
-    sizes = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).toPandas()
+
+    def cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        key, long, alive = _prefix_keys(_words_of(batch, most_words), heavy)
+        if len(heavy) == most_words:
+            key = np.where(alive, mix(key + np.arange(len(key), dtype=np.uint64)), key)
+        return (key >> np.uint64(64 - bits)).astype(np.int64), long
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.zeros(1 << bits, dtype=np.int64)
+        for batch in batches:
+            rows += np.bincount(cells(batch)[0], minlength=len(rows))
+        some = np.flatnonzero(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows[some])], names=["cell", "rows"])
+
+    sizes = suffixes.mapInArrow(measure, "cell bigint, rows bigint").groupBy("cell").agg(F.sum("rows").alias("rows")).toPandas()
     rows = np.zeros(1 << bits, dtype=np.int64)
     rows[sizes["cell"].to_numpy(dtype=np.int64)] = sizes["rows"].to_numpy(dtype=np.int64)
-    # Cells in order, closed to a group whenever the budget is reached.
     group, filled, number = np.zeros(len(rows), dtype=np.int64), 0, 0
     for cell, size in enumerate(rows.tolist()):
         if filled and filled + size > budget:
             number, filled = number + 1, 0
         group[cell], filled = number, filled + size
-    spark = suffixes.sparkSession
-    table = spark.createDataFrame(
-        pa.table({"cell": pa.array(np.arange(len(rows))), "group": pa.array(group)})
-    )
-    return celled.join(F.broadcast(table), "cell").drop("cell")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, long = cells(batch)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(long), pa.array(group[cell])], names=[*batch.schema.names, "long", "group"]
+            )
+
+    return suffixes.mapInArrow(deal, ", ".join(f"{c} bigint" for c in [*suffixes.columns, "long", "group"]))
 
 
 def _subtree(most_words: int, min_count: int):

@@ -78,6 +78,63 @@ def row_chunks(starts: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[in
         i = j
 
 
+def _next_cut(body: np.ndarray, begin: int, end: int, separates: np.ndarray, blank: np.ndarray, ahead: int) -> tuple[int, int]:
+    """Where a part of a long text that begins at ``begin`` ends, and how far it must be read.
+
+    It ends behind a separator where one is near; else behind a blank, and is read ``ahead`` words further. A word is
+    never cut.
+    """
+    stop = min(end, begin + CHUNK_BYTES)
+    if stop == end:
+        return end, end
+    cut = np.flatnonzero(separates[body[begin:stop]])
+    if len(cut):
+        return begin + int(cut[-1]) + 1, begin + int(cut[-1]) + 1
+    within = ~(separates | blank)
+    cut = np.flatnonzero(blank[body[begin:stop]])
+    if len(cut):
+        stop = begin + int(cut[-1]) + 1
+    else:
+        while stop < end and within[body[stop]]:
+            some = np.flatnonzero(~within[body[stop:min(end, stop + CHUNK_BYTES)]])
+            stop = stop + int(some[0]) if len(some) else min(end, stop + CHUNK_BYTES)
+    reach = 1 << 12
+    while ahead and stop < end:
+        look = min(end, stop + reach)
+        inside = within[body[stop:look]]
+        ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+        if len(ends) >= ahead:
+            return stop, stop + int(ends[ahead - 1]) + 1
+        if look == end:
+            return stop, end
+        reach *= 4
+    return stop, stop
+
+
+def text_parts(
+    body: np.ndarray, starts: np.ndarray, separates: np.ndarray, blank: np.ndarray, ahead: int = 0
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, bool, bool]]:
+    """Ranges of rows of bounded size: (first row, bytes, starts, bytes of which words are its own, whether its rows begin
+    in it, whether they end in it). Long rows are parted between words, each part with ``ahead`` words of the next."""
+    for i, j in row_chunks(starts, CHUNK_BYTES):
+        a, b = int(starts[i]), int(starts[j])
+        if j - i > 1 or b - a <= 2 * CHUNK_BYTES:
+            yield i, body[a:b], starts[i:j + 1] - a, b - a, True, True
+            continue
+        begin = a
+        while a < b:
+            stop, look = _next_cut(body, a, b, separates, blank, ahead)
+            yield i, body[a:look], np.array([0, look - a]), stop - a, a == begin, stop == b
+            a = stop
+
+
+def span_strings(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The spans as an Arrow column of strings, without a loop over them."""
+    at = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
+    data = body[np.repeat(begin - at[:-1], end - begin) + np.arange(at[-1])]
+    return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(at), pa.py_buffer(data)).cast(pa.string())
+
+
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

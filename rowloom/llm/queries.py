@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    bpe_tokens, chat_windows, collocations, conversation_trie, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
+    attention_lm, bpe_tokens, chat_windows, collocations, conversation_trie, fingerprints, neighbour_graph, ngram_join, packing, private_data, quality, sentence_pieces, suffix_dedup,
 )
 from rowloom.llm.common import table
 from rowloom.session import durable
@@ -313,3 +313,16 @@ QUALIFY rank <= 2000
 @query("op12_collocations", PHRASES_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), min_count=100, most_words=5, top=2000, absorb_percent=100)
+
+
+@query("op13_attention_scores")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by what those outside the held-out fold teach."""
+    docs = table(spark, sf_dir, "documents")
+    apart = attention_lm.held_out(F.col("doc_id"))
+    model = attention_lm.fit_language_model(docs.where(~apart).select("text"), public_tokenizers.path(BYTE_BPE))
+    scored = attention_lm.score_texts(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), attention_lm.held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )

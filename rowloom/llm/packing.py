@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.bpe_tokens import vocabulary
+from rowloom.llm.bpe_parts import part_table
 from rowloom.llm.common import quoted
 from rowloom.session import durable
 
@@ -190,20 +190,23 @@ def token_pieces(
     longer are cut so that all pieces but the first are full. Null and empty texts are one piece that holds ``end_id``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        last = np.uint32(end_id).astype("<u4").tobytes()
+        words = part_table(path)
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = (words.encode(text) if text else b"") + last
-                n = len(raw) // 4
-                pieces = -(-n // capacity)
-                start, stop = 0, n - capacity * (pieces - 1)
-                for piece in range(pieces):
-                    ids = raw[4 * start:4 * stop]
-                    for column, value in zip(out, (key, piece, start, stop - start, zlib.crc32(ids), ids)):
-                        column.append(value)
-                    start, stop = stop, stop + capacity
+            keys = batch.column(0).to_pylist()
+            for first, ids, at in words.encode(batch.column(1)):
+                raw = memoryview(ids).cast("B")
+                for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist()), first):
+                    # The end follows the row's own identifiers: its place in ``ids`` is kept free for it.
+                    ids[b - 1] = end_id
+                    n = b - a
+                    pieces = -(-n // capacity)
+                    start, stop = 0, n - capacity * (pieces - 1)
+                    for piece in range(pieces):
+                        here = raw[4 * (a + start):4 * (a + stop)]
+                        for column, value in zip(out, (keys[row], piece, start, stop - start, zlib.crc32(here), bytes(here) if with_ids else None)):
+                            column.append(value)
+                        start, stop = stop, stop + capacity
             arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:5])]
             names = ["id", "piece", "start", "length", "ids_crc32"]
             if with_ids:

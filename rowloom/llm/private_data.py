@@ -89,7 +89,8 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
         out["email"] = _emails(text)
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            # A part may have thousands of leading zeros, so only what is left without them is read as a number.
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m.group().split("."))):
                 out["ip"].append(m.span())
         for m in _CARD.finditer(text):
             digits = "".join(_DIGITS.findall(m.group()))

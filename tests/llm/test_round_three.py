@@ -298,3 +298,34 @@ def test_long_text_keeps_its_tokens_over_its_parts(spark, monkeypatch):
         assert (a["id"], a["n_tokens"], a["n_known"]) == (b["id"], b["n_tokens"], b["n_known"])
         assert abs(a["base_score"] - b["base_score"]) < 1e-6
         assert abs(a["score"] - b["score"]) < 0.05 * abs(a["score"]) + 0.5
+
+
+# ---- mended operators
+
+def test_parts_give_the_identifiers_of_the_library(monkeypatch):
+    """Blanks, line ends, white space beyond ASCII, special strings, repeated and empty texts; a table that is often emptied."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from rowloom.llm import bpe_parts
+
+    draw = random.Random(1)
+    pieces = ["a", "B", " ", "  ", "\n", "\t", "é", "日", " ", "　", " ", "\x1c", "\x85", ".", "'s", "1", "<|endoftext|>", "𝄞", " the", " of", "ã\xa0"]
+    docs = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 30))) for _ in range(3000)] + ["", None, " ", "a", "a ", "x" * 50_000]
+    monkeypatch.setattr(bpe_parts, "STRETCH_BYTES", 3000)
+    monkeypatch.setattr(bpe_parts, "MOST_PARTS", 500)
+    table = bpe_parts.PartTable(bpe_parts.vocabulary(PATH))
+    got = [ids[a:b - 1].tolist() for _, ids, at in table.encode(pa.array(docs)) for a, b in zip(at[:-1], at[1:])]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch([d or "" for d in docs], add_special_tokens=False)]
+    assert got == want
+
+
+def test_addresses_with_thousands_of_zeros():
+    from rowloom.llm.private_data import base_spans
+
+    long = "0" * 5000 + ".1.1.1"
+    assert base_spans(long)["ip"] == [(0, len(long))]
+    assert base_spans("0" * 5000 + "256.1.1.1")["ip"] == []
+    assert base_spans("9" * 5000 + ".1.1.1")["ip"] == []
+    assert base_spans("000.0.00.255")["ip"] == [(0, 12)]

@@ -1,14 +1,30 @@
-"""Probability calibration, one class against the rest, on held-out long probabilities."""
+"""Probability calibration, one class against the rest, on held-out long probabilities.
+
+A monotone curve is pooled in slices of its scores first, each slice by itself, then over the blocks of neighbouring
+slices, until a curve is one run of blocks. The curve stays a table; a row finds its block by a running count of the
+blocks that begin at or below its score.
+"""
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowloom.operators.ranking import running_totals
+from rowloom.operators.sizing import lookup
+from rowloom.session import durable
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIN_ROWS = 200
+SLICES_AT_ONCE = 16
 
 
 def _pooled(held: DataFrame, model: str, c: int) -> DataFrame:
@@ -47,18 +63,87 @@ def _moved(df: DataFrame, key: str, k: int, models: list[str], curve) -> DataFra
     return _renormalise(parts, key, k).unionByName(rest)
 
 
-def fit_isotonic(held: DataFrame, model: str, c: int):
-    """Monotone curve of one model's class: a model with input ``p`` and output ``fitted``."""
-    estimator = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="n", predictionCol="fitted")
-    return estimator.fit(_pooled(held, model, c))
+def pool_adjacent_violators(low: np.ndarray, high: np.ndarray, mean: np.ndarray, n: np.ndarray) -> tuple[list, ...]:
+    """Blocks in the order of their scores, put together wherever a mean is not above the one before."""
+    lows, highs, means, sizes = [], [], [], []
+    for a, b, m, w in zip(low.tolist(), high.tolist(), mean.tolist(), n.tolist()):
+        while means and means[-1] >= m:
+            m = (means[-1] * sizes[-1] + m * w) / (sizes[-1] + w)
+            w += sizes[-1]
+            a = lows[-1]
+            for part in (lows, highs, means, sizes):
+                part.pop()
+        for part, value in ((lows, a), (highs, b), (means, m), (sizes, w)):
+            part.append(value)
+    return lows, highs, means, sizes
+
+
+def _pool(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("low")
+    low, high, mean, n = pool_adjacent_violators(*(rows[c].to_numpy(dtype=np.float64) for c in ("low", "high", "fitted", "n")))
+    return pd.DataFrame({
+        "model": rows["model"].iloc[0], "class": rows["class"].iloc[0], "slice": rows["slice"].iloc[0],
+        "low": low, "high": high, "fitted": mean, "n": n,
+    })
+
+
+def fit_isotonic(held: DataFrame) -> DataFrame:
+    """Monotone curves of all models and classes: (model, class, no, low, high, fitted, next_low, next_fitted).
+
+    ``no`` counts the blocks of a curve from 1. Rows are counted per score first. A slice holds a range of scores, and the
+    blocks of ``SLICES_AT_ONCE`` neighbouring slices are pooled together until one is left; n scores that do not repeat
+    end in blocks of the order of n to the power 2/3 at most. Rows without score, model or class play no part.
+    """
+    hit = (F.col("y") == F.col("class")).cast("double")
+    told = held.where(F.col("p").isNotNull() & F.col("model").isNotNull() & F.col("class").isNotNull())
+    pooled = told.groupBy("model", "class", "p").agg(F.avg(hit).alias("fitted"), F.count(F.lit(1)).cast("double").alias("n"))
+    spread = pooled.repartitionByRange("model", "class", "p")
+    # Which slice a score is in depends on sampled bounds, so it is stored.
+    blocks = durable(spread.select(
+        "model", "class", F.spark_partition_id().alias("slice"), F.col("p").alias("low"), F.col("p").alias("high"), "fitted", "n"
+    ))
+    types = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
+    schema = ", ".join(f"{c} {t}" for c, t in types.items())
+    slices = spread.rdd.getNumPartitions()
+    blocks = blocks.groupBy("model", "class", "slice").applyInPandas(_pool, schema)
+    while slices > 1:
+        slices = -(-slices // SLICES_AT_ONCE)
+        wider = blocks.withColumn("slice", (F.col("slice") / SLICES_AT_ONCE).cast("int"))
+        blocks = wider.groupBy("model", "class", "slice").applyInPandas(_pool, schema)
+    order = Window.partitionBy("model", "class").orderBy("low")
+    return durable(blocks.select(
+        "model", "class", F.row_number().over(order).cast("long").alias("no"), "low", "high", "fitted",
+        F.lead("low").over(order).alias("next_low"), F.lead("fitted").over(order).alias("next_fitted"),
+    ))
+
+
+def apply_isotonic(curves: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """(key, model, class, p) with ``p`` moved onto the curves, linearly between two blocks; other rows stay as they are.
+
+    Equal scores of a class must differ in ``key``.
+    """
+    marks = curves.select(F.lit(None).cast(rows.schema[key].dataType).alias(key), "model", "class", F.col("low").alias("p"), F.lit(1).cast("long").alias("_mark"))
+    both = rows.select(key, "model", "class", "p", F.lit(0).cast("long").alias("_mark")).unionByName(marks)
+    order = [F.col("p").asc(), F.col("_mark").desc(), F.col(key).asc()]
+    counted = running_totals(both, ["model", "class"], order, {"_at": F.col("_mark")}).where("_mark = 0")
+    placed = counted.withColumn("no", F.greatest("_at", F.lit(1).cast("long"))).drop("_mark", "_at")
+    found = lookup(placed, curves, ["model", "class", "no"])
+    between = F.col("fitted") + (F.col("next_fitted") - F.col("fitted")) * (F.col("p") - F.col("high")) / (F.col("next_low") - F.col("high"))
+    moved = F.when(F.col("fitted").isNull() | F.col("p").isNull(), F.col("p")).when(
+        (F.col("p") <= F.col("high")) | F.col("next_low").isNull(), F.col("fitted")
+    ).otherwise(between)
+    return found.select(key, "model", "class", moved.alias("p"))
 
 
 def isotonic_calibration(held: DataFrame, df: DataFrame, key: str, k: int, min_rows: int = MIN_ROWS) -> DataFrame:
     """Monotone curve per model and class, then a sum of 1; a model with fewer held-out rows stays as it is."""
-    def curve(part: DataFrame, model: str, c: int) -> DataFrame:
-        return fit_isotonic(held, model, c).transform(part).withColumn("p", F.col("fitted"))
-
-    return _moved(df, key, k, enough_rows(held, min_rows), curve)
+    models = enough_rows(held, min_rows)
+    rows = df.select(key, "model", "class", "p")
+    if not models:
+        return rows
+    curves = fit_isotonic(held.where(F.col("model").isin(models)))
+    moved = apply_isotonic(curves, rows.where(F.col("model").isin(models)), key)
+    return _renormalise(moved, key, k).unionByName(rows.where(~F.col("model").isin(models) | F.col("model").isNull()))
 
 
 def fit_sigmoid(held: DataFrame, model: str, c: int) -> tuple[float, float]:

@@ -1,10 +1,15 @@
-"""Exact k nearest neighbours by pivots and blocks.
+"""k nearest neighbours: exactly, in rounds over blocks of cells, or by hash tables with exact re-ranking.
 
-Every data row belongs to the cell of its nearest pivot. From the distances to the pivots each
-query row gets an upper bound of its k-th distance, and the triangle inequality then rules out
-cells that cannot hold a nearer row; the rest are compared. Large cells are split into blocks and
-the queries that visit a cell into chunks, so that a task never holds more than one block and one
-chunk, and keeps only k rows per query. Cells that hold most of the rows are split like all others.
+Exact: every data row belongs to the cell of its nearest pivot, and cells are packed into blocks, one row a block; the
+queries of a cell are packed into chunks alike. Per cell the least and greatest distances to a few reference pivots are
+known, so the triangle inequality gives a lower bound for each query and cell. A round lets each chunk visit its next
+blocks, nearest cells first, and merges what was found into one list of k rows per query; the k-th distance is carried
+to the next round, where it rules out cells and, inside a visited block, all rows beyond it. What is shuffled are packed
+chunks and blocks: a query costs a share of a row per block visited. Where nothing can be ruled out (directions spread
+evenly in many dimensions) every block is visited, still in bounded memory.
+
+By hash tables: signs of random projections put rows into buckets, several tables of them; a query is compared exactly
+with the rows that share a bucket with it in any table. The caller chooses tables and bits, and so the recall.
 """
 
 from __future__ import annotations
@@ -26,8 +31,11 @@ from rowloom.session import durable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
+CHUNK_ROWS = 1024
 MAX_PIVOTS = 1024
-REACH_VALUES = 1 << 22
+MOST_CELLS = 4096
+REFERENCES = 32
+MOST_BLOCKS_A_ROUND = 1024
 
 
 def _stack(values: pd.Series) -> np.ndarray:
@@ -46,21 +54,21 @@ def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
             out[i:i + step] = gap.sum(axis=2)
         elif metric == "chebyshev":
             out[i:i + step] = gap.max(axis=2)
+        elif metric.startswith("minkowski"):
+            power = float(metric.removeprefix("minkowski"))
+            out[i:i + step] = (gap**power).sum(axis=2) ** (1 / power)
         else:
             raise ValueError(f"unknown metric {metric}")
     return out
 
 
-def _nearest_in_block(queries: pd.DataFrame, data: pd.DataFrame, k: int, metric: str) -> pd.DataFrame:
-    """The k nearest rows of one block for each query of one chunk; a row is not its own neighbour."""
-    empty = pd.DataFrame({"id": [], "label": [], "neighbour": [], "neighbour_label": [], "distance": []})
-    if queries.empty or data.empty:
-        return empty
-    q, d = _stack(queries["vec"]), _stack(data["vec"])
-    q_id, d_id = queries["id"].to_numpy(), data["id"].to_numpy()
-    q_label, d_label = queries["label"].to_numpy(), data["label"].to_numpy()
+def _nearest_in_block(q: np.ndarray, q_id: np.ndarray, d: np.ndarray, d_id: np.ndarray, k: int, metric: str, bound: np.ndarray) -> tuple:
+    """The k nearest rows of one block for each query, none beyond its bound: (query, row, distance), in order.
+
+    A row is not its own neighbour.
+    """
     keep = min(k + 1, len(d))
-    step = max(1, 2_000_000 // len(d))
+    step = max(1, 2_000_000 // max(1, len(d)))
     parts = []
     for i in range(0, len(q), step):
         rows = q[i:i + step]
@@ -68,35 +76,227 @@ def _nearest_in_block(queries: pd.DataFrame, data: pd.DataFrame, k: int, metric:
             # A fast estimate selects candidates with a margin; the exact distance decides.
             estimate = (rows**2).sum(1)[:, None] + (d**2).sum(1)[None, :] - 2.0 * rows @ d.T
             margin = 1e-9 * (1.0 + np.abs(estimate).max())
+            limit = bound[i:i + step] ** 2
         else:
-            estimate, margin = _distances(rows, d, metric), 0.0
-        kth = np.partition(estimate, keep - 1, axis=1)[:, keep - 1]
+            estimate, margin, limit = _distances(rows, d, metric), 0.0, bound[i:i + step]
+        kth = np.minimum(np.partition(estimate, keep - 1, axis=1)[:, keep - 1], limit)
         r, c = np.nonzero(estimate <= kth[:, None] + margin)
         other = q_id[i + r] != d_id[c]
         r, c = r[other], c[other]
         exact = np.sqrt(((rows[r] - d[c]) ** 2).sum(1)) if metric == "euclidean" else estimate[r, c]
-        order = np.lexsort((d_id[c], exact, r))
-        r, c, exact = r[order], c[order], exact[order]
-        if len(r) == 0:
-            continue
-        starts = np.r_[0, np.nonzero(np.diff(r))[0] + 1]
-        place = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
-        first = place < k
-        r, c = i + r[first], c[first]
-        parts.append(pd.DataFrame({
-            "id": q_id[r], "label": q_label[r], "neighbour": d_id[c], "neighbour_label": d_label[c], "distance": exact[first],
-        }))
-    return pd.concat(parts, ignore_index=True) if parts else empty
-
-
-def _choose_pivots(data: DataFrame, limit: int | None) -> np.ndarray:
-    """Distinct rows with the smallest hash, about sqrt(n) / 2 of them and never more than the limit."""
+        near = exact <= bound[i + r]
+        parts.append(_first_of_each(i + r[near], exact[near], d_id[c[near]], k, c[near]))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*[(q, row, distance) for q, distance, row in parts]))
+
+
+def _first_of_each(group: np.ndarray, distance: np.ndarray, ids: np.ndarray, k: int, payload: np.ndarray) -> tuple:
+    """The first k rows of each group by distance, then id."""
+    order = np.lexsort((ids, distance, group))
+    group, distance, payload = group[order], distance[order], payload[order]
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
+    place = np.arange(len(group)) - np.repeat(starts, np.diff(np.r_[starts, len(group)]))
+    first = place < k
+    return group[first], distance[first], payload[first]
+
+
+def _choose_pivots(data: DataFrame, limit: int | None, parts: int) -> np.ndarray:
+    """Distinct rows with the smallest hash, about sqrt(n) / 2 of them for n rows a part, and so few that cells stay few."""
     if limit is None:
-        limit = min(MAX_PIVOTS, max(1, int(math.sqrt(data.count()) / 2)))
-    rows = data.select("vec", hash_hex("pivot", "id").alias("h")).orderBy("h").limit(limit).collect()
+        limit = min(MAX_PIVOTS, max(1, int(math.sqrt(data.count() / max(1, parts)) / 2)))
+    rows = data.select("vec", hash_hex("pivot", "id").alias("h")).orderBy("h").limit(max(1, min(limit, MOST_CELLS // max(1, parts)))).collect()
     return np.unique(np.array([r["vec"] for r in rows], dtype=np.float64), axis=0)
 
 
+def _matrix(raw: bytes, rows: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.float64).reshape(rows, -1)
+
+
+class _Cells:
+    """What is known of the cells of one part: blocks, greatest distance to the own pivot, rings around the references."""
+
+    def __init__(self, rows: list):
+        rows = sorted(rows, key=lambda r: r["cell"])
+        self.cell = np.array([r["cell"] for r in rows])
+        self.blocks = np.array([r["blocks"] for r in rows])
+        self.radius = np.array([r["radius"] for r in rows])
+        self.low, self.high = np.array([r["low"] for r in rows]), np.array([r["high"] for r in rows])
+
+
+def _lower_bounds(q: np.ndarray, cells: _Cells, centres: np.ndarray, between: np.ndarray, metric: str) -> np.ndarray:
+    """For each query and cell a distance that no row of the cell is nearer than."""
+    gaps = _distances(q, centres, metric)
+    mine = gaps[:, cells.cell]
+    out = np.maximum(0.0, mine - cells.radius[None, :])
+    for j in range(cells.low.shape[1]):
+        to = gaps[:, [j]]
+        np.maximum(out, to - cells.high[None, :, j], out=out)
+        np.maximum(out, cells.low[None, :, j] - to, out=out)
+    if metric == "euclidean":
+        # Rows of another cell lie beyond the half-way plane to that cell's pivot.
+        own = gaps.argmin(axis=1)
+        far = between[own][:, cells.cell]
+        plane = (mine**2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
+        np.maximum(out, plane, out=out)
+    return out
+
+
+def knn_rounds(
+    queries: DataFrame, data: DataFrame, k: int, metric: str = "euclidean", within: bool = False, pivots: int | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The chunks of queries after the last round, with the k nearest rows found for each query.
+
+    ``compared`` counts the pairs of a query and a block that were compared, ``pairs`` all such pairs.
+    """
+    part = F.col("label").cast("string") if within else F.lit("")
+    id_type, label_type = (data.schema[c].dataType.simpleString() for c in ("id", "label"))
+    points = data.select("id", "label", "vec", part.alias("part"))
+    asks = queries.select("id", "label", "vec", part.alias("part"))
+    parts = points.select("part").distinct().count() if within else 1
+    # With more parts than cells may be, a part is one cell, and nothing of them goes to the driver.
+    few = parts <= MOST_CELLS
+    centres = _choose_pivots(points, pivots if few else 1, parts if few else 1)
+    references = min(REFERENCES, len(centres)) if few else 0
+
+    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                gaps = _distances(_stack(batch["vec"]), centres, metric)
+                yield batch.assign(cell=gaps.argmin(axis=1).astype("int32"), r=gaps.min(axis=1), to=list(gaps[:, :references]))
+
+    columns = f"id {id_type}, label {label_type}, vec array<double>, part string, cell int, r double, to array<double>"
+    celled = durable(points.mapInPandas(to_cells, columns))
+    asked = durable(asks.mapInPandas(to_cells, columns).drop("r", "to"))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({
+            **{c: [rows[c].iloc[0]] for c in ("part", "cell", "block")}, "ids": [rows["id"].to_numpy()], "labels": [rows["label"].to_numpy()], "vecs": [_stack(rows["vec"]).tobytes()],
+        })
+
+    def packed(rows: DataFrame, most: int = block_rows) -> tuple[DataFrame, DataFrame]:
+        cut = rows.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+        dealt = rows.join(cut, ["part", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        schema = f"part string, cell int, block int, ids array<{id_type}>, labels array<{label_type}>, vecs binary"
+        return durable(dealt.select("part", "cell", "block", "id", "label", "vec").groupBy("part", "cell", "block").applyInPandas(pack, schema)), cut
+
+    blocks, cut = packed(celled)
+    # Chunks hold queries of neighbouring cells, so that few and full ones visit the blocks.
+    cells_a_chunk = max(1, CHUNK_ROWS * len(centres) * parts // max(1, asked.count()))
+    chunks, _ = packed(asked.withColumn("cell", (F.col("cell") / cells_a_chunk).cast("int")), CHUNK_ROWS)
+    rings = celled.groupBy("part", "cell").agg(
+        F.max("r").alias("radius"), F.array(*[F.min(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("low"),
+        F.array(*[F.max(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("high"),
+    )
+    known: dict[str, _Cells] = {}
+    if few:
+        rows = rings.join(cut, ["part", "cell"]).collect()  # at most MOST_CELLS
+        for name in {r["part"] for r in rows}:
+            known[name] = _Cells([r for r in rows if r["part"] == name])
+    between = _distances(centres, centres, metric)
+
+    def plan(state: dict, turn: int) -> dict:
+        """The blocks a chunk visits next: nearest cells first, none that the carried bound rules out."""
+        n = len(state["ids"])
+        bound = np.array(state["distances"]).reshape(n, k)[:, k - 1] if n else np.zeros(0)
+        cells = known.get(state["part"])
+        if cells is None:
+            return {**state, "next_cell": [], "next_block": [], "needed": 0, "pairs": 0}
+        q = _matrix(state["vecs"], n)
+        low = _lower_bounds(q, cells, centres, between, metric)
+        need = low <= bound[:, None] * (1 + 1e-9) + 1e-9
+        order = np.lexsort((cells.cell, low.mean(axis=0), -need.sum(axis=0) if turn else low.min(axis=0)))
+        unit_cell = np.repeat(order, cells.blocks[order])
+        unit_block = np.concatenate([np.arange(b) for b in cells.blocks[order]])
+        units = cells.cell[unit_cell].astype(np.int64) << 32 | unit_block
+        seen = np.array(state["seen"], dtype=np.int64)
+        left = np.flatnonzero(need.any(axis=0)[unit_cell] & ~np.isin(units, seen))[:min(8**turn, MOST_BLOCKS_A_ROUND)]
+        return {
+            **state, "next_cell": cells.cell[unit_cell[left]].tolist(), "next_block": unit_block[left].tolist(),
+            "seen": np.concatenate([seen, units[left]]).tolist(), "needed": state["needed"] + int(need[:, unit_cell[left]].sum()),
+            "pairs": n * int(cells.blocks.sum()),
+        }
+
+    schema = (
+        f"chunk bigint, part string, ids array<{id_type}>, labels array<{label_type}>, vecs binary, near array<{id_type}>, "
+        f"near_labels array<{label_type}>, distances array<double>, seen array<bigint>, next_cell array<int>, next_block array<int>, "
+        "needed bigint, pairs bigint"
+    )
+
+    def merge(turn: int):
+        def run(chunk: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+            state = chunk.iloc[0].to_dict()
+            n = len(state["ids"])
+            if len(found):
+                old = np.array(state["distances"], dtype=np.float64)
+                held = np.flatnonzero(np.isfinite(old))
+                group = np.concatenate([held // k, found["q"].to_numpy()])
+                distance = np.concatenate([old[held], found["distance"].to_numpy()])
+                near = np.concatenate([np.asarray(state["near"], dtype=object)[held], found["near"].to_numpy(dtype=object)])
+                labels = np.concatenate([np.asarray(state["near_labels"], dtype=object)[held], found["near_label"].to_numpy(dtype=object)])
+                group, distance, at = _first_of_each(group, distance, near, k, np.arange(len(group)))
+                starts = np.searchsorted(group, np.arange(n))
+                spot = group * k + np.arange(len(group)) - starts[group]
+                lists = {"near": np.full(n * k, None, dtype=object), "near_labels": np.full(n * k, None, dtype=object), "distances": np.full(n * k, np.inf)}
+                for name, values in (("near", near[at]), ("near_labels", labels[at]), ("distances", distance)):
+                    lists[name][spot] = values
+                state |= lists
+            return pd.DataFrame([plan(state, turn)])
+        return run
+
+    def compare(chunk: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if chunk.empty or block.empty:
+            return pd.DataFrame({"chunk": [], "q": [], "near": [], "near_label": [], "distance": []})
+        ask, point = chunk.iloc[0], block.iloc[0]
+        q, d = _matrix(ask["vecs"], len(ask["ids"])), _matrix(point["of_vecs"], len(point["of_ids"]))
+        bound = np.array(ask["distances"]).reshape(len(q), k)[:, k - 1]
+        rows = np.arange(len(q))
+        if ask["part"] in known:
+            cells = known[ask["part"]]
+            here = np.flatnonzero(cells.cell == point["of_cell"])
+            low = _lower_bounds(q, cells, centres, between, metric)[:, here[0]]
+            rows = np.flatnonzero(low <= bound * (1 + 1e-9) + 1e-9)
+        r, c, distance = _nearest_in_block(q[rows], np.asarray(ask["ids"])[rows], d, np.asarray(point["of_ids"]), k, metric, bound[rows])
+        return pd.DataFrame({
+            "chunk": np.full(len(r), ask["chunk"]), "q": rows[r], "near": np.asarray(point["of_ids"])[c],
+            "near_label": np.asarray(point["of_labels"])[c], "distance": distance,
+        })
+
+    size = F.size("ids") * k
+    state = chunks.select(
+        F.monotonically_increasing_id().alias("chunk"), "part", "ids", "labels", "vecs",
+        F.array_repeat(F.lit(None).cast(id_type), size).alias("near"), F.array_repeat(F.lit(None).cast(label_type), size).alias("near_labels"),
+        F.array_repeat(F.lit(float("inf")), size).alias("distances"), F.array().cast("array<bigint>").alias("seen"),
+        F.array().cast("array<int>").alias("next_cell"), F.array().cast("array<int>").alias("next_block"),
+        F.lit(0).cast("long").alias("needed"), F.lit(0).cast("long").alias("pairs"),
+    )
+    nothing = state.sparkSession.createDataFrame([], f"chunk bigint, q int, near {id_type}, near_label {label_type}, distance double")
+    found = nothing
+    state = durable(state)
+    turn = 0
+    while True:
+        if few:
+            state = durable(state.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(merge(turn), schema))
+            visits = state.select("chunk", "part", F.explode(F.arrays_zip("next_cell", "next_block")).alias("u")).select(
+                "chunk", "part", F.col("u.next_cell").alias("cell"), F.col("u.next_block").alias("block")
+            )
+            if not visits.take(1):
+                return state
+        elif turn == 0:
+            visits = state.select("chunk", "part").join(cut, "part").select("chunk", "part", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        else:
+            return durable(state.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(merge(turn), schema))
+        keys = ["chunk", "part", "cell", "block"]
+        left = visits.join(state.select("chunk", "ids", "vecs", "distances"), "chunk")
+        right = visits.join(blocks, ["part", "cell", "block"]).select(*[F.col(c).alias(f"of_{c}") for c in (*keys, "ids", "labels", "vecs")])
+        found = left.groupBy(*keys).cogroup(right.groupBy(*[f"of_{c}" for c in keys])).applyInPandas(
+            compare, f"chunk bigint, q int, near {id_type}, near_label {label_type}, distance double"
+        )
+        turn += 1
+
+
 def knn_join(
     queries: DataFrame,
     data: DataFrame,
@@ -110,100 +310,79 @@ def knn_join(
 
     Both sides have a unique ``id``, a ``label`` and ``vec array<double>``. The result is (id,
     label, neighbour, neighbour_label, distance, rank); a row is never its own neighbour, and equal
-    distances rank by neighbour id. With ``within`` only rows with an equal ``label`` are compared;
-    labels must be few. Labels travel along, so voting needs no join on hub rows.
+    distances rank by neighbour id. With ``within`` only rows with an equal ``label`` are compared.
+    Labels travel along, so voting needs no join on hub rows. ``metric`` is euclidean, manhattan,
+    chebyshev or minkowski with its power, as minkowski3.
     """
-    part = F.col("label").cast("string") if within else F.lit("")
-    id_type = data.schema["id"].dataType.simpleString()
-    label_type = data.schema["label"].dataType.simpleString()
-    points = data.select("id", "label", "vec", part.alias("part"))
-    asks = queries.select("id", "label", "vec", part.alias("part"))
-    centres = _choose_pivots(points, pivots)
-    need = k + 1  # one of the rows found may be the query itself
+    if not data.take(1):
+        types = [data.schema[c].dataType.simpleString() for c in ("id", "label")]
+        schema = "id {0}, label {1}, neighbour {0}, neighbour_label {1}, distance double, rank int".format(*types)
+        return data.sparkSession.createDataFrame([], schema)
+    state = knn_rounds(queries, data, k, metric, within, pivots, block_rows)
+    each = state.select("near", "near_labels", "distances", F.posexplode(F.arrays_zip("ids", "labels")).alias("at", "query"))
+    lists = F.arrays_zip(*[F.slice(c, F.col("at") * k + 1, F.lit(k)).alias(c) for c in ("near", "near_labels", "distances")])
+    return each.select(F.col("query.ids").alias("id"), F.col("query.labels").alias("label"), F.posexplode(lists).alias("place", "x")).select(
+        "id", "label", F.col("x.near").alias("neighbour"), F.col("x.near_labels").alias("neighbour_label"),
+        F.col("x.distances").alias("distance"), (F.col("place") + 1).cast("int").alias("rank"),
+    ).where(F.col("distance") < float("inf"))
 
-    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def knn_by_hashing(
+    queries: DataFrame, data: DataFrame, k: int, tables: int, bits: int, metric: str = "euclidean", seed: int = 42, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The k nearest rows among those that share a bucket with the query in any of ``tables`` hash tables.
+
+    Columns and order as in ``knn_join``; distances are exact, rows may be missing. A bucket is the side of ``bits`` random
+    planes, drawn from ``seed``, that a row lies on. Large buckets are cut into blocks and chunks, and a query keeps k
+    rows per block.
+    """
+    id_type, label_type = (data.schema[c].dataType.simpleString() for c in ("id", "label"))
+    first = data.select(F.size("vec").alias("n")).first()
+    width = first["n"] if first else 0
+    planes = np.random.default_rng(seed).standard_normal((tables * bits, width))
+    weights = 1 << np.arange(bits, dtype=np.int64)
+
+    def to_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                gaps = _distances(_stack(batch["vec"]), centres, metric)
-                yield batch.assign(cell=gaps.argmin(axis=1).astype("int32"), r=gaps.min(axis=1))
-
-    columns = f"id {id_type}, label {label_type}, vec array<double>, part string"
-    celled = durable(points.mapInPandas(to_cells, f"{columns}, cell int, r double"))
-    near = Window.partitionBy("part", "cell").orderBy("r", "id")
-    inner = (
-        celled.select("part", "cell", "r", "id")
-        .withColumn("place", F.row_number().over(near))
-        .where(F.col("place") <= need)
-        .groupBy("part", "cell")
-        .agg(F.array_sort(F.collect_list("r")).alias("inner"))
-    )
-    cells = celled.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("radius"))
-    # At most one row per part and pivot.
-    summary = {}
-    for row in cells.join(inner, ["part", "cell"]).collect():
-        summary.setdefault(row["part"], []).append((row["cell"], row["n"], row["radius"], list(row["inner"])))
-    between = _distances(centres, centres, metric)
+                sides = (_stack(batch["vec"]) @ planes.T > 0).reshape(len(batch), tables, bits)
+                yield batch.assign(buckets=list(sides @ weights))
 
-    def visited(rows: pd.DataFrame, known: list) -> pd.DataFrame:
-        """The cells that may hold a neighbour of each row."""
-        gaps = _distances(_stack(rows["vec"]), centres, metric)
-        ids = np.array([c[0] for c in known])
-        radius = np.array([c[2] for c in known])
-        reach = np.concatenate([gaps[:, [c[0]]] + np.array(c[3])[None, :] for c in known], axis=1)
-        place = min(need, reach.shape[1]) - 1
-        bound = np.partition(reach, place, axis=1)[:, place]
-        low = gaps[:, ids] - radius[None, :]
-        if metric == "euclidean":
-            # Rows of another cell lie beyond the half-way plane to that cell's pivot.
-            own = gaps.argmin(axis=1)
-            far = between[own][:, ids]
-            plane = (gaps[:, ids] ** 2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
-            low = np.maximum(low, plane)
-        visit = low <= bound[:, None] * (1 + 1e-9) + 1e-9
-        return rows.assign(cells=[ids[v].astype("int32") for v in visit])
-
-    def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, rows in batch.groupby("part"):
-                known = summary.get(name)
-                if not known:
-                    continue
-                # A piece of the batch at a time, so that ``reach`` stays below about 32 MB.
-                some = max(1, REACH_VALUES // (len(known) * need))
-                for at in range(0, len(rows), some):
-                    yield visited(rows.iloc[at:at + some], known)
-
-    visits = durable(asks.mapInPandas(to_visits, f"{columns}, cells array<int>"))
-    visits = visits.select("id", "label", "vec", "part", F.explode("cells").alias("cell"))
-    asked = visits.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("asked"))
-    # One row per part and pivot: how many blocks and chunks each cell is cut into.
-    cuts = F.broadcast(
-        cells.join(asked, ["part", "cell"]).select(
-            "part", "cell",
-            F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"),
-            F.ceil(F.col("asked") / block_rows).cast("int").alias("chunks"),
-        )
+    def placed(rows: DataFrame) -> DataFrame:
+        schema = f"id {id_type}, label {label_type}, vec array<double>, buckets array<bigint>"
+        hashed = rows.select("id", "label", "vec").mapInPandas(to_buckets, schema)
+        return durable(hashed).select("id", "label", "vec", F.posexplode("buckets").alias("table", "bucket"))
+
+    points, asks = placed(data), placed(queries)
+    keys = ["table", "bucket"]
+    cuts = points.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")).join(
+        asks.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("chunks")), keys
     )
     spot = F.xxhash64("id")
-    keys = ["part", "cell", "block", "chunk"]
-    left = visits.join(cuts, ["part", "cell"]).select(
-        "part", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), "id", "label", "vec",
+    left = asks.join(cuts, keys).select(
+        *keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), "id", "label", "vec",
     )
-    right = celled.join(cuts, ["part", "cell"]).select(
-        "part", "cell", F.pmod(spot, F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "label", "vec",
+    right = points.join(cuts, keys).select(
+        *keys, F.pmod(spot, F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "label", "vec",
     )
 
     def compare(ask: pd.DataFrame, point: pd.DataFrame) -> pd.DataFrame:
-        return _nearest_in_block(ask, point, k, metric)
+        if ask.empty or point.empty:
+            return pd.DataFrame({"id": [], "label": [], "neighbour": [], "neighbour_label": [], "distance": []})
+        q_id, d_id = ask["id"].to_numpy(), point["id"].to_numpy()
+        r, c, distance = _nearest_in_block(_stack(ask["vec"]), q_id, _stack(point["vec"]), d_id, k, metric, np.full(len(ask), np.inf))
+        return pd.DataFrame({
+            "id": q_id[r], "label": ask["label"].to_numpy()[r], "neighbour": d_id[c], "neighbour_label": point["label"].to_numpy()[c], "distance": distance,
+        })
 
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        compare,
-        f"id {id_type}, label {label_type}, neighbour {id_type}, neighbour_label {label_type}, distance double",
+    keys += ["block", "chunk"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        compare, f"id {id_type}, label {label_type}, neighbour {id_type}, neighbour_label {label_type}, distance double"
     )
+    # A pair may meet in several tables.
+    once = found.groupBy("id", "label", "neighbour", "neighbour_label").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def knn_votes(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:

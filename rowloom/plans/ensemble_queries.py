@@ -164,13 +164,9 @@ _CURVES = _CUT + (
 def isotonic_curve(spark: SparkSession, sf: str) -> DataFrame:
     """The monotone curve of each model and class at its own scores: greatest over starts of the least mean over ends."""
     held = _held(spark, sf).persist()
-    parts = None
-    for model in calibrate.enough_rows(held, 1):
-        for c in range(3):
-            scores = held.where((F.col("class") == c) & (F.col("model") == model)).select("model", "class", "p").distinct()
-            part = calibrate.fit_isotonic(held, model, c).transform(scores)
-            parts = part if parts is None else parts.unionByName(part)
-    return parts.select("model", "class", rounded("p", digits=9), rounded("fitted"))
+    scores = held.select("model", "class", "p").distinct()
+    fitted = calibrate.apply_isotonic(calibrate.fit_isotonic(held), scores.withColumn("score", F.col("p")), "score")
+    return fitted.select("model", "class", rounded("score", "p", 9), rounded("p", "fitted"))
 
 
 @query(
@@ -199,3 +195,71 @@ def sigmoid_calibration(spark: SparkSession, sf: str) -> DataFrame:
     two = _long(spark, sf).withColumn("p", F.when(F.col("p") >= 0.34, 0.75).otherwise(0.25)).persist()
     done = calibrate.sigmoid_calibration(two, two, "id", 3, min_rows=1)
     return done.select("id", "model", "class", rounded("p", digits=3))
+
+
+# The curve is fitted on the full scores of the first fold, and applied to the rows of all other folds.
+_FULL = PROBS + (
+    ", g AS (SELECT model, class, p, count(*) AS w, count(*) FILTER (WHERE y = class) AS h FROM probs WHERE fold = 0 GROUP BY model, class, p), "
+    "c AS (SELECT model, class, p, row_number() OVER o AS i, sum(w) OVER o AS w_to, sum(h) OVER o AS h_to, sum(w) OVER o - w AS w_from, sum(h) OVER o - h AS h_from "
+    "FROM g WINDOW o AS (PARTITION BY model, class ORDER BY p)), "
+    "m AS (SELECT a.model, a.class, a.i AS j, b.i AS i, min((b.h_to - a.h_from) / (b.w_to - a.w_from)) OVER (PARTITION BY a.model, a.class, a.i ORDER BY b.i DESC) AS least "
+    "FROM c a JOIN c b ON a.model = b.model AND a.class = b.class AND a.i <= b.i), "
+    "f AS (SELECT model, class, i, max(least) AS fitted FROM m GROUP BY model, class, i), "
+    "curve AS (SELECT c.model, c.class, c.p, f.fitted FROM f JOIN c ON f.model = c.model AND f.class = c.class AND f.i = c.i), "
+    "rest AS (SELECT id, y, model, class, p FROM probs WHERE fold <> 0), "
+    "below AS (SELECT r.*, k.p AS low, k.fitted AS low_fitted FROM rest r ASOF LEFT JOIN curve k ON r.model = k.model AND r.class = k.class AND r.p >= k.p), "
+    "sides AS (SELECT b.*, k.p AS high, k.fitted AS high_fitted FROM below b ASOF LEFT JOIN curve k ON b.model = k.model AND b.class = k.class AND b.p <= k.p), "
+    "moved AS (SELECT id, y, model, class, p AS raw, CASE WHEN low IS NULL THEN high_fitted WHEN high IS NULL OR high = low THEN low_fitted "
+    "ELSE low_fitted + (high_fitted - low_fitted) * (p - low) / (high - low) END AS fitted FROM sides), "
+    "done AS (SELECT *, CASE WHEN sum(fitted) OVER (PARTITION BY id, model) > 0 THEN fitted / sum(fitted) OVER (PARTITION BY id, model) ELSE 1.0 / 3 END AS p FROM moved) "
+)
+
+
+def _full(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of all folds but the first, and the same with scores calibrated on the first."""
+    long = _long(spark, sf)
+    rest = long.where("fold <> 0")
+    return rest, calibrate.isotonic_calibration(long.where("fold = 0"), rest, "id", 3)
+
+
+@query("isotonic_full_scores", _FULL + "SELECT id, model, class, " + rnd("p", "p") + " FROM done")
+def isotonic_full_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _full(spark, sf)[1].select("id", "model", "class", rounded("p"))
+
+
+def _losses(p: str, when: str) -> str:
+    cut = f"least(greatest({p}, 1e-15), 1 - 1e-15)"
+    hit = "CASE WHEN y = class THEN 1.0 ELSE 0.0 END"
+    return (
+        rnd(f"avg(-({hit} * ln({cut}) + (1 - {hit}) * ln(1 - {cut})))", f"log_loss_{when}", 5) + ", "
+        + rnd(f"avg(({p} - {hit}) * ({p} - {hit}))", f"brier_{when}", 5)
+    )
+
+
+@query("calibration_gain", _FULL + f"SELECT model, class, {_losses('raw', 'before')}, {_losses('p', 'after')} FROM done GROUP BY model, class")
+def calibration_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """Log loss and Brier score of scores that were not fitted, before and after calibration."""
+    before, after = _full(spark, sf)
+    after = after.join(before.select("id", "model", "class", "y"), ["id", "model", "class"])
+    gain = calibrate.calibration_gain(before, after, F.col("y") == F.col("class"))
+    return gain.select("model", "class", *[rounded(f"{m}_{w}", digits=5) for m in ("log_loss", "brier") for w in ("before", "after")])
+
+
+@query(
+    "sigmoid_optimum",
+    PROBS + "SELECT model, class, count(*) AS n, 0.0::DOUBLE AS residual, 0.0::DOUBLE AS moment FROM probs WHERE fold = 0 GROUP BY model, class",
+)
+def sigmoid_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """At the optimum of a logistic curve over full scores the residuals, and their products with the score, sum to nothing."""
+    held = _long(spark, sf).where("fold = 0")
+    parts = None
+    for model in calibrate.enough_rows(held, 1):
+        for c in range(3):
+            slope, base = calibrate.fit_sigmoid(held, model, c)
+            own = held.where((F.col("model") == model) & (F.col("class") == c))
+            gap = (F.col("y") == F.col("class")).cast("double") - 1 / (1 + F.exp(-(F.col("p") * slope + base)))
+            part = own.groupBy("model", "class").agg(
+                F.count(F.lit(1)).alias("n"), rounded(F.avg(gap), "residual", 4), rounded(F.avg(gap * F.col("p")), "moment", 4)
+            )
+            parts = part if parts is None else parts.unionByName(part)
+    return parts

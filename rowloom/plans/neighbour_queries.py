@@ -13,6 +13,7 @@ _DISTANCE = {
     "euclidean": "list_distance(a.vec, b.vec)",
     "manhattan": "list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: abs(z[1] - z[2])))",
     "chebyshev": "list_max(list_transform(list_zip(a.vec, b.vec), lambda z: abs(z[1] - z[2])))",
+    "minkowski3": "pow(list_sum(list_transform(list_zip(a.vec, b.vec), lambda z: pow(abs(z[1] - z[2]), 3))), 1.0 / 3)",
 }
 
 
@@ -38,6 +39,29 @@ for _metric in _DISTANCE:
     _register(_metric)
 
 
+@query("knn_by_hashing")
+def knn_by_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    """Five neighbours from hash tables; these directions are spread evenly, so nine in ten need many wide buckets."""
+    df = fx.vectors(spark, sf)
+    return neighbours.knn_by_hashing(df, df, 5, tables=48, bits=6).select("id", "neighbour", rounded("distance"), "rank")
+
+
+@query(
+    "knn_hashing_recall",
+    "SELECT count(*) AS n, TRUE AS enough, TRUE AS exact_distances FROM embeddings",
+)
+def knn_hashing_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the hash tables find at least nine in ten of the exact neighbours, all at their exact distance."""
+    df = fx.vectors(spark, sf)
+    exact = neighbours.knn_join(df, df, 5).select("id", "neighbour", F.col("distance").alias("d"))
+    found = neighbours.knn_by_hashing(df, df, 5, tables=48, bits=6).select("id", "neighbour", "distance")
+    met = exact.join(found, ["id", "neighbour"], "left")
+    return met.agg(
+        F.count_distinct("id").alias("n"), (F.count("distance") >= 0.9 * F.count(F.lit(1))).alias("enough"),
+        (F.coalesce(F.max(F.abs(F.col("d") - F.col("distance"))), F.lit(0.0)) < 1e-9).alias("exact_distances"),
+    )
+
+
 @query("knn_join_within_class", _near(5, same_label=True) + "SELECT id, neighbour, " + rnd("distance", "distance") + ", rank FROM near")
 def knn_join_within_class(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.vectors(spark, sf)

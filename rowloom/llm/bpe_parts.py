@@ -61,6 +61,16 @@ def part_begins(body: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([opens, blank]))
 
 
+def visible_at(body: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether the character that begins at byte ``first`` and the one that ends at byte ``last`` are both no white space."""
+    padded = np.concatenate([np.zeros(2, np.uint8), body, np.zeros(3, np.uint8)])
+    a, b, c = (padded[first + 2 + i] for i in range(3))
+    x, y, z = (padded[last + i] for i in range(3))
+    out = ~_ASCII_WHITE[a] & ~_ASCII_WHITE[z]
+    out &= ~(_wide_white(np.zeros(len(a), np.uint8), a, b) | _wide_white(a, b, c))
+    return out & ~_wide_white(x, y, z)
+
+
 class PartTable:
     """The parts a worker has met, with their identifiers."""
 
@@ -77,20 +87,20 @@ class PartTable:
 
     def learn(self, body: np.ndarray, keys: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
         """Add parts with new, sorted keys; a table that has become too large begins anew (``keys`` then hold all parts in use)."""
-        ids, sizes = self._encoded(body, begin, end)
+        ids, sizes = self.encoded(body, begin, end)
         slots = len(self.at) - 1 + np.arange(len(keys))
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, ids])
         spot = np.searchsorted(self.keys, keys)
         self.keys, self.slots = np.insert(self.keys, spot, keys), np.insert(self.slots, spot, slots)
 
-    def _encoded(self, body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encoded(self, body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of the parts, and how many each has.
 
         Parts that begin with a blank and end with a visible character are encoded as one text: no piece reaches over their
         borders, which are found again by the bytes of the identifiers. Others are encoded one by one.
         """
-        fine = (body[begin] == 32) & (body[end - 1] > 32) & (body[end - 1] < 127)
+        fine = (body[begin] == 32) & (end - begin > 1) & visible_at(body, begin + 1, end - 1)
         sizes = np.zeros(len(begin), dtype=np.int64)
         a, length = begin[fine], (end - begin)[fine]
         at = np.concatenate([[0], np.cumsum(length)])

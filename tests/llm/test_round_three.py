@@ -194,7 +194,7 @@ def test_probabilities_sum_to_one_and_ignore_what_comes_later(pairs):
     hidden, _ = lm._attend(w, ids)
     for place in (0, 5, lm.WINDOW - 1):
         every = np.arange(lm.SLOTS)
-        p = np.exp(lm.log_probabilities(w, pairs, np.repeat(hidden[place:place + 1], lm.SLOTS, 0), np.full(lm.SLOTS, ids[0, place]), every))
+        p = np.exp(lm.log_probabilities(w, lm.offsets(w, pairs), np.repeat(hidden[place:place + 1], lm.SLOTS, 0), np.full(lm.SLOTS, ids[0, place]), every))
         assert abs(p.sum() - 1) < 1e-4
     changed = ids.copy()
     changed[0, 6:] = (changed[0, 6:] + 1) % lm.SLOTS
@@ -208,14 +208,15 @@ def test_windows_score_each_token_once_with_the_context_they_have(pairs):
     sizes = [0, 1, 5, lm.WINDOW, lm.WINDOW + 1, 100, lm.WINDOW + 2 * lm.STRIDE]
     starts = np.concatenate([[0], np.cumsum(sizes)])
     inputs, targets = rng.integers(0, lm.SLOTS, starts[-1]), rng.integers(0, lm.SLOTS, starts[-1])
-    got = lm._window_scores(w, pairs, inputs, targets, starts, np.zeros(len(sizes), int))
+    added = lm.offsets(w, pairs)
+    got = lm._window_scores(w, added, inputs, targets, starts, np.zeros(len(sizes), int))
     for a, b in zip(starts[:-1], starts[1:]):
         for t in range(b - a):
             begin = 0 if t < lm.WINDOW else ((t - lm.WINDOW) // lm.STRIDE + 1) * lm.STRIDE
             ids = np.full((1, lm.WINDOW), 0)
             ids[0, :t - begin + 1] = inputs[a + begin:a + t + 1]
             hidden = lm._attend(w, ids)[0][t - begin:t - begin + 1]
-            want = lm.log_probabilities(w, pairs, hidden, inputs[a + t:a + t + 1], targets[a + t:a + t + 1])[0]
+            want = lm.log_probabilities(w, added, hidden, inputs[a + t:a + t + 1], targets[a + t:a + t + 1])[0]
             assert abs(got[a + t] - want) < 1e-3
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.operators.profile import count_distinct, distinct_union
 from rowloom.operators.ranking import running_totals
 from rowloom.operators.sizing import lookup
+from rowloom.session import durable
 
 MAX_WIDE_VALUES = 200
 
@@ -78,12 +79,12 @@ def unseen_values(df: DataFrame, seen: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().join(seen.select(column), column, "left_anti")
 
 
-def wide_values(table: DataFrame, column: str, limit: int | None = MAX_WIDE_VALUES) -> list[str]:
-    """The values of a small table, sorted; refuses more than can become columns, unless there is no limit."""
+def wide_values(table: DataFrame, column: str, limit: int = MAX_WIDE_VALUES) -> list[str]:
+    """The values of a column, sorted; refuses more than can become columns, for which ``fit_dictionary`` stands."""
     values = table.where(F.col(column).isNotNull()).select(column).distinct()
-    rows = (values if limit is None else values.limit(limit + 1)).collect()
-    if limit is not None and len(rows) > limit:
-        raise ValueError(f"{column}: more than {limit} values, use one_hot_vector")
+    rows = values.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{column}: more than {limit} values, use fit_dictionary")
     return sorted(r[0] for r in rows)
 
 
@@ -99,11 +100,35 @@ def one_hot_union_values(train: DataFrame, test: DataFrame, column: str) -> list
     return wide_values(distinct_union(train, test, column), column)
 
 
-def one_hot_vector(df: DataFrame, column: str):
-    """Fitted stages for any cardinality: a sparse vector, unknown values in no slot."""
-    index = StringIndexer(inputCol=column, outputCol=f"{column}_ix", handleInvalid="keep", stringOrderType="alphabetAsc")
-    hot = OneHotEncoder(inputCols=[f"{column}_ix"], outputCols=[f"{column}_hot"], dropLast=True)
-    return Pipeline(stages=[index, hot]).fit(df)
+def fit_dictionary(df: DataFrame, column: str, missing: str | None = "Unknown") -> tuple[DataFrame, int]:
+    """State: a stored table (label, code) of all values in the order of their text, and how many there are.
+
+    Nothing of it goes to the driver, whatever the number of values. A missing value is ``missing``, or no value if that is None.
+    """
+    column_text = F.col(f"`{column}`").cast("string")
+    labels = df.select((column_text if missing is None else F.coalesce(column_text, F.lit(missing))).alias("label"))
+    codes = durable(fit_labels(labels.where("label IS NOT NULL"), "label"))
+    return codes, codes.count()
+
+
+def hot_vector(code: Column, size: int, name: str) -> Column:
+    """A sparse vector of ``size`` slots with a 1 at ``code``; a missing code sets none."""
+    text = F.when(code.isNotNull(), F.concat(F.lit('"indices":['), code.cast("string"), F.lit('],"values":[1.0]'))).otherwise('"indices":[],"values":[]')
+    whole = F.concat(F.lit('{"v":{"type":0,"size":%d,' % size), text, F.lit("}}"))
+    vector = F.from_json(whole, T.StructType([T.StructField("v", VectorUDT())]))["v"]
+    return vector.alias(name, metadata={"ml_attr": {"num_attrs": size}})
+
+
+def apply_dictionary(df: DataFrame, codes: DataFrame, size: int, column: str, out: str, missing: str | None = "Unknown") -> DataFrame:
+    """Add the sparse vector ``out`` of ``column``; values that the dictionary does not hold set no slot."""
+    text = F.col(f"`{column}`").cast("string")
+    keyed = df.withColumn("label", text if missing is None else F.coalesce(text, F.lit(missing)))
+    return lookup(keyed, codes, "label").select(*[F.col(f"`{c}`") for c in df.columns], hot_vector(F.col("code"), size, out))
+
+
+def one_hot_union_dictionary(train: DataFrame, test: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """The dictionary of the values of either table; missing values have none."""
+    return fit_dictionary(distinct_union(train, test, column), column, missing=None)
 
 
 def fit_target_means(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.metrics import roc_auc
@@ -20,6 +20,13 @@ def vote_weights(board: DataFrame, score: str = "cv_score") -> DataFrame:
     return board.select("model", weight.alias("weight"))
 
 
+def weighted_mean(arrays: list[Column], weights: list[float], k: int) -> Column:
+    """Weighted mean of arrays of k probabilities that stand in one row."""
+    total = sum(weights) or 1.0
+    cells = [sum((F.get(a, F.lit(c)) * (w / total) for a, w in zip(arrays, weights)), F.lit(0.0)) for c in range(k)]
+    return F.array(*cells)
+
+
 def soft_vote(long: DataFrame, key: str, weights: DataFrame | None = None, name: str = "soft_vote") -> DataFrame:
     """Weighted mean probability per class, again in long form."""
     if weights is None:

@@ -33,25 +33,17 @@ def fits(rows: int, size: int) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``df`` marked for broadcast when its measured size is below the bounds, else ``df`` itself.
+def lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Join a table of unique keys onto ``df``: by broadcast when it is small, else by ``split_join``.
 
-    The measured frame is persisted, so the check and the join compute it once. Beyond the
-    bounds the join stays an ordinary shuffle join, where AQE splits skewed partitions.
+    A stream cannot be counted by key before it arrives; beyond the bounds its micro-batches join by shuffle.
     """
-    kept = df.persist()
-    rows, size = size_of(kept)
-    return F.broadcast(kept) if rows <= max_rows and size <= max_bytes else kept
-
-
-def lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Join a table of unique keys onto ``df``: by broadcast when it is small, else by ``split_join``."""
     kept = table.persist()
     rows, size = size_of(kept)
     if fits(rows, size):
         return df.join(F.broadcast(kept), on=on, how=how)
+    if df.isStreaming:
+        return df.join(kept, on=on, how=how)
     return split_join(df, kept, on, how)
 
 

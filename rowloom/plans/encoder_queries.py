@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators import encode
@@ -92,9 +92,42 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 def one_hot_vector(spark: SparkSession, sf: str) -> DataFrame:
     """Any number of categories as one sparse vector; shown as the slot that is set."""
     part = table(spark, sf, "part").select("p_partkey", "p_name")
-    model = encode.one_hot_vector(part, "p_name")
-    scored = model.transform(part).select("p_partkey", vector_to_array("p_name_hot").alias("hot"))
-    return scored.select("p_partkey", (F.array_position("hot", 1.0) - 1).cast("int").alias("slot"), F.size("hot").alias("width"))
+    codes, size = encode.fit_dictionary(part, "p_name")
+    hot = encode.apply_dictionary(part, codes, size, "p_name", "hot")
+    return hot.select("p_partkey", *_slot_and_width("hot"))
+
+
+def _slot_and_width(vector: str) -> list[Column]:
+    """The slot that a sparse vector sets, and its size, without making it dense."""
+    text = F.to_json(F.struct(F.col(vector).alias("v")))
+    return [F.get_json_object(text, "$.v.indices[0]").cast("int").alias("slot"), F.get_json_object(text, "$.v.size").cast("int").alias("width")]
+
+
+@query(
+    "one_hot_many",
+    "WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE md5(CAST(o_orderkey % 5000 AS VARCHAR)) END AS c FROM orders), "
+    "k AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS slot FROM (SELECT DISTINCT c FROM t WHERE c IS NOT NULL AND o_orderkey % 3 > 0)) "
+    "SELECT o_orderkey, CAST(slot AS INTEGER) AS slot, CAST((SELECT count(*) FROM k) AS INTEGER) AS width FROM t LEFT JOIN k USING (c)",
+)
+def one_hot_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Thousands of categories, fitted on two thirds of the rows; a value that is new or missing sets no slot."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE md5(CAST(o_orderkey % 5000 AS STRING)) END").alias("c"))
+    codes, size = encode.fit_dictionary(rows.where("o_orderkey % 3 > 0"), "c", missing=None)
+    hot = encode.apply_dictionary(rows, codes, size, "c", "hot", missing=None)
+    return hot.select("o_orderkey", *_slot_and_width("hot"))
+
+
+@query(
+    "one_hot_union_many",
+    "WITH k AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM (SELECT CAST(o_custkey AS VARCHAR) AS v FROM orders UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer)) "
+    "SELECT o_orderkey, CAST(slot AS INTEGER) AS slot, CAST((SELECT count(*) FROM k) AS INTEGER) AS width FROM orders JOIN k ON v = CAST(o_custkey AS VARCHAR)",
+)
+def one_hot_union_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers of either table as slots."""
+    left = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("v"))
+    right = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("v"))
+    codes, size = encode.one_hot_union_dictionary(left, right, "v")
+    return encode.apply_dictionary(left, codes, size, "v", "hot").select("o_orderkey", *_slot_and_width("hot"))
 
 
 @query(
@@ -186,19 +219,54 @@ _PREPARED = (
 )
 
 
+def _spread_out(fitted: FeaturePreparation, out: DataFrame) -> DataFrame:
+    """The few categories of the status as columns."""
+    names = [n for n in fitted.names if n.startswith("status_")]
+    hot = vector_to_array("status_hot")
+    flags = [hot[i].cast("int").alias(n) for i, n in enumerate(names)]
+    return out.select("obs", rounded("price"), rounded("other_number"), *flags, "flag_bool")
+
+
+_PREPARED_MANY = (
+    "WITH t AS (SELECT o_orderkey AS obs, o_totalprice AS price, CAST(o_orderkey % {k} AS VARCHAR) AS kind FROM orders), "
+    "s AS (SELECT avg(price) AS a, stddev_pop(price) AS d FROM t), "
+    "k AS (SELECT kind, row_number() OVER (ORDER BY kind) AS slot FROM (SELECT DISTINCT kind FROM t)) "
+    "SELECT obs, " + rnd("(price - a) / d", "price") + ", CAST(slot AS INTEGER) AS slot, CAST((SELECT count(*) FROM k) + 1 AS INTEGER) AS width FROM t JOIN k USING (kind), s"
+)
+
+
+def _register_sizes(k: int) -> None:
+    @query(f"feature_preparation_{k}", _PREPARED_MANY.format(k=k))
+    def prepared(spark: SparkSession, sf: str) -> DataFrame:
+        """A preparation of any number of categories, stored and read back, as assembled vectors of one schema."""
+        rows = table(spark, sf, "orders").select(
+            F.col("o_orderkey").alias("obs"), F.col("o_totalprice").alias("price"), (F.col("o_orderkey") % k).cast("string").alias("kind")
+        )
+        fitted = FeaturePreparation(["price"], ["kind"], []).fit(rows)
+        loaded = FeaturePreparation.read(spark, fitted.write(shared_path(spark, "preparation")))
+        text = F.to_json(F.struct(F.col("features").alias("v")))
+        return loaded.assemble(rows).select(
+            "obs", rounded(F.get_json_object(text, "$.v.values[0]").cast("double"), "price"),
+            F.get_json_object(text, "$.v.indices[1]").cast("int").alias("slot"), F.get_json_object(text, "$.v.size").cast("int").alias("width"),
+        )
+
+
+for _k in (5, 5000):
+    _register_sizes(_k)
+
+
 @query("feature_preparation", _PREPARED)
 def feature_preparation(spark: SparkSession, sf: str) -> DataFrame:
     fitted, df = preparation_for(spark, sf)
-    out = fitted.transform(df)
-    return out.select(*[rounded(c) if c in ("price", "other_number") else c for c in out.columns])
+    return _spread_out(fitted, fitted.transform(df))
 
 
 @query("preparation_store", _PREPARED)
 def preparation_store(spark: SparkSession, sf: str) -> DataFrame:
     """The same by a preparation that was stored and read back."""
     fitted, df = preparation_for(spark, sf)
-    out = FeaturePreparation.read(spark, fitted.write(shared_path(spark, "preparation"))).transform(df)
-    return out.select(*[rounded(c) if c in ("price", "other_number") else c for c in out.columns])
+    loaded = FeaturePreparation.read(spark, fitted.write(shared_path(spark, "preparation")))
+    return _spread_out(loaded, loaded.transform(df))
 
 
 @query(

@@ -1,19 +1,20 @@
-"""From a train and a test table to written predictions, state, leaderboard and metadata."""
+"""From a train and a test table to written predictions, leaderboard and metadata, and a stored run that scores new files."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.functions import blocks, dates, text
-from rowloom.functions.cleaning import bool_to_int, null_tokens, to_number
+from rowloom.functions import text
 from rowloom.functions.keys import hash_hex
-from rowloom.functions.numeric import pair_products
 from rowloom.operators import encode, ensemble, features, metrics, models, profile, reduce, splits
 from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.schema import require_schema
+from rowloom.operators.settled import settled
+from rowloom.operators.steps import VERSION, Step, apply_steps, lowered_title, read_steps, write_steps
 from rowloom.session import durable
 from rowloom.sources import files, state
 
@@ -49,7 +50,8 @@ class Run:
     leaderboard: DataFrame
     best: str
     report: DataFrame
-    features: list[str]
+    features: DataFrame
+    stored: str
 
 
 class Features:
@@ -63,91 +65,137 @@ class Features:
         self.roles = roles
         self.seed = seed
         self.numeric = list(roles.numeric)
-        self.steps: list = []
+        self.flags: list[str] = []
+        self.steps: list[Step] = []
 
     def fit(self, train: DataFrame) -> DataFrame:
         """Fit every step on train, one after the other, and return train with the new columns."""
-        r = self.roles
-        df = self._apply(train, self._clean(train))
+        r, types = self.roles, {f.name: f.dataType.simpleString() for f in train.schema.fields}
+        df = self._apply(train, Step("clean", {
+            "columns": [*r.required, "y"], "numeric": r.numeric, "boolean": {c: types[c] for c in r.boolean}, "block": r.block,
+        }))
         if r.date:
-            df = self._apply(df, self._dates())
-            latest, year = features.fit_latest_month(df), features.fit_mean_year(df)
-            latest, year = latest.persist(), year.persist()
-            df = self._apply(df, lambda t: features.year_norm(features.recency_months(t, latest), year).drop("year", "month"))
+            df = self._apply(df, Step("months", {"date": r.date}))
+            df = self._apply(df, Step("recency", {}, {"latest": settled(features.fit_latest_month(df)), "year": settled(features.fit_mean_year(df))}))
             self.numeric += ["month_sin", "month_cos", "recency", "year_norm"]
         if r.title:
-            kept = encode.group_rare(df.withColumn(r.title, self._title()), r.title, r.rare_below)
+            kept = durable(encode.group_rare(df.withColumn(r.title, lowered_title(r.title)), r.title, r.rare_below))
             flags = text.TITLE_KEYWORDS[r.keywords]
             self.flags = list(flags)
-            df = self._apply(df, lambda t: encode.apply_group_rare(
-                t.withColumn(r.title, self._title()), kept, r.title, "_group"
-            ).select("*", *text.keyword_flags(F.col(r.title), flags)).drop(r.title))
+            df = self._apply(df, Step("title", {"title": r.title, "flags": flags}, {"kept": kept}))
             means = encode.fit_ordered_totals(df, "_group", "y")
             prior = df.agg(F.avg(F.col("y").cast("double")).alias("encoded")).select(F.lit(None).cast("string").alias("_group"), "encoded")
-            means = means.where(F.col("_group").isNotNull()).unionByName(prior).persist()
-            self.steps.append(lambda t: encode.apply_target_means(t, means, "_group", "title_encoded").drop("_group"))
+            means = durable(means.where(F.col("_group").isNotNull()).unionByName(prior))
+            self.steps.append(Step("title_means", {}, {"means": means}))
             placed = df.withColumn("_order", hash_hex(self.seed, r.key))
             df = encode.ordered_target_means(placed, "_group", "y", "_order", "title_encoded").drop("_group", "_order")
             self.numeric.append("title_encoded")
-        else:
-            self.flags = []
         if r.block:
-            stats = [*blocks.row_stats(F.col(r.block), "block"), *blocks.row_nonzero(F.col(r.block), "block"), *blocks.row_quantiles(F.col(r.block), "block")]
-            fitted = reduce.fit_pca(df, r.block, r.components)
-            scores = reduce.project(fitted, r.block)
-            slots = [F.get("_scores", F.lit(i)).alias(f"block_pca_{i}") for i in range(r.components)]
             before = df.columns
-            df = self._apply(df, lambda t: t.select("*", *stats, scores.alias("_scores")).select("*", *slots).drop("_scores", r.block))
+            fitted = reduce.fit_pca(df, r.block, r.components)
+            df = self._apply(df, Step("block", {"block": r.block, "components": r.components}, {"components": fitted}))
             self.numeric += [c for c in df.columns if c not in before]
         if r.top_pairs:
             ranked = profile.corr_with_target(df, self.numeric, "y", r.top_pairs)
             strong = [row["column_name"] for row in ranked.collect()]  # at most top_pairs names
-            pairs = pair_products(strong)
             before = df.columns
-            df = self._apply(df, lambda t: t.select("*", *pairs))
+            df = self._apply(df, Step("pairs", {"columns": strong}))
             self.numeric += [c for c in df.columns if c not in before]
         return df
 
     def transform(self, df: DataFrame) -> DataFrame:
-        for step in self.steps:
-            df = step(df)
-        return df
+        return apply_steps(df, self.steps)
 
-    def _apply(self, df: DataFrame, step) -> DataFrame:
+    def _apply(self, df: DataFrame, step: Step) -> DataFrame:
         self.steps.append(step)
-        return step(df)
-
-    def _title(self):
-        return F.lower(F.coalesce(F.col(self.roles.title), F.lit("unknown")))
-
-    def _clean(self, train: DataFrame):
-        r, types = self.roles, {f.name: f.dataType for f in train.schema.fields}
-
-        def step(t: DataFrame) -> DataFrame:
-            clean = {c: to_number(null_tokens(F.col(c).cast("string"))).alias(c) for c in r.numeric}
-            clean |= {c: bool_to_int(F.col(c), types[c]).alias(c) for c in r.boolean}
-            if r.block:
-                clean[r.block] = blocks.filled_block(F.col(r.block)).alias(r.block)
-            return t.select(*[clean.get(c, F.col(c)) for c in t.columns if c in {*r.required, "y"}])
+        return step.apply(df)
 
-        return step
 
-    def _dates(self):
-        year, month = dates.lenient_year_month(F.col(self.roles.date))
+@dataclass
+class StoredRun:
+    """Everything that scores a new file: steps, preparation, models fitted on all rows, label codes and how models combine.
 
-        def step(t: DataFrame) -> DataFrame:
-            parted = t.select("*", year.alias("year"), month.alias("month"))
-            sin, cos = dates.cyclic_month(F.col("month"))
-            return parted.select("*", sin.alias("month_sin"), cos.alias("month_cos")).drop(self.roles.date)
+    ``best`` is the name of a model, ``soft_vote`` (models by their weights) or ``stacking`` (a model over their
+    probabilities). Scores of all models of a row stand beside each other in it, so combining them moves no rows.
+    """
 
-        return step
+    key: str
+    target: str
+    k: int
+    best: str
+    names: list[str]
+    weights: list[float]
+    steps: list[Step]
+    prepared: FeaturePreparation
+    codes: DataFrame
+    fitted: dict[str, models.Fitted]
+
+    def write(self, spark: SparkSession, root: str, run_id: str) -> str:
+        """Store the run below ``root``; runs are kept beside each other by ``run_id``."""
+        path = f"{root}/parts/{run_id}"
+        write_steps(spark, self.steps, f"{path}/steps")
+        self.prepared.write(f"{path}/preparation")
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        for i, name in enumerate(sorted(self.fitted)):
+            self.fitted[name].write(spark, f"{path}/models/{i}")
+        row = (path, VERSION, self.key, self.target, self.k, self.best, self.names, self.weights, sorted(self.fitted))
+        types = "path string, version int, key string, target string, k int, best string, names array<string>, weights array<double>, models array<string>"
+        # Written last, so that a run is found only when all its parts are there.
+        state.save_state(spark.createDataFrame([row], types), root, "run", run_id)
+        return root
+
+    @classmethod
+    def read(cls, spark: SparkSession, root: str, run_id: str | None = None) -> "StoredRun":
+        """The run ``run_id`` below ``root``, or the newest one where it is missing."""
+        found = state.load_state(spark, root, "run", run_id)
+        if found is None:
+            raise FileNotFoundError(f"no stored run below {root}")
+        row = found.first()
+        if row["version"] > VERSION:
+            raise ValueError(f"the run is of version {row['version']}, known is {VERSION}")
+        path = row["path"]
+        return cls(
+            row["key"], row["target"], row["k"], row["best"], list(row["names"]), list(row["weights"]),
+            read_steps(spark, f"{path}/steps"), FeaturePreparation.read(spark, f"{path}/preparation"), spark.read.parquet(f"{path}/codes"),
+            {name: models.load_fitted(spark, f"{path}/models/{i}") for i, name in enumerate(row["models"])},
+        )
+
+    def probabilities(self, df: DataFrame) -> DataFrame:
+        """(key, probs) of raw rows."""
+        scored = self.prepared.assemble(apply_steps(df, self.steps)).select(self.key, "features")
+        used = [self.best] if self.best in self.names else self.names
+        for i, name in enumerate(used):
+            scored = self.fitted[name].add_probs(scored).withColumnRenamed("probs", f"_probs{i}")
+        each = [F.col(f"_probs{i}") for i in range(len(used))]
+        if self.best == "stacking":
+            level = scored.select(self.key, array_to_vector(F.concat(*each)).alias("features"))
+            return self.fitted["stacking"].add_probs(level).select(self.key, "probs")
+        return scored.select(self.key, ensemble.weighted_mean(each, self.weights if self.best == "soft_vote" else [1.0], self.k).alias("probs"))
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """(key, label) of raw rows."""
+        called = self.probabilities(df).select(self.key, models.argmax(F.col("probs")).alias("prediction"))
+        return encode.decode_labels(called, self.codes, "prediction", self.target).select(self.key, self.target)
+
+
+def refit(folded: DataFrame, fits: dict[str, models.Fit], names: list[str], best: str, k: int, level: DataFrame | None, meta: models.Fit) -> dict:
+    """The models that the best needs, each fitted on all rows; the second level stays fitted on out-of-fold probabilities."""
+    used = [best] if best in names else names
+    whole = folded.drop("fold")
+    done = dict(zip(used, models.side_by_side([lambda n=n: fits[n](whole, k) for n in used])))
+    if best == "stacking":
+        done["stacking"] = meta(level.drop("fold"), k)
+    return done
 
 
 def run(
     train: DataFrame, test: DataFrame, roles: Roles, fits: dict[str, models.Fit], output: str,
     folds: int = 5, bar: float = 0.72, meta: models.Fit | None = None, seed: int = 42, run_id: str = "run", holdout: float = 0.2,
 ) -> Run:
-    """Prepare, cross-validate, combine, choose the best by out-of-fold accuracy, and write the results.
+    """Prepare, cross-validate, combine, choose the best by out-of-fold accuracy, write the results and store the run.
+
+    What the best needs is fitted once more on all rows, and stored with steps, preparation and codes (``StoredRun``), unless
+    it holds a rule without parts, which cannot be stored.
 
     A share of ``holdout`` of each class is set apart before anything is fitted; it has no part in encoders, pairs, models,
     weights or the choice, only in ``holdout_acc``.
@@ -189,6 +237,7 @@ def run(
     # Votes are weighed and models qualify by their CV score alone.
     scores = scores.withColumn("holdout_acc", F.col("cv_score")).persist()
     kept = ensemble.qualify_models(scores, bar)
+    weights, level = None, None
     names = sorted(row["model"] for row in kept.select("model").collect())  # one row per model
     results = {name: (held.where(F.col("model") == name), tested.where(F.col("model") == name)) for name in names}
     if len(names) > 1:
@@ -218,7 +267,12 @@ def run(
     state.save_state(codes, f"{output}/state", "label_codes", run_id)
     state.save_state(prepared.medians, f"{output}/state", "medians", run_id)
     state.save_state(prepared.scales, f"{output}/state", "scales", run_id)
-    prepared.write(f"{output}/preparation")
+    weighed = {r["model"]: r["weight"] for r in weights.collect()} if weights is not None else {}  # one row per model
+    fitted = refit(folded, fits, names, best, k, level, meta or models.logistic())
+    stored = f"{output}/stored"
+    if all(f.kind for f in fitted.values()):
+        whole = StoredRun(key, roles.target, k, best, names, [float(weighed.get(n, 1.0)) for n in names], engineered.steps, prepared, codes, fitted)
+        whole.write(spark, stored, run_id)
     files.write_parquet(board, f"{output}/leaderboard")
-    files.write_metadata(spark, f"{output}/metadata", {"best": best, "models": len(fits), "features": len(prepared.names), "classes": k})
-    return Run(predictions, board, best, report, prepared.names)
+    files.write_metadata(spark, f"{output}/metadata", {"best": best, "models": len(fits), "features": prepared.width, "classes": k})
+    return Run(predictions, board, best, report, prepared.name_table(spark), stored)

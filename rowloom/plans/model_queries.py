@@ -15,7 +15,7 @@ from rowloom.plans import fixtures as fx
 from rowloom.plans import lifecycle
 from rowloom.plans.registry import query, rnd, rounded
 from rowloom.session import durable, shared_path
-from rowloom.sources.files import read_csv, table
+from rowloom.sources.files import read_csv, table, write_parquet
 
 K = 3
 NUMERIC = ["o_totalprice", "c_acctbal", "month_sin", "month_cos", "year"]
@@ -503,3 +503,31 @@ def _first_model(df: DataFrame, k: int) -> models.Fitted:
 def full_run_rule(spark: SparkSession, sf: str) -> DataFrame:
     """The run over rules of prepared slots: whichever of models, vote and stacking is best, the labels written are known."""
     return _whole_run(spark, sf, {"bold": _slot_rule(0.8), "calm": _slot_rule(0.5)}, _first_model)
+
+
+# The label is a rule of the raw columns, which one tree on the prepared slots learns without error.
+_RULE = "CASE WHEN o_orderpriority = '1-URGENT' THEN 'P' WHEN o_totalprice > 250000 THEN 'O' ELSE 'F' END"
+
+
+@query("stored_run", f"WITH {fx.PARTS_SQL} SELECT o_orderkey, {_RULE} AS kind FROM test")
+def stored_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run fitted on train and stored; another session reads it and labels a file that the run never saw."""
+    raw = [
+        p.select(
+            "o_orderkey", "o_totalprice", "c_acctbal", F.col("c_mktsegment").alias("title"), "o_orderpriority",
+            (F.col("o_totalprice") > 250000).alias("is_large"), F.expr(fx.YEAR_MONTH).alias("posted"),
+            F.array("o_totalprice", "c_acctbal", F.col("c_nationkey").cast("double")).alias("block"), F.expr(_RULE).alias("kind"),
+        )
+        for p in fx.order_parts(spark, sf)
+    ]
+    roles = lifecycle.Roles(
+        key="o_orderkey", target="kind", numeric=["o_totalprice", "c_acctbal"], categorical=["o_orderpriority"],
+        boolean=["is_large"], title="title", date="posted", block="block", components=2,
+    )
+    tree = {"tree": models.random_forest(trees=1, depth=3, subset="all", bootstrap=False)}
+    file = write_parquet(raw[1].drop("kind"), shared_path(spark, "new-file"))
+    done = lifecycle.run(raw[0], raw[0].drop("kind"), roles, tree, shared_path(spark, "run"), folds=2)
+    fresh = spark.newSession()
+    labels = lifecycle.StoredRun.read(fresh, done.stored).score(fresh.read.parquet(file))
+    path = write_parquet(labels, shared_path(spark, "labels"))
+    return spark.read.parquet(path).select("o_orderkey", "kind")

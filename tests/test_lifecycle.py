@@ -53,11 +53,20 @@ def test_from_csv_to_submission(spark, tmp_path):
     board = {r["model"]: r["cv_score"] for r in done.leaderboard.collect()}
     assert set(board) == {"logistic", "random_forest", "soft_vote", "stacking"}
     assert max(board.values()) == board[done.best] > 0.6
-    assert {"is_senior", "title_encoded", "recency", "block_std", "block_pca_1", "job_state_CA", "feature_3"} <= set(done.features)
+    assert {"is_senior", "title_encoded", "recency", "block_std", "block_pca_1", "job_state_CA", "feature_3"} <= {r["feature"] for r in done.features.collect()}
     assert {r["label"] for r in done.report.collect()} >= {"0", "1", "2", "accuracy", "macro avg", "weighted avg"}
     saved = files.read_metadata(spark, str(tmp_path / "out" / "metadata"), "best STRING, classes INT")
     assert saved == {"best": done.best, "classes": 3}
 
+    # A new file, in a session that knows nothing of the fit; a missing run falls back to the newest.
+    fresh = spark.newSession()
+    make_csv(tmp_path / "new.csv", 60, False, 5)
+    run = lifecycle.StoredRun.read(fresh, done.stored, "no such run")
+    labels = run.score(load(fresh, tmp_path / "new.csv").drop("salary_category")).collect()
+    assert sorted(r["obs"] for r in labels) == list(range(60)) and {r["salary_category"] for r in labels} <= {"High", "Medium", "Low"}
+    again = lifecycle.StoredRun.read(spark, done.stored).probabilities(load(spark, tmp_path / "new.csv"))
+    assert all(abs(sum(r["probs"]) - 1) < 1e-9 for r in again.collect())
+
 
 def test_labels_without_meaning_are_not_learned(spark, tmp_path):
     """Labels drawn apart from all columns: no score may lie far above the largest class, in folds or apart from them."""

@@ -268,5 +268,5 @@ def test_states_do_not_see_test_rows(spark):
     assert fitted.names == ["x", "c_Unknown", "c_a", "c_b", "f"]
     assert fitted.medians.first()["x"] == 2.0 and fitted.scales.first()["x__mean"] == 2.0
     rows = {r["id"]: r for r in fitted.transform(test).collect()}
-    assert (rows[4]["c_a"], rows[4]["c_b"], rows[4]["c_Unknown"], rows[4]["f"]) == (0, 0, 0, 1)
-    assert (rows[5]["x"], rows[5]["c_Unknown"], rows[5]["f"]) == (0.0, 1, 0)
+    assert (rows[4]["c_hot"].toArray().tolist(), rows[4]["f"]) == ([0, 0, 0], 1)
+    assert (rows[5]["x"], rows[5]["c_hot"].toArray().tolist(), rows[5]["f"]) == (0.0, [1, 0, 0], 0)

@@ -1,8 +1,8 @@
 """Phrases whose words occur together far more often than apart, mined by vertical partitioning of word suffixes.
 
 Texts become pieces of words; every suffix of a piece, cut to ``most_words`` words, is a path of a suffix tree. The tree
-is never held whole. Its vertical partitioning counts prefixes of one word and extends those that exceed the memory
-budget by a further word, until each fits. Prefixes are put together to groups within the budget, every group builds
+is never held whole. Its vertical partitioning counts prefixes of one word (in cells of their hash) and extends those that
+exceed the memory budget by a further word, until each fits. Prefixes are put together to groups within the budget, every group builds
 its subtree by itself (one sort of its suffixes), and the count of a phrase is the total of the leaves below it.
 
 Before that, suffixes end where no phrase can be frequent: at a word, or a pair of words, below ``min_count``. Words
@@ -31,8 +31,9 @@ from rowloom.session import durable, shared_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GROUP_ROWS = 250_000
-MOST_HEAVY = 50_000
-MOST_CELLS = 1 << 20
+MOST_HEAVY = 10_000
+FIRST_BITS = 12
+MORE_BITS = 6
 WORD_BITS = 24
 PAIR_BITS = 22
 CELL_BYTES = 4096
@@ -189,82 +190,68 @@ def _suffixes(rows: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray, mos
     return rows.mapInArrow(run, ", ".join(f"w{i + 1} bigint" for i in range(most_words)) + ", n bigint")
 
 
-def _prefix_keys(columns: list[np.ndarray], heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The key and length of the prefix that each suffix is partitioned by, and whether that prefix is itself too heavy.
+def _prefix_cells(batch: pa.RecordBatch, most_words: int, heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cell of prefixes that each suffix is partitioned by, the words of these prefixes, and whether it may be parted further.
 
-    ``heavy`` holds, per length, the sorted keys of the prefixes that are extended by a further word.
+    ``heavy`` holds, per length, the sorted cells whose prefixes are extended by a further word. Suffixes that are equal to
+    their last word have none left, and are dealt by their place.
     """
-    key, long = mix(columns[0].copy()), np.ones(len(columns[0]), dtype=np.int64)
-    alive = np.ones(len(key), dtype=bool)
-    for level, words in enumerate(columns):
-        if level:
-            key = np.where(alive, mix(key * np.uint64(3) + words), key)
-            long += alive
-        if level == len(heavy):
-            return key, long, alive
-        place = np.minimum(np.searchsorted(heavy[level], key), len(heavy[level]) - 1)
-        alive &= heavy[level][place] == key
-    return key, long + alive, alive
-
-
-def _words_of(batch: pa.RecordBatch, most_words: int) -> list[np.ndarray]:
-    return [batch.column(i).to_numpy().view(np.uint64) for i in range(most_words)]
+    columns = [batch.column(i).to_numpy().view(np.uint64) for i in range(most_words)]
+    key = mix(columns[0].copy())
+    cell = (1 << FIRST_BITS) + (key >> np.uint64(64 - FIRST_BITS)).astype(np.int64)
+    long, alive = np.ones(len(key), dtype=np.int64), np.ones(len(key), dtype=bool)
+    for level, cells in enumerate(heavy, 1):
+        alive &= cells[np.minimum(np.searchsorted(cells, cell), len(cells) - 1)] == cell
+        more = columns[level] if level < most_words else np.arange(len(key), dtype=np.uint64)
+        key = np.where(alive, mix(key * np.uint64(3) + more), key)
+        cell = np.where(alive, cell << MORE_BITS | (key >> np.uint64(64 - MORE_BITS)).astype(np.int64), cell)
+        long += alive
+    return cell, long, alive
 
 
 def _grouped(suffixes: DataFrame, most_words: int, group_rows: int) -> DataFrame:
-    """Add ``long``, the words of the prefix that a suffix is partitioned by, and its ``group``.
+    """Add ``long``, the words of the prefixes that a suffix is partitioned by, and its ``group``.
 
-    A prefix with more rows than the budget is extended by a word; the keys of such prefixes, at most rows / budget of a
-    length, travel to the tasks, and the budget grows so that these are never more than ``MOST_HEAVY``. Equal whole
-    suffixes that exceed it are dealt over groups, since their counts add up. Then cells of prefixes, in the order of
-    their keys, are closed to a group whenever the budget is reached.
+    Prefixes of a word are counted in cells of their hash; the prefixes of a cell beyond the budget are extended by a word,
+    and so on. Cells in order are closed to a group whenever the budget is reached. The number of cells beyond the budget
+    is at most rows / budget of a length, and the budget grows so that these are never more than ``MOST_HEAVY``.
     """
     n = suffixes.count()
     budget = max(group_rows, n // MOST_HEAVY)
-    heavy: list[np.ndarray] = []
-    for _ in range(most_words):
+
+    def counted(heavy: list[np.ndarray], every: bool) -> tuple[np.ndarray, np.ndarray]:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cells, rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for batch in batches:
-                key, _, alive = _prefix_keys(_words_of(batch, most_words), heavy)
-                found, rows = np.unique(key[alive], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(rows)], names=["key", "rows"])
+                cell, _, alive = _prefix_cells(batch, most_words, heavy)
+                cells, inverse = np.unique(np.concatenate([cells, cell if every else cell[alive]]), return_inverse=True)
+                held = np.bincount(inverse[len(rows):], minlength=len(cells))
+                held += np.bincount(inverse[:len(rows)], weights=rows, minlength=len(cells)).astype(np.int64)
+                rows = held
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(rows.astype(np.int64))], names=["cell", "rows"])
 
-        counted = suffixes.mapInArrow(count, "key bigint, rows bigint").groupBy("key").agg(F.sum("rows").alias("rows"))
-        found = counted.where(F.col("rows") > budget).select("key").toPandas()["key"].to_numpy(dtype=np.int64).view(np.uint64)
+        found = suffixes.mapInArrow(count, "cell bigint, rows bigint").groupBy("cell").agg(F.sum("rows").alias("rows"))
+        found = (found if every else found.where(F.col("rows") > budget)).toPandas().sort_values("cell")
+        return found["cell"].to_numpy(dtype=np.int64), found["rows"].to_numpy(dtype=np.int64)
+
+    heavy: list[np.ndarray] = []
+    for _ in range(most_words):
+        found, _ = counted(heavy, every=False)
         if not len(found):
             break
-        heavy.append(np.sort(found))
-    bits = 4
-    while 1 << bits < min(MOST_CELLS, 16 * n // budget):
-        bits += 1
-
-    def cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        key, long, alive = _prefix_keys(_words_of(batch, most_words), heavy)
-        if len(heavy) == most_words:
-            key = np.where(alive, mix(key + np.arange(len(key), dtype=np.uint64)), key)
-        return (key >> np.uint64(64 - bits)).astype(np.int64), long
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
-            rows += np.bincount(cells(batch)[0], minlength=len(rows))
-        some = np.flatnonzero(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows[some])], names=["cell", "rows"])
-
-    sizes = suffixes.mapInArrow(measure, "cell bigint, rows bigint").groupBy("cell").agg(F.sum("rows").alias("rows")).toPandas()
-    rows = np.zeros(1 << bits, dtype=np.int64)
-    rows[sizes["cell"].to_numpy(dtype=np.int64)] = sizes["rows"].to_numpy(dtype=np.int64)
-    group, filled, number = np.zeros(len(rows), dtype=np.int64), 0, 0
-    for cell, size in enumerate(rows.tolist()):
+        heavy.append(found)
+    cells, rows = counted(heavy, every=True)
+    group, filled, number = np.zeros(len(cells), dtype=np.int64), 0, 0
+    for i, size in enumerate(rows.tolist()):
         if filled and filled + size > budget:
             number, filled = number + 1, 0
-        group[cell], filled = number, filled + size
+        group[i], filled = number, filled + size
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, long = cells(batch)
+            cell, long, _ = _prefix_cells(batch, most_words, heavy)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(long), pa.array(group[cell])], names=[*batch.schema.names, "long", "group"]
+                [*batch.columns, pa.array(long), pa.array(group[np.searchsorted(cells, cell)])], names=[*batch.schema.names, "long", "group"]
             )
 
     return suffixes.mapInArrow(deal, ", ".join(f"{c} bigint" for c in [*suffixes.columns, "long", "group"]))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.metrics import roc_auc
-from rowloom.operators.models import Fit, Fitted, argmax, predicted_class
+from rowloom.operators.models import Fit, Fitted, argmax, normalised, predicted_class
 from rowloom.operators.sizing import lookup
 
 
@@ -27,6 +28,49 @@ def weighted_mean(arrays: list[Column], weights: list[float], k: int) -> Column:
     return F.array(*cells)
 
 
+def accuracy_board(rows: DataFrame, models: list[str]) -> DataFrame:
+    """(model, fold, accuracy) from rows with ``scores``, ``y`` and ``fold``: one small aggregate, no regrouping by row."""
+    hits = [F.struct(F.lit(m).alias("model"), (argmax(F.col("scores")[m]) == F.col("y")).cast("double").alias("hit")) for m in models]
+    each = rows.select("fold", F.inline(F.array(*hits)))
+    return each.groupBy("model", "fold").agg(F.avg("hit").alias("accuracy"))
+
+
+def vote_rows(rows: DataFrame, key: str, weights: dict[str, float], k: int) -> DataFrame:
+    """Soft vote of rows whose ``scores`` hold an array of k probabilities under each model's name: (key, probs).
+
+    A row has all it needs, so nothing is shuffled. Weights are one number a model; models without one have no vote.
+    """
+    names = sorted(weights)
+    return rows.select(key, weighted_mean([F.col("scores")[n] for n in names], [weights[n] for n in names], k).alias("probs"))
+
+
+def hard_vote_rows(rows: DataFrame, key: str, models: list[str], k: int) -> DataFrame:
+    """Most frequent class of the models' own, ties to the smallest: (key, prediction)."""
+    calls = F.array(*[argmax(F.col("scores")[m]) for m in models])
+
+    def votes(c: int) -> Column:
+        return F.size(F.filter(calls, lambda x: x == c))
+
+    counts = F.array(*[votes(c) for c in range(k)])
+    return rows.select(key, argmax(counts).alias("prediction"))
+
+
+def stack_rows(rows: DataFrame, key: str, models: list[str], extra: list[str] = ()) -> DataFrame:
+    """The probabilities of all models of a row as one vector, the second level's features."""
+    return rows.select(key, *extra, array_to_vector(F.concat(*[F.col("scores")[m] for m in models])).alias("features"))
+
+
+def per_class_rows(rows: DataFrame, key: str, chosen: dict[int, str], k: int) -> DataFrame:
+    """Each class's probability from its chosen model, scaled to a sum of 1: (key, probs)."""
+    taken = F.array(*[F.get(F.col("scores")[chosen[c]], F.lit(c)) for c in range(k)])
+    return rows.select(key, normalised(taken, k).alias("probs"))
+
+
+def by_class(rows: DataFrame, key: str) -> DataFrame:
+    """(key, class, p) of rows with ``probs``."""
+    return rows.select(key, F.posexplode("probs").alias("class", "p"))
+
+
 def soft_vote(long: DataFrame, key: str, weights: DataFrame | None = None, name: str = "soft_vote") -> DataFrame:
     """Weighted mean probability per class, again in long form."""
     if weights is None:

@@ -288,15 +288,16 @@ def side_by_side(jobs: list[Callable[[], Any]], threads: int = 4) -> list[Any]:
 
 
 def oof_predict(
-    train: DataFrame, fit: Fit, k: int, key: str, name: str, test: DataFrame | None = None, folds: int = 5
+    train: DataFrame, fit: Fit, k: int, key: str, name: str, test: DataFrame | None = None, folds: int = 5,
+    resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Out-of-fold probabilities of ``train`` (which has ``fold``), and the test mean over the fold models.
 
-    ``test`` is read once and not shuffled: a row carries the scores of all fold models to their mean.
+    ``resample`` changes what each fold's model is fitted on, and nothing that is scored. ``test`` is read once and not shuffled: a row carries the scores of all fold models to their mean.
     """
     kept = train.persist()
     models = side_by_side([
-        lambda f=f: fit(kept.where(F.col("fold") != f).drop("fold"), k) for f in range(folds)
+        lambda f=f: fit((resample or (lambda t: t))(kept.where(F.col("fold") != f).drop("fold")), k) for f in range(folds)
     ])
     held = None
     for f, fitted in enumerate(models):

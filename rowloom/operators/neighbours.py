@@ -122,11 +122,13 @@ class _Cells:
         self.cell = np.array([r["cell"] for r in rows])
         self.blocks = np.array([r["blocks"] for r in rows])
         self.radius = np.array([r["radius"] for r in rows])
+        self.reach = np.array([np.inf if r["reach"] is None else r["reach"] for r in rows])
         self.low, self.high = np.array([r["low"] for r in rows]), np.array([r["high"] for r in rows])
 
 
-def _lower_bounds(q: np.ndarray, cells: _Cells, centres: np.ndarray, between: np.ndarray, metric: str) -> np.ndarray:
-    """For each query and cell a distance that no row of the cell is nearer than."""
+def _bounds(q: np.ndarray, carried: np.ndarray, cells: _Cells, centres: np.ndarray, between: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each query and cell a distance that no row of the cell is nearer than; and for each query one that its k-th
+    neighbour is not beyond: the carried one, or that of a cell whose first rows lie near enough to its pivot."""
     gaps = _distances(q, centres, metric)
     mine = gaps[:, cells.cell]
     out = np.maximum(0.0, mine - cells.radius[None, :])
@@ -140,7 +142,7 @@ def _lower_bounds(q: np.ndarray, cells: _Cells, centres: np.ndarray, between: np
         far = between[own][:, cells.cell]
         plane = (mine**2 - gaps.min(axis=1)[:, None] ** 2) / np.where(far > 0, 2 * far, np.inf)
         np.maximum(out, plane, out=out)
-    return out
+    return out, np.minimum(carried, (mine + cells.reach[None, :]).min(axis=1)) * (1 + 1e-9) + 1e-9
 
 
 def knn_rounds(
@@ -190,9 +192,13 @@ def knn_rounds(
         F.max("r").alias("radius"), F.array(*[F.min(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("low"),
         F.array(*[F.max(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("high"),
     )
+    # One of the k + 1 rows nearest to a pivot may be the query itself.
+    near = Window.partitionBy("part", "cell").orderBy("r", "id")
+    reach = celled.select("part", "cell", "r", "id").withColumn("place", F.row_number().over(near)).where(F.col("place") <= k + 1)
+    reach = reach.where(F.col("place") == k + 1).select("part", "cell", F.col("r").alias("reach"))
     known: dict[str, _Cells] = {}
     if few:
-        rows = rings.join(cut, ["part", "cell"]).collect()  # at most MOST_CELLS
+        rows = rings.join(cut, ["part", "cell"]).join(reach, ["part", "cell"], "left").collect()  # at most MOST_CELLS
         for name in {r["part"] for r in rows}:
             known[name] = _Cells([r for r in rows if r["part"] == name])
     between = _distances(centres, centres, metric)
@@ -205,8 +211,8 @@ def knn_rounds(
         if cells is None:
             return {**state, "next_cell": [], "next_block": [], "needed": 0, "pairs": 0}
         q = _matrix(state["vecs"], n)
-        low = _lower_bounds(q, cells, centres, between, metric)
-        need = low <= bound[:, None] * (1 + 1e-9) + 1e-9
+        low, bound = _bounds(q, bound, cells, centres, between, metric)
+        need = low <= bound[:, None]
         order = np.lexsort((cells.cell, low.mean(axis=0), -need.sum(axis=0) if turn else low.min(axis=0)))
         unit_cell = np.repeat(order, cells.blocks[order])
         unit_block = np.concatenate([np.arange(b) for b in cells.blocks[order]])
@@ -256,8 +262,8 @@ def knn_rounds(
         if ask["part"] in known:
             cells = known[ask["part"]]
             here = np.flatnonzero(cells.cell == point["of_cell"])
-            low = _lower_bounds(q, cells, centres, between, metric)[:, here[0]]
-            rows = np.flatnonzero(low <= bound * (1 + 1e-9) + 1e-9)
+            low, bound = _bounds(q, bound, cells, centres, between, metric)
+            rows = np.flatnonzero(low[:, here[0]] <= bound)
         r, c, distance = _nearest_in_block(q[rows], np.asarray(ask["ids"])[rows], d, np.asarray(point["of_ids"]), k, metric, bound[rows])
         return pd.DataFrame({
             "chunk": np.full(len(r), ask["chunk"]), "q": rows[r], "near": np.asarray(point["of_ids"])[c],
@@ -297,6 +303,12 @@ def knn_rounds(
         turn += 1
 
 
+def _no_neighbours(data: DataFrame) -> DataFrame:
+    types = [data.schema[c].dataType.simpleString() for c in ("id", "label")]
+    schema = "id {0}, label {1}, neighbour {0}, neighbour_label {1}, distance double, rank int".format(*types)
+    return data.sparkSession.createDataFrame([], schema)
+
+
 def knn_join(
     queries: DataFrame,
     data: DataFrame,
@@ -315,9 +327,7 @@ def knn_join(
     chebyshev or minkowski with its power, as minkowski3.
     """
     if not data.take(1):
-        types = [data.schema[c].dataType.simpleString() for c in ("id", "label")]
-        schema = "id {0}, label {1}, neighbour {0}, neighbour_label {1}, distance double, rank int".format(*types)
-        return data.sparkSession.createDataFrame([], schema)
+        return _no_neighbours(data)
     state = knn_rounds(queries, data, k, metric, within, pivots, block_rows)
     each = state.select("near", "near_labels", "distances", F.posexplode(F.arrays_zip("ids", "labels")).alias("at", "query"))
     lists = F.arrays_zip(*[F.slice(c, F.col("at") * k + 1, F.lit(k)).alias(c) for c in ("near", "near_labels", "distances")])
@@ -338,7 +348,9 @@ def knn_by_hashing(
     """
     id_type, label_type = (data.schema[c].dataType.simpleString() for c in ("id", "label"))
     first = data.select(F.size("vec").alias("n")).first()
-    width = first["n"] if first else 0
+    if first is None:
+        return _no_neighbours(data)
+    width = first["n"]
     planes = np.random.default_rng(seed).standard_normal((tables * bits, width))
     weights = 1 << np.arange(bits, dtype=np.int64)
 

@@ -5,6 +5,7 @@ Tables have a unique ``id``, a ``label`` and ``vec array<double>``.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,3 +81,29 @@ def remove_tomek(df: DataFrame) -> DataFrame:
 
 def smote_tomek(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     return remove_tomek(durable(oversample(df, k, seed)))
+
+
+def balanced_folds(folded: DataFrame, folds: int, k: int = 5, seed: int = 42) -> DataFrame:
+    """For each fold the rows that a model of it is fitted on, balanced: (fold, id, label, vec, synthetic).
+
+    ``folded`` has ``id``, ``label``, ``vec`` and ``fold``. ``fold`` of the result is the one held out; synthetic rows lie
+    between rows of the others, so nothing of a held-out row is in what its model learns.
+    """
+    out = None
+    for f in range(folds):
+        part = folded.where(F.col("fold") != f).drop("fold")
+        made = smote(part, k, seed).select(F.concat_ws("#", "id", "copy").alias("id"), "label", "vec", F.lit(True).alias("synthetic"))
+        own = part.select(F.col("id").cast("string").alias("id"), "label", "vec", F.lit(False).alias("synthetic"))
+        both = own.unionByName(made).select(F.lit(f).alias("fold"), "id", "label", "vec", "synthetic")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def balanced_training(key: str, k: int = 5, seed: int = 42):
+    """How ``oof_predict`` balances the part of a fold that is fitted on: original and synthetic rows as (y, features)."""
+    def balance(train: DataFrame) -> DataFrame:
+        rows = train.select(F.col(key).alias("id"), F.col("y").alias("label"), vector_to_array("features").alias("vec"))
+        made = smote(rows, k, seed).select(F.col("label").alias("y"), array_to_vector("vec").alias("features"))
+        return train.select("y", "features").unionByName(made)
+
+    return balance

@@ -10,6 +10,7 @@ from rowloom.plans import fixtures as fx
 from rowloom.plans.registry import query, rnd, rounded
 
 PROBS = f"WITH {fx.PROBS_SQL}"
+MODELS = list(fx.MODEL_BONUS)
 _HITS = (
     ", called AS (SELECT id, y, fold, model, arg_max(class, (p, -class)) AS prediction FROM probs GROUP BY id, y, fold, model), "
     "folds AS (SELECT model, fold, avg(CASE WHEN prediction = y THEN 1 ELSE 0 END) AS accuracy FROM called GROUP BY model, fold), "
@@ -66,9 +67,15 @@ def vote_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("soft_vote", _WEIGHTS + "SELECT id, class, " + rnd("sum(p * weight) / sum(weight)", "p", 9) + " FROM probs JOIN w USING (model) GROUP BY id, class")
 def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
-    long = _long(spark, sf)
-    voted = ensemble.soft_vote(long, "id", ensemble.vote_weights(board(long)))
-    return voted.select("id", "class", rounded("p", digits=9))
+    """One row an order, an array a model: the vote shuffles nothing but the counts behind its weights."""
+    rows = fx.pseudo_arrays(spark, sf)
+    voted = ensemble.vote_rows(rows, "id", _weights(rows), 3)
+    return ensemble.by_class(voted, "id").select("id", "class", rounded("p", digits=9))
+
+
+def _weights(rows: DataFrame) -> dict[str, float]:
+    scores = ensemble.accuracy_board(rows, MODELS).groupBy("model").agg(F.avg("accuracy").alias("cv_score"))
+    return {r["model"]: r["weight"] for r in ensemble.vote_weights(scores.persist()).collect()}  # one row per model
 
 
 @query(
@@ -77,7 +84,7 @@ def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT id, arg_max(prediction, (n, -prediction)) AS prediction FROM n GROUP BY id",
 )
 def hard_vote(spark: SparkSession, sf: str) -> DataFrame:
-    return ensemble.hard_vote(_long(spark, sf), "id", 3)
+    return ensemble.hard_vote_rows(fx.pseudo_arrays(spark, sf), "id", MODELS, 3)
 
 
 _PER_CLASS = (
@@ -98,9 +105,15 @@ def best_per_class(spark: SparkSession, sf: str) -> DataFrame:
     _PER_CLASS + "SELECT id, class, " + rnd("p / sum(p) OVER (PARTITION BY id)", "p", 9) + " FROM probs JOIN best USING (model, class)",
 )
 def per_class_best_ensemble(spark: SparkSession, sf: str) -> DataFrame:
-    long = _long(spark, sf)
-    voted = ensemble.per_class_vote(long, ensemble.best_per_class(long), "id")
-    return voted.select("id", "class", rounded("p", digits=9))
+    rows = fx.pseudo_arrays(spark, sf)
+    chosen = {r["class"]: r["model"] for r in ensemble.best_per_class(_long(spark, sf)).collect()}  # one row per class
+    return ensemble.by_class(ensemble.per_class_rows(rows, "id", chosen, 3), "id").select("id", "class", rounded("p", digits=9))
+
+
+@query("hard_vote_long", PROBS + _HITS + ", n AS (SELECT id, prediction, count(*) AS n FROM called GROUP BY id, prediction) SELECT id, arg_max(prediction, (n, -prediction)) AS prediction FROM n GROUP BY id")
+def hard_vote_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The same vote where models come as rows of their own."""
+    return ensemble.hard_vote(_long(spark, sf), "id", 3)
 
 
 @query(

@@ -148,6 +148,24 @@ def pseudo_probabilities(spark: SparkSession, sf: str, models: list[str] = ("ada
     return raws.select("id", "y", "fold", "model", F.posexplode(F.transform("raws", lambda r: r / total)).alias("class", "p"))
 
 
+def pseudo_arrays(spark: SparkSession, sf: str, models: list[str] = ("ada", "bob", "cyd")) -> DataFrame:
+    """The same probabilities as one row per order: (id, y, fold, scores), an array of classes under each model's name."""
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey AS id", f"CAST({STATUS_CODE} AS INT) AS y", f"{FOLD} AS fold")
+
+    def raw(model: str, c: int):
+        hashed = hash_int(F.md5(F.concat_ws(":", F.lit(model), F.col("id").cast("string"), F.lit(str(c))))) % 1000 + 1
+        return hashed + F.when(F.col("y") == c, MODEL_BONUS[model]).otherwise(0)
+
+    raws = orders.select("id", "y", "fold", *[F.array(*[raw(m, c) for c in range(3)]).alias(m) for m in models])
+
+    def shares(model: str):
+        total = F.get(model, F.lit(0)) + F.get(model, F.lit(1)) + F.get(model, F.lit(2))
+        return F.transform(model, lambda r: r / total)
+
+    cells = [x for m in models for x in (F.lit(m), shares(m))]
+    return raws.select("id", "y", "fold", F.create_map(*cells).alias("scores"))
+
+
 _RAW = (
     "CAST('0x' || substr(md5(concat_ws(':', m.model, CAST(o.o_orderkey AS STRING), CAST({c} AS STRING))), 1, 8) AS BIGINT) % 1000 + 1 "
     f"+ CASE WHEN {STATUS_CODE} = {{c}} THEN m.bonus ELSE 0 END"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import text
 from rowloom.functions.keys import hash_hex
-from rowloom.operators import encode, ensemble, features, metrics, models, profile, reduce, splits
+from rowloom.operators import encode, ensemble, features, metrics, models, profile, reduce, resample, splits
 from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.schema import require_schema
 from rowloom.operators.settled import settled
@@ -178,10 +178,9 @@ class StoredRun:
         return encode.decode_labels(called, self.codes, "prediction", self.target).select(self.key, self.target)
 
 
-def refit(folded: DataFrame, fits: dict[str, models.Fit], names: list[str], best: str, k: int, level: DataFrame | None, meta: models.Fit) -> dict:
+def refit(whole: DataFrame, fits: dict[str, models.Fit], names: list[str], best: str, k: int, level: DataFrame | None, meta: models.Fit) -> dict:
     """The models that the best needs, each fitted on all rows; the second level stays fitted on out-of-fold probabilities."""
     used = [best] if best in names else names
-    whole = folded.drop("fold")
     done = dict(zip(used, models.side_by_side([lambda n=n: fits[n](whole, k) for n in used])))
     if best == "stacking":
         done["stacking"] = meta(level.drop("fold"), k)
@@ -191,6 +190,7 @@ def refit(folded: DataFrame, fits: dict[str, models.Fit], names: list[str], best
 def run(
     train: DataFrame, test: DataFrame, roles: Roles, fits: dict[str, models.Fit], output: str,
     folds: int = 5, bar: float = 0.72, meta: models.Fit | None = None, seed: int = 42, run_id: str = "run", holdout: float = 0.2,
+    balance: bool = False,
 ) -> Run:
     """Prepare, cross-validate, combine, choose the best by out-of-fold accuracy, write the results and store the run.
 
@@ -198,7 +198,7 @@ def run(
     it holds a rule without parts, which cannot be stored.
 
     A share of ``holdout`` of each class is set apart before anything is fitted; it has no part in encoders, pairs, models,
-    weights or the choice, only in ``holdout_acc``.
+    weights or the choice, only in ``holdout_acc``. ``balance`` raises all classes to the largest inside each fold's training part.
     """
     spark, key = train.sparkSession, roles.key
     require_schema(train, [*roles.required, roles.target], "train")
@@ -226,9 +226,11 @@ def run(
     def of(new: DataFrame, part: str) -> DataFrame:
         return new.where(F.col(key)["part"] == part).withColumn(key, F.col(key)["id"])
 
+    # Synthetic rows are made inside each fold's training part, and for the last fit, never of rows that are scored.
+    even = resample.balanced_training(key, seed=seed) if balance else None
     held, tested = None, None
     for name, fit in fits.items():
-        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds)
+        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds, even)
         held = own if held is None else held.unionByName(own)
         tested = new if tested is None else tested.unionByName(new)
     held, tested = durable(held), durable(tested)
@@ -268,7 +270,7 @@ def run(
     state.save_state(prepared.medians, f"{output}/state", "medians", run_id)
     state.save_state(prepared.scales, f"{output}/state", "scales", run_id)
     weighed = {r["model"]: r["weight"] for r in weights.collect()} if weights is not None else {}  # one row per model
-    fitted = refit(folded, fits, names, best, k, level, meta or models.logistic())
+    fitted = refit(even(folded) if even else folded.drop("fold"), fits, names, best, k, level, meta or models.logistic())
     stored = f"{output}/stored"
     if all(f.kind for f in fitted.values()):
         whole = StoredRun(key, roles.target, k, best, names, [float(weighed.get(n, 1.0)) for n in names], engineered.steps, prepared, codes, fitted)

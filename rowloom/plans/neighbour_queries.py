@@ -144,3 +144,15 @@ _BOTH = (
 def smote_tomek(spark: SparkSession, sf: str) -> DataFrame:
     """Class sizes after both steps."""
     return resample.class_distribution(resample.smote_tomek(fx.vectors(spark, sf)))
+
+
+@query(
+    "balanced_folds",
+    "WITH f AS (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS fold), c AS (SELECT fold, label, count(*) AS own FROM embeddings, f WHERE vec_id % 3 <> fold GROUP BY fold, label) "
+    "SELECT fold, label, own, max(own) OVER (PARTITION BY fold) - own AS synthetic FROM c",
+)
+def balanced_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each fold's training part by class, its own and synthetic ones."""
+    folded = fx.vectors(spark, sf).withColumn("fold", (F.col("id") % 3).cast("int"))
+    rows = resample.balanced_folds(folded, 3)
+    return rows.groupBy("fold", "label").agg(F.count_if(~F.col("synthetic")).alias("own"), F.count_if("synthetic").alias("synthetic"))

@@ -1,9 +1,8 @@
-"""Similarity join of documents on word shingles by a MinHash LSH forest, with exact verification.
+"""Similarity join of documents on word shingles by banded MinHash signatures, with exact verification.
 
 Each text becomes the set of its five-word shingles; texts with equal sets are copies and go on as one class. A class
-gets one MinHash signature for each tree of the forest. The prefix that two signatures must share starts at the full
-depth of the trees and is shortened, level by level, until a pair at the threshold meets in some tree with the target
-probability; what lies below the shortened prefix is never needed, because a longer match implies the shorter one.
+gets one MinHash signature for each of several trees. All trees are cut at one depth, worked out from threshold, number of
+trees and target recall alone; this is fixed banding, not a forest whose prefixes adapt to the data (see the README).
 
 Classes under one node of a tree are tied to the node's least class (an aggregate, so a node with very many classes is
 one row for each task), and what hangs together forms a candidate group. Groups are verified exactly: all pairs inside
@@ -78,8 +77,8 @@ def _signatures(size: int, trees: int, levels: int):
                     pa.array(prefix[filled].reshape(-1).view(np.int64)),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(high), pa.array(low), pa.array(count, pa.int64()), lists],
-                    ["id", "high", "low", "n", "prefixes"],
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(high), pa.array(low), pa.array(count, pa.int64()), lists],
+                    ["id", "mark", "high", "low", "n", "prefixes"],
                 )
 
     return run
@@ -160,6 +159,15 @@ def _verify(size: int, threshold: float):
     return run
 
 
+def with_texts(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """The text of each class's least row, by its id and the mark of its text; rows without id are told apart by the mark.
+
+    A row has the text of one class only, so no more texts are sent than there are rows, whatever ids repeat.
+    """
+    texts = rows.select(F.col("id").alias("text_id"), F.col("mark").alias("text_mark"), "text")
+    return members.join(texts, F.col("rep").eqNullSafe(F.col("text_id")) & (F.col("rep_mark") == F.col("text_mark")))
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, shingle_words: int = 5,
     trees: int = 32, depth: int = 12, target_recall: float = 0.9999,
@@ -175,14 +183,16 @@ def similar_documents(
     """
     levels = forest_depth(threshold, trees, depth, target_recall)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = durable(rows.mapInArrow(
-        _signatures(shingle_words, trees, levels), "id bigint, high bigint, low bigint, n bigint, prefixes array<bigint>"
+        _signatures(shingle_words, trees, levels), "id bigint, mark bigint, high bigint, low bigint, n bigint, prefixes array<bigint>"
     ))
+    # A class is known by its least row: the least id, or a null one, and the mark of that row's text.
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
     classes = durable(
         signed.groupBy("high", "low").agg(
-            F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
-            F.any_value("prefixes").alias("prefixes"),
-        )
+            least.alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.any_value("prefixes").alias("prefixes"),
+        ).select("high", "low", F.col("least.id").alias("rep"), F.col("least.mark").alias("rep_mark"), "copies", "n", "prefixes")
     )
     nodes = classes.select("low", F.posexplode("prefixes").alias("tree", "prefix"))
     heads = nodes.groupBy("tree", "prefix").agg(F.min("low").alias("head"), F.max("low").alias("other")).where("head <> other")
@@ -197,9 +207,8 @@ def similar_documents(
     bins = max(1, total // (2 * BLOCK_SHINGLES))
     # Small groups share a task by hash; a large one takes part in a task for each pair of its blocks.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    texts = rows.withColumnRenamed("id", "rep_id")
     dealt = (
-        members.join(texts, F.col("rep").eqNullSafe(F.col("rep_id")))
+        with_texts(members, rows)
         .withColumn("other", other)
         .select(
             F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("candidates"), F.lit(bins))).otherwise(F.col("candidates")).alias("task"),

@@ -160,17 +160,23 @@ def count_within_radius(prints: DataFrame, radius: int) -> DataFrame:
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Each row with the next one's text in descending order of id; after the last comes the first.
 
-    Ids are cut into slices of successive values, and a window orders each slice; the last row of a slice gets the first
-    text of the next slice that has rows. Slices are tied to each other in groups, groups in one small window.
+    Ids are cut into slices of equal width, so wide that a slice has about ``SLICE`` rows where ids lie evenly, be they
+    successive numbers, times or hashes. A window orders each slice; the last row of a slice gets the first text of the next
+    slice that has rows. Slices are tied to each other in groups; groups, one for ``SLICE * GROUP`` rows, in one small window.
     Returns the rows (slice, at, id, text, next_text, last) and the ties (slice, next_slice).
     """
-    key = F.coalesce(F.col("id"), F.lit(-(1 << 63)))
+    told = docs.agg(F.min(quoted(id_col).cast("long")).alias("low"), F.max(quoted(id_col).cast("long")).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    low, high = told["low"] or 0, told["high"] or 0
+    width = max(1, (high - low + 1) * SLICE // max(SLICE, told["n"]))
+    wide = F.col("id").cast("decimal(20, 0)") - F.lit(low).cast("decimal(20, 0)")
+    # Rows without id are a slice below all others.
+    number = F.coalesce(F.floor(wide / F.lit(width).cast("decimal(20, 0)")).cast("long"), F.lit(-1))
     rows = docs.select(quoted(id_col).cast("long").alias("id"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"))
-    sliced = rows.withColumn("slice", F.floor(key / F.lit(SLICE)).cast("long"))
+    sliced = rows.withColumn("slice", number)
     order = Window.partitionBy("slice").orderBy(F.col("id").desc_nulls_last(), F.xxhash64("text"), "text")
     numbered = sliced.withColumn("at", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
     numbered = numbered.withColumn("last", F.col("next_text").isNull())
-    slices = rows.select(F.floor(key / F.lit(SLICE)).cast("long").alias("slice")).distinct()
+    slices = rows.select(number.alias("slice")).distinct()
     slices = slices.withColumn("part", F.floor(F.col("slice") / GROUP))
     inside = slices.withColumn("lower", F.lead("slice").over(Window.partitionBy("part").orderBy(F.desc("slice"))))
     parts = slices.groupBy("part").agg(F.max("slice").alias("head"))

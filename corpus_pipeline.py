@@ -61,8 +61,8 @@ STAGES = [
     ("best_fit_packing", packed_sequences),
 ]
 
-#: Fitted classifiers decide in the first and fourth stage, which SQL cannot express; tests compare each stage with a
-#: brute-force version.
+#: Fitted classifiers decide in the first and fourth stage, which SQL cannot express. Tests run the whole chain on a small
+#: fixture and compare every stage after the first with a brute-force version on what its predecessor kept.
 ORACLE_SQL = None
 
 

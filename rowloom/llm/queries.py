@@ -141,7 +141,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id", *[count(k) for k in private_data.BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"),
-        F.sha2("text", 256).alias("redacted_sha256"),
+        F.sha2("text", 256).alias("redacted_sha256"), *[count(k) for k in ("contact", "number", "secret")],
     )
 
 

@@ -330,3 +330,102 @@ def test_addresses_with_thousands_of_zeros():
     assert base_spans("0" * 5000 + "256.1.1.1")["ip"] == []
     assert base_spans("9" * 5000 + ".1.1.1")["ip"] == []
     assert base_spans("000.0.00.255")["ip"] == [(0, 12)]
+
+
+def test_documents_without_id_send_each_text_once(spark):
+    from rowloom.llm import ngram_join
+
+    rows = [(None, f"text {i} " + "word " * (i % 7)) for i in range(60)] + [(None, "text 1 word ")] * 3
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("mark", F.xxhash64("text"))
+    members = docs.groupBy("text").agg(F.min("id").alias("rep"), F.min("mark").alias("rep_mark")).drop("text")
+    assert ngram_join.with_texts(members, docs).count() == len(rows)
+    got = ngram_join.similar_documents(docs.select(F.col("id").alias("doc_id"), "text")).collect()
+    assert len(got) == len(rows) and {r["class_id"] for r in got} == {None}
+
+
+@pytest.mark.parametrize("ids", [lambda i: i * (2**63 // 400) - 2**62, lambda i: i, lambda i: (-1) ** i * 2**62 + i, lambda i: None if i % 5 == 0 else i])
+def test_next_document_of_sparse_and_missing_ids(spark, monkeypatch, ids):
+    from rowloom.llm import fingerprints
+
+    monkeypatch.setattr(fingerprints, "SLICE", 8)
+    monkeypatch.setattr(fingerprints, "GROUP", 4)
+    rows = [(ids(i), f"text {i}") for i in range(300)]
+    got = fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")[0]
+    # The last row of the last slice gets the first text of all, so each text follows one other.
+    nexts = {r["text"]: r["next_text"] for r in got.collect()}
+    assert sorted(nexts.values()) == sorted(t for _, t in rows)
+    order = sorted(((i, t) for i, t in rows if i is not None), reverse=True)
+    assert all(nexts[a[1]] == b[1] for a, b in zip(order[:-1], order[1:]))
+
+
+def test_the_whole_chain_equals_brute_force_on_what_each_stage_got(spark, sf):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from rowloom.llm import private_data
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        path = corpus_pipeline.shared_path(spark, "chain")
+        stage(spark, kept[-1], sf).write.parquet(path)
+        kept.append(spark.read.parquet(path))
+    good, unlike, cut, clean = ({r["doc_id"]: r["text"] or "" for r in df.collect()} for df in kept[1:5])
+
+    # Near duplicates: the least id of each class that is linked by five-word shingles at 0.8.
+    sets = {}
+    for i, t in good.items():
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), t).split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    least = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if least[b] < least[a] and (sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])):
+                    least[a], changed = least[b], True
+    assert unlike == {i: good[i] for i in good if least[i] == i}
+
+    # Repeated passages: every byte of a 50-byte string that a document of smaller id has.
+    seen = set()
+    for i in sorted(unlike):
+        raw = unlike[i].encode()
+        windows = [raw[k:k + 50] for k in range(len(raw) - 49)]
+        gone = np.zeros(len(raw) + 1, bool)
+        for k, w in enumerate(windows):
+            if w in seen:
+                gone[k:k + 50] = True
+        left = bytes(b for b, g in zip(raw, gone) if not g)
+        try:
+            assert cut[i] == left.decode()
+        except UnicodeDecodeError:
+            assert abs(len(cut[i].encode()) - len(left)) < 64
+        seen.update(windows)
+    assert set(cut) == set(unlike)
+
+    # Personal data: no exact match is left as it was, and texts without any proposal stay.
+    assert set(clean) == set(cut)
+    for i, t in cut.items():
+        for spans in private_data.base_spans(t).values():
+            assert all(t[a:b] not in clean[i] for a, b in spans if b - a > 8)
+        if not private_data.proposals(t) and not any(private_data.base_spans(t).values()):
+            assert clean[i] == t
+
+    # Packing: all tokens and an end, in gapless sequences; the whole run gives the same pieces.
+    rows = kept[5].collect()
+    library = Tokenizer.from_file(PATH)
+    tokens = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in clean.items()}
+    total, places = Counter(), defaultdict(list)
+    for r in rows:
+        total[r["doc_id"]] += r["length"]
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert dict(total) == tokens
+    for pieces in places.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    piece = lambda rs: sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rs)
+    assert piece(corpus_pipeline.run(spark, sf).collect()) == piece(rows)

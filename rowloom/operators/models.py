@@ -6,6 +6,7 @@ model adds ``probs`` (array of k probabilities) and ``prediction`` (int) to a ta
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -24,6 +25,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -364,3 +366,77 @@ def param_search(
             break
     top = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return spark.createDataFrame([(*r, r[0] == top) for r in rows], "trial int, params string, score double, best boolean")
+
+
+def sampled(space: dict[str, tuple], trial: int, seed: int = 42) -> dict:
+    """The setting of a trial: each name drawn from its range by a hash of seed, trial and name.
+
+    Ranges are ("int", low, high), both included, ("float", low, high), ("log", low, high) and ("choice", values).
+    """
+    out = {}
+    for name in sorted(space):
+        kind, *told = space[name]
+        u = int(md5(f"{seed}:{trial}:{name}".encode()).hexdigest()[:8], 16) / 2**32
+        if kind == "int":
+            out[name] = told[0] + int(u * (told[1] - told[0] + 1))
+        elif kind == "float":
+            out[name] = told[0] + u * (told[1] - told[0])
+        elif kind == "log":
+            out[name] = told[0] * (told[1] / told[0]) ** u
+        elif kind == "choice":
+            out[name] = told[0][int(u * len(told[0]))]
+        else:
+            raise ValueError(f"{name}: no range {kind}")
+    return out
+
+
+def _one_fold(train: DataFrame, fit: Fit, k: int, fold: int) -> float:
+    fitted = fit(train.where(F.col("fold") != fold).drop("fold"), k)
+    held = fitted.score(train.where(F.col("fold") == fold))
+    return float(held.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0])
+
+
+_TRIALS = "trial int, seed long, space string, params string, accuracies array<double>, stopped boolean"
+
+
+def range_search(
+    train: DataFrame, make: Callable[..., Fit], space: dict[str, tuple], trials: int, k: int, store: str,
+    folds: int = 3, hopeless: float = 0.05, patience: int = 10, seed: int = 42,
+) -> DataFrame:
+    """Trials over ranges, continued from the table stored at ``store``: (trial, params, accuracies, score, stopped, best).
+
+    A trial is cross-validated fold by fold and stopped once its mean so far lies more than ``hopeless`` below that of the
+    best finished trial over the same folds; it then has no score. Every trial is stored when it ends, so a search that was
+    broken off, or asked for more trials, fits only what is new. The search ends after ``patience`` trials without gain.
+    """
+    spark, shape = train.sparkSession, json.dumps(space, sort_keys=True)
+    try:
+        known = spark.read.schema(_TRIALS).parquet(store)
+        done = {r["trial"]: r for r in known.where((F.col("seed") == seed) & (F.col("space") == shape)).collect()}  # a row per trial
+    except AnalysisException:
+        done = {}
+    kept = train.persist()
+    rows, best, stale = [], None, 0
+    for trial in range(trials):
+        if trial in done:
+            accuracies, stopped = list(done[trial]["accuracies"]), done[trial]["stopped"]
+        else:
+            fit, accuracies, stopped = make(**sampled(space, trial, seed)), [], False
+            for fold in range(folds):
+                accuracies.append(_one_fold(kept, fit, k, fold))
+                n = len(accuracies)
+                if best and n < folds and sum(accuracies) / n < sum(best[:n]) / n - hopeless:
+                    stopped = True
+                    break
+            row = (trial, seed, shape, json.dumps(sampled(space, trial, seed)), accuracies, stopped)
+            spark.createDataFrame([row], _TRIALS).write.mode("append").parquet(store)
+        score = None if stopped else sum(accuracies) / len(accuracies)
+        rows.append((trial, json.dumps(sampled(space, trial, seed)), accuracies, score, stopped))
+        gained = score is not None and (best is None or score > sum(best) / len(best))
+        best, stale = (accuracies, 0) if gained else (best, stale + 1)
+        if stale >= patience:
+            break
+    kept.unpersist()
+    finished = [r for r in rows if r[3] is not None]
+    top = max(finished, key=lambda r: (r[3], -r[0]))[0]
+    return spark.createDataFrame([(*r, r[0] == top) for r in rows], "trial int, params string, accuracies array<double>, score double, stopped boolean, best boolean")

@@ -196,6 +196,45 @@ def param_search_rule(spark: SparkSession, sf: str) -> DataFrame:
     return trials.select("trial", "params", rounded("score"), "best")
 
 
+_U = "CAST('0x' || substr(md5('42:' || i || ':step'), 1, 8) AS BIGINT) / 4294967296"
+
+
+@query(
+    "range_search_rule",
+    f"WITH RECURSIVE o AS (SELECT o_orderkey, o_totalprice, {fx.STATUS_CODE} AS y FROM orders), "
+    "f AS (SELECT *, (row_number() OVER (PARTITION BY y ORDER BY md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) - 1) % 3 AS fold FROM o), "
+    f"t AS (SELECT CAST(i AS INTEGER) AS trial, 20000 * pow(20, {_U}) AS step FROM range(10) r(i)), "
+    "a AS (SELECT trial, step, fold, avg(CASE WHEN least(floor(o_totalprice / step), 2) = y THEN 1 ELSE 0 END) AS accuracy FROM f CROSS JOIN t GROUP BY trial, step, fold), "
+    "m AS (SELECT trial, step, max(accuracy) FILTER (WHERE fold = 0) AS m1, avg(accuracy) FILTER (WHERE fold < 2) AS m2, avg(accuracy) AS m3 FROM a GROUP BY trial, step), "
+    "s AS (SELECT trial, step, m1, m2, m3, 3 AS folds_done, m1 AS b1, m2 AS b2, m3 AS b3 FROM m WHERE trial = 0 UNION ALL "
+    "SELECT trial, step, m1, m2, m3, folds_done, CASE WHEN gain THEN m1 ELSE b1 END, CASE WHEN gain THEN m2 ELSE b2 END, CASE WHEN gain THEN m3 ELSE b3 END "
+    "FROM (SELECT *, folds_done = 3 AND m3 > b3 AS gain FROM (SELECT m.*, CASE WHEN m.m1 < s.b1 - 0.005 THEN 1 WHEN m.m2 < s.b2 - 0.005 THEN 2 ELSE 3 END AS folds_done, b1, b2, b3 "
+    "FROM s JOIN m ON m.trial = s.trial + 1))) "
+    "SELECT trial, " + rnd("step", "step", 3) + ", CAST(folds_done AS INTEGER) AS folds_done, " + rnd("CASE WHEN folds_done = 3 THEN m3 END", "score")
+    + ", trial = (SELECT arg_max(trial, (m3, -trial)) FROM s WHERE folds_done = 3) AS best, 0 AS fitted_again FROM s",
+)
+def range_search_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """A search over a logarithmic range, broken off after four trials and continued; a third run of it fits nothing."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(f"CAST({fx.STATUS_CODE} AS INT)").alias("y"), array_to_vector(F.array("o_totalprice")).alias("features")
+    )
+    folded = splits.stratified_kfold(orders, "o_orderkey", "y", 3)
+    store, space, made = shared_path(spark, "trials"), {"step": ("log", 20000.0, 400000.0)}, []
+
+    def make(step: float) -> models.Fit:
+        made.append(step)
+        return _price_bands(step)
+
+    for trials in (4, 10):
+        models.range_search(folded, make, space, trials, K, store, hopeless=0.005)
+    before = len(made)
+    found = models.range_search(folded, make, space, 10, K, store, hopeless=0.005)
+    return found.select(
+        "trial", rounded(F.get_json_object("params", "$.step").cast("double"), "step", 3), F.size("accuracies").alias("folds_done"),
+        rounded("score"), "best", F.lit(len(made) - before).alias("fitted_again"),
+    )
+
+
 @query("stacking")
 def stacking(spark: SparkSession, sf: str) -> DataFrame:
     """Two base models out of fold, a logistic meta-learner, and its probabilities on test rows."""
@@ -436,11 +475,17 @@ def kmeans_two_groups(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("cluster", "slot", rounded("center", digits=4), rounded("inertia", digits=2))
 
 
-@query("cluster_one_hot", "SELECT vec_id AS id, 1 AS flags FROM embeddings")
+@query(
+    "cluster_one_hot",
+    "SELECT vec_id AS id, " + ", ".join(f"CASE WHEN vec_id % 4 = {i} THEN 1 ELSE 0 END AS cluster_{i}" for i in range(4)) + " FROM embeddings",
+)
 def cluster_one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """Each row has exactly one cluster flag."""
-    flags = _clusters(spark, sf).select("id", *reduce.cluster_flags(15))
-    return flags.select("id", sum((F.col(f"cluster_{i}") for i in range(15)), F.lit(0)).alias("flags"))
+    """Flags of four groups that are moved far apart; clusters are numbered by their centres."""
+    apart = fx.vectors(spark, sf).withColumn("vec", F.transform("vec", lambda x: x + (F.col("id") % 4) * 1000))
+    model = reduce.fit_kmeans(apart, "vec", 4)
+    place = {i: r for r, i in enumerate(sorted(range(4), key=lambda i: model.clusterCenters()[i][0]))}
+    numbered = reduce.apply_kmeans(model, apart, "vec").replace(place, subset=["cluster"])
+    return numbered.select("id", *reduce.cluster_flags(4))
 
 
 def _whole_run(spark: SparkSession, sf: str, fits: dict[str, models.Fit], meta: models.Fit | None = None) -> DataFrame:

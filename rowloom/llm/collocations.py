@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import _LOWER, mix, quoted, runs, span_hashes, span_strings, text_bytes, text_parts
 from rowloom.operators.sizing import lookup
-from rowloom.session import durable, shared_path
+from rowloom.session import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -163,8 +163,9 @@ def _suffix_rows(columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(arrays, names=[*(f"w{i + 1}" for i in range(len(columns))), "n"])
 
 
-def _suffixes(rows: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray, most_words: int) -> DataFrame:
-    """Suffixes of two words and more, cut where no longer phrase can be frequent: (w1, w2, ..., n); 0 is no word."""
+def _suffixes(word_bits: np.ndarray, pair_bits: np.ndarray, most_words: int):
+    """Of a task's texts the suffixes of two words and more, cut where no longer phrase can be frequent: (w1, w2, ..., n); 0 is
+    no word. They are made anew in each scan, alike every time, so they are never stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         rows_held = 0
@@ -187,7 +188,7 @@ def _suffixes(rows: DataFrame, word_bits: np.ndarray, pair_bits: np.ndarray, mos
         if rows_held:
             yield _suffix_rows([np.concatenate(c) for c in zip(*held)], np.ones(rows_held, np.int64))
 
-    return rows.mapInArrow(run, ", ".join(f"w{i + 1} bigint" for i in range(most_words)) + ", n bigint")
+    return run
 
 
 def _prefix_cells(batch: pa.RecordBatch, most_words: int, heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,52 +210,56 @@ def _prefix_cells(batch: pa.RecordBatch, most_words: int, heavy: list[np.ndarray
     return cell, long, alive
 
 
-def _grouped(suffixes: DataFrame, most_words: int, group_rows: int) -> DataFrame:
-    """Add ``long``, the words of the prefixes that a suffix is partitioned by, and its ``group``.
+def _grouped(rows: DataFrame, suffixes, most_words: int, group_rows: int) -> DataFrame:
+    """The suffixes of all texts (w1, w2, ..., n) with ``long``, the words of the prefixes they are partitioned by, and ``group``.
 
-    Prefixes of a word are counted in cells of their hash; the prefixes of a cell beyond the budget are extended by a word,
-    and so on. Cells in order are closed to a group whenever the budget is reached. The number of cells beyond the budget
-    is at most rows / budget of a length, and the budget grows so that these are never more than ``MOST_HEAVY``.
+    Prefixes of a word are counted in cells of their hash, in a scan; the prefixes of a cell beyond the budget are extended by
+    a word in a further scan, and so on. Cells in order are closed to a group whenever the budget is reached. The number of
+    cells beyond the budget is at most rows / budget of a length, and the budget grows so that these are never more than
+    ``MOST_HEAVY``.
     """
-    n = suffixes.count()
-    budget = max(group_rows, n // MOST_HEAVY)
-
-    def counted(heavy: list[np.ndarray], every: bool) -> tuple[np.ndarray, np.ndarray]:
+    def counted(heavy: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cells, rows = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            for batch in batches:
+            cells, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for batch in suffixes(batches):
                 cell, _, alive = _prefix_cells(batch, most_words, heavy)
-                cells, inverse = np.unique(np.concatenate([cells, cell if every else cell[alive]]), return_inverse=True)
-                held = np.bincount(inverse[len(rows):], minlength=len(cells))
-                held += np.bincount(inverse[:len(rows)], weights=rows, minlength=len(cells)).astype(np.int64)
-                rows = held
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(rows.astype(np.int64))], names=["cell", "rows"])
-
-        found = suffixes.mapInArrow(count, "cell bigint, rows bigint").groupBy("cell").agg(F.sum("rows").alias("rows"))
-        found = (found if every else found.where(F.col("rows") > budget)).toPandas().sort_values("cell")
+                cells, inverse = np.unique(np.concatenate([cells, cell[alive]]), return_inverse=True)
+                new = np.bincount(inverse[len(held):], minlength=len(cells))
+                new[inverse[:len(held)]] += held
+                held = new
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(held.astype(np.int64))], names=["cell", "rows"])
+
+        found = rows.mapInArrow(count, "cell bigint, rows bigint").groupBy("cell").agg(F.sum("rows").alias("rows")).toPandas()
         return found["cell"].to_numpy(dtype=np.int64), found["rows"].to_numpy(dtype=np.int64)
 
     heavy: list[np.ndarray] = []
-    for _ in range(most_words):
-        found, _ = counted(heavy, every=False)
-        if not len(found):
+    light: list[tuple[np.ndarray, np.ndarray]] = []
+    budget = 0
+    for level in range(most_words + 1):
+        cells, sizes = counted(heavy)
+        budget = budget or max(group_rows, int(sizes.sum()) // MOST_HEAVY)
+        over = (sizes > budget) & (level < most_words)
+        light.append((cells[~over], sizes[~over]))
+        if not over.any():
             break
-        heavy.append(found)
-    cells, rows = counted(heavy, every=True)
-    group, filled, number = np.zeros(len(cells), dtype=np.int64), 0, 0
-    for i, size in enumerate(rows.tolist()):
+        heavy.append(np.sort(cells[over]))
+    cells, sizes = (np.concatenate(x) for x in zip(*light))
+    order = np.argsort(cells)
+    cells, group, filled, number = cells[order], np.zeros(len(cells), dtype=np.int64), 0, 0
+    for i, size in enumerate(sizes[order].tolist()):
         if filled and filled + size > budget:
             number, filled = number + 1, 0
         group[i], filled = number, filled + size
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in suffixes(batches):
             cell, long, _ = _prefix_cells(batch, most_words, heavy)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(long), pa.array(group[np.searchsorted(cells, cell)])], names=[*batch.schema.names, "long", "group"]
             )
 
-    return suffixes.mapInArrow(deal, ", ".join(f"{c} bigint" for c in [*suffixes.columns, "long", "group"]))
+    names = [*(f"w{i + 1}" for i in range(most_words)), "n", "long", "group"]
+    return rows.mapInArrow(deal, ", ".join(f"{c} bigint" for c in names))
 
 
 def _subtree(most_words: int, min_count: int):
@@ -297,10 +302,8 @@ def frequent_phrases(
     rows = docs.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text"))
     word_bits = _word_filter(words.where(F.col("f") >= min_count))
     pair_bits = _pair_filter(rows, word_bits, min_count, most_words)
-    path = shared_path(docs.sparkSession, "suffixes")
-    _suffixes(rows, word_bits, pair_bits, most_words).write.parquet(path)
     w = [f"w{i + 1}" for i in range(most_words)]
-    suffixes = _grouped(docs.sparkSession.read.parquet(path), most_words, group_rows)
+    suffixes = _grouped(rows, _suffixes(word_bits, pair_bits, most_words), most_words, group_rows)
     counted = suffixes.groupBy("group").applyInArrow(_subtree(most_words, min_count), ", ".join(f"{c} bigint" for c in w) + ", n bigint")
     total = counted.groupBy(*w).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
     return total.select(F.filter(F.array(*w), lambda x: x != 0).alias("words"), "f")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import dates
 from rowloom.functions.text import TITLE_KEYWORDS
-from rowloom.operators import ensemble, models, reduce, select, splits
+from rowloom.operators import boosting, ensemble, models, reduce, select, splits
 from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.profile import block_corr_with_target
 from rowloom.plans import fixtures as fx
@@ -576,3 +576,96 @@ def stored_run(spark: SparkSession, sf: str) -> DataFrame:
     labels = lifecycle.StoredRun.read(fresh, done.stored).score(fresh.read.parquet(file))
     path = write_parquet(labels, shared_path(spark, "labels"))
     return spark.read.parquet(path).select("o_orderkey", "kind")
+
+
+# Two flags of an order, and a class that follows from them with exceptions.
+_FLAGS = (
+    "WITH flags AS (SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END AS large, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS urgent, "
+    "CAST(CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey % 3 WHEN o_totalprice > 250000 THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 0 END AS INTEGER) AS y FROM orders)"
+)
+
+
+def _flags(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr("CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END").alias("large"),
+        F.expr("CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END").alias("urgent"),
+        F.expr(
+            "CAST(CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey % 3 WHEN o_totalprice > 250000 THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 0 END AS INT)"
+        ).alias("y"),
+    )
+    return orders.withColumn("features", array_to_vector(F.array(*[F.col(c).cast("double") for c in columns]))).persist()
+
+
+_SUMS = (
+    ", g AS (SELECT f.*, c.class, 1.0 / 3 - CASE WHEN y = c.class THEN 1 ELSE 0 END AS g, 2.0 / 9 AS h FROM flags f CROSS JOIN (VALUES (0), (1), (2)) c(class)), "
+    "s AS (SELECT class, slot, sum(g) AS ag, sum(h) AS ah, sum(CASE WHEN x = 0 THEN g ELSE 0 END) AS lg, sum(CASE WHEN x = 0 THEN h ELSE 0 END) AS lh "
+    "FROM (SELECT class, g, h, 0 AS slot, large AS x FROM g UNION ALL SELECT class, g, h, 1, urgent FROM g) GROUP BY class, slot), "
+    "b AS (SELECT *, lg * lg / (lh + 1) + (ag - lg) * (ag - lg) / (ah - lh + 1) - ag * ag / (ah + 1) AS gain FROM s "
+    "QUALIFY row_number() OVER (PARTITION BY class ORDER BY round(gain, 9) DESC, slot) = 1), "
+    "v AS (SELECT o_orderkey, class, CASE WHEN CASE slot WHEN 0 THEN large ELSE urgent END = 0 THEN -0.5 * lg / (lh + 1) ELSE -0.5 * (ag - lg) / (ah - lh + 1) END AS score FROM flags CROSS JOIN b) "
+)
+
+
+@query(
+    "boosting_first_round",
+    _FLAGS + _SUMS + "SELECT o_orderkey, CAST(class AS INTEGER) AS class, " + rnd("exp(score) / sum(exp(score)) OVER (PARTITION BY o_orderkey)", "p") + " FROM v",
+)
+def boosting_first_round(spark: SparkSession, sf: str) -> DataFrame:
+    """All classes boosted at once: after one round of one cut each, probabilities have a closed form."""
+    df = _flags(spark, sf, "large", "urgent")
+    scored = boosting.boosting(rounds=1, depth=1, step=0.5)(df, K).score(df)
+    return scored.select("o_orderkey", F.posexplode("probs").alias("class", "p")).select("o_orderkey", "class", rounded("p"))
+
+
+@query("boosting")
+def boosted(spark: SparkSession, sf: str) -> DataFrame:
+    train, test, _ = feature_tables(spark, sf)
+    scored = boosting.boosting(rounds=5, depth=3)(train, K).score(test)
+    return scored.select("o_orderkey", "y", "prediction", *[F.get("probs", F.lit(c)).alias(f"p{c}") for c in range(K)])
+
+
+@query(
+    "importance_of_one_tree",
+    _FLAGS + ", n AS (SELECT large, urgent, y, count(*) AS n FROM flags GROUP BY ALL), "
+    "r AS (SELECT sum(n) * (1 - sum(n * n) / pow(sum(n), 2)) AS impure FROM (SELECT y, sum(n) AS n FROM n GROUP BY y)), "
+    "l AS (SELECT sum(impure) AS impure FROM (SELECT large, sum(n) * (1 - sum(n * n) / pow(sum(n), 2)) AS impure FROM (SELECT large, y, sum(n) AS n FROM n GROUP BY large, y) GROUP BY large)), "
+    "u AS (SELECT sum(impure) AS impure FROM (SELECT large, urgent, sum(n) * (1 - sum(n * n) / pow(sum(n), 2)) AS impure FROM n GROUP BY large, urgent)) "
+    "SELECT 'large' AS feature, " + rnd("(r.impure - l.impure) / (r.impure - u.impure)", "importance", 3) + " FROM r, l, u UNION ALL "
+    "SELECT 'urgent', round((l.impure - u.impure) / (r.impure - u.impure), 3) + 0.0 FROM r, l, u",
+)
+def importance_of_one_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree that first parts by one flag and then by the other: importances are the impurity each takes away."""
+    df = _flags(spark, sf, "large", "urgent")
+    tree = models.random_forest(trees=1, depth=2, subset="all", bootstrap=False)(df, K)
+    return select.importance_table(tree, ["large", "urgent"], df).select("feature", rounded("importance", digits=3))
+
+
+@query("logistic_one_flag", _FLAGS + " SELECT large, y AS class, " + rnd("count(*) / sum(count(*)) OVER (PARTITION BY large)", "p", 2) + " FROM flags GROUP BY large, y")
+def logistic_one_flag(spark: SparkSession, sf: str) -> DataFrame:
+    """With one flag and hardly a penalty the fitted probabilities are the shares of the classes."""
+    df = _flags(spark, sf, "large")
+    scored = models.logistic(c=1e6, iterations=200)(df, K).score(df)
+    return scored.select("large", F.posexplode("probs").alias("class", "p")).select("large", "class", rounded("p", digits=2)).distinct()
+
+
+@query("adaboost_first_stage", _FLAGS + ", m AS (SELECT large, max(n) AS hit, sum(n) AS n FROM (SELECT large, y, count(*) AS n FROM flags GROUP BY large, y) GROUP BY large), "
+       "e AS (SELECT 1 - sum(hit) / sum(n) AS e FROM m) SELECT " + rnd("ln((1 - e) / e) + ln(2)", "stage_weight") + " FROM e")
+def adaboost_first_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The weight of a first stage of one cut, from the share of rows it gets wrong."""
+    df = _flags(spark, sf, "large")
+    weight = models.adaboost(rounds=1, depth=1)(df, K).weights[0]
+    return spark.createDataFrame([(weight,)], "stage_weight double").select(rounded("stage_weight"))
+
+
+@query("mlp_flags", _FLAGS + " SELECT large, urgent, arg_max(y, (n, -y)) AS prediction FROM (SELECT large, urgent, y, count(*) AS n FROM flags GROUP BY large, urgent, y) GROUP BY large, urgent")
+def mlp_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """A network of two flags calls the larger class of each side."""
+    df = _flags(spark, sf, "large", "urgent")
+    return models.mlp(iterations=100)(df, K).score(df).select("large", "urgent", "prediction").distinct()
+
+
+@query("linear_svc_separable", _FLAGS + " SELECT o_orderkey, large AS prediction FROM flags")
+def linear_svc_separable(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sides that a line parts are called without error."""
+    df = _flags(spark, sf, "large").withColumn("y", F.col("large"))
+    return models.linear_svc()(df, 2).score(df).select("o_orderkey", "prediction")

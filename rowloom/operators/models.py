@@ -140,6 +140,8 @@ def _fitted(kind: str, parts: list, k: int, importances=None, weights: list[floa
 
 def load_fitted(spark: SparkSession, path: str) -> Fitted:
     """A model stored by ``Fitted.write``."""
+    from rowloom.operators import boosting  # noqa: F401  # its kind of model is known from then on
+
     row = spark.read.parquet(f"{path}/model").first()
     return _fitted(row["kind"], PipelineModel.load(f"{path}/parts").stages, row["k"], row["importances"], row["weights"])
 

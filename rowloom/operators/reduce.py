@@ -11,6 +11,8 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.operators.sums import summed
+
 _STATE = "component int, share double, loadings array<double>, shift double"
 
 
@@ -55,6 +57,60 @@ def fit_svd(df: DataFrame, block: str, k: int) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, _STATE)
 
 
+def fit_wide(df: DataFrame, block: str, k: int, centred: bool = True, oversample: int = 16, passes: int = 6, seed: int = 42) -> DataFrame:
+    """State of a reduction of very many slots by a randomised range finder, as of ``fit_pca`` (``centred``) or ``fit_svd``.
+
+    A few more directions than asked for, drawn from ``seed``, are multiplied with the rows' product matrix again and again
+    and made orthonormal in between. A pass is one scan; what it sends is slots x directions, and no matrix of slots x slots
+    exists anywhere. The more the leading components stand out, the fewer passes are needed; with as many directions as
+    slots the result is exact. ``share`` is of the whole variance (or sum of squares).
+    """
+    rows = df.select(F.col(block).cast("array<double>").alias("x"))
+    first = rows.first()
+    if first is None:
+        raise ValueError("no rows to reduce")
+    slots = len(first["x"])
+    wide = min(slots, k + oversample)
+
+    def blocks_of(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, slots)
+
+    def moments(batches) -> np.ndarray:
+        out = np.zeros(slots + 2)
+        for x in blocks_of(batches):
+            out[:slots] += x.sum(axis=0)
+            out[slots] += (x * x).sum()
+            out[slots + 1] += len(x)
+        return out
+
+    told = summed(rows, moments, slots + 2)
+    n = told[slots + 1]
+    mean = told[:slots] / n if centred else np.zeros(slots)
+    energy = told[slots] - n * float(mean @ mean) if centred else told[slots]
+    sides, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((slots, wide)))
+
+    def product(sides: np.ndarray) -> np.ndarray:
+        def of_task(batches) -> np.ndarray:
+            out = np.zeros((slots, wide))
+            for x in blocks_of(batches):
+                near = x - mean
+                out += near.T @ (near @ sides)
+            return out.reshape(-1)
+
+        return summed(rows, of_task, slots * wide).reshape(slots, wide)
+
+    for _ in range(passes if wide < slots else 1):
+        sides, _ = np.linalg.qr(product(sides))
+    values, turn = np.linalg.eigh(sides.T @ product(sides))
+    order = np.argsort(values)[::-1][:k]
+    loadings = _signed(sides @ turn[:, order])
+    shares = values[order] / max(energy, 1e-300)
+    found = [(i, float(shares[i]), loadings[:, i].tolist(), float(mean @ loadings[:, i])) for i in range(len(order))]
+    return df.sparkSession.createDataFrame(found, _STATE)
+
+
 def project(state: DataFrame, block: str) -> Column:
     """Scores of a block under a fitted state, one matrix product per Arrow batch."""
     rows = state.orderBy("component").collect()  # one row per component

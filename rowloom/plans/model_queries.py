@@ -441,6 +441,20 @@ def svd_total_energy(spark: SparkSession, sf: str) -> DataFrame:
     return scores.agg(F.sum(F.col("s") * F.col("s")).alias("energy")).select(rounded("energy", digits=4), rounded(F.lit(share), "share"))
 
 
+@query(
+    "wide_total_variance",
+    f"WITH {fx.VECTORS_SQL}, m AS (SELECT i, var_pop(vec[i]) AS v FROM vectors, unnest(generate_series(1, 64)) t(i) GROUP BY i) "
+    "SELECT " + rnd("sum(v)", "variance") + ", " + rnd("CAST(1 AS DOUBLE)", "share") + " FROM m",
+)
+def wide_total_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """With as many directions as slots the range finder keeps all variance of the vectors."""
+    df = fx.vectors(spark, sf)
+    state = reduce.fit_wide(df, "vec", 64)
+    spread = df.select(F.posexplode(reduce.project(state, "vec")).alias("i", "s")).groupBy("i").agg(F.var_pop("s").alias("v"))
+    share = state.agg(F.sum("share")).first()[0]
+    return spread.agg(F.sum("v").alias("variance")).select(rounded("variance"), rounded(F.lit(share), "share"))
+
+
 @query("truncated_svd")
 def truncated_svd(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.vectors(spark, sf)

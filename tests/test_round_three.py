@@ -183,3 +183,69 @@ def test_votes_of_rows_shuffle_nothing(spark):
     ]
     assert all("Exchange" not in v._jdf.queryExecution().executedPlan().toString() for v in voted)
     assert len(voted[3].first()["features"]) == 6
+
+
+def test_wide_blocks_find_the_exact_subspace(spark):
+    from rowloom.operators import reduce
+
+    rng = np.random.default_rng(0)
+    data = rng.normal(size=(300, 5)) * [9, 7, 5, 3, 2] @ rng.normal(size=(5, 64)) + 0.01 * rng.normal(size=(300, 64)) + 4
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "id int, vec array<double>").repartition(3)
+    for exact, centred in ((reduce.fit_pca(df, "vec", 5), True), (reduce.fit_svd(df, "vec", 5), False)):
+        wide = reduce.fit_wide(df, "vec", 5, centred=centred)
+        a, b = (np.array([r["loadings"] for r in t.orderBy("component").collect()]) for t in (exact, wide))
+        assert np.allclose(np.abs((a * b).sum(axis=1)), 1, atol=1e-6)
+        shares = [[r["share"] for r in t.orderBy("component").collect()] for t in (exact, wide)]
+        assert np.allclose(*shares, atol=1e-6)
+
+
+def test_twenty_thousand_slots(spark):
+    from rowloom.operators import reduce
+
+    strength = F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.sin(i * 0.01) * F.col("a") + F.cos(i * 0.05) * F.col("b"))
+    rows = spark.range(40).select((F.sin("id") * 5).alias("a"), F.cos(F.col("id") * 3).alias("b")).select(strength.alias("vec"))
+    state = reduce.fit_wide(rows, "vec", 2, oversample=4, passes=3).orderBy("component").collect()
+    assert len(state) == 2 and len(state[0]["loadings"]) == 20_000 and sum(r["share"] for r in state) > 0.999
+
+
+def test_boosting_learns_what_one_cut_cannot_and_is_stored(spark, tmp_path):
+    from pyspark.ml.functions import array_to_vector
+
+    from rowloom.operators import boosting
+
+    rng = np.random.default_rng(2)
+    rows = [(i, int(a > 0.5) + int(b > 0.3), a, b) for i, (a, b) in enumerate(rng.random((600, 2)).tolist())]
+    df = spark.createDataFrame(rows, "id int, y int, a double, b double").withColumn("features", array_to_vector(F.array("a", "b")))
+    fitted = boosting.boosting(rounds=15, depth=2, step=0.5)(df, 3)
+    scored = fitted.score(df)
+    assert scored.where("prediction = y").count() >= 570
+    assert all(abs(sum(r["probs"]) - 1) < 1e-9 for r in scored.collect())
+    loaded = models.load_fitted(spark, fitted.write(spark, str(tmp_path / "m")))
+    before, after = ({r["id"]: list(r["probs"]) for r in m.score(df).collect()} for m in (fitted, loaded))
+    assert before == after and loaded.importances == fitted.importances
+
+
+def test_ranges_draw_within_bounds_and_searches_continue(spark, tmp_path):
+    space = {"a": ("int", 2, 5), "b": ("float", -1.0, 1.0), "c": ("log", 0.01, 100.0), "d": ("choice", ["x", "y"])}
+    drawn = [models.sampled(space, t) for t in range(200)]
+    assert {s["a"] for s in drawn} == {2, 3, 4, 5} and {s["d"] for s in drawn} == {"x", "y"}
+    assert all(-1 <= s["b"] < 1 and 0.01 <= s["c"] < 100 for s in drawn) and sum(s["c"] < 1 for s in drawn) > 70
+    with pytest.raises(ValueError, match="no range"):
+        models.sampled({"a": ("odd", 1)}, 0)
+    df = spark.createDataFrame([(i, i % 2, i % 3) for i in range(60)], "id int, y int, fold int").withColumn("features", F.array(F.col("y").cast("double")))
+    fits = []
+
+    def make(a):
+        def fit(part, k):
+            fits.append(a)
+            right = F.when(F.lit(a > 2), F.col("features")[0].cast("int")).otherwise(1 - F.col("features")[0].cast("int"))
+            return models.Fitted(k, lambda t: t.withColumn("probs", F.array((right == 0).cast("double"), (right == 1).cast("double"))))
+        return fit
+
+    store = str(tmp_path / "trials")
+    found = models.range_search(df, make, {"a": ("int", 1, 5)}, 6, 2, store).collect()
+    assert any(r["stopped"] and len(r["accuracies"]) == 1 and r["score"] is None for r in found) and sum(r["best"] for r in found) == 1
+    n = len(fits)
+    assert models.range_search(df, make, {"a": ("int", 1, 5)}, 6, 2, store).collect() == found and len(fits) == n
+    models.range_search(df, make, {"a": ("int", 1, 5)}, 8, 2, store)
+    assert n < len(fits) <= n + 6

@@ -32,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 1024
+LARGEST_CHUNK = 16384
 MAX_PIVOTS = 1024
 MOST_CELLS = 4096
 REFERENCES = 32
@@ -42,48 +43,153 @@ def _stack(values: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in values])
 
 
-def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """All distances between the rows of two small matrices, by differences."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
-    for i in range(0, len(a), step):
-        gap = np.abs(a[i:i + step, None, :] - b[None, :, :])
-        if metric == "euclidean":
-            out[i:i + step] = np.sqrt((gap * gap).sum(axis=2))
-        elif metric == "manhattan":
-            out[i:i + step] = gap.sum(axis=2)
-        elif metric == "chebyshev":
-            out[i:i + step] = gap.max(axis=2)
-        elif metric.startswith("minkowski"):
-            power = float(metric.removeprefix("minkowski"))
-            out[i:i + step] = (gap**power).sum(axis=2) ** (1 / power)
-        else:
-            raise ValueError(f"unknown metric {metric}")
-    return out
+def _order(metric: str) -> float:
+    """The power of the sum that a metric is the root of; infinite where it is the greatest difference."""
+    if metric.startswith("minkowski"):
+        return float(metric.removeprefix("minkowski"))
+    orders = {"euclidean": 2.0, "manhattan": 1.0, "chebyshev": math.inf}
+    if metric not in orders:
+        raise ValueError(f"unknown metric {metric}")
+    return orders[metric]
+
+
+def _power(gap: np.ndarray, p: float) -> np.ndarray:
+    return gap if p in (1, math.inf) else gap * gap if p == 2 else gap * gap * gap if p == 3 else gap**p
+
 
+def _root(total: np.ndarray, p: float) -> np.ndarray:
+    return total if p in (1, math.inf) else np.sqrt(total) if p == 2 else total ** (1 / p)
+
+
+def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """All distances between the rows of two small matrices, by differences, in tiles that stay in the cache."""
+    p = _order(metric)
+    add = np.maximum if p == math.inf else np.add
+    out = np.zeros((len(a), len(b)))
+    across, along = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    for i in range(0, len(a), 64):
+        for j in range(0, len(b), 512):
+            total = out[i:i + 64, j:j + 512]
+            for x, y in zip(across[:, i:i + 64], along[:, j:j + 512]):
+                add(total, _power(np.abs(np.subtract.outer(x, y)), p), out=total)
+    return _root(out, p)
+
+
+def _pairwise(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """The distance of each row of one matrix to the same row of the other. All results come from here."""
+    p = _order(metric)
+    gap = np.abs(a - b)
+    return gap.max(axis=1) if p == math.inf else _root(_power(gap, p).sum(axis=1), p)
+
+
+class _Sieve:
+    """Which rows may lie within a bound of which queries, by one matrix product of single precision.
+
+    Euclidean distances are estimated themselves. For other sums the values of each dimension are cut into bins, and within
+    a bin a line lies below the power of the difference to the query's value (it is convex, so any tangent does): rows
+    know their bins, queries their lines, and the product sums up the lines. For the greatest difference the product
+    counts the dimensions in which a row's bin lies beyond the bound. Nothing within a bound is lost, as the error of
+    the product is allowed for; what passes is compared exactly.
+    """
 
-def _nearest_in_block(q: np.ndarray, q_id: np.ndarray, d: np.ndarray, d_id: np.ndarray, k: int, metric: str, bound: np.ndarray) -> tuple:
+    def __init__(self, centres: np.ndarray, metric: str):
+        self.p, width = _order(metric), centres.shape[1]
+        self.usable = bool(np.isfinite(centres).all())
+        bins = 8 if self.p == math.inf else 4
+        self.terms = 2 * width + 16
+        if not self.usable:
+            return
+        self.middle = centres.mean(axis=0)
+        self.edges = np.quantile(centres, np.arange(1, bins) / bins, axis=0).T
+        self.spots = np.quantile(centres, (np.arange(bins) + 0.5) / bins, axis=0).T
+
+    def _bins(self, x: np.ndarray) -> np.ndarray:
+        """Whether a value lies in a bin: (row, dimension, bin)."""
+        place = np.zeros(x.shape, np.int8)
+        for edge in self.edges.T:
+            place += x > edge
+        return place[:, :, None] == np.arange(self.edges.shape[1] + 1, dtype=np.int8)
+
+    def rows(self, d: np.ndarray) -> np.ndarray | None:
+        """What the product needs of rows; none where their values do not allow it."""
+        if not self.usable or not np.isfinite(d).all():
+            return None
+        if self.p == 2:
+            moved = d - self.middle
+            out = np.column_stack([moved, (moved**2).sum(1)])
+        else:
+            own = self._bins(d)
+            out = own.reshape(len(d), -1) if self.p == math.inf else np.concatenate([own, own * (d[:, :, None] - self.spots)], axis=2).reshape(len(d), -1)
+        return out.astype(np.float32) if np.abs(out).max(initial=0) < 1e16 else None
+
+    def asks(self, q: np.ndarray) -> np.ndarray | None:
+        """The same of queries; for the greatest difference their values."""
+        if not self.usable or not np.isfinite(q).all():
+            return None
+        if self.p == math.inf:
+            return q
+        if self.p == 2:
+            out = np.column_stack([-2 * (q - self.middle), np.ones(len(q))])
+        else:
+            out = np.empty((len(q), len(self.spots), 2 * self.spots.shape[1]), np.float32)
+            for i in range(0, len(q), 1024):
+                part, k = q[i:i + 1024], self.spots.shape[1]
+                gap = self.spots - part[:, :, None]
+                gap[self._bins(part)] = 0
+                rise = _power(np.abs(gap), self.p - 1) if self.p != 1 else np.ones_like(gap)
+                out[i:i + 1024, :, :k] = _power(np.abs(gap), self.p)
+                out[i:i + 1024, :, k:] = self.p * rise * np.sign(gap)
+            out = out.reshape(len(q), -1)
+        return out.astype(np.float32, copy=False) if np.abs(out).max(initial=0) < 1e16 else None
+
+    def passes(self, asks: np.ndarray, q: np.ndarray, rows: np.ndarray, size: float, bound: np.ndarray) -> np.ndarray:
+        """Whether a row may lie within the bound of a query; ``size`` is the greatest norm of ``rows``."""
+        if self.p == math.inf:
+            none = np.full((len(self.edges), 1), np.inf)
+            low, high = np.hstack([-none, self.edges]), np.hstack([self.edges, none])
+            most = (bound * (1 + 1e-9))[:, None, None]
+            beyond = (low - q[:, :, None] > most) | (q[:, :, None] - high > most)
+            return beyond.reshape(len(q), -1).astype(np.float32) @ rows.T < 0.5
+        limit = _power(bound * (1 + 1e-9), self.p)
+        own = ((q - self.middle) ** 2).sum(1) if self.p == 2 else np.zeros(len(q))
+        error = self.terms * 2.4e-7 * (np.sqrt(np.einsum("ij,ij->i", asks, asks, dtype=np.float64)) * size + limit + own)
+        return asks @ rows.T <= (limit - own + error).astype(np.float32)[:, None]
+
+
+def _nearest_in_block(
+    q: np.ndarray, q_id: np.ndarray, d: np.ndarray, d_id: np.ndarray, k: int, metric: str, bound: np.ndarray,
+    sieve: _Sieve | None = None, asks: np.ndarray | None = None, rows: np.ndarray | None = None,
+) -> tuple:
     """The k nearest rows of one block for each query, none beyond its bound: (query, row, distance), in order.
 
-    A row is not its own neighbour.
+    A row is not its own neighbour. ``asks`` and ``rows`` are what the sieve needs of both sides, if it is of use.
     """
     keep = min(k + 1, len(d))
     step = max(1, 2_000_000 // max(1, len(d)))
+    size = float(np.sqrt((rows.astype(np.float64) ** 2).sum(1).max(initial=0))) if rows is not None else 0.0
     parts = []
     for i in range(0, len(q), step):
-        rows = q[i:i + step]
-        if metric == "euclidean":
-            # A fast estimate selects candidates with a margin; the exact distance decides.
-            estimate = (rows**2).sum(1)[:, None] + (d**2).sum(1)[None, :] - 2.0 * rows @ d.T
+        here, most = q[i:i + step], bound[i:i + step]
+        passed = None
+        if asks is not None and rows is not None and np.isfinite(most).all():
+            passed = sieve.passes(asks[i:i + step], here, rows, size, most)
+            if np.count_nonzero(passed) > 0.15 * passed.size:
+                passed = None
+        if passed is None:
+            if metric == "euclidean":
+                # A fast estimate selects candidates with a margin; the exact distance decides.
+                estimate = (here**2).sum(1)[:, None] + (d**2).sum(1)[None, :] - 2.0 * here @ d.T
+                limit = most**2
+            else:
+                estimate, limit = _distances(here, d, metric), most
             margin = 1e-9 * (1.0 + np.abs(estimate).max())
-            limit = bound[i:i + step] ** 2
-        else:
-            estimate, margin, limit = _distances(rows, d, metric), 0.0, bound[i:i + step]
-        kth = np.minimum(np.partition(estimate, keep - 1, axis=1)[:, keep - 1], limit)
-        r, c = np.nonzero(estimate <= kth[:, None] + margin)
+            kth = np.minimum(np.partition(estimate, keep - 1, axis=1)[:, keep - 1], limit)
+            passed = estimate <= kth[:, None] + margin
+        r, c = np.nonzero(passed)
         other = q_id[i + r] != d_id[c]
         r, c = r[other], c[other]
-        exact = np.sqrt(((rows[r] - d[c]) ** 2).sum(1)) if metric == "euclidean" else estimate[r, c]
+        some = max(1, 2**16 // max(1, d.shape[1]))
+        exact = np.concatenate([_pairwise(here[r[j:j + some]], d[c[j:j + some]], metric) for j in range(0, len(r), some)] or [np.zeros(0)])
         near = exact <= bound[i + r]
         parts.append(_first_of_each(i + r[near], exact[near], d_id[c[near]], k, c[near]))
     if not parts:
@@ -185,9 +291,13 @@ def knn_rounds(
         return durable(dealt.select("part", "cell", "block", "id", "label", "vec").groupBy("part", "cell", "block").applyInPandas(pack, schema)), cut
 
     blocks, cut = packed(celled)
-    # Chunks hold queries of neighbouring cells, so that few and full ones visit the blocks.
-    cells_a_chunk = max(1, CHUNK_ROWS * len(centres) * parts // max(1, asked.count()))
-    chunks, _ = packed(asked.withColumn("cell", (F.col("cell") / cells_a_chunk).cast("int")), CHUNK_ROWS)
+    # Chunks hold queries of neighbouring cells, so that few and full ones visit the blocks: what is shuffled is the data
+    # once for each chunk. They are as large as memory and an even load of all cores allow.
+    n = asked.count()
+    largest = min(LARGEST_CHUNK, 2**20 // max(1, centres.shape[1]))
+    most = max(CHUNK_ROWS, min(largest, n // (3 * queries.sparkSession.sparkContext.defaultParallelism)))
+    cells_a_chunk = max(1, most * len(centres) * parts // max(1, n))
+    chunks, _ = packed(asked.withColumn("cell", (F.col("cell") / cells_a_chunk).cast("int")), most)
     rings = celled.groupBy("part", "cell").agg(
         F.max("r").alias("radius"), F.array(*[F.min(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("low"),
         F.array(*[F.max(F.col("to")[j]) for j in range(references)]).cast("array<double>").alias("high"),
@@ -203,27 +313,73 @@ def knn_rounds(
             known[name] = _Cells([r for r in rows if r["part"] == name])
     between = _distances(centres, centres, metric)
 
-    def plan(state: dict, turn: int) -> dict:
-        """The blocks a chunk visits next: nearest cells first, none that the carried bound rules out."""
-        n = len(state["ids"])
-        bound = np.array(state["distances"]).reshape(n, k)[:, k - 1] if n else np.zeros(0)
-        cells = known.get(state["part"])
-        if cells is None:
-            return {**state, "next_cell": [], "next_block": [], "needed": 0, "pairs": 0}
-        q = _matrix(state["vecs"], n)
-        low, bound = _bounds(q, bound, cells, centres, between, metric)
-        need = low <= bound[:, None]
-        order = np.lexsort((cells.cell, low.mean(axis=0), -need.sum(axis=0) if turn else low.min(axis=0)))
-        unit_cell = np.repeat(order, cells.blocks[order])
-        unit_block = np.concatenate([np.arange(b) for b in cells.blocks[order]])
-        units = cells.cell[unit_cell].astype(np.int64) << 32 | unit_block
-        seen = np.array(state["seen"], dtype=np.int64)
-        left = np.flatnonzero(need.any(axis=0)[unit_cell] & ~np.isin(units, seen))[:min(8**turn, MOST_BLOCKS_A_ROUND)]
-        return {
-            **state, "next_cell": cells.cell[unit_cell[left]].tolist(), "next_block": unit_block[left].tolist(),
-            "seen": np.concatenate([seen, units[left]]).tolist(), "needed": state["needed"] + int(need[:, unit_cell[left]].sum()),
-            "pairs": n * int(cells.blocks.sum()),
-        }
+    sieve = _Sieve(centres, metric)
+
+    class Visit:
+        """One chunk in one round: the blocks it asked for come one after the other, and what they hold tightens its bounds."""
+
+        def __init__(self, state: dict):
+            self.state, n = state, len(state["ids"])
+            self.q, self.ids = _matrix(state["vecs"], n), np.asarray(state["ids"])
+            self.near, self.labels = (np.asarray(state[c], dtype=object).reshape(n, k) for c in ("near", "near_labels"))
+            self.distances = np.array(state["distances"], dtype=np.float64).reshape(n, k)
+            self.needed, self.asks, self.cells = 0, None, known.get(state["part"])
+            self.bound = self.distances[:, k - 1].copy()
+            if self.cells is not None:
+                self.at = {c: j for j, c in enumerate(self.cells.cell.tolist())}
+                self.low = np.empty((n, len(self.at)), np.float32)
+                for i in range(0, n, CHUNK_ROWS):
+                    part = slice(i, i + CHUNK_ROWS)
+                    low, self.bound[part] = _bounds(self.q[part], self.bound[part], self.cells, centres, between, metric)
+                    self.low[part] = low * (1 - 1e-6)
+
+        def compare(self, block: dict) -> None:
+            rows = np.arange(len(self.q))
+            if self.cells is not None:
+                rows = np.flatnonzero(self.low[:, self.at[block["cell"]]] <= self.bound)
+            self.needed += len(rows)
+            if not len(rows):
+                return
+            if self.asks is None:
+                self.asks = (sieve.asks(self.q),)
+            d, ids = _matrix(block["vecs"], len(block["ids"])), np.asarray(block["ids"])
+            asks = self.asks[0] if self.asks[0] is None or len(rows) == len(self.q) else self.asks[0][rows]
+            r, c, distance = _nearest_in_block(self.q[rows], self.ids[rows], d, ids, k, metric, self.bound[rows], sieve, asks, sieve.rows(d))
+            if not len(r):
+                return
+            # Only queries that got something are merged.
+            some, group = np.unique(rows[r], return_inverse=True)
+            held = np.flatnonzero(np.isfinite(self.distances[some].reshape(-1)))
+            group = np.concatenate([held // k, group])
+            near = np.concatenate([self.near[some].reshape(-1)[held], ids[c].astype(object)])
+            labels = np.concatenate([self.labels[some].reshape(-1)[held], np.asarray(block["labels"])[c].astype(object)])
+            distance = np.concatenate([self.distances[some].reshape(-1)[held], distance])
+            order = near.astype(ids.dtype) if ids.dtype != object else near
+            group, distance, at = _first_of_each(group, distance, order, k, np.arange(len(group)))
+            spot = np.arange(len(group)) - np.searchsorted(group, np.arange(len(some)))[group]
+            self.near[some[group], spot], self.labels[some[group], spot], self.distances[some[group], spot] = near[at], labels[at], distance
+            self.bound[some] = np.minimum(self.bound[some], self.distances[some, k - 1])
+
+        def after(self, turn: int) -> dict:
+            """The chunk as it is now, and the blocks it visits next: nearest cells first, none that its bounds rule out."""
+            state, cells = self.state, self.cells
+            done = {
+                **{c: state[c] for c in ("chunk", "part", "ids", "labels", "vecs")}, "near": self.near.reshape(-1), "near_labels": self.labels.reshape(-1),
+                "distances": self.distances.reshape(-1), "needed": int(state["needed"]) + self.needed,
+            }
+            if cells is None:
+                return {**done, "seen": [], "next_cell": [], "next_block": [], "pairs": 0}
+            need = self.low <= self.bound[:, None]
+            order = np.lexsort((cells.cell, self.low.mean(axis=0), -need.sum(axis=0) if turn else self.low.min(axis=0)))
+            unit_cell = np.repeat(order, cells.blocks[order])
+            unit_block = np.concatenate([np.arange(b) for b in cells.blocks[order]])
+            units = cells.cell[unit_cell].astype(np.int64) << 32 | unit_block
+            seen = np.array(state["seen"], dtype=np.int64)
+            left = np.flatnonzero(need.any(axis=0)[unit_cell] & ~np.isin(units, seen))[:min(32**turn, MOST_BLOCKS_A_ROUND)]
+            return {
+                **done, "seen": np.concatenate([seen, units[left]]), "next_cell": cells.cell[unit_cell[left]], "next_block": unit_block[left],
+                "pairs": len(self.q) * int(cells.blocks.sum()),
+            }
 
     schema = (
         f"chunk bigint, part string, ids array<{id_type}>, labels array<{label_type}>, vecs binary, near array<{id_type}>, "
@@ -231,75 +387,50 @@ def knn_rounds(
         "needed bigint, pairs bigint"
     )
 
-    def merge(turn: int):
-        def run(chunk: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-            state = chunk.iloc[0].to_dict()
-            n = len(state["ids"])
-            if len(found):
-                old = np.array(state["distances"], dtype=np.float64)
-                held = np.flatnonzero(np.isfinite(old))
-                group = np.concatenate([held // k, found["q"].to_numpy()])
-                distance = np.concatenate([old[held], found["distance"].to_numpy()])
-                near = np.concatenate([np.asarray(state["near"], dtype=object)[held], found["near"].to_numpy(dtype=object)])
-                labels = np.concatenate([np.asarray(state["near_labels"], dtype=object)[held], found["near_label"].to_numpy(dtype=object)])
-                group, distance, at = _first_of_each(group, distance, near, k, np.arange(len(group)))
-                starts = np.searchsorted(group, np.arange(n))
-                spot = group * k + np.arange(len(group)) - starts[group]
-                lists = {"near": np.full(n * k, None, dtype=object), "near_labels": np.full(n * k, None, dtype=object), "distances": np.full(n * k, np.inf)}
-                for name, values in (("near", near[at]), ("near_labels", labels[at]), ("distances", distance)):
-                    lists[name][spot] = values
-                state |= lists
-            return pd.DataFrame([plan(state, turn)])
+    def visits(turn: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            visit = None
+            for batch in batches:
+                for row in batch.to_dict("records"):
+                    if row["place"] >= 0:
+                        visit.compare(row)
+                        continue
+                    if visit is not None:
+                        yield pd.DataFrame([visit.after(turn)])
+                    visit = Visit(row)
+            if visit is not None:
+                yield pd.DataFrame([visit.after(turn)])
         return run
 
-    def compare(chunk: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if chunk.empty or block.empty:
-            return pd.DataFrame({"chunk": [], "q": [], "near": [], "near_label": [], "distance": []})
-        ask, point = chunk.iloc[0], block.iloc[0]
-        q, d = _matrix(ask["vecs"], len(ask["ids"])), _matrix(point["of_vecs"], len(point["of_ids"]))
-        bound = np.array(ask["distances"]).reshape(len(q), k)[:, k - 1]
-        rows = np.arange(len(q))
-        if ask["part"] in known:
-            cells = known[ask["part"]]
-            here = np.flatnonzero(cells.cell == point["of_cell"])
-            low, bound = _bounds(q, bound, cells, centres, between, metric)
-            rows = np.flatnonzero(low[:, here[0]] <= bound)
-        r, c, distance = _nearest_in_block(q[rows], np.asarray(ask["ids"])[rows], d, np.asarray(point["of_ids"]), k, metric, bound[rows])
-        return pd.DataFrame({
-            "chunk": np.full(len(r), ask["chunk"]), "q": rows[r], "near": np.asarray(point["of_ids"])[c],
-            "near_label": np.asarray(point["of_labels"])[c], "distance": distance,
-        })
-
     size = F.size("ids") * k
-    state = chunks.select(
+    state = durable(chunks.select(
         F.monotonically_increasing_id().alias("chunk"), "part", "ids", "labels", "vecs",
         F.array_repeat(F.lit(None).cast(id_type), size).alias("near"), F.array_repeat(F.lit(None).cast(label_type), size).alias("near_labels"),
         F.array_repeat(F.lit(float("inf")), size).alias("distances"), F.array().cast("array<bigint>").alias("seen"),
         F.array().cast("array<int>").alias("next_cell"), F.array().cast("array<int>").alias("next_block"),
         F.lit(0).cast("long").alias("needed"), F.lit(0).cast("long").alias("pairs"),
-    )
-    nothing = state.sparkSession.createDataFrame([], f"chunk bigint, q int, near {id_type}, near_label {label_type}, distance double")
-    found = nothing
-    state = durable(state)
+    ))
+    # Chunks are few; with more tasks than chunks, hardly two of them meet in one.
+    tasks = min(4 * state.count() + 4, 2048)
     turn = 0
     while True:
+        own = state.withColumn("place", F.lit(-1)).withColumn("cell", F.lit(-1))
         if few:
-            state = durable(state.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(merge(turn), schema))
-            visits = state.select("chunk", "part", F.explode(F.arrays_zip("next_cell", "next_block")).alias("u")).select(
-                "chunk", "part", F.col("u.next_cell").alias("cell"), F.col("u.next_block").alias("block")
+            asked_for = state.select("chunk", "part", F.posexplode(F.arrays_zip("next_cell", "next_block")).alias("place", "u")).select(
+                "chunk", "part", "place", F.col("u.next_cell").alias("cell"), F.col("u.next_block").alias("block")
             )
-            if not visits.take(1):
+            if turn and not asked_for.take(1):
                 return state
-        elif turn == 0:
-            visits = state.select("chunk", "part").join(cut, "part").select("chunk", "part", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         else:
-            return durable(state.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(merge(turn), schema))
-        keys = ["chunk", "part", "cell", "block"]
-        left = visits.join(state.select("chunk", "ids", "vecs", "distances"), "chunk")
-        right = visits.join(blocks, ["part", "cell", "block"]).select(*[F.col(c).alias(f"of_{c}") for c in (*keys, "ids", "labels", "vecs")])
-        found = left.groupBy(*keys).cogroup(right.groupBy(*[f"of_{c}" for c in keys])).applyInPandas(
-            compare, f"chunk bigint, q int, near {id_type}, near_label {label_type}, distance double"
-        )
+            asked_for = state.select("chunk", "part").join(cut, "part").select(
+                "chunk", "part", "cell", F.posexplode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("place", "block")
+            )
+        brought = asked_for.join(blocks, ["part", "cell", "block"]).select("chunk", "place", "cell", "ids", "labels", "vecs")
+        # A chunk and the blocks it asked for meet in one task, which reads them one by one.
+        together = own.unionByName(brought, allowMissingColumns=True).repartition(tasks, "chunk").sortWithinPartitions("chunk", "place")
+        state = durable(together.mapInPandas(visits(turn), schema))
+        if not few:
+            return state
         turn += 1
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def filled_block(block: Column) -> Column:
     """The block as doubles with missing entries (null or NaN) set to 0."""
     return F.transform(

@@ -29,6 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.functions.blocks import bound
 from rowloom.session import durable
 
 
@@ -39,8 +40,11 @@ def argmax(probs: Column) -> Column:
 
 def normalised(parts: Column, k: int) -> Column:
     """Scale to a sum of 1; all zeros become equal shares."""
-    total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(parts, lambda x: F.when(total > 0, x / total).otherwise(F.lit(1.0 / k)))
+    def scaled(own: Column) -> Column:
+        total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+        return bound(total, lambda t: F.transform(own, lambda x: F.when(t > 0, x / t).otherwise(F.lit(1.0 / k))))
+
+    return bound(parts, scaled)
 
 
 @dataclass

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.functions.blocks import bound
 from rowloom.functions.keys import hash_int
 from rowloom.functions.text import US_REGIONS
 from rowloom.operators.models import predicted_class
@@ -159,8 +160,8 @@ def pseudo_arrays(spark: SparkSession, sf: str, models: list[str] = ("ada", "bob
     raws = orders.select("id", "y", "fold", *[F.array(*[raw(m, c) for c in range(3)]).alias(m) for m in models])
 
     def shares(model: str):
-        total = F.get(model, F.lit(0)) + F.get(model, F.lit(1)) + F.get(model, F.lit(2))
-        return F.transform(model, lambda r: r / total)
+        # Bound, or the hashes behind the three numbers are computed again for each of them.
+        return bound(F.col(model), lambda own: F.transform(own, lambda r: r / (F.get(own, F.lit(0)) + F.get(own, F.lit(1)) + F.get(own, F.lit(2)))))
 
     cells = [x for m in models for x in (F.lit(m), shares(m))]
     return raws.select("id", "y", "fold", F.create_map(*cells).alias("scores"))

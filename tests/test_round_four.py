@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
-from rowloom.operators import neighbours
+from pyspark.sql import functions as F
+
+from rowloom.operators import models, neighbours
 
 
 def _brute(data, k, metric):
@@ -51,3 +53,16 @@ def test_a_chunk_reads_its_blocks_one_by_one(spark, monkeypatch, metric):
     assert len(state) == 1 and len(state[0]["seen"]) == len(set(state[0]["seen"])) > 30
     got = {i: state[0]["near"][4 * j:4 * j + 4] for j, i in enumerate(state[0]["ids"])}
     assert [got[i] for i in range(1200)] == _brute(data, 4, metric)
+
+
+def test_normalised_computes_its_parts_once(spark):
+    """Parts were computed again for each use inside the lambda: 49 s for 150,000 rows of hashes."""
+    parts = F.array(*[F.expr(f"CAST(crc32(CAST(id + {c} AS STRING)) % 7 AS DOUBLE)") for c in range(3)])
+    df = spark.range(50).select("id", models.normalised(parts, 3).alias("p"), parts.alias("raw"))
+    alone = spark.range(50).select(models.normalised(parts, 3).alias("p"))
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Project", 1)[1].count("crc32") <= 2 * 3
+    for r in df.collect():
+        total = sum(r["raw"])
+        assert r["p"] == pytest.approx([x / total for x in r["raw"]] if total else [1 / 3] * 3)
+    assert spark.range(1).select(models.normalised(F.lit(None).cast("array<double>"), 3).alias("p")).first()["p"] is None

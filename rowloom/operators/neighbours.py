@@ -31,6 +31,7 @@ from rowloom.session import durable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
+BUCKET_ROWS = 16384
 CHUNK_ROWS = 1024
 LARGEST_CHUNK = 16384
 MAX_PIVOTS = 1024
@@ -469,7 +470,7 @@ def knn_join(
 
 
 def knn_by_hashing(
-    queries: DataFrame, data: DataFrame, k: int, tables: int, bits: int, metric: str = "euclidean", seed: int = 42, block_rows: int = BLOCK_ROWS,
+    queries: DataFrame, data: DataFrame, k: int, tables: int, bits: int, metric: str = "euclidean", seed: int = 42, block_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """The k nearest rows among those that share a bucket with the query in any of ``tables`` hash tables.
 

@@ -17,6 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowloom.operators.models import side_by_side
 from rowloom.operators.ranking import running_totals
 from rowloom.operators.sizing import lookup
 from rowloom.session import durable
@@ -27,11 +28,10 @@ MIN_ROWS = 200
 SLICES_AT_ONCE = 16
 
 
-def _pooled(held: DataFrame, model: str, c: int) -> DataFrame:
-    """Rows of one model and class counted per score, which is all a calibration curve depends on."""
+def _pooled(held: DataFrame) -> DataFrame:
+    """Rows counted per model, class and score, which is all a calibration curve depends on; stored, as each fit reads it."""
     hit = (F.col("y") == F.col("class")).cast("double")
-    own = held.where((F.col("model") == model) & (F.col("class") == c))
-    return own.groupBy("p").agg(F.avg(hit).alias("rate"), F.count(F.lit(1)).cast("double").alias("n"))
+    return durable(held.groupBy("model", "class", "p").agg(F.avg(hit).alias("rate"), F.count(F.lit(1)).cast("double").alias("n")))
 
 
 def _renormalise(df: DataFrame, key: str, k: int) -> DataFrame:
@@ -146,9 +146,8 @@ def isotonic_calibration(held: DataFrame, df: DataFrame, key: str, k: int, min_r
     return _renormalise(moved, key, k).unionByName(rows.where(~F.col("model").isin(models) | F.col("model").isNull()))
 
 
-def fit_sigmoid(held: DataFrame, model: str, c: int) -> tuple[float, float]:
-    """Slope and constant of the logistic curve of one model's class."""
-    pooled = VectorAssembler(inputCols=["p"], outputCol="_v").transform(_pooled(held, model, c))
+def _fit_pooled(pooled: DataFrame) -> tuple[float, float]:
+    pooled = VectorAssembler(inputCols=["p"], outputCol="_v").transform(pooled)
     # Each score carries its positives and its negatives as two weighted rows.
     both = pooled.select("_v", F.lit(1.0).alias("_y"), (F.col("rate") * F.col("n")).alias("_w")).unionByName(
         pooled.select("_v", F.lit(0.0).alias("_y"), ((1 - F.col("rate")) * F.col("n")).alias("_w"))
@@ -157,13 +156,32 @@ def fit_sigmoid(held: DataFrame, model: str, c: int) -> tuple[float, float]:
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
 
+def fit_sigmoids(held: DataFrame, models: list[str], k: int) -> dict[tuple[str, int], tuple[float, float]]:
+    """Slope and constant of the logistic curve of each model and class. Rows are counted per score once for all of them."""
+    pooled = _pooled(held)
+    names = [(m, c) for m in models for c in range(k)]
+
+    def fit(m: str, c: int):
+        return lambda: _fit_pooled(pooled.where((F.col("model") == m) & (F.col("class") == c)))
+
+    return dict(zip(names, side_by_side([fit(m, c) for m, c in names])))
+
+
+def fit_sigmoid(held: DataFrame, model: str, c: int) -> tuple[float, float]:
+    """Slope and constant of the logistic curve of one model's class."""
+    return _fit_pooled(_pooled(held.where((F.col("model") == model) & (F.col("class") == c))))
+
+
 def sigmoid_calibration(held: DataFrame, df: DataFrame, key: str, k: int, min_rows: int = MIN_ROWS) -> DataFrame:
     """Logistic curve per model and class on the score, then a sum of 1; as for ``isotonic_calibration``."""
+    models = enough_rows(held, min_rows)
+    fitted = fit_sigmoids(held.where(F.col("model").isin(models)), models, k) if models else {}
+
     def curve(part: DataFrame, model: str, c: int) -> DataFrame:
-        slope, base = fit_sigmoid(held, model, c)
+        slope, base = fitted[model, c]
         return part.withColumn("p", 1 / (1 + F.exp(-(F.col("p") * slope + base))))
 
-    return _moved(df, key, k, enough_rows(held, min_rows), curve)
+    return _moved(df, key, k, models, curve)
 
 
 def calibration_gain(before: DataFrame, after: DataFrame, positive: Column) -> DataFrame:

@@ -265,14 +265,11 @@ def calibration_gain(spark: SparkSession, sf: str) -> DataFrame:
 def sigmoid_optimum(spark: SparkSession, sf: str) -> DataFrame:
     """At the optimum of a logistic curve over full scores the residuals, and their products with the score, sum to nothing."""
     held = _long(spark, sf).where("fold = 0")
-    parts = None
-    for model in calibrate.enough_rows(held, 1):
-        for c in range(3):
-            slope, base = calibrate.fit_sigmoid(held, model, c)
-            own = held.where((F.col("model") == model) & (F.col("class") == c))
-            gap = (F.col("y") == F.col("class")).cast("double") - 1 / (1 + F.exp(-(F.col("p") * slope + base)))
-            part = own.groupBy("model", "class").agg(
-                F.count(F.lit(1)).alias("n"), rounded(F.avg(gap), "residual", 4), rounded(F.avg(gap * F.col("p")), "moment", 4)
-            )
-            parts = part if parts is None else parts.unionByName(part)
-    return parts
+    fitted = calibrate.fit_sigmoids(held, calibrate.enough_rows(held, 1), 3)
+    slope, base = (
+        F.coalesce(*[F.when((F.col("model") == m) & (F.col("class") == c), F.lit(of[i])) for (m, c), of in fitted.items()]) for i in (0, 1)
+    )
+    told = held.withColumn("_gap", (F.col("y") == F.col("class")).cast("double") - 1 / (1 + F.exp(-(F.col("p") * slope + base))))
+    return told.groupBy("model", "class").agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.avg("_gap"), "residual", 4), rounded(F.avg(F.col("_gap") * F.col("p")), "moment", 4)
+    )

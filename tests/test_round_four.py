@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from rowloom.operators import models, neighbours
+from rowloom.operators import calibrate, models, neighbours
 
 
 def _brute(data, k, metric):
@@ -73,3 +73,11 @@ def test_normalised_computes_its_parts_once(spark):
 def test_buckets_are_cut_into_few_blocks():
     """A bucket of 11,250 rows was sent three times from either side, 48 tables over."""
     assert inspect.signature(neighbours.knn_by_hashing).parameters["block_rows"].default >= 11_250
+
+
+def test_sigmoid_curves_of_all_classes_share_one_count(spark):
+    rows = [(i, m, c, (i * 7 + c) % 3, ((i * 37 + c * 11) % 100) / 100) for i in range(300) for m in ("a", "b") for c in range(3)]
+    held = spark.createDataFrame(rows, "id long, model string, class int, y int, p double")
+    got = calibrate.fit_sigmoids(held, ["a", "b"], 3)
+    assert sorted(got) == [(m, c) for m in ("a", "b") for c in range(3)]
+    assert got["b", 1] == pytest.approx(calibrate.fit_sigmoid(held, "b", 1), abs=1e-6)

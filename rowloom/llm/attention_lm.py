@@ -6,10 +6,10 @@ the probability of its slot evenly. The output is a softmax of two levels: class
 logits are what attention gives, added to the logarithm of how often a slot follows the one before, counted over all
 training texts; so attention starts from pairs and learns what more of the past tells.
 
-Training: spans spread evenly over all places of all training texts become windows, stored as minibatches. For B bytes
-of text they hold ``SPREAD`` * cbrt(B) bytes, so they grow with the input at every size, while their share falls. In each
-round every task starts from the same weights and works through its minibatches of that round; the weights are then
-averaged by minibatches seen. Tasks grow in number as the minibatches do; only one set of weights is on the driver.
+Training: windows over all training texts, in which every place is a target, are stored as minibatches; small inputs are
+gone over several times. In each round every task starts from the same weights and works through its minibatches of that
+round; the weights are then averaged by minibatches seen. Tasks grow in number as the minibatches do; only one set of
+weights is on the driver.
 
 Scoring: windows of ``WINDOW`` tokens overlap by ``WINDOW - STRIDE``; each token is scored once, in the window in
 which it has the most context. Beside it stands the score of a unigram model of words with one added to each count:
@@ -39,14 +39,13 @@ SLOTS = CLASSES * MEMBERS
 END, OTHER = 0, SLOTS - 1
 NOTHING = 65535
 ROUNDS = 4
-SPAN_BYTES = 128
-SPREAD = 50_000
+SPREAD = 10_000
 TASK_STEPS = 1000
-BATCH_WINDOWS = 32
+LEAST_WINDOWS, MOST_WINDOWS = 32, 256
 RATE = 0.01
 FREQUENT_WORDS = 1 << 18
 LONGEST_FREQUENT = 64
-SCORED_AT_ONCE = 128
+SCORED_AT_ONCE = 256
 CELL = 1024
 PAIR_PRIOR = 5.0
 
@@ -172,65 +171,86 @@ def log_probabilities(w: dict, added: tuple, hidden: np.ndarray, before: np.ndar
     return out
 
 
+def _softmax(x: np.ndarray, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax of each row, and its logarithm at one entry a row."""
+    told = x[at, which]
+    with np.errstate(over="ignore"):
+        share = np.exp(x)
+        total = share @ np.ones(x.shape[1], x.dtype)
+    if not np.isfinite(total).all() or not total.all():
+        logs = _log_softmax(x)
+        return np.exp(logs), logs[at, which]
+    share /= total[:, None]
+    return share, told - np.log(total)
+
+
 def gradient(flat: np.ndarray, after: np.ndarray, batch: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean loss of a minibatch of windows of WINDOW + 1 slots, and its gradient."""
     w, grad = views(flat), np.zeros_like(flat)
     g = views(grad)
     ids, targets = batch[:, :-1], batch[:, 1:].reshape(-1)
     ids = np.where(ids == NOTHING, END, ids)
-    told = np.flatnonzero(targets != NOTHING)
     z, (x, q, k, v, a, total, o, y, m) = _attend(w, ids)
-    weights = a / total
+    a /= total
+    # Targets by their class, so that the members of a class are one product.
+    told = np.flatnonzero(targets != NOTHING)
+    told = told[np.argsort((targets[told] // MEMBERS).astype(np.int16), kind="stable")]
     h, t = z[told], targets[told].astype(np.int64)
     n = max(1, len(told))
     kind, member = t // MEMBERS, t % MEMBERS
     before = ids.reshape(-1)[told]
     at = np.arange(len(t))
-    lc = _log_softmax(h @ w["Wc"] + w["bc"] + after[before, SLOTS:])
-    loss = -float(lc[at, kind].sum())
-    dc = np.exp(lc)
+    logits = h @ w["Wc"]
+    logits += w["bc"]
+    logits += after[before, SLOTS:]
+    dc, loss = _softmax(logits, at, kind)
     dc[at, kind] -= 1
     dc /= n
-    g["Wc"][:], g["bc"][:] = h.T @ dc, dc.sum(0)
+    g["Wc"][:], g["bc"][:] = h.T @ dc, np.ones(len(dc), dc.dtype) @ dc
     dh = dc @ w["Wc"].T
-    order = np.argsort(kind, kind="stable")
-    bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
-    near, inner, back = h[order], np.empty((len(t), MEMBERS), h.dtype), np.empty_like(h)
-    spans = [(c, a, b) for c, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
-    for c, a, b in spans:
-        np.matmul(near[a:b], w["Wi"][c], out=inner[a:b])
-    li = _log_softmax(inner + w["bi"][kind[order]] + after[:, :SLOTS].reshape(SLOTS, CLASSES, MEMBERS)[before[order], kind[order]])
-    loss -= float(li[at, member[order]].sum())
-    di = np.exp(li)
-    di[at, member[order]] -= 1
+    bounds = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    inner, back = np.empty((len(t), MEMBERS), h.dtype), np.empty_like(h)
+    spans = [(c, i, j) for c, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])) if j > i]
+    for c, i, j in spans:
+        np.matmul(h[i:j], w["Wi"][c], out=inner[i:j])
+        inner[i:j] += w["bi"][c]
+    inner += after[:, :SLOTS].reshape(SLOTS, CLASSES, MEMBERS)[before, kind]
+    di, more = _softmax(inner, at, member)
+    di[at, member] -= 1
     di /= n
-    for c, a, b in spans:
-        np.matmul(near[a:b].T, di[a:b], out=g["Wi"][c])
-        np.matmul(di[a:b], w["Wi"][c].T, out=back[a:b])
-        g["bi"][c] = di[a:b].sum(0)
-    dh[order] += back
+    for c, i, j in spans:
+        np.matmul(h[i:j].T, di[i:j], out=g["Wi"][c])
+        np.matmul(di[i:j], w["Wi"][c].T, out=back[i:j])
+        g["bi"][c] = np.ones(j - i, di.dtype) @ di[i:j]
+    dh += back
     dz = np.zeros_like(z)
     dz[told] = dh
     g["W2"][:] = m.T @ dz
     dm = dz @ w["W2"].T
     dm *= m > 0
-    g["W1"][:], g["b1"][:] = y.T @ dm, dm.sum(0)
+    every = np.ones(len(z), z.dtype)
+    g["W1"][:], g["b1"][:] = y.T @ dm, every @ dm
     dy = dz + dm @ w["W1"].T
     g["Wo"][:] = o.T @ dy
     do = (dy @ w["Wo"].T).reshape(q.shape)
-    da = do @ v.transpose(0, 2, 1)
-    dv = weights.transpose(0, 2, 1) @ do
-    ds = weights * (da - (da * weights).sum(axis=2, keepdims=True))
+    ds = do @ v.transpose(0, 2, 1)
+    # What a place's weights gain together is what its output gains.
+    ds -= ((do * o.reshape(q.shape)).reshape(-1, WIDTH) @ np.ones(WIDTH, z.dtype)).reshape(len(q), WINDOW, 1)
+    ds *= a
     ds *= _SCALE
-    dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2).reshape(-1, 3 * WIDTH)
+    dqkv = np.empty((len(q), WINDOW, 3 * WIDTH), z.dtype)
+    np.matmul(ds, k, out=dqkv[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH:2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), do, out=dqkv[:, :, 2 * WIDTH:])
+    dqkv = dqkv.reshape(-1, 3 * WIDTH)
     g["Wqkv"][:] = x.T @ dqkv
     dx = dy + dqkv @ w["Wqkv"].T
-    g["P"][:] = dx.reshape(q.shape).sum(0)
+    g["P"][:] = (every[:len(ids)] @ dx.reshape(len(ids), -1)).reshape(WINDOW, WIDTH)
     flat_ids = ids.reshape(-1)
-    order = np.argsort(flat_ids, kind="stable")
+    order = np.argsort(flat_ids.astype(np.int16), kind="stable")
     which, first = np.unique(flat_ids[order], return_index=True)
     g["E"][which] = np.add.reduceat(dx[order], first, axis=0)
-    return loss / n, grad
+    return -float(loss.sum() + more.sum()) / n, grad
 
 
 def train(flat: np.ndarray, after: np.ndarray, batches: Iterator[np.ndarray], rate: float = RATE) -> tuple[np.ndarray, int]:
@@ -423,70 +443,53 @@ def _slots_of_words(path, slot_of, frequent, lowered, begin, end, key):
     return out, out_at, np.where(known, place, -1)
 
 
-def _spread_spans(body: np.ndarray, starts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A span at every ``step`` bytes: their bytes, where each begins, whether it opens or ends its text."""
-    n = np.diff(starts)
-    # Where the first span begins follows from the text, so it is the same in every run.
-    salt = span_hashes(body, starts[:-1], np.minimum(starts[1:], starts[:-1] + 4096)) if len(body) else np.zeros(len(n), np.uint64)
-    offset = (salt % np.uint64(step)).astype(np.int64) - SPAN_BYTES // 2
-    count = np.maximum(0, (n - offset + step - 1) // step)
-    count = np.where(n == 0, 0, count)
+def training_windows(slots: np.ndarray, at: np.ndarray, before: int, closes: bool, shift: int) -> np.ndarray:
+    """Windows of rows of slots (``at``: where each row's begin), in which every slot is a target once.
+
+    A window is the slot before and up to WINDOW targets, then NOTHING. The first window of a row is shorter by ``shift``.
+    ``before`` precedes each row; with ``closes`` the end is its last target.
+    """
+    n = np.diff(at) + closes
+    count = np.where(n > 0, -(-(n + shift) // WINDOW), 0)
     row = np.repeat(np.arange(len(n)), count)
     turn = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    begin = np.maximum(0, offset[row] + turn * step)
-    end = np.minimum(n[row], offset[row] + turn * step + SPAN_BYTES)
-    opens, ends = begin == 0, end == n[row]
-    begin, end = begin + starts[row], end + starts[row]
-    at = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
-    idx = np.repeat(begin - at[:-1], end - begin) + np.arange(at[-1])
-    out = body[idx]
-    # Words that the span cuts are blanked: at its begin unless a blank stands before, at its end unless one follows.
-    white = _IS_SPACE[out]
-    cut_begin = ~opens & ~_IS_SPACE[body[np.maximum(0, begin - 1)]]
-    cut_end = ~ends & ~_IS_SPACE[body[np.minimum(len(body) - 1, end)]]
-    place = np.arange(len(out))
-    blank_from = np.maximum.accumulate(np.where(white, place, -1))
-    rows = np.repeat(np.arange(len(begin)), end - begin)
-    out = np.where(cut_begin[rows] & (blank_from < at[:-1][rows]), np.uint8(32), out)
-    later = np.minimum.accumulate(np.where(white, place, len(out))[::-1])[::-1]
-    out = np.where(cut_end[rows] & (later >= at[1:][rows]), np.uint8(32), out)
-    return out, at, opens, ends
-
-
-def _minibatches(texts: DataFrame, path: str, slot_of: np.ndarray, frequent: tuple, step: int) -> DataFrame:
-    """Windows from spans of all texts, as stored minibatches (round, windows)."""
+    begin = np.maximum(0, turn * WINDOW - shift)
+    size = np.minimum(n[row], (turn + 1) * WINDOW - shift) - begin
+    # Place p of a row's sequence is its slot p - 1; place 0 the one before.
+    place = begin[:, None] + np.arange(WINDOW + 1)
+    padded = np.append(slots, END)
+    rows = padded[np.clip(at[row][:, None] + place - 1, 0, len(slots))]
+    rows[place == 0] = before
+    rows[place > np.diff(at)[row][:, None]] = END
+    rows[np.arange(WINDOW + 1) > size[:, None]] = NOTHING
+    return rows.astype(np.uint16)
+
+
+def _minibatches(texts: DataFrame, path: str, slot_of: np.ndarray, frequent: tuple, passes: int, size: int) -> DataFrame:
+    """Windows over all places of all texts, ``passes`` times, as stored minibatches (round, windows) of ``size`` windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = np.zeros((0, WINDOW + 1), np.uint16), 0
         for batch in batches:
             body, starts = text_bytes(batch.column(0))
-            out: list[tuple[int, bytes]] = []
-            for _, part, at, _, _, _ in text_parts(body, starts, _IS_SPACE, _IS_SPACE):
-                spans, span_at, opens, ends = _spread_spans(part, at, step)
-                if len(span_at) < 2:
-                    continue
-                lowered, begin, end, words_at, key = _words(spans, span_at)
+            for _, part, at, _, opens, closes in text_parts(body, starts, _IS_SPACE, _IS_SPACE):
+                lowered, begin, end, words_at, key = _words(part, at)
                 slots, slots_at, _ = _slots_of_words(path, slot_of, frequent, lowered, begin, end, key)
-                first, last = slots_at[words_at[:-1]], slots_at[words_at[1:]]
-                # A window: a slot before (the end, where a text opens), then the span's own, then the end if it ends there.
-                place = np.arange(WINDOW + 1)[None, :] - opens[:, None] + first[:, None]
-                padded = np.concatenate([slots, np.zeros(WINDOW + 2, np.int64)])
-                rows = padded[np.clip(place, 0, len(padded) - 1)].astype(np.uint16)
-                rows[place < first[:, None]] = END
-                rows[place >= last[:, None]] = NOTHING
-                rows[(place == last[:, None]) & ends[:, None]] = END
-                rows = rows[(rows[:, 1:] != NOTHING).any(axis=1)]
-                held = np.concatenate([held, rows])
-                while len(held) >= BATCH_WINDOWS:
-                    out.append((number % ROUNDS, held[:BATCH_WINDOWS].tobytes()))
-                    held, number = held[BATCH_WINDOWS:], number + 1
-            yield _stored(out)
+                row_at, before = slots_at[words_at], END if opens else tail
+                tail = int(slots[-1]) if len(slots) else before
+                for turn in range(passes):
+                    rows = training_windows(slots, row_at, before, closes, turn % WINDOW)
+                    # Neighbours go to different minibatches, the same ones in every run.
+                    held = np.concatenate([held, np.random.default_rng(turn).permutation(rows)])
+                    cut = len(held) // size * size
+                    if cut:
+                        yield _stored(number, held[:cut].reshape(-1, size, WINDOW + 1))
+                        held, number = held[cut:], number + cut // size
         if len(held):
-            yield _stored([(number % ROUNDS, held.tobytes())])
+            yield _stored(number, held[None])
 
-    def _stored(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["round", "windows"]
-        )
+    def _stored(number: int, windows: np.ndarray) -> pa.RecordBatch:
+        rounds = (number + np.arange(len(windows))) % ROUNDS
+        return pa.RecordBatch.from_arrays([pa.array(rounds.astype(np.int32)), pa.array([w.tobytes() for w in windows], pa.binary())], names=["round", "windows"])
 
     return texts.mapInArrow(run, "round int, windows binary")
 
@@ -522,9 +525,11 @@ def fit_language_model(texts: DataFrame, path: str) -> LanguageModel:
     after = log_pairs(*_pair_counts(spelled, slot_of), n_texts)
     frequent = _frequent_words(words, path, slot_of)
     weights = first_weights()
-    size = texts.agg(F.sum(F.octet_length(texts.columns[0]))).first()[0] or 0
-    step = max(1, int(SPAN_BYTES * size ** (2 / 3) / SPREAD))
-    minibatches = durable(_minibatches(texts, path, slot_of, frequent, step))
+    # Small inputs are gone over several times; minibatches grow with the input up to a bound, then the tasks do.
+    slots = max(1, int(counts.sum()) + n_texts)
+    passes = max(1, round(SPREAD / slots ** (2 / 3)))
+    windows = min(MOST_WINDOWS, max(LEAST_WINDOWS, passes * slots // (WINDOW * ROUNDS * TASK_STEPS)))
+    minibatches = durable(_minibatches(texts, path, slot_of, frequent, passes, windows))
     tasks = -(-minibatches.count() // (ROUNDS * TASK_STEPS)) or 1
     for turn in range(ROUNDS):
         weights = _one_round(minibatches.coalesce(tasks), turn, weights, after, RATE * (1 - turn / ROUNDS))

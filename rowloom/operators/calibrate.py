@@ -26,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_ROWS = 200
 SLICES_AT_ONCE = 16
+SLICE_ROWS = 100_000
 
 
 def _pooled(held: DataFrame) -> DataFrame:
@@ -63,6 +64,19 @@ def _moved(df: DataFrame, key: str, k: int, models: list[str], curve) -> DataFra
     return _renormalise(parts, key, k).unionByName(rest)
 
 
+def _merged_falls(low: np.ndarray, high: np.ndarray, mean: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Blocks in the order of their scores; each run of means that do not rise becomes one, whatever the order of merging."""
+    while len(mean) > 1:
+        rises = np.flatnonzero(mean[1:] > mean[:-1]) + 1
+        if 2 * (len(rises) + 1) > len(mean):
+            break
+        first = np.append(0, rises)
+        total = np.add.reduceat(n, first)
+        low, high = low[first], high[np.append(rises, len(high)) - 1]
+        mean, n = np.add.reduceat(mean * n, first) / total, total
+    return low, high, mean, n
+
+
 def pool_adjacent_violators(low: np.ndarray, high: np.ndarray, mean: np.ndarray, n: np.ndarray) -> tuple[list, ...]:
     """Blocks in the order of their scores, put together wherever a mean is not above the one before."""
     lows, highs, means, sizes = [], [], [], []
@@ -80,7 +94,7 @@ def pool_adjacent_violators(low: np.ndarray, high: np.ndarray, mean: np.ndarray,
 
 def _pool(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("low")
-    low, high, mean, n = pool_adjacent_violators(*(rows[c].to_numpy(dtype=np.float64) for c in ("low", "high", "fitted", "n")))
+    low, high, mean, n = pool_adjacent_violators(*_merged_falls(*(rows[c].to_numpy(dtype=np.float64) for c in ("low", "high", "fitted", "n"))))
     return pd.DataFrame({
         "model": rows["model"].iloc[0], "class": rows["class"].iloc[0], "slice": rows["slice"].iloc[0],
         "low": low, "high": high, "fitted": mean, "n": n,
@@ -90,21 +104,24 @@ def _pool(rows: pd.DataFrame) -> pd.DataFrame:
 def fit_isotonic(held: DataFrame) -> DataFrame:
     """Monotone curves of all models and classes: (model, class, no, low, high, fitted, next_low, next_fitted).
 
-    ``no`` counts the blocks of a curve from 1. Rows are counted per score first. A slice holds a range of scores, and the
-    blocks of ``SLICES_AT_ONCE`` neighbouring slices are pooled together until one is left; n scores that do not repeat
-    end in blocks of the order of n to the power 2/3 at most. Rows without score, model or class play no part.
+    ``no`` counts the blocks of a curve from 1. Rows are counted per score first. A slice holds a range of scores; it is
+    pooled in parts of ``SLICE_ROWS`` scores first, so that no task holds more. The blocks of ``SLICES_AT_ONCE`` neighbouring
+    slices are pooled together until one is left; n scores that do not repeat end in blocks of the order of n to the power
+    2/3 at most. Rows without score, model or class play no part.
     """
     hit = (F.col("y") == F.col("class")).cast("double")
     told = held.where(F.col("p").isNotNull() & F.col("model").isNotNull() & F.col("class").isNotNull())
     pooled = told.groupBy("model", "class", "p").agg(F.avg(hit).alias("fitted"), F.count(F.lit(1)).cast("double").alias("n"))
     spread = pooled.repartitionByRange("model", "class", "p")
     # Which slice a score is in depends on sampled bounds, so it is stored.
-    blocks = durable(spread.select(
-        "model", "class", F.spark_partition_id().alias("slice"), F.col("p").alias("low"), F.col("p").alias("high"), "fitted", "n"
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    blocks = durable(spread.sortWithinPartitions("model", "class", "p").select(
+        "model", "class", F.spark_partition_id().alias("slice"), F.col("p").alias("low"), F.col("p").alias("high"), "fitted", "n",
+        F.floor(place / SLICE_ROWS).alias("part"),
     ))
-    types = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
-    schema = ", ".join(f"{c} {t}" for c, t in types.items())
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocks.drop("part").schema.fields)
     slices = spread.rdd.getNumPartitions()
+    blocks = blocks.groupBy("model", "class", "slice", "part").applyInPandas(_pool, schema)
     blocks = blocks.groupBy("model", "class", "slice").applyInPandas(_pool, schema)
     while slices > 1:
         slices = -(-slices // SLICES_AT_ONCE)

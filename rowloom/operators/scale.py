@@ -3,24 +3,61 @@
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.functions.numeric import equal_width_bin, yeo_johnson
 from rowloom.operators.quantiles import is_after, rows_at_ranks
 from rowloom.operators.settled import settled
 from rowloom.operators.sizing import ONE_TASK_ROWS
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's rows, per column: values, their mean, and the sum of squared distances from it. A constant column has none."""
+    found: dict[int, tuple[int, float, float]] = {}
+    with np.errstate(invalid="ignore"):
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                x = column.drop_null().to_numpy()
+                if len(x):
+                    apart = x - x[0]
+                    shift = apart.mean()
+                    apart -= shift
+                    n, mean, m2 = found.get(i, (0, 0.0, 0.0))
+                    own, total = len(x), n + len(x)
+                    step = x[0] + shift - mean if n else 0.0
+                    mean = mean + step * own / total if n else x[0] + shift
+                    found[i] = total, mean, m2 + apart @ apart + step * step * n * own / total
+    arrays = [[found[i][k] for i in found] for k in range(3)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(found), pa.int32()), pa.array(arrays[0], pa.int64()), pa.array(arrays[1], pa.float64()), pa.array(arrays[2], pa.float64())],
+        names=["i", "n", "mean", "m2"],
+    )
+
 
 def fit_standard(df: DataFrame, columns: list[str]) -> DataFrame:
     """State row: mean and population standard deviation per column, a deviation of 0 read as 1."""
-    stats = []
-    for c in columns:
-        x = F.col(f"`{c}`").cast("double")
-        sd = F.stddev_pop(x)
-        stats += [F.avg(x).alias(f"{c}__mean"), F.when(sd > 0, sd).otherwise(F.lit(1.0)).alias(f"{c}__sd")]
-    return settled(df.agg(*stats))
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).mapInArrow(_moments, "i int, n bigint, mean double, m2 double")
+    one = Window.partitionBy("i")  # a row per task
+    # From the least mean on, so that equal means give exactly that mean.
+    least = F.min("mean").over(one)
+    parts = parts.withColumn("_least", least).withColumn("_all", F.col("_least") + F.sum(F.col("n") * (F.col("mean") - F.col("_least"))).over(one) / F.sum("n").over(one))
+    apart = F.col("mean") - F.col("_all")
+    sums = parts.groupBy("i").agg(F.first("_all").alias("mean"), F.sqrt(F.sum(F.col("m2") + F.col("n") * apart * apart) / F.sum("n")).alias("sd"))
+    rows = sums.select("i", "mean", F.when(F.col("sd") > 0, F.col("sd")).otherwise(F.lit(1.0)).alias("sd")).collect()  # one row per column
+    found = {r["i"]: (r["mean"], r["sd"]) for r in rows}
+    state = [(f"{c}__{name}", found.get(i, (None, 1.0))[k]) for i, c in enumerate(columns) for k, name in enumerate(("mean", "sd"))]
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name, _ in state])
+    return df.sparkSession.createDataFrame([tuple(v for _, v in state)], schema)
 
 
 def apply_standard(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:

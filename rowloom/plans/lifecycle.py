@@ -15,7 +15,7 @@ from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.schema import require_schema
 from rowloom.operators.settled import settled
 from rowloom.operators.steps import VERSION, Step, apply_steps, lowered_title, read_steps, write_steps
-from rowloom.session import durable
+from rowloom.session import durable, small_methods
 from rowloom.sources import files, state
 
 
@@ -200,6 +200,14 @@ def run(
     A share of ``holdout`` of each class is set apart before anything is fitted; it has no part in encoders, pairs, models,
     weights or the choice, only in ``holdout_acc``. ``balance`` raises all classes to the largest inside each fold's training part.
     """
+    with small_methods(train.sparkSession):
+        return _run(train, test, roles, fits, output, folds, bar, meta, seed, run_id, holdout, balance)
+
+
+def _run(
+    train: DataFrame, test: DataFrame, roles: Roles, fits: dict[str, models.Fit], output: str,
+    folds: int, bar: float, meta: models.Fit | None, seed: int, run_id: str, holdout: float, balance: bool,
+) -> Run:
     spark, key = train.sparkSession, roles.key
     require_schema(train, [*roles.required, roles.target], "train")
     require_schema(test, roles.required, "test")

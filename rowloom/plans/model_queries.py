@@ -14,7 +14,7 @@ from rowloom.operators.profile import block_corr_with_target
 from rowloom.plans import fixtures as fx
 from rowloom.plans import lifecycle
 from rowloom.plans.registry import query, rnd, rounded
-from rowloom.session import durable, shared_path
+from rowloom.session import durable, shared_path, small_methods
 from rowloom.sources.files import read_csv, table, write_parquet
 
 K = 3
@@ -587,8 +587,9 @@ def stored_run(spark: SparkSession, sf: str) -> DataFrame:
     file = write_parquet(raw[1].drop("kind"), shared_path(spark, "new-file"))
     done = lifecycle.run(raw[0], raw[0].drop("kind"), roles, tree, shared_path(spark, "run"), folds=2)
     fresh = spark.newSession()
-    labels = lifecycle.StoredRun.read(fresh, done.stored).score(fresh.read.parquet(file))
-    path = write_parquet(labels, shared_path(spark, "labels"))
+    with small_methods(fresh):
+        labels = lifecycle.StoredRun.read(fresh, done.stored).score(fresh.read.parquet(file))
+        path = write_parquet(labels, shared_path(spark, "labels"))
     return spark.read.parquet(path).select("o_orderkey", "kind")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,18 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """While it is open, stages over very many columns are generated as small methods: the JVM only interprets methods beyond 8,000 bytes."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)

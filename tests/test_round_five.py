@@ -33,3 +33,57 @@ def test_a_task_holds_a_bounded_part_of_a_slice(spark, monkeypatch):
     assert held_at_once.value == 0
     assert [(g["model"], g["class"], g["no"], g["low"], g["high"]) for g in got] == [(w["model"], w["class"], w["no"], w["low"], w["high"]) for w in whole]
     assert np.allclose([g["fitted"] for g in got], [w["fitted"] for w in whole])
+
+
+def test_ends_and_quantiles_of_odd_numbers(spark):
+    """Counted in batches: gaps, infinities, whole numbers beyond doubles, decimals, columns of one value."""
+    import math
+    from decimal import Decimal
+
+    from rowloom.operators.quantiles import exact_quantiles
+
+    big = 2**62
+    rows = [(None if i % 7 == 0 else float(i), -big + i if i % 2 else big - i, Decimal(i), 1.5, float("inf") if i % 3 == 0 else -float(i), None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, b long, c decimal(20, 2), d double, e double, f float").repartition(5)
+    for limit in (10, 1_000_000):
+        got = exact_quantiles(df, list("abcdef"), 0.5, one_task_rows=limit)
+        a = sorted(r[0] for r in rows if r[0] is not None)
+        e = sorted(r[4] for r in rows)
+        assert got["a"] == a[(len(a) - 1) // 2] or math.isclose(got["a"], (a[len(a) // 2 - 1] + a[len(a) // 2]) / 2)
+        b = sorted(r[1] for r in rows)
+        assert math.isclose(got["b"], (float(b[499]) + float(b[500])) / 2, rel_tol=1e-12, abs_tol=1e4)
+        assert got["c"] == 499.5 and got["d"] == 1.5 and got["f"] is None
+        assert got["e"] == (e[499] + e[500]) / 2
+
+
+def test_cells_make_no_row_per_column(spark):
+    """A pass over many columns sends rows of cells, never a row for each value of each column."""
+    from rowloom.operators import quantiles
+
+    df = spark.range(0, 2000, 1, 2).selectExpr(*[f"cast(id as double) * {i + 1} as c{i}" for i in range(40)])
+    plan = df.mapInArrow(quantiles._cell_counts([(i, 0.0, 1999.0 * (i + 1)) for i in range(40)], 32), "j int, cell int, n bigint, low_whole bigint, high_whole bigint, low_real double, high_real double")
+    assert "Generate" not in plan._jdf.queryExecution().toString()
+    assert plan.count() <= 2 * 40 * 32
+
+
+def test_standard_state_of_constant_empty_and_far_columns(spark):
+    from rowloom.operators.scale import fit_standard
+
+    rows = [(0.1, None, 1e9 + i % 2, i, None if i % 3 else float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int, e double").repartition(7)
+    got = fit_standard(df, list("abcde")).first().asDict()
+    assert got["a__mean"] == 0.1 and got["a__sd"] == 1.0
+    assert got["b__mean"] is None and got["b__sd"] == 1.0
+    assert got["c__mean"] == 1e9 + 0.5 and abs(got["c__sd"] - 0.5) < 1e-9
+    for c, x in (("d", np.arange(3000.0)), ("e", np.arange(0, 3000.0, 3))):
+        assert np.isclose(got[f"{c}__mean"], x.mean(), rtol=1e-12) and np.isclose(got[f"{c}__sd"], x.std(), rtol=1e-12)
+
+
+def test_small_methods_are_asked_for_and_given_back(spark):
+    from rowloom.session import small_methods
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    with small_methods(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name, None) == before

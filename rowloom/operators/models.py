@@ -47,6 +47,18 @@ def normalised(parts: Column, k: int) -> Column:
     return bound(parts, scaled)
 
 
+def with_shares(df: DataFrame, parts: Column, k: int) -> DataFrame:
+    """``df`` with ``probs``, the parts as ``normalised`` scales them.
+
+    Parts and their sum are columns on the way, each computed once, and no part of it is a lambda, which Spark interprets.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    whole = df.select(*kept, parts.alias("_parts"))
+    whole = whole.select(*kept, "_parts", sum((F.get("_parts", F.lit(c)) for c in range(k)), F.lit(0.0)).alias("_total"))
+    shares = [F.when(F.col("_total") > 0, F.get("_parts", F.lit(c)) / F.col("_total")).otherwise(F.lit(1.0 / k)) for c in range(k)]
+    return whole.select(*kept, F.array(*shares).alias("probs"))
+
+
 @dataclass
 class Fitted:
     """A fitted classifier: how to score a table, and per-feature importances when it has them.
@@ -102,7 +114,7 @@ def _one_class_each(positive: Callable[[], Column]):
                 columns = scored.columns
                 scored = model.transform(scored).select(*columns, positive().alias(f"_p{c}"))
             each = F.array(*[F.col(f"_p{c}") for c in range(k)])
-            return scored.select(*table.columns, normalised(each, k).alias("probs"))
+            return with_shares(scored, each, k).select(*table.columns, "probs")
 
         return add
 
@@ -124,7 +136,7 @@ def _by_stages(parts: list, weights: list[float], k: int):
             for i, alpha in enumerate(weights):
                 vote = vote + F.when(F.col(f"_s{i}") == c, alpha).otherwise(-alpha / max(k - 1, 1))
             votes.append(F.exp(vote / F.lit(total * max(k - 1, 1))) if parts else F.lit(0.0))
-        return scored.select(*table.columns, normalised(F.array(*votes), k).alias("probs"))
+        return with_shares(scored, F.array(*votes), k).select(*table.columns, "probs")
 
     return add
 

@@ -55,18 +55,19 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and deviation of the accuracy lost when one feature is shuffled.
 
-    A shuffle pairs each row with another one by joining two hash orders on their ranks. The pair
-    serves every feature of a repeat, and all shuffled copies are scored in one pass.
+    A shuffle pairs each row with another one by joining two hash orders on their ranks. All shuffles
+    of a row stand beside each other, so each order is placed once, and a shuffled copy carries one
+    foreign value. All copies are scored in one pass.
     """
     base = df.select(key, "y", vector_to_array("features").alias("x")).persist()
-    own = hash_rank(base, [], hash_hex(seed, key), key, "place").persist()
-    copies = None
+    rows = hash_rank(base, [], hash_hex(seed, key), key, "place").select("place", "y", "x")
     for r in range(repeats):
         other = hash_rank(base.select(key, "x"), [], hash_hex(f"{seed}/{r}", key), key, "place")
-        pair = own.join(other.select("place", F.col("x").alias("z")), "place")
-        part = pair.select("y", "x", "z", F.lit(r).alias("repeat"), F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("slot"))
-        copies = part if copies is None else copies.unionByName(part)
-    mixed = F.transform("x", lambda v, i: F.when(i == F.col("slot"), F.get(F.col("z"), i)).otherwise(v))
+        rows = rows.join(other.select("place", F.col("x").alias(f"z{r}")), "place")
+    drawn = rows.select("y", "x", F.array(*[F.col(f"z{r}") for r in range(repeats)]).alias("z"), F.explode(F.sequence(F.lit(0), F.lit(repeats * len(names) - 1))).alias("copy"))
+    slot, repeat = (F.col("copy") % len(names)).cast("int"), F.floor(F.col("copy") / len(names)).cast("int")
+    copies = drawn.select("y", "x", slot.alias("slot"), repeat.alias("repeat"), F.get(F.get("z", repeat), slot).alias("other"))
+    mixed = F.transform("x", lambda v, i: F.when(i == F.col("slot"), F.col("other")).otherwise(v))
     shuffled = copies.select("y", "repeat", "slot", array_to_vector(mixed).alias("features"))
     hit = (F.col("prediction") == F.col("y")).cast("double")
     baseline = fitted.score(base.select("y", array_to_vector("x").alias("features"))).agg(F.avg(hit)).first()[0]

@@ -321,9 +321,10 @@ RULE_FEATURES = ("o_totalprice / 500000", "o_custkey % 100 / 100e0", "month(o_or
 
 def _rule_model() -> models.Fitted:
     def add(df: DataFrame) -> DataFrame:
-        x = vector_to_array("features")
-        logits = [sum((F.get(x, F.lit(i)) * w for i, w in enumerate(ws)), F.lit(0.0)) for ws in RULE.values()]
-        return df.withColumn("probs", models.normalised(F.array(*[F.exp(z) for z in logits]), K))
+        # A column of its own, or the vector is unpacked again for each of the nine products.
+        own = df.withColumn("_x", vector_to_array("features"))
+        logits = [sum((F.get("_x", F.lit(i)) * w for i, w in enumerate(ws)), F.lit(0.0)) for ws in RULE.values()]
+        return models.with_shares(own, F.array(*[F.exp(z) for z in logits]), K).drop("_x")
 
     return models.Fitted(K, add)
 

@@ -139,3 +139,16 @@ def test_shares_are_the_same_without_lambdas(spark):
     assert str(sorted(got.collect(), key=lambda r: r["id"])) == str(sorted(want.collect(), key=lambda r: r["id"]))
     plan = models.with_shares(df, F.col("x"), 3)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_packed_vectors_are_single_only_where_that_is_exact():
+    from rowloom.operators.neighbours import _matrix, _raw
+
+    r = np.random.default_rng(4)
+    for m, size in (
+        (r.random((5, 3)).astype(np.float32).astype(np.float64), 4), (r.random((5, 3)), 8), (np.array([[1.0, np.nan]]), 8), (np.array([[1e300, -0.0]]), 8),
+        (np.array([[np.inf, -0.0]]), 4),
+    ):
+        raw = _raw(m)
+        assert len(raw) == size * m.size
+        assert _matrix(raw, *m.shape).tobytes() == m.tobytes()

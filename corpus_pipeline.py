@@ -35,10 +35,11 @@ def unlike_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents hold; all documents stay."""
-    cut = suffix_dedup.remove_repeats(docs, extra=docs.columns)
     text = suffix_dedup.as_valid_text(F.col("kept"))
     new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return cut.select(*[new.get(c, F.col(f"extra_{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    rest = [c for c in docs.columns if c not in new]
+    cut = suffix_dedup.remove_repeats(docs, extra=rest)
+    return cut.select(*[(new[c] if c in new else F.col(f"extra_{rest.index(c)}")).alias(c) for c in docs.columns])
 
 
 def redacted_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

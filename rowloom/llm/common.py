@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from rowloom.session import durable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_BYTES = 2 << 20
+LEAST_PARTS, PART_ROWS = 8, 20_000
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x2545F4914F6CDD1D
 _MASK = (1 << 64) - 1
@@ -46,6 +48,42 @@ def worker_store() -> dict:
     return module.__dict__.setdefault("store", {})
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, and what it keeps counts for its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library, which holds what numpy frees
+    if trim is not None:
+        trim(0)
+
+
+def freeing(task: Callable) -> Callable:
+    """``task`` over Arrow batches, which gives back what it freed when they are done."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
+def freeing_group(task: Callable) -> Callable:
+    """``task`` over an Arrow group, its key and group, or its key and two groups, which gives back what it freed after each."""
+    def done(*given: object) -> pa.Table:
+        out = task(*given)
+        give_back()
+        return out
+
+    def alone(rows: pa.Table) -> pa.Table:
+        return done(rows)
+
+    def keyed(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        return done(key, rows)
+
+    def paired(key: tuple[pa.Scalar, ...], rows: pa.Table, others: pa.Table) -> pa.Table:
+        return done(key, rows, others)
+
+    return {1: alone, 2: keyed, 3: paired}[task.__code__.co_argcount]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit values."""
     x = x ^ (x >> np.uint64(31))
@@ -209,18 +247,25 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, size: int = 5) -> tuple[np.
     return mix(total), out_starts
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def in_parts(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of about ``rows`` small rows in no more partitions than these fill, for a checkpoint: each partition is a file, and on
+    a local file system each file starts processes beside its executor."""
+    return df.coalesce(max(LEAST_PARTS, -(-rows // PART_ROWS)))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, nodes: int | None = None) -> DataFrame:
     """Connected components of links between long ids: one row (node, component) with the least id as component.
 
     Rounds of large-star and small-star, each a grouped job over the links; a node with very many links is only
     an aggregate's key. Every round is written to the shared folder, so that a lost executor costs one round at most.
+    ``nodes``, if known, is about how many different ids there are.
     """
     def both(df: DataFrame) -> DataFrame:
         return df.select(F.col("u"), F.col("v")).unionByName(df.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
-    links = durable(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    )
+    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    links = durable(links if nodes is None else in_parts(links, nodes))
+    rows = links.count()
     for _ in range(most_rounds):
         # large star: neighbours above a node go to the least of its neighbourhood
         near = both(links)
@@ -229,7 +274,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         # small star: neighbours below a node, and itself, go to the least of them
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(floor, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(floor.select("u", F.col("m").alias("v")))
-        after = durable(small.where("u <> v").distinct())
+        after = durable(in_parts(small.where("u <> v").distinct(), rows))
         # done when each node has one link and no root has any: the links are stars
         roots = after.select(F.col("v").alias("u")).distinct()
         loose = after.groupBy("u").count().where("count > 1").select("u").unionByName(after.join(roots, "u", "left_semi").select("u")).limit(1)

@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import components, mix, quoted, row_chunks, shingles, text_bytes, words
+from rowloom.llm.common import components, freeing, freeing_group, in_parts, mix, quoted, row_chunks, shingles, text_bytes, words
 from rowloom.session import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -185,24 +185,27 @@ def similar_documents(
     rows = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
     rows = rows.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = durable(rows.mapInArrow(
-        _signatures(shingle_words, trees, levels), "id bigint, mark bigint, high bigint, low bigint, n bigint, prefixes array<bigint>"
+        freeing(_signatures(shingle_words, trees, levels)), "id bigint, mark bigint, high bigint, low bigint, n bigint, prefixes array<bigint>"
     ))
     # A class is known by its least row: the least id, or a null one, and the mark of that row's text.
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
-    classes = durable(
+    n_rows = signed.count()
+    classes = durable(in_parts(
         signed.groupBy("high", "low").agg(
             least.alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.any_value("prefixes").alias("prefixes"),
-        ).select("high", "low", F.col("least.id").alias("rep"), F.col("least.mark").alias("rep_mark"), "copies", "n", "prefixes")
-    )
+        ).select("high", "low", F.col("least.id").alias("rep"), F.col("least.mark").alias("rep_mark"), "copies", "n", "prefixes"),
+        n_rows,
+    ))
     nodes = classes.select("low", F.posexplode("prefixes").alias("tree", "prefix"))
     heads = nodes.groupBy("tree", "prefix").agg(F.min("low").alias("head"), F.max("low").alias("other")).where("head <> other")
     tied = nodes.join(heads, ["tree", "prefix"]).where("low <> head").select("low", "head").distinct()
-    groups = components(tied, "low", "head").select(F.col("node").alias("low"), F.col("component").alias("candidates"))
+    groups = components(tied, "low", "head", nodes=n_rows).select(F.col("node").alias("low"), F.col("component").alias("candidates"))
     members = classes.drop("prefixes").join(groups, "low")
     extent = members.groupBy("candidates").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("members"))
     blocks = F.greatest(F.ceil(F.col("weight") / BLOCK_SHINGLES), F.ceil(F.col("members") / BLOCK_CLASSES)).cast("int")
     extent = extent.select("candidates", blocks.alias("blocks"))
-    members = durable(members.join(extent, "candidates").withColumn("block", F.pmod(F.xxhash64("low"), F.col("blocks")).cast("int")))
+    members = members.join(extent, "candidates").withColumn("block", F.pmod(F.xxhash64("low"), F.col("blocks")).cast("int"))
+    members = durable(in_parts(members, n_rows))
     total = int(members.agg(F.sum("n")).first()[0] or 0)
     bins = max(1, total // (2 * BLOCK_SHINGLES))
     # Small groups share a task by hash; a large one takes part in a task for each pair of its blocks.
@@ -218,11 +221,11 @@ def similar_documents(
     )
     checked = durable(
         dealt.groupBy("task", "large", "bi", "bj").applyInArrow(
-            _verify(shingle_words, threshold), "a bigint, b bigint, texts bigint, docs bigint"
+            freeing_group(_verify(shingle_words, threshold)), "a bigint, b bigint, texts bigint, docs bigint"
         )
     )
     links = checked.groupBy(F.col("a").alias("low")).agg(F.sum("docs").alias("docs"))
-    joined = components(checked.select("a", "b"))
+    joined = components(checked.select("a", "b"), nodes=n_rows)
     named = classes.select("low", "high", "rep", "copies").join(joined.withColumnRenamed("node", "low"), "low", "left")
     least = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
     known = (

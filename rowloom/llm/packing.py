@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.bpe_parts import part_table
-from rowloom.llm.common import quoted
+from rowloom.llm.common import freeing, quoted
 from rowloom.session import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -218,7 +218,7 @@ def token_pieces(
 
     rows = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
     schema = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else "")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freeing(run), schema)
 
 
 def pack_documents(

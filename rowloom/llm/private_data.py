@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import quoted
+from rowloom.llm.common import freeing, quoted
 from rowloom.llm.suffix_dedup import pack, unpack
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -454,5 +454,5 @@ def redact(docs: DataFrame, model: PrivateModel, text_col: str = "text", spans_c
 
     rows = docs.select(*[(quoted(c).cast("string") if c == text_col else quoted(c)).alias(n) for c, n in zip(kept, plain)])
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    done = rows.mapInArrow(run, f"{fields}, spans array<struct<kind:string,begin:bigint,end:bigint>>")
+    done = rows.mapInArrow(freeing(run), f"{fields}, spans array<struct<kind:string,begin:bigint,end:bigint>>")
     return done.select(*[F.col(n).alias(c) for c, n in zip(kept, plain)], F.col("spans").alias(spans_col))

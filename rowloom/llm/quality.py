@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import quoted, row_chunks, runs, text_bytes, words
+from rowloom.llm.common import freeing, give_back, quoted, row_chunks, runs, text_bytes, words
 from rowloom.llm.suffix_dedup import pack, unpack
 from rowloom.session import durable
 
@@ -89,7 +89,11 @@ def metadata_features(lang: list, source: list, n_chars: list) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3, steps: int = 400) -> np.ndarray:
     """Coefficients and, last, the constant of a logistic function, by accelerated gradient descent."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(np.float64)
+    return _fit_with_constant(np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(np.float64, copy=False), y, weight, l2, steps)
+
+
+def _fit_with_constant(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3, steps: int = 400) -> np.ndarray:
+    """``fit_logistic`` of a matrix whose last column is one, which is read where it stands."""
     weight = weight / weight.sum()
     penalty = np.full(x.shape[1], l2)
     penalty[-1] = 0.0
@@ -115,15 +119,20 @@ class ContentView:
     scale: np.ndarray = field(default_factory=lambda: np.ones(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def matrix(self, dense: np.ndarray, slots: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def matrix(self, dense: np.ndarray, slots: np.ndarray, at: np.ndarray, constant: bool = False) -> np.ndarray:
+        """Scaled dense features, their squares and the words kept; with ``constant``, a last column of ones."""
         z = ((dense - self.mean) / self.scale).clip(-8, 8)
         place = np.searchsorted(self.slots, slots)
         place_safe = np.minimum(place, max(0, len(self.slots) - 1))
         hit = self.slots[place_safe] == slots if len(self.slots) else np.zeros(len(slots), bool)
-        x = np.zeros((len(dense), len(self.slots)))
+        n = z.shape[1]
+        x = np.zeros((len(dense), 2 * n + len(self.slots) + constant))
+        x[:, :n], x[:, n:2 * n] = z, z * z / 4
         doc = np.repeat(np.arange(len(dense)), np.diff(at))
-        x[doc[hit], place[hit]] = 1.0
-        return np.concatenate([z, z * z / 4, x], axis=1)
+        x[doc[hit], 2 * n + place[hit]] = 1.0
+        if constant:
+            x[:, -1] = 1.0
+        return x
 
     def margin(self, dense: np.ndarray, slots: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self.matrix(dense, slots, at) @ self.weights[:-1] + self.weights[-1]
@@ -141,7 +150,7 @@ class ContentView:
         good = np.flatnonzero((z >= 4.5) & (every >= 3))
         good = np.sort(good[np.argsort(-z[good], kind="stable")][:MOST_WORDS])
         view = cls(good, dense.mean(axis=0), np.maximum(dense.std(axis=0), 1e-6))
-        view.weights = fit_logistic(view.matrix(dense, slots, at), y, weight)
+        view.weights = _fit_with_constant(view.matrix(dense, slots, at, constant=True), y, weight)
         return view
 
 
@@ -160,8 +169,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _meta_matrix(slots: np.ndarray) -> np.ndarray:
-    x = np.zeros((len(slots), META_SLOTS))
+    """The slots of each row as ones, and a last column of ones."""
+    x = np.zeros((len(slots), META_SLOTS + 1))
     x[np.arange(len(slots))[:, None], slots] = 1.0
+    x[:, -1] = 1.0
     return x
 
 
@@ -175,12 +186,15 @@ def _margins(model: CoTrained, body: np.ndarray, starts: np.ndarray, meta: np.nd
 def _collected(rows: pa.Table) -> tuple:
     """Features of a bounded table of documents, in an order that no shuffle changes."""
     order = np.lexsort((rows.column("id").fill_null(-1).to_numpy(), rows.column("h").to_numpy()))
-    rows = rows.take(pa.array(order))
-    body, starts = text_bytes(rows.column("text"))
-    parts = [content_features(body[starts[a]:starts[b]], starts[a:b + 1] - starts[a]) for a, b in row_chunks(starts)]
-    dense = np.concatenate([p[0] for p in parts])
-    slots = np.concatenate([p[1] for p in parts])
+    # Texts are read where they stand; only their features are put in order.
+    parts = []
+    for chunk in rows.column("text").chunks:
+        body, starts = text_bytes(chunk)
+        parts += [content_features(body[starts[a]:starts[b]], starts[a:b + 1] - starts[a]) for a, b in row_chunks(starts)]
+    dense = np.concatenate([p[0] for p in parts])[order]
     at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[2]) for p in parts]))])
+    slots, at = _take(np.concatenate([p[1] for p in parts]), at, order)
+    rows = rows.drop_columns(["text"]).take(pa.array(order))
     meta = metadata_features(*(rows.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
     y = rows.column("y").to_numpy().astype(np.float64)
     return dense, slots, at, meta, y, rows.column("held").to_numpy(), rows.column("origin").to_numpy()
@@ -223,7 +237,7 @@ def _fit_task(right: float, pseudo_weight: float):
         for_content = np.flatnonzero(train | (origin == 1))
         view = ContentView.fit(dense[for_content], *_take(slots, at, for_content), y[for_content], balanced(for_content))
         for_meta = np.flatnonzero(train | (origin == 2))
-        metadata = fit_logistic(_meta_matrix(meta[for_meta]), y[for_meta], balanced(for_meta), l2=1e-2)
+        metadata = _fit_with_constant(_meta_matrix(meta[for_meta]), y[for_meta], balanced(for_meta), l2=1e-2)
         test = np.flatnonzero(given & held)
         c = view.margin(dense[test], *_take(slots, at, test))
         m = metadata[meta[test]].sum(axis=1) + metadata[-1]
@@ -234,6 +248,8 @@ def _fit_task(right: float, pseudo_weight: float):
         joint = fit_logistic(both, y[test], one, l2=1e-3)
         sure = np.array([*_sure(c, y[test], right), *_sure(m, y[test], right)])
         blob = pack(view.slots, view.mean, view.scale, view.weights, metadata, np.concatenate([scale_c, scale_m, joint]), sure)
+        del dense, slots, at, meta, y, held, origin
+        give_back()
         return pa.table([pa.array([blob], pa.binary())], names=["model"])
 
     return run
@@ -303,7 +319,7 @@ def fit_cotraining(
                     [picked.column(0), pa.array(y[which], pa.int32()), pa.array(origin[which], pa.int32())], ["id", "y", "origin"]
                 )
 
-        judged = rows.where("id is not null").mapInArrow(judge, "id bigint, y int, origin int")
+        judged = rows.where("id is not null").mapInArrow(freeing(judge), "id bigint, y int, origin int")
         told = judged.join(good.select("id"), "id", "left_anti").withColumn("h", key)
         # As many of each class and origin, by hash.
         chosen = None
@@ -329,6 +345,10 @@ def score_documents(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", t
     names = [f"extra_{i}" for i in range(len(extra or []))]
     rows = docs.select(*_read(docs, id_col, text_col), *[quoted(c).alias(n) for c, n in zip(extra or [], names)])
     passed = [f for f in rows.schema.fields if f.name in names]
+    # The text goes to the tasks once, even if it is passed on.
+    again = [n for c, n in zip(extra or [], names) if c == text_col and rows.schema[n].dataType == rows.schema["text"].dataType]
+    rows = rows.drop(*again)
+    place = {n: rows.columns.index("text" if n in again else n) for n in names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, c_, d, j1, j2, j0 = model.calibration
@@ -343,8 +363,8 @@ def score_documents(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", t
             else:
                 scores = [np.ones(batch.num_rows)] * 3
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, scores), *batch.columns[5:]], ["id", "content_score", "metadata_score", "score", *names]
+                [batch.column(0), *map(pa.array, scores), *(batch.column(place[n]) for n in names)], ["id", "content_score", "metadata_score", "score", *names]
             )
 
     schema = "id bigint, content_score double, metadata_score double, score double" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in passed)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freeing(run), schema)

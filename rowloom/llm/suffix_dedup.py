@@ -34,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import mix, quoted, row_chunks, span_hashes, text_bytes
+from rowloom.llm.common import freeing_group, mix, quoted, row_chunks, span_hashes, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -592,15 +592,15 @@ def remove_repeats(
     splitters = _sample_splitters(rows, total, blocks, min_bytes, sample_bytes)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
-    hashes = by_block.applyInArrow(_send_hashes(min_bytes, blocks), "bucket int, block int, blob binary")
+    hashes = by_block.applyInArrow(freeing_group(_send_hashes(min_bytes, blocks)), "bucket int, block int, blob binary")
     twice = hashes.groupBy("bucket").applyInArrow(_repeated(hot), "block int, bucket int, blob binary")
     suffixes = by_block.cogroup(twice.groupBy("block")).applyInArrow(
-        _send_suffixes(min_bytes, blocks, splitters), "bucket int, block int, blob binary"
+        freeing_group(_send_suffixes(min_bytes, blocks, splitters)), "bucket int, block int, blob binary"
     )
-    answers = suffixes.groupBy("bucket").applyInArrow(_compare(min_bytes, blocks), "block int, bucket int, blob binary")
+    answers = suffixes.groupBy("bucket").applyInArrow(freeing_group(_compare(min_bytes, blocks)), "block int, bucket int, blob binary")
     fields = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _cut(min_bytes, list(passed)),
+        freeing_group(_cut(min_bytes, list(passed))),
         "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<bigint>, kept binary" + fields,
     )
 

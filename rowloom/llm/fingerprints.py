@@ -117,12 +117,13 @@ def _near_by_table(prints: DataFrame, radius: int) -> DataFrame:
     rows = cut.select("high", "low", F.explode(tables).alias("t")).select("high", "low", "t.*")
     sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / BUCKET_PRINTS).cast("long")
-    dealt = rows.join(sizes, bucket).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("high", "low"), F.col("parts")))
+    # Rows made by an explode are sized as if it made none, and would be broadcast: both sides stay where they are.
+    dealt = rows.join(sizes.hint("merge"), bucket).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("high", "low"), F.col("parts")))
     held = durable(dealt.groupBy(*bucket, "parts", "part").agg(F.collect_list(F.struct("high", "low")).alias("held")))
     small = held.where("parts = 1").select("i", "j", F.col("held").alias("asked"), "held")
     large = held.where("parts > 1")
     asked = large.select(*bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("held").alias("asked"))
-    met = small.unionByName(asked.join(large, [*bucket, "part"]).select("i", "j", "asked", "held"))
+    met = small.unionByName(asked.join(large.hint("merge"), [*bucket, "part"]).select("i", "j", "asked", "held"))
 
     def distance(x: Column, y: Column) -> Column:
         return F.bit_count(x["high"].bitwiseXOR(y["high"])) + F.bit_count(x["low"].bitwiseXOR(y["low"]))

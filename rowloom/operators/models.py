@@ -33,6 +33,10 @@ from rowloom.functions.blocks import bound
 from rowloom.session import durable
 
 
+# Numbers that a task of a short pass reads, 32 MB of them.
+PASS_VALUES = 1 << 22
+
+
 def argmax(probs: Column) -> Column:
     """Class of the largest probability, the first one on ties."""
     return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
@@ -212,15 +216,18 @@ def mlp(iterations=60, seed=42) -> Fit:
     return fit
 
 
-def _one_vs_rest(make, kind: str) -> Fit:
-    """k binary models on one persisted table."""
+def _one_vs_rest(make, kind: str, task_values: int | None = None) -> Fit:
+    """k binary models on one persisted table, whose partitions are put together until a task reads ``task_values`` numbers, if told."""
 
     def fit(df: DataFrame, k: int) -> Fitted:
         kept = df.persist()
         n = kept.count()
+        read = kept
+        if task_values and n:
+            read = kept.coalesce(-(-n * len(kept.select("features").first()[0]) // task_values))
 
         def one(c: int):
-            target = kept.withColumn("_is", (F.col("y") == c).cast("double"))
+            target = read.withColumn("_is", (F.col("y") == c).cast("double"))
             return _clear(_weighted(make(n), kept).setLabelCol("_is").fit(target))
 
         models = side_by_side([lambda c=c: one(c) for c in range(k)])
@@ -246,12 +253,15 @@ def gradient_boosting(rounds=10, depth=3, step=0.1, seed=42, subsample=1.0, min_
 
 
 def linear_svc(c=1.0, iterations=50) -> Fit:
-    """Linear margins, one class against the rest; ``c`` is the inverse strength of the penalty on the whole loss."""
+    """Linear margins, one class against the rest; ``c`` is the inverse strength of the penalty on the whole loss.
+
+    A line search of a loss with kinks takes many short passes, and each costs as much as it has tasks.
+    """
 
     def make(n: int):
         return LinearSVC(regParam=1.0 / (c * max(n, 1)), maxIter=iterations, standardization=False)
 
-    return _one_vs_rest(make, "class_margins")
+    return _one_vs_rest(make, "class_margins", PASS_VALUES)
 
 
 def adaboost(rounds=8, depth=2, seed=42, cut_every=4, rate=1.0) -> Fit:

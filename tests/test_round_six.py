@@ -1,8 +1,9 @@
 """Short passes in few tasks, curves and hash buckets in bounded memory, and what a run leaves on disk."""
 
+import numpy as np
 from pyspark.ml.linalg import Vectors
 
-from rowloom.operators import models
+from rowloom.operators import models, neighbours
 
 
 def test_passes_of_margins_have_as_many_tasks_as_their_numbers_need(spark, monkeypatch):
@@ -24,3 +25,41 @@ def test_passes_of_margins_have_as_many_tasks_as_their_numbers_need(spark, monke
         got[values] = [tuple(r) for r in scored.groupBy("y", "prediction").count().orderBy("y", "prediction").collect()]
     assert [n for n, _ in asked] == [1, 1, 6, 6, 40, 40] and {n for _, n in asked} == {600}
     assert got[1] == got[200] == got[1 << 22]
+
+
+def test_hash_buckets_are_compared_part_by_part(spark, monkeypatch):
+    """Rows of a bucket beyond the first ones are ruled out by a bound; the nearest are those of a plain ranking."""
+    r = np.random.default_rng(4)
+    d = np.vstack([r.standard_normal((700, 6)), np.zeros((40, 6)), r.standard_normal((60, 6)) * 1e3])
+    q, q_id, d_id = np.vstack([d[::9], r.standard_normal((5, 6))]), np.arange(94) * 9, np.arange(800)
+    monkeypatch.setattr(neighbours, "FIRST_ROWS", 16)
+    compared, exact = [], neighbours._pairwise
+    monkeypatch.setattr(neighbours, "_pairwise", lambda a, b, m: compared.append(len(a)) or exact(a, b, m))
+    for rows in (1 << 20, 64):
+        monkeypatch.setattr(neighbours, "BLOCK_ROWS", rows)
+        for metric in ("euclidean", "manhattan", "chebyshev", "minkowski3"):
+            for k in (1, 5):
+                got = neighbours._nearest_by_parts(q, q_id, d, d_id, k, metric)
+                far = np.stack([exact(np.repeat(x[None], len(d), 0), d, metric) for x in q])
+                for i in range(len(q)):
+                    own = [j for j in np.lexsort((d_id, far[i])) if d_id[j] != q_id[i]][:k]
+                    assert got[1][got[0] == i].tolist() == own and got[2][got[0] == i].tolist() == far[i][own].tolist()
+    short = neighbours._nearest_by_parts(q[:3], q_id[:3], d[:3], d_id[:3], 5, "euclidean")
+    assert np.bincount(short[0]).tolist() == [2, 3, 3]
+    assert neighbours._nearest_by_parts(q[:0], q_id[:0], d, d_id, 5, "euclidean")[0].tolist() == []
+
+
+def test_hashed_rows_travel_packed_and_are_not_broadcast(spark):
+    r = np.random.default_rng(5)
+    single = r.standard_normal((300, 8)).astype(np.float32).astype(float)
+    rows = [(i, i % 3, (v if i % 2 else v + 1e-12).tolist()) for i, v in enumerate(single)]
+    df = spark.createDataFrame(rows, "id long, label int, vec array<double>")
+    asks = df.where("id < 100")
+    for queries, data in ((df, df), (asks, df)):
+        near = neighbours.knn_by_hashing(queries, data, 4, tables=12, bits=2, block_rows=32)
+        got = {(g["id"], g["rank"]): (g["neighbour"], g["distance"]) for g in near.collect()}
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroups" in plan and "BuildLeft" not in plan  # only the counts of the buckets are sent
+        want = neighbours.knn_join(queries, data, 4).collect()
+        hit = sum(got.get((w["id"], w["rank"])) == (w["neighbour"], w["distance"]) for w in want)
+        assert hit > 0.9 * len(want) and len(got) == len(want)

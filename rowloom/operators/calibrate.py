@@ -36,11 +36,11 @@ def _pooled(held: DataFrame) -> DataFrame:
 
 
 def _renormalise(df: DataFrame, key: str, k: int) -> DataFrame:
-    rows = df.groupBy(key, "model").agg(F.array_sort(F.collect_list(F.struct("class", "p"))).alias("cells"))
-    total = F.aggregate("cells", F.lit(0.0), lambda a, x: a + x["p"])
-    return rows.select(key, "model", total.alias("_t"), F.inline("cells")).select(
-        key, "model", "class", F.when(F.col("_t") > 0, F.col("p") / F.col("_t")).otherwise(1.0 / k).alias("p")
-    )
+    """Shares of one row and model; summed in the order of classes as rows lie beside each other, no list of them is made."""
+    cells = Window.partitionBy(key, "model").orderBy("class", "p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    told = F.count("p").over(cells) == F.count(F.lit(1)).over(cells)
+    summed = df.select(key, "model", "class", "p", F.when(told, F.sum("p").over(cells)).alias("_t"))
+    return summed.select(key, "model", "class", F.when(F.col("_t") > 0, F.col("p") / F.col("_t")).otherwise(1.0 / k).alias("p"))
 
 
 def enough_rows(held: DataFrame, min_rows: int) -> list[str]:

@@ -15,6 +15,10 @@ from rowloom.operators.sizing import ONE_TASK_ROWS
 from rowloom.session import durable
 
 
+# About so many rows are a slice.
+SLICE_ROWS = 500_000
+
+
 def running_totals(
     df: DataFrame,
     group: list[str],
@@ -29,15 +33,17 @@ def running_totals(
     decreases along ``order`` and spreads evenly (a hash prefix); it needs no sampling pass.
     Without it, inputs counted as small use one window and others a range partitioning.
     """
+    rows = 0 if slice_by is not None else df.count()
     if slice_by is not None:
         sliced = df.withColumn("_slice", slice_by)
-    elif df.count() <= one_task_rows:
+    elif rows <= one_task_rows:
         window = Window.partitionBy(*group).orderBy(*order)
         window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
     else:
-        # The slice number depends on sampled bounds, so it is stored before it is read twice.
-        spread = df.repartitionByRange(*[F.col(f"`{g}`") for g in group], *order)
+        # The slice number depends on sampled bounds, so it is stored before it is read twice. More rows are more slices, not longer ones.
+        slices = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SLICE_ROWS))
+        spread = df.repartitionByRange(slices, *[F.col(f"`{g}`") for g in group], *order)
         sliced = durable(spread.withColumn("_slice", F.spark_partition_id()))
 
     sliced = sliced.withColumn("_group", F.struct(F.lit(0), *[F.col(f"`{g}`") for g in group]))

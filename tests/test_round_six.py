@@ -2,8 +2,9 @@
 
 import numpy as np
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from rowloom.operators import models, neighbours
+from rowloom.operators import calibrate, models, neighbours, ranking
 
 
 def test_passes_of_margins_have_as_many_tasks_as_their_numbers_need(spark, monkeypatch):
@@ -63,3 +64,26 @@ def test_hashed_rows_travel_packed_and_are_not_broadcast(spark):
         want = neighbours.knn_join(queries, data, 4).collect()
         hit = sum(got.get((w["id"], w["rank"])) == (w["neighbour"], w["distance"]) for w in want)
         assert hit > 0.9 * len(want) and len(got) == len(want)
+
+
+def test_shares_are_made_without_lists_of_a_row(spark):
+    rows = [(1, "a", 0, 0.2), (1, "a", 1, 0.6), (1, "a", 1, 0.6), (2, "a", 0, None), (2, "a", 1, 0.5), (3, "b", 0, 0.0), (3, "b", 1, 0.0), (None, "b", 0, 0.3), (4, None, 1, 0.1)]
+    done = calibrate._renormalise(spark.createDataFrame(rows, "id long, model string, class int, p double"), "id", 2)
+    got = sorted(((r["id"], r["model"], r["class"], round(r["p"], 12)) for r in done.collect()), key=repr)
+    share = lambda i, m, p: 0.5 if i in (2, 3) else round(p / {1: 1.4, None: 0.3, 4: 0.1}[i], 12)
+    assert got == sorted(((i, m, c, share(i, m, p)) for i, m, c, p in rows), key=repr)
+    assert "ObjectHashAggregate" not in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_more_rows_are_more_slices(spark, monkeypatch):
+    stored, store = [], ranking.durable
+    monkeypatch.setattr(ranking, "durable", lambda df: stored.append(df.rdd.getNumPartitions()) or store(df))
+    monkeypatch.setattr(ranking, "SLICE_ROWS", 50)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        df = spark.range(2000).selectExpr("id", "id % 2 AS g", "id * 7 % 2000 AS at")
+        got = ranking.running_totals(df, ["g"], [df["at"].asc()], {"n": F.lit(1).cast("long")}, one_task_rows=100).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    place = {g: {at: i + 1 for i, at in enumerate(sorted(i * 7 % 2000 for i in range(2000) if i % 2 == g))} for g in (0, 1)}
+    assert stored == [40] and all(r["n"] == place[r["g"]][r["at"]] for r in got)

@@ -116,14 +116,21 @@ def hot_vector(code: Column, size: int, name: str) -> Column:
     text = F.when(code.isNotNull(), F.concat(F.lit('"indices":['), code.cast("string"), F.lit('],"values":[1.0]'))).otherwise('"indices":[],"values":[]')
     whole = F.concat(F.lit('{"v":{"type":0,"size":%d,' % size), text, F.lit("}}"))
     vector = F.from_json(whole, T.StructType([T.StructField("v", VectorUDT())]))["v"]
-    return vector.alias(name, metadata={"ml_attr": {"num_attrs": size}})
+    return vector.alias(name, metadata=_slots(size))
+
+
+def _slots(size: int) -> dict:
+    return {"ml_attr": {"num_attrs": size}}
 
 
 def apply_dictionary(df: DataFrame, codes: DataFrame, size: int, column: str, out: str, missing: str | None = "Unknown") -> DataFrame:
     """Add the sparse vector ``out`` of ``column``; values that the dictionary does not hold set no slot."""
     text = F.col(f"`{column}`").cast("string")
     keyed = df.withColumn("label", text if missing is None else F.coalesce(text, F.lit(missing)))
-    return lookup(keyed, codes, "label").select(*[F.col(f"`{c}`") for c in df.columns], hot_vector(F.col("code"), size, out))
+    # A vector is made for each value, not for each row; only rows whose value is not held need the empty one.
+    hot = lookup(keyed, codes.select("label", hot_vector(F.col("code"), size, "_hot")), "label")
+    vector = F.coalesce("_hot", hot_vector(F.lit(None).cast("int"), size, "_hot"))
+    return hot.select(*[F.col(f"`{c}`") for c in df.columns], vector.alias(out, metadata=_slots(size)))
 
 
 def one_hot_union_dictionary(train: DataFrame, test: DataFrame, column: str) -> tuple[DataFrame, int]:

@@ -319,16 +319,17 @@ def side_by_side(jobs: list[Callable[[], Any]], threads: int = 4) -> list[Any]:
 
 def oof_predict(
     train: DataFrame, fit: Fit, k: int, key: str, name: str, test: DataFrame | None = None, folds: int = 5,
-    resample: Callable[[DataFrame], DataFrame] | None = None,
+    resample: Callable[[DataFrame], DataFrame] | None = None, at_once: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Out-of-fold probabilities of ``train`` (which has ``fold``), and the test mean over the fold models.
 
     ``resample`` changes what each fold's model is fitted on, and nothing that is scored. ``test`` is read once and not shuffled: a row carries the scores of all fold models to their mean.
+    With ``at_once``, ``train`` is a stored table that needs no further copy, and only so many folds are fitted, each with a copy of its own, at a time.
     """
-    kept = train.persist()
+    kept = train if at_once else train.persist()
     models = side_by_side([
         lambda f=f: fit((resample or (lambda t: t))(kept.where(F.col("fold") != f).drop("fold")), k) for f in range(folds)
-    ])
+    ], at_once or 4)
     held = None
     for f, fitted in enumerate(models):
         part = long_probabilities(fitted.score(kept.where(F.col("fold") == f)), key, name, ["y", "fold"])

@@ -15,10 +15,14 @@ from rowloom.operators.preparation import FeaturePreparation
 from rowloom.operators.schema import require_schema
 from rowloom.operators.settled import settled
 from rowloom.operators.steps import VERSION, Step, apply_steps, lowered_title, read_steps, write_steps
-from rowloom.session import durable, small_methods
+from rowloom.session import discard, durable, small_methods, sweep, written
 from rowloom.sources import files, state
 
 
+# A fit keeps a copy of its rows, so few folds are fitted at a time; large tables keep all cores busy with one.
+FOLDS_AT_ONCE = 1
+
+
 @dataclass
 class Roles:
     """Which column plays which part; optional ones may be absent."""
@@ -67,9 +71,14 @@ class Features:
         self.numeric = list(roles.numeric)
         self.flags: list[str] = []
         self.steps: list[Step] = []
+        self.base: DataFrame | None = None
+        self.path = ""
 
     def fit(self, train: DataFrame) -> DataFrame:
-        """Fit every step on train, one after the other, and return train with the new columns."""
+        """Fit every step on train, one after the other, and return train with the new columns.
+
+        They are stored at ``path`` as ``base`` without the pairs, most of all columns, which follow from the others.
+        """
         r, types = self.roles, {f.name: f.dataType.simpleString() for f in train.schema.fields}
         df = self._apply(train, Step("clean", {
             "columns": [*r.required, "y"], "numeric": r.numeric, "boolean": {c: types[c] for c in r.boolean}, "block": r.block,
@@ -95,6 +104,8 @@ class Features:
             fitted = reduce.fit_pca(df, r.block, r.components)
             df = self._apply(df, Step("block", {"block": r.block, "components": r.components}, {"components": fitted}))
             self.numeric += [c for c in df.columns if c not in before]
+        self.base, self.path = written(df, "features")
+        df = self.base
         if r.top_pairs:
             ranked = profile.corr_with_target(df, self.numeric, "y", r.top_pairs)
             strong = [row["column_name"] for row in ranked.collect()]  # at most top_pairs names
@@ -104,7 +115,15 @@ class Features:
         return df
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return apply_steps(df, self.steps)
+        return self.paired(self.transform_base(df))
+
+    def transform_base(self, df: DataFrame) -> DataFrame:
+        """All new columns but the pairs."""
+        return apply_steps(df, [s for s in self.steps if s.kind != "pairs"])
+
+    def paired(self, df: DataFrame) -> DataFrame:
+        """What ``transform_base`` returned, with the pairs."""
+        return apply_steps(df, [s for s in self.steps if s.kind == "pairs"])
 
     def _apply(self, df: DataFrame, step: Step) -> DataFrame:
         self.steps.append(step)
@@ -216,20 +235,25 @@ def _run(
 
     engineered = Features(roles, seed)
     labelled = splits.stratified_split(encode.apply_labels(train, codes, roles.target, "y"), key, "y", holdout, seed)
-    labelled = durable(labelled)
+    labelled, _ = written(labelled, "labelled")
+    sweep(spark)
     apart = labelled.where("split = 'test'").drop("split")
-    # Results that many later passes read are stored; their plans end here.
-    wide = durable(engineered.fit(labelled.where("split = 'train'").drop("split")))
+    # Results that many later passes read are stored, and their plans end here: the columns that vectors and pairs follow from, since
+    # these are several times as large and a pass makes them faster than it would read them.
+    wide = engineered.fit(labelled.where("split = 'train'").drop("split"))
     prepared = FeaturePreparation(engineered.numeric, roles.categorical, [*roles.boolean, *engineered.flags]).fit(wide)
-    folded = splits.stratified_kfold(prepared.assemble(wide).select(key, "y", "features"), key, "y", folds, seed)
-    folded = durable(folded.repartition(key))
+    dealt, _ = written(splits.stratified_kfold(engineered.base, key, "y", folds, seed).repartition(key), "folds")
+    discard(spark, engineered.path)
+    folded = prepared.assemble(engineered.paired(dealt)).select(key, "y", "features", "fold")
+    sweep(spark)
 
     def unseen(df: DataFrame, part: str) -> DataFrame:
         """Rows that nothing was fitted on; their key says which table they are of, as both may hold the same keys."""
         named = F.struct(F.lit(part).alias("part"), F.col(key).alias("id")).alias(key)
-        return prepared.assemble(engineered.transform(df)).select(named, "features")
+        rows, _ = written(engineered.transform_base(df), part)
+        return prepared.assemble(engineered.paired(rows)).select(named, "features")
 
-    asked = durable(unseen(apart, "holdout").unionByName(unseen(test, "test")))
+    asked = unseen(apart, "holdout").unionByName(unseen(test, "test"))
 
     def of(new: DataFrame, part: str) -> DataFrame:
         return new.where(F.col(key)["part"] == part).withColumn(key, F.col(key)["id"])
@@ -238,10 +262,11 @@ def _run(
     even = resample.balanced_training(key, seed=seed) if balance else None
     held, tested = None, None
     for name, fit in fits.items():
-        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds, even)
+        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds, even, at_once=FOLDS_AT_ONCE)
         held = own if held is None else held.unionByName(own)
         tested = new if tested is None else tested.unionByName(new)
-    held, tested = durable(held), durable(tested)
+    held, tested = written(held, "held")[0], written(tested, "tested")[0]
+    sweep(spark)
 
     scores = models.cv_score(models.fold_accuracy(held, key, k)).select("model", F.col("cv_mean").alias("cv_score"))
     # Votes are weighed and models qualify by their CV score alone.
@@ -255,10 +280,12 @@ def _run(
         labels = folded.select(key, "y", "fold")
         voted = [ensemble.soft_vote(t.where(F.col("model").isin(names)), key, weights) for t in (held, tested)]
         results["soft_vote"] = (voted[0].join(labels, key), voted[1])
-        level = durable(splits.stratified_kfold(ensemble.level_one(held, key, names, k, ["y"]), key, "y", folds, seed + 81))
-        new_level = durable(ensemble.level_one(tested, key, names, k))
-        stacked = models.oof_predict(level, meta or models.logistic(), k, key, "stacking", new_level, folds)
-        results["stacking"] = (durable(stacked[0]), stacked[1])
+        level = written(splits.stratified_kfold(ensemble.level_one(held, key, names, k, ["y"]), key, "y", folds, seed + 81), "level")[0]
+        new_level = written(ensemble.level_one(tested, key, names, k), "new-level")[0]
+        sweep(spark)
+        stacked = models.oof_predict(level, meta or models.logistic(), k, key, "stacking", new_level, folds, at_once=FOLDS_AT_ONCE)
+        results["stacking"] = (written(stacked[0], "stacked")[0], stacked[1])
+        sweep(spark)
 
     truth = apart.select(key, "y")
     rows = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -69,3 +70,25 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a compressed table in the shared folder, which ends its lineage, and its path, for ``discard``.
+
+    It is a fraction of a checkpoint's size, but rows are dealt to tasks anew and their order and partitioning are not kept.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``written`` wrote and nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing reads any more: Spark removes them only when the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -1,10 +1,13 @@
 """Short passes in few tasks, curves and hash buckets in bounded memory, and what a run leaves on disk."""
 
+import os
+
 import numpy as np
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from rowloom.operators import calibrate, models, neighbours, ranking
+from rowloom.operators import calibrate, encode, models, neighbours, ranking
+from rowloom.plans import lifecycle
 
 
 def test_passes_of_margins_have_as_many_tasks_as_their_numbers_need(spark, monkeypatch):
@@ -87,3 +90,35 @@ def test_more_rows_are_more_slices(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     place = {g: {at: i + 1 for i, at in enumerate(sorted(i * 7 % 2000 for i in range(2000) if i % 2 == g))} for g in (0, 1)}
     assert stored == [40] and all(r["n"] == place[r["g"]][r["at"]] for r in got)
+
+
+def test_a_run_stores_narrow_columns_and_leaves_few(spark, tmp_path, monkeypatch):
+    rows = [(i, "ABC"[i % 3], float(i % 7), float(i % 5), f"job {i % 4}", "xy"[i % 2]) for i in range(240)]
+    df = spark.createDataFrame(rows, "obs int, kind string, u double, v double, job string, side string")
+    roles = lifecycle.Roles(key="obs", target="kind", numeric=["u", "v"], categorical=["side"], title="job", top_pairs=3)
+    kept, write = [], lifecycle.written
+
+    def noted(rows, label):
+        out = write(rows, label)
+        kept.append((label, rows.columns, out[1]))
+        return out
+
+    monkeypatch.setattr(lifecycle, "written", noted)
+    fits = {"logistic": models.logistic(iterations=5), "tree": models.random_forest(trees=2, depth=3)}
+    done = lifecycle.run(df, df.drop("kind"), roles, fits, str(tmp_path / "out"), folds=2, bar=0.0)
+    assert sorted(r["obs"] for r in spark.read.option("header", True).csv(done.predictions).select(F.col("obs").cast("int")).collect()) == list(range(240))
+    assert {label for label, _, _ in kept} == {"labelled", "features", "folds", "holdout", "test", "held", "tested", "level", "new-level", "stacked"}
+    assert not any("features" in columns or any("_x_" in c for c in columns) for label, columns, _ in kept if "level" not in label)
+    there = {label: os.path.isdir(path.removeprefix("file:")) for label, _, path in kept}
+    assert there == {label: label != "features" for label in there}
+    assert done.report.count() > 0 and done.leaderboard.count() == 4 and done.features.count() > 6
+
+
+def test_vectors_of_categories_are_made_once_for_each(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "zz"), (5, "a")], "id int, c string")
+    codes, size = encode.fit_dictionary(df.where("id < 4"), "c", missing=None)
+    hot = encode.apply_dictionary(df, codes, size, "c", "h", missing=None)
+    assert {r["id"]: r["h"].toArray().tolist() for r in hot.collect()} == {1: [1, 0], 2: [0, 1], 3: [0, 0], 4: [0, 0], 5: [1, 0]}
+    assert hot.schema["h"].metadata["ml_attr"]["num_attrs"] == size
+    top = hot._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert "concat" not in top and "code#" not in top

@@ -19,8 +19,9 @@ from rowloom.session import discard, durable, small_methods, sweep, written
 from rowloom.sources import files, state
 
 
-# A fit keeps a copy of its rows, so few folds are fitted at a time; large tables keep all cores busy with one.
-FOLDS_AT_ONCE = 1
+# Vectors up to this size are kept as they are, and folds are fitted side by side. Beyond it each pass makes them anew and one fold is
+# fitted at a time, since each fit keeps a copy of its rows; a large table keeps all cores busy with one.
+KEPT_BYTES = 512 << 20
 
 
 @dataclass
@@ -245,6 +246,7 @@ def _run(
     dealt, _ = written(splits.stratified_kfold(engineered.base, key, "y", folds, seed).repartition(key), "folds")
     discard(spark, engineered.path)
     folded = prepared.assemble(engineered.paired(dealt)).select(key, "y", "features", "fold")
+    at_once = 1 if dealt.count() * prepared.width * 8 > KEPT_BYTES else None
     sweep(spark)
 
     def unseen(df: DataFrame, part: str) -> DataFrame:
@@ -262,7 +264,7 @@ def _run(
     even = resample.balanced_training(key, seed=seed) if balance else None
     held, tested = None, None
     for name, fit in fits.items():
-        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds, even, at_once=FOLDS_AT_ONCE)
+        own, new = models.oof_predict(folded, fit, k, key, name, asked, folds, even, at_once=at_once)
         held = own if held is None else held.unionByName(own)
         tested = new if tested is None else tested.unionByName(new)
     held, tested = written(held, "held")[0], written(tested, "tested")[0]
@@ -283,7 +285,7 @@ def _run(
         level = written(splits.stratified_kfold(ensemble.level_one(held, key, names, k, ["y"]), key, "y", folds, seed + 81), "level")[0]
         new_level = written(ensemble.level_one(tested, key, names, k), "new-level")[0]
         sweep(spark)
-        stacked = models.oof_predict(level, meta or models.logistic(), k, key, "stacking", new_level, folds, at_once=FOLDS_AT_ONCE)
+        stacked = models.oof_predict(level, meta or models.logistic(), k, key, "stacking", new_level, folds, at_once=at_once)
         results["stacking"] = (written(stacked[0], "stacked")[0], stacked[1])
         sweep(spark)
 

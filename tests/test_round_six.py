@@ -104,6 +104,7 @@ def test_a_run_stores_narrow_columns_and_leaves_few(spark, tmp_path, monkeypatch
         return out
 
     monkeypatch.setattr(lifecycle, "written", noted)
+    monkeypatch.setattr(lifecycle, "KEPT_BYTES", 0)
     fits = {"logistic": models.logistic(iterations=5), "tree": models.random_forest(trees=2, depth=3)}
     done = lifecycle.run(df, df.drop("kind"), roles, fits, str(tmp_path / "out"), folds=2, bar=0.0)
     assert sorted(r["obs"] for r in spark.read.option("header", True).csv(done.predictions).select(F.col("obs").cast("int")).collect()) == list(range(240))

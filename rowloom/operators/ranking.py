@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.keys import hash_slice
 from rowloom.operators.sizing import ONE_TASK_ROWS
-from rowloom.session import durable
+from rowloom.session import durable, sweep
 
 
 # About so many rows are a slice.
@@ -45,6 +45,7 @@ def running_totals(
         slices = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SLICE_ROWS))
         spread = df.repartitionByRange(slices, *[F.col(f"`{g}`") for g in group], *order)
         sliced = durable(spread.withColumn("_slice", F.spark_partition_id()))
+        sweep(df.sparkSession)
 
     sliced = sliced.withColumn("_group", F.struct(F.lit(0), *[F.col(f"`{g}`") for g in group]))
     keys = ["_group", "_slice"]
